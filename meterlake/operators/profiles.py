@@ -24,14 +24,18 @@ def with_calendar(df: DataFrame, ts: str = "timestamp") -> DataFrame:
                            "month": F.month(ts)})
 
 
-def _hourly_measures(power: str = POWER, voltage: str = VOLTAGE):
+def _identity(c):
+    return c
+
+
+def _hourly_measures(power: str = POWER, voltage: str = VOLTAGE, rnd=r6):
     return [
-        r6(F.avg(power)).alias("avg_active_power"),
-        r6(F.stddev_samp(power)).alias("stddev_active_power"),
+        rnd(F.avg(power)).alias("avg_active_power"),
+        rnd(F.stddev_samp(power)).alias("stddev_active_power"),
         F.min(power).alias("min_active_power"),
         F.max(power).alias("max_active_power"),
-        r6(F.avg(voltage)).alias("avg_voltage"),
-        r6(F.stddev_samp(voltage)).alias("stddev_voltage"),
+        rnd(F.avg(voltage)).alias("avg_voltage"),
+        rnd(F.stddev_samp(voltage)).alias("stddev_voltage"),
         F.min(voltage).alias("min_voltage"),
         F.max(voltage).alias("max_voltage"),
     ]
@@ -119,13 +123,16 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), *out)
 
 
-def profile_pass(readings: DataFrame, power: str = POWER, voltage: str = VOLTAGE) -> DataFrame:
+def profile_pass(readings: DataFrame, power: str = POWER, voltage: str = VOLTAGE,
+                 rounded: bool = True) -> DataFrame:
     """All profile sections from one scan.
 
     ``rollup(hour_of_day)`` yields one row per hour (``is_total`` false)
     and one grand-total row (``is_total`` true); conditional aggregates give
     the weekday / weekend / season figures.  Output: at most 26 rows.
+    ``rounded=False`` keeps full precision (used for calibration).
     """
+    rnd = r6 if rounded else _identity
     d = with_calendar(readings)
     dow, month, p = F.col("day_of_week"), F.col("month"), F.col(power)
     weekday = dow.between(WEEKDAYS[0], WEEKDAYS[-1])
@@ -136,17 +143,17 @@ def profile_pass(readings: DataFrame, power: str = POWER, voltage: str = VOLTAGE
 
     return (d.rollup("hour_of_day").agg(
         F.grouping("hour_of_day").cast("boolean").alias("is_total"),
-        *_hourly_measures(power, voltage),
+        *_hourly_measures(power, voltage, rnd),
         F.count_if(weekday).alias("weekday_n"),
-        r6(F.avg(when(weekday))).alias("weekday_avg_power"),
+        rnd(F.avg(when(weekday))).alias("weekday_avg_power"),
         F.count_if(weekend).alias("weekend_n"),
-        r6(F.avg(when(weekend))).alias("weekend_avg_power"),
-        r6(F.avg(when(month.isin(*WINTER_MONTHS)))).alias("winter_avg_power"),
-        r6(F.stddev_samp(when(month.isin(*WINTER_MONTHS)))).alias("winter_stddev_power"),
-        r6(F.avg(when(month.isin(*SUMMER_MONTHS)))).alias("summer_avg_power"),
-        r6(F.stddev_samp(when(month.isin(*SUMMER_MONTHS)))).alias("summer_stddev_power"),
-        r6(F.avg(when(month.isin(*OTHER_MONTHS)))).alias("other_season_avg_power"),
-        r6(F.stddev_samp(when(month.isin(*OTHER_MONTHS)))).alias("other_season_stddev_power"),
+        rnd(F.avg(when(weekend))).alias("weekend_avg_power"),
+        rnd(F.avg(when(month.isin(*WINTER_MONTHS)))).alias("winter_avg_power"),
+        rnd(F.stddev_samp(when(month.isin(*WINTER_MONTHS)))).alias("winter_stddev_power"),
+        rnd(F.avg(when(month.isin(*SUMMER_MONTHS)))).alias("summer_avg_power"),
+        rnd(F.stddev_samp(when(month.isin(*SUMMER_MONTHS)))).alias("summer_stddev_power"),
+        rnd(F.avg(when(month.isin(*OTHER_MONTHS)))).alias("other_season_avg_power"),
+        rnd(F.stddev_samp(when(month.isin(*OTHER_MONTHS)))).alias("other_season_stddev_power"),
     ))
 
 
