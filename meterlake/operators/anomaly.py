@@ -41,9 +41,10 @@ def outlier_flag(value: Column, lower: Column, upper: Column) -> Column:
 
 
 def score(readings: DataFrame, stats: DataFrame, keys=("device_id",),
-          value: str = "active_power", k: float = 3.0, how: str = "inner") -> DataFrame:
+          value: str = "active_power", k: float = 3.0, how: str = "inner",
+          cached: list | None = None) -> DataFrame:
     """Attach statistics, bounds and the outlier flag to every reading."""
-    enriched = lookup_join(readings, stats.drop("count"), list(keys), how)
+    enriched = lookup_join(readings, stats.drop("count"), list(keys), how, cached=cached)
     lower, upper = sigma_bounds(F.col("mean"), F.col("stddev"), k)
     return (enriched
             .withColumn("lower_bound", lower)
@@ -55,11 +56,11 @@ def score(readings: DataFrame, stats: DataFrame, keys=("device_id",),
 def detect(readings: DataFrame, keys=("device_id",), value: str = "active_power",
            k: float = 3.0, min_count: int = 3,
            injected: str | None = "is_injected_anomaly",
-           with_detection_time: bool = False) -> DataFrame:
+           with_detection_time: bool = False, cached: list | None = None) -> DataFrame:
     """Rows that are statistical outliers of their group, or were injected
     as anomalies.  Groups below ``min_count`` are not scored (inner join)."""
     stats = group_stats(readings, keys, value, min_count)
-    scored = score(readings, stats, keys, value, k)
+    scored = score(readings, stats, keys, value, k, cached=cached)
     keep = F.col("is_anomaly")
     if injected and injected in readings.columns:
         keep = keep | F.col(injected)

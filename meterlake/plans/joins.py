@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Broadcast at most this many rows of a measured lookup side.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000  # ~50 MB of (key, mean, stddev)
 
 
 def static_lookup(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -23,11 +23,16 @@ def static_lookup(big: DataFrame, small: DataFrame, on, how: str = "inner") -> D
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                cached: list | None = None) -> DataFrame:
     """Join ``big`` with a data-dependent ``small`` side (e.g. per-device
     statistics).  The small side is materialised once and counted; it is
-    broadcast only under ``max_rows``, else a shuffle join is planned."""
+    broadcast only under ``max_rows``, else a shuffle join is planned (where
+    adaptive execution splits skewed keys).  The persisted side is appended
+    to ``cached`` so a long-running caller (a stream) can release it."""
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached is not None:
+        cached.append(small)
     n = small.count()
     if n <= max_rows:
         small = F.broadcast(small)
