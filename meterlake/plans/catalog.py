@@ -38,4 +38,4 @@ def register(name: str, sql: str | None = None):
 
 
 # Import the modules that register queries (side effect: fill the dicts).
-from . import queries_core, queries_clean, queries_serving, queries_stream  # noqa: E402,F401
+from . import queries_core, queries_clean, queries_serving, queries_stream, queries_ml  # noqa: E402,F401
