@@ -2,10 +2,10 @@
 operators over a readings table.
 
 Expected power = hourly average x weekend factor(hour) x seasonal factor,
-all calibrated from a profile pass over a reference readings table.  The
-calibration is at most 26 rows (24 hours, a NULL hour, one total row), so
-the hour lookup is broadcast by construction and the seasonal factors are
-scalar subqueries over the same tiny table.
+all calibrated from one aggregate pass over a reference readings table.
+The calibration is at most 26 rows (24 hours, a NULL hour, one total row),
+so the hour lookup is broadcast by construction and the seasonal factors
+are scalar subqueries over the same tiny local table.
 """
 
 from __future__ import annotations
@@ -13,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import (SUMMER_MONTHS, WEEKEND_DAYS, WINTER_MONTHS, col,
-                                 device_number)
-from .profiles import profile_pass
+from ..sources.readers import constant_table
+
+from ..functions.columns import (OTHER_MONTHS, SUMMER_MONTHS, WEEKDAYS, WEEKEND_DAYS,
+                                 WINTER_MONTHS, col, device_number)
 
 # The default calibration used when a profile is absent.
 DEFAULT_HOURLY = {"avg_active_power": 2.0, "stddev_active_power": 0.5,
@@ -45,10 +46,31 @@ def _truthy(c: Column) -> Column:
     return c.isNotNull() & (c != 0)
 
 
-def calibration(reference: DataFrame) -> DataFrame:
-    """Per-hour calibration rows (hour_of_day, base_power, weekend_ratio)
-    plus the total row, from one scan of ``reference``."""
-    return profile_pass(reference, rounded=False)
+def calibration(reference: DataFrame, power: str = "active_power",
+                ts: str = "timestamp") -> DataFrame:
+    """Calibration table from one scan of ``reference``: one row per hour of
+    day (``is_total`` false) plus one total row, with the hourly, weekday,
+    weekend, seasonal and overall average load.
+
+    A ROLLUP over hour_of_day bounds the result to at most 26 rows (24 hours,
+    a NULL hour, the total), so it is collected once and re-entered as a
+    local table: the hour lookup broadcasts it and the seasonal factors
+    fold to constants, without rescanning ``reference``.
+    """
+    d = reference.select(F.col(power).alias("p"), F.hour(ts).alias("hour_of_day"),
+                         F.dayofweek(ts).alias("dow"), F.month(ts).alias("m"))
+    p, dow, m = F.col("p"), F.col("dow"), F.col("m")
+    weekday, weekend = dow.between(WEEKDAYS[0], WEEKDAYS[-1]), dow.isin(*WEEKEND_DAYS)
+    agg = d.rollup("hour_of_day").agg(
+        F.grouping("hour_of_day").cast("boolean").alias("is_total"),
+        F.avg(p).alias("avg_active_power"),
+        F.count_if(weekday).alias("weekday_n"), F.avg(F.when(weekday, p)).alias("weekday_avg_power"),
+        F.count_if(weekend).alias("weekend_n"), F.avg(F.when(weekend, p)).alias("weekend_avg_power"),
+        F.avg(F.when(m.isin(*WINTER_MONTHS), p)).alias("winter_avg_power"),
+        F.avg(F.when(m.isin(*SUMMER_MONTHS), p)).alias("summer_avg_power"),
+        F.avg(F.when(m.isin(*OTHER_MONTHS), p)).alias("other_season_avg_power"))
+    rows = agg.collect()  # bounded: <= 26 rows by construction
+    return constant_table(reference.sparkSession, rows, agg.schema)
 
 
 def weekend_ratio(weekday_avg: Column, weekend_avg: Column) -> Column:
@@ -64,11 +86,11 @@ def seasonal_factors(cal: DataFrame) -> dict[str, Column]:
     w, s, o, a = (F.col(c) for c in ("winter_avg_power", "summer_avg_power",
                                      "other_season_avg_power", "avg_active_power"))
     ok = _truthy(w) & _truthy(s) & _truthy(o) & a.isNotNull() & (a > 0)
-    factors = total.select(
+    factors = total.select(F.struct(
         F.when(ok, w / a).otherwise(DEFAULT_SEASON_FACTORS["winter"]).alias("winter"),
         F.when(ok, s / a).otherwise(DEFAULT_SEASON_FACTORS["summer"]).alias("summer"),
-        F.when(ok, o / a).otherwise(DEFAULT_SEASON_FACTORS["other"]).alias("other"))
-    return {name: F.coalesce(factors.select(name).scalar(), F.lit(DEFAULT_SEASON_FACTORS[name]))
+        F.when(ok, o / a).otherwise(DEFAULT_SEASON_FACTORS["other"]).alias("other"))).scalar()
+    return {name: F.coalesce(factors.getField(name), F.lit(DEFAULT_SEASON_FACTORS[name]))
             for name in ("winter", "summer", "other")}
 
 

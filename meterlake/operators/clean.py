@@ -62,8 +62,10 @@ def typed_readings(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def fill_and_project(typed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Missing-value rules and the canonical D2 projection."""
-    means = {c: typed.agg(F.coalesce(F.avg(non_nan(c)), F.lit(0.0))).scalar()
-             for c in MEAN_FILLED}
+    # one scalar subquery (one aggregate job) returning all means as a struct
+    mean_row = typed.agg(F.struct(*[F.coalesce(F.avg(non_nan(c)), F.lit(0.0)).alias(c)
+                                    for c in MEAN_FILLED])).scalar()
+    means = {c: mean_row.getField(c) for c in MEAN_FILLED}
     out = [*(F.col(c) for c in keep), F.col("timestamp")]
     for raw_name, clean_name in CLEAN_NAMES.items():
         if raw_name in ZERO_FILLED:

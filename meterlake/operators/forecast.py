@@ -41,7 +41,9 @@ def prepare(readings: DataFrame, ts: str = "timestamp") -> DataFrame:
         src = present.get(c.lower())
         cols[c] = F.col(src).cast("double") if src else F.lit(0.0)
     df = df.withColumns(cols)
-    means = {c: df.agg(F.coalesce(F.avg(non_nan(c)), F.lit(0.0))).scalar() for c in MEAN_FILLED}
+    mean_row = df.agg(F.struct(*[F.coalesce(F.avg(non_nan(c)), F.lit(0.0)).alias(c)
+                                 for c in MEAN_FILLED])).scalar()
+    means = {c: mean_row.getField(c) for c in MEAN_FILLED}
     fills = {}
     for c in NUMERIC:
         if c in ZERO_FILLED:

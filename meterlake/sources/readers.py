@@ -40,6 +40,38 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -
     return spark.createDataFrame(rows, schema)
 
 
+def _sql_literal(v) -> str:
+    import math
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return f"{v}L"
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "double('NaN')"
+        if math.isinf(v):
+            return "double('Infinity')" if v > 0 else "double('-Infinity')"
+        return f"{v!r}D"
+    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def constant_table(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
+    """A small, bounded table of flat rows as one SQL ``VALUES`` relation:
+    a constant local relation planned without Python workers (and without
+    one JVM call per value).  For at most a few hundred rows."""
+    if not rows:
+        return spark.createDataFrame([], schema)
+    names = [f.name for f in schema.fields]
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    cols = ", ".join(f"CAST(`{n}` AS {f.dataType.simpleString()}) AS `{n}`"
+                     for n, f in zip(names, schema.fields))
+    alias = ", ".join(f"`{n}`" for n in names)
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({alias})")
+
+
 def load_model(path: str):
     """A fitted pipeline (assembler + scaler + regressor) saved by
     ``sinks.tables.save_model``."""
