@@ -45,25 +45,27 @@ def validate(requests: DataFrame) -> DataFrame:
     attach ``errors`` (array of messages), ``n_errors``, ``error_message``
     and ``is_valid``.  Absent fields take the form defaults; unparsable
     text gets a parse message and the default value."""
-    typed, messages = {}, []
+    typed, parse_messages, messages = {}, [], []
     for name, default in FIELD_DEFAULTS.items():
         raw = F.col(name)
         target = "int" if name in INTEGER_FIELDS else "double"
         parsed = raw.try_cast(target)
         bad_text = raw.isNotNull() & parsed.isNull()
-        messages.append(F.when(bad_text, F.lit(PARSE_MESSAGES[name])))
+        parse_messages.append(F.when(bad_text, F.lit(PARSE_MESSAGES[name])))
         typed[name] = F.coalesce(parsed, F.lit(default).cast(target))
-    out = requests.withColumns(typed)
+    # parse errors are judged on the raw values, before the fields are retyped
+    out = requests.withColumn("_parse_errors", F.array(*parse_messages)).withColumns(typed)
     for name, lo, hi, msg in VALIDATION_RULES:
         c = F.col(name)
         bad = c < lo if hi is None else (c < lo) | (c > hi)
         messages.append(F.when(bad, F.lit(msg)))
-    errors = F.array_compact(F.array(*messages))
+    errors = F.array_compact(F.concat(F.col("_parse_errors"), F.array(*messages)))
     return (out.withColumn("errors", errors)
             .withColumn("n_errors", F.size("errors"))
             .withColumn("error_message", F.when(F.col("n_errors") > 0,
                                                 F.array_join("errors", ", ")))
-            .withColumn("is_valid", F.col("n_errors") == 0))
+            .withColumn("is_valid", F.col("n_errors") == 0)
+            .drop("_parse_errors"))
 
 
 def anomaly_feed(anomalies: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -90,7 +92,8 @@ def newest(df: DataFrame, k: int | None, ts: str = "timestamp",
 def formatted_time(c: str | Column = "timestamp") -> Column:
     """Display text 'yyyy-MM-dd HH:mm:ss'; unparsable text passes through."""
     c = col(c)
-    return F.coalesce(F.date_format(c.cast("timestamp"), "yyyy-MM-dd HH:mm:ss"), c.cast("string"))
+    return F.coalesce(F.date_format(c.try_cast("timestamp"), "yyyy-MM-dd HH:mm:ss"),
+                      c.cast("string"))
 
 
 def latest(df: DataFrame, order_col: str) -> DataFrame:

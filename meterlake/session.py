@@ -21,6 +21,11 @@ RUNTIME_SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.caseSensitive": "false",
+    # A CSV row with an extra field must be dropped (DROPMALFORMED) by every
+    # scan of the file, including scans that read one column only (e.g. the
+    # mean used for imputation); with parser column pruning such a scan would
+    # not see the extra field and would count the row.
+    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
 
