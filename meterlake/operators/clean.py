@@ -127,12 +127,19 @@ def impute_timestamps(typed: DataFrame, order_col: str, step_minutes: int = 1,
                       ts: str = "timestamp") -> DataFrame:
     """Fill every NULL timestamp with anchor + (row_index - anchor_index) *
     step, the anchor being the first row (in ``order_col`` order) with a
-    valid timestamp; default anchor 2006-12-16 17:24:00 at index 0."""
+    valid timestamp; default anchor 2006-12-16 17:24:00 at index 0.
+
+    The anchor needs no row index: it is the valid row with the smallest
+    key, and its index is the number of rows with a smaller key (both are
+    scalar subqueries over two pruned columns, no window)."""
     idx = dense_index(typed, order_col)
-    valid = idx.filter(F.col(ts).isNotNull())
-    anchor_ts = F.coalesce(valid.agg(F.min_by(ts, "row_index")).scalar(),
-                           F.lit(DEFAULT_ANCHOR).cast("timestamp_ntz"))
-    anchor_idx = F.coalesce(valid.agg(F.min("row_index")).scalar(), F.lit(0))
+    key = F.col(order_col)
+    anchor = (typed.filter(F.col(ts).isNotNull() & key.isNotNull())
+              .agg(F.min_by(F.struct(F.col(ts).alias("ts"), key.alias("key")), key))
+              .scalar())
+    anchor_ts = F.coalesce(anchor.getField("ts"), F.lit(DEFAULT_ANCHOR).cast("timestamp_ntz"))
+    anchor_idx = F.coalesce(typed.agg(F.count_if(key < anchor.getField("key"))).scalar(),
+                            F.lit(0))
     offset = (F.col("row_index") - anchor_idx) * F.lit(step_minutes)
     filled = F.timestamp_add("MINUTE", offset, anchor_ts)
     return idx.withColumns({
