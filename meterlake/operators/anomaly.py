@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import lookup_join
+from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
 
 DETECTION_COLUMNS = ["is_anomaly", "mean", "stddev", "lower_bound", "upper_bound"]
 
@@ -42,9 +42,11 @@ def outlier_flag(value: Column, lower: Column, upper: Column) -> Column:
 
 def score(readings: DataFrame, stats: DataFrame, keys=("device_id",),
           value: str = "active_power", k: float = 3.0, how: str = "inner",
-          cached: list | None = None) -> DataFrame:
+          cached: list | None = None,
+          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Attach statistics, bounds and the outlier flag to every reading."""
-    enriched = lookup_join(readings, stats.drop("count"), list(keys), how, cached=cached)
+    enriched = lookup_join(readings, stats.drop("count"), list(keys), how,
+                           max_rows=max_broadcast_rows, cached=cached)
     lower, upper = sigma_bounds(F.col("mean"), F.col("stddev"), k)
     return (enriched
             .withColumn("lower_bound", lower)
@@ -56,11 +58,13 @@ def score(readings: DataFrame, stats: DataFrame, keys=("device_id",),
 def detect(readings: DataFrame, keys=("device_id",), value: str = "active_power",
            k: float = 3.0, min_count: int = 3,
            injected: str | None = "is_injected_anomaly",
-           with_detection_time: bool = False, cached: list | None = None) -> DataFrame:
+           with_detection_time: bool = False, cached: list | None = None,
+           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Rows that are statistical outliers of their group, or were injected
     as anomalies.  Groups below ``min_count`` are not scored (inner join)."""
     stats = group_stats(readings, keys, value, min_count)
-    scored = score(readings, stats, keys, value, k, cached=cached)
+    scored = score(readings, stats, keys, value, k, cached=cached,
+                   max_broadcast_rows=max_broadcast_rows)
     keep = F.col("is_anomaly")
     if injected and injected in readings.columns:
         keep = keep | F.col(injected)
