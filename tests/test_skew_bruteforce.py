@@ -37,11 +37,24 @@ def _brute_force(pdf, k=3.0, min_count=3):
 def test_hot_device_broadcast_and_shuffle_paths_match_bruteforce(spark):
     pdf, df = _skewed(spark)
     expected = _brute_force(pdf)
-    for bound in (1_000_000, 0):  # broadcast lookup / shuffle join (AQE skew split)
-        got = anomaly.detect(df, max_broadcast_rows=bound).select("device_id", "active_power").collect()
+    got = anomaly.detect(df).select("device_id", "active_power").collect()
+    assert sorted((r.device_id, round(r.active_power, 9)) for r in got) == expected
+    # beyond every broadcast bound: a shuffle (sort-merge) join, hot key split by AQE
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        out = anomaly.detect(df, max_broadcast_rows=0)
+        assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+        got = out.select("device_id", "active_power").collect()
         assert sorted((r.device_id, round(r.active_power, 9)) for r in got) == expected
-    plan = anomaly.detect(df, max_broadcast_rows=0)._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan  # beyond the bound: shuffle join, AQE may split hot keys
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def test_hot_device_statistics_use_partial_aggregation(spark):
