@@ -105,8 +105,9 @@ def latest(df: DataFrame, order_col: str) -> DataFrame:
 
 
 def new_since(incoming: DataFrame, known: DataFrame, key: str = "timestamp") -> DataFrame:
-    """Incoming rows whose ``key`` was not seen before (left anti join)."""
-    return incoming.join(known.select(key).distinct(), key, "left_anti")
+    """Incoming rows whose ``key`` was not seen before (left anti join; no
+    distinct needed, duplicates on the known side do not change the result)."""
+    return incoming.join(known.select(key), key, "left_anti")
 
 
 def series_overlay(forecasts: DataFrame, anomalies: DataFrame) -> DataFrame:
