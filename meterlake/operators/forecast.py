@@ -55,7 +55,7 @@ def prepare(readings: DataFrame, ts: str = "timestamp") -> DataFrame:
     df = df.withColumns(fills)
     if ts in df.columns:
         if dict(df.dtypes)[ts] not in ("timestamp", "timestamp_ntz"):
-            df = df.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
+            df = df.withColumn(ts, F.col(ts).try_cast("timestamp_ntz"))
     else:
         df = df.withColumn(ts, F.current_timestamp().cast("timestamp_ntz"))
     return df.withColumns({"hour": F.hour(ts), "day_of_week": F.dayofweek(ts),
