@@ -54,14 +54,6 @@ def parse_raw_timestamp(date: str | Column, time: str | Column,
     return ts.cast("timestamp_ntz")
 
 
-def hour_of_day(ts: str | Column) -> Column:
-    return F.hour(col(ts))
-
-
-def day_of_week(ts: str | Column) -> Column:
-    return F.dayofweek(col(ts))
-
-
 def season_of(month: str | Column) -> Column:
     m = col(month)
     return (F.when(m.isin(*WINTER_MONTHS), F.lit("winter"))
@@ -69,34 +61,11 @@ def season_of(month: str | Column) -> Column:
             .when(m.isin(*OTHER_MONTHS), F.lit("other")))
 
 
-def day_type(dow: str | Column) -> Column:
-    d = col(dow)
-    return (F.when(d.between(WEEKDAYS[0], WEEKDAYS[-1]), F.lit("weekday"))
-            .when(d.isin(*WEEKEND_DAYS), F.lit("weekend")))
-
-
-def is_weekend(dow: str | Column) -> Column:
-    return col(dow).isin(*WEEKEND_DAYS)
-
-
-def calendar_features(ts: str = "timestamp") -> dict[str, Column]:
-    return {"hour": F.hour(col(ts)), "day_of_week": F.dayofweek(col(ts)),
-            "month": F.month(col(ts))}
-
-
 def r6(c: str | Column) -> Column:
     """Round a floating result to 6 decimals for stable comparison."""
     return F.round(col(c), 6)
 
 
-def text_timestamp(c: str | Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    """Normalise a timestamp (or timestamp text) to ``fmt``; text that does
-    not parse is passed through unchanged."""
-    c = col(c)
-    parsed = F.try_to_timestamp(c.cast("string"))
-    return F.coalesce(F.date_format(parsed, fmt), c.cast("string"))
-
-
 def device_number(device_id: str | Column) -> Column:
     """'meter_17' -> 17 (NULL when the suffix is not a number)."""
     return F.element_at(F.split(col(device_id), "_"), -1).try_cast("int")

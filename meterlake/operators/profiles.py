@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import (OTHER_MONTHS, SUMMER_MONTHS, WEEKDAYS, WEEKEND_DAYS,
-                                 WINTER_MONTHS, is_missing, non_nan, r6)
+                                 WINTER_MONTHS, is_missing, non_nan, r6, season_of)
 
 POWER = "active_power"
 VOLTAGE = "voltage"  # resolved case-insensitively, also matches "Voltage"
@@ -63,10 +63,8 @@ def weekend_profile(readings: DataFrame, power: str = POWER) -> DataFrame:
 
 def season_profile(readings: DataFrame, power: str = POWER) -> DataFrame:
     """One row per season (winter / summer / other) that has readings."""
-    m = F.month("timestamp")
-    season = (F.when(m.isin(*WINTER_MONTHS), "winter").when(m.isin(*SUMMER_MONTHS), "summer")
-              .when(m.isin(*OTHER_MONTHS), "other"))
-    return (readings.select(season.alias("season"), F.col(power).alias("p"))
+    return (readings.select(season_of(F.month("timestamp")).alias("season"),
+                            F.col(power).alias("p"))
             .filter(F.col("season").isNotNull())
             .groupBy("season")
             .agg(F.count("p").alias("n"), r6(F.avg("p")).alias("avg_power"),

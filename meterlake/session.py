@@ -29,6 +29,21 @@ RUNTIME_SQL_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of TB): start shuffles with many
+# partitions and let adaptive execution coalesce them to ~256 MB each; split
+# skewed partitions above 5x the median (and 256 MB); read ~256 MB scan
+# splits.  Applied with ``get_session(profile="cluster")``.
+CLUSTER_SQL_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def apply_defaults(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SQL_CONF.items():
         if spark.conf.get(key, None) != value:
@@ -38,10 +53,15 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 
 def get_session(master: str | None = None, app_name: str = "meterlake",
                 shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
+                extra: dict[str, str] | None = None,
+                profile: str = "local") -> SparkSession:
     """Build (or join) a session.  ``master`` is only set when given, so the
-    same code runs under spark-submit on a cluster."""
+    same code runs under spark-submit on a cluster; ``profile="cluster"``
+    adds the large-scale partition sizing of ``CLUSTER_SQL_CONF``."""
     builder = SparkSession.builder.appName(app_name)
+    if profile == "cluster":
+        for key, value in CLUSTER_SQL_CONF.items():
+            builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
