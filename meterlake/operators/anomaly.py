@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 
 from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
 
-DETECTION_COLUMNS = ["is_anomaly", "mean", "stddev", "lower_bound", "upper_bound"]
-
-
 def group_stats(readings: DataFrame, keys=("device_id",), value: str = "active_power",
                 min_count: int = 3) -> DataFrame:
     """mean / sample stddev / non-null count per group, groups below

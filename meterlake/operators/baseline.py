@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.joins import static_lookup
 from ..sources.readers import constant_table
 
 from ..functions.columns import (OTHER_MONTHS, SUMMER_MONTHS, WEEKDAYS, WEEKEND_DAYS,
@@ -109,7 +110,7 @@ def expected_power(readings: DataFrame, reference: DataFrame | None = None,
     season = seasonal_factors(cal)
     d = readings.withColumns({"hour_of_day": F.hour(ts), "day_of_week": F.dayofweek(ts),
                               "month": F.month(ts)})
-    joined = d.join(F.broadcast(hours), d["hour_of_day"] == hours["_hour"], "left")
+    joined = static_lookup(d, hours, d["hour_of_day"] == hours["_hour"], "left")
     m = F.col("month")
     seasonal = (F.when(m.isin(*WINTER_MONTHS), season["winter"])
                 .when(m.isin(*SUMMER_MONTHS), season["summer"])

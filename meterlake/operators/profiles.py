@@ -106,11 +106,6 @@ def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
                        r6("max").alias("max"))
 
 
-def column_means(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One-row table of means over non-missing (non-NULL, non-NaN) values."""
-    return df.agg(*[F.avg(non_nan(F.col(c).cast("double"))).alias(c) for c in columns])
-
-
 def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """NULL-or-NaN count of every column in one aggregate (one job)."""
     out = []

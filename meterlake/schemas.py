@@ -64,15 +64,6 @@ ANOMALY_COLUMNS = ["timestamp", "device_id", "active_power", "reactive_power", "
                    "is_anomaly", "is_injected_anomaly", "mean", "stddev",
                    "lower_bound", "upper_bound", "detection_time"]
 
-# D7: forecasts.
-FORECASTS = T.StructType([
-    T.StructField("timestamp", T.TimestampNTZType()),
-    T.StructField("active_power", T.DoubleType()),
-    T.StructField("prediction", T.DoubleType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("created_at", T.TimestampType()),
-])
-
 # D8: model info.
 MODEL_INFO = T.StructType([
     T.StructField("model_timestamp", T.StringType()),

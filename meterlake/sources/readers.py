@@ -9,13 +9,18 @@ from pyspark.sql import types as T
 
 
 def read_raw_csv(spark: SparkSession, path: str, sep: str = ",", header: bool = True,
-                 null_token: str = "?", drop_malformed: bool = True) -> DataFrame:
+                 null_token: str = "?", drop_malformed: bool = True,
+                 schema: T.StructType | None = None) -> DataFrame:
     """Raw meter export.  Every column is read as text (no inference pass
     over the data); typing happens in ``operators.clean``.  Rows with extra
-    fields are dropped."""
+    fields are dropped.  Column names come from the header, or from an
+    explicit all-text ``schema`` (e.g. ``schemas.RAW_READINGS``) for files
+    without one."""
     reader = (spark.read.option("header", str(header).lower()).option("sep", sep)
               .option("nullValue", null_token).option("inferSchema", "false")
               .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE"))
+    if schema is not None:
+        reader = reader.schema(schema)
     return reader.csv(path)
 
 
@@ -35,11 +40,6 @@ def read_first_parquet(spark: SparkSession, paths: list[str]) -> tuple[DataFrame
     raise FileNotFoundError("no readable location: " + "; ".join(errors))
 
 
-def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """Small literal tables (request rows, run records) with an explicit schema."""
-    return spark.createDataFrame(rows, schema)
-
-
 def _sql_literal(v) -> str:
     import math
     if v is None:

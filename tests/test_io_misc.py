@@ -25,6 +25,30 @@ def test_semicolon_separator(spark, tmp_dir):
     assert out.active_power == 4.216 and out.Sub_metering_3 == 17.0
 
 
+def test_headerless_file_with_explicit_schema_gives_clean_schema(spark, tmp_dir):
+    from meterlake.schemas import CLEAN_READINGS, RAW_READINGS
+    path = os.path.join(tmp_dir, "noheader.csv")
+    with open(path, "w") as f:
+        f.write("16/12/2006,17:24:00,4.216,0.418,234.84,18.4,0,1,17\n")
+    out = clean.clean(read_raw_csv(spark, path, header=False, schema=RAW_READINGS))
+    assert [(f.name, f.dataType) for f in out.schema.fields] == \
+        [(f.name, f.dataType) for f in CLEAN_READINGS.fields]
+    assert out.collect()[0].current == 18.4
+
+
+def test_scoring_request_schema_validates_and_scores(spark):
+    from meterlake.operators import readmodels
+    from meterlake.schemas import SCORING_REQUEST
+    from meterlake.sources.readers import load_model
+    req = spark.createDataFrame([(230.0, 5.0, 0.5, 0.3, 0.2, 12, 3, 6),
+                                 (600.0, 5.0, 0.5, 0.3, 0.2, 12, 3, 6)], SCORING_REQUEST)
+    v = {r.Voltage: r.is_valid for r in readmodels.validate(req).collect()}
+    assert v == {230.0: True, 600.0: False}
+    t = queries_ml.trained(spark, SF_SMALL)
+    scored = forecast.score(load_model(t["model"]), readmodels.validate(req).filter("is_valid"))
+    assert scored.count() == 1
+
+
 def test_json_lines_anomaly_sink(spark, tmp_dir):
     rows = [("a", 1.0, False)] * 10 + [("a", 1000.0, False)]
     df = spark.createDataFrame(rows, "device_id string, active_power double, is_injected_anomaly boolean")

@@ -66,6 +66,9 @@ def test_sinks_ddl_and_fallback(spark, tmp_dir):
     assert written == first
     got, p = read_first_parquet(spark, [os.path.join(tmp_dir, "missing"), first])
     assert p == first and got.count() == 3
+    tables.write_parquet(df.withColumn("p", F.col("id") % 2), os.path.join(tmp_dir, "pq"),
+                         partition_by=["p"])
+    assert {"p=0", "p=1", "_SUCCESS"} <= set(os.listdir(os.path.join(tmp_dir, "pq")))
     tables.write_csv(df, os.path.join(tmp_dir, "csv"), single_file=True)
     assert len([f for f in os.listdir(os.path.join(tmp_dir, "csv")) if f.endswith(".csv")]) == 1
     for name in ("anomalies", "forecasts", "model_info", "training_runs"):
