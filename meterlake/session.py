@@ -81,7 +81,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster-shared checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a private folder is created.
+    as is (an unset value is an error there).  Only in local mode, when it
+    is unset (tests), a private folder is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -89,6 +90,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                             "(a machine-local folder is not visible to executors)")
         configured = tempfile.mkdtemp(prefix="meterlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
