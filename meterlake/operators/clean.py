@@ -83,7 +83,8 @@ def clean(raw: DataFrame, keep: tuple[str, ...] = (), order_by: str | None = Non
     """Full cleaning.  With ``order_by`` and ``impute_step_minutes`` set,
     NULL timestamps are imputed from the first valid one (see
     :func:`impute_timestamps`)."""
-    typed = typed_readings(raw, keep)
+    carry = tuple(keep) + ((order_by,) if order_by and order_by not in keep else ())
+    typed = typed_readings(raw, carry)
     if order_by and impute_step_minutes:
         typed = impute_timestamps(typed, order_by, impute_step_minutes).drop(
             "row_index", "was_imputed")

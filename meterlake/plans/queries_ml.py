@@ -13,6 +13,7 @@ import os
 from pyspark.sql import functions as F
 
 from ..functions.columns import r6
+from .. import jobs
 from ..operators import forecast, readmodels
 from ..session import scratch_path
 from ..sinks import tables
@@ -25,28 +26,11 @@ _TRAINED: dict[tuple[str, str], dict] = {}
 
 
 def trained(spark, sf_dir: str) -> dict:
+    """Train once per (application, data directory) with ``jobs.train``."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key in _TRAINED:
-        return _TRAINED[key]
-    root = scratch_path(spark, "model-registry")
-    paths = {n: f"{root}/{n}" for n in ("model", "forecasts", "model_info",
-                                         "training_runs", "metrics")}
-    try:
-        result = forecast.train(fx.readings(spark, sf_dir))
-    except Exception as e:
-        tables.append_stamped(forecast.training_run_row(
-            spark, "unknown", "FAILED", 0.0, None, str(e)).drop("created_at"),
-            paths["training_runs"])
-        raise
-    tables.save_model(result.model, paths["model"])
-    tables.append_forecasts(result.predictions, paths["forecasts"], "holdout")
-    tables.append_stamped(forecast.model_info_row(spark, result).drop("created_at"),
-                          paths["model_info"])
-    tables.append_stamped(forecast.training_run_row(
-        spark, result.model_timestamp, "SUCCESS", result.duration_seconds,
-        result.config, None).drop("created_at"), paths["training_runs"])
-    tables.write_json_lines(forecast.metrics_line(spark, result), paths["metrics"])
-    _TRAINED[key] = {"result": result, **paths}
+    if key not in _TRAINED:
+        _TRAINED[key] = jobs.train(spark, fx.readings(spark, sf_dir),
+                                   scratch_path(spark, "model-registry"))
     return _TRAINED[key]
 
 
@@ -90,7 +74,7 @@ def score_requests(spark, sf_dir):
     """Validate the request table, score the valid rows with the saved
     pipeline, append them to the forecasts table as 'request' rows."""
     t = trained(spark, sf_dir)
-    model = load_model(t["model"])
+    model = load_model(t["model_path"])
     v = readmodels.validate(fx.requests(spark, sf_dir)).filter("is_valid")
     scored = forecast.score(model, v)
     out = scored.select("event_id", "active_power", r6("prediction").alias("prediction"))

@@ -45,7 +45,7 @@ def test_scoring_request_schema_validates_and_scores(spark):
     v = {r.Voltage: r.is_valid for r in readmodels.validate(req).collect()}
     assert v == {230.0: True, 600.0: False}
     t = queries_ml.trained(spark, SF_SMALL)
-    scored = forecast.score(load_model(t["model"]), readmodels.validate(req).filter("is_valid"))
+    scored = forecast.score(load_model(t["model_path"]), readmodels.validate(req).filter("is_valid"))
     assert scored.count() == 1
 
 
@@ -80,3 +80,35 @@ def test_run_records_are_written(spark):
     assert info[0].feature_columns == forecast.FEATURE_COLUMNS
     f = spark.read.parquet(t["forecasts"])
     assert f.filter("source = 'holdout'").count() == t["result"].test_rows
+
+
+def test_jobs_ingest_train_load(spark, tmp_dir):
+    from meterlake import jobs
+    from meterlake.sources import fixtures as fx
+    raw_dir = os.path.join(tmp_dir, "raw_csv")
+    fx.raw_readings(spark, SF_SMALL).write.option("header", "true").csv(raw_dir)
+    clean_dir, stats = os.path.join(tmp_dir, "clean"), os.path.join(tmp_dir, "stats")
+    out = jobs.ingest(spark, raw_dir, clean_dir, stats, order_col="event_id")
+    n = fx.raw_readings(spark, SF_SMALL).count()
+    assert out.count() == n and out.filter("timestamp IS NULL").count() == 0
+    doc = spark.read.json(stats).collect()[0]
+    assert len(doc.hourly_stats) == 24
+    t = jobs.train(spark, out, os.path.join(tmp_dir, "registry"),
+                   configs=[{"numTrees": 3, "maxDepth": 3}])
+    assert spark.read.parquet(t["training_runs"]).first().status == "SUCCESS"
+    hourly = jobs.load(spark, [os.path.join(tmp_dir, "nope"), clean_dir]).collect()
+    assert len(hourly) == 24
+
+
+def test_cli_load(spark, tmp_dir, capsys, monkeypatch):
+    import meterlake.__main__ as m
+    from meterlake.operators import clean as c
+    from meterlake.sources import fixtures as fx
+    path = os.path.join(tmp_dir, "clean")
+    c.clean(fx.raw_readings(spark, SF_SMALL)).write.parquet(path)
+    monkeypatch.setattr(m, "get_session", lambda *a, **k: spark)
+    monkeypatch.setattr(spark, "stop", lambda: None)  # keep the shared session
+    assert m.main(["load", path]) == 0
+    lines = [ln for ln in capsys.readouterr().out.splitlines() if ln.startswith("{")]
+    # 24 hours plus the NULL hour of rows whose blank date was not imputed
+    assert len(lines) == 25
