@@ -72,15 +72,17 @@ def available_features(df: DataFrame, candidates: list[str] = FEATURE_COLUMNS) -
 def build_pipeline(features: list[str], num_trees: int, max_depth: int, seed: int = 42,
                    label: str = LABEL):
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
     assembler = VectorAssembler(inputCols=features, outputCol="features_raw",
                                 handleInvalid="skip")
+    # rows without a feature vector never reach the scaler or the forest
+    valid = SQLTransformer(statement="SELECT * FROM __THIS__ WHERE features_raw IS NOT NULL")
     scaler = StandardScaler(inputCol="features_raw", outputCol="features",
                             withMean=True, withStd=True)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
                                maxDepth=max_depth, seed=seed)
-    return Pipeline(stages=[assembler, scaler, rf])
+    return Pipeline(stages=[assembler, valid, scaler, rf])
 
 
 def split_column(key: str = "event_id", buckets: int = 5, test_buckets: int = 1):
