@@ -79,3 +79,24 @@ def test_rate_simulation_source(spark):
     assert rows and all(r.device_id == "meter_1" and r.active_power == 2.5 for r in rows)
     # the constant group never yields an outlier (stddev 0)
     assert anomaly.detect(spark.createDataFrame(rows)).filter("is_anomaly").count() == 0
+
+
+def test_processing_time_trigger_and_late_files(spark, tmp_dir):
+    """Processing-time trigger; files arriving later form new batches whose
+    statistics cover only their own rows (memoryless per batch)."""
+    src, table, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "table", "ckpt"))
+    r = _readings(spark)
+    first, second = r.filter("event_id % 2 = 0"), r.filter("event_id % 2 = 1")
+    payload.encode(first).write.text(os.path.join(src, "a"))
+    stream = ssrc.file_stream(spark, os.path.join(src, "*"))
+    q, writer = sdetect.start_detection(stream, table, ckpt, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        payload.encode(second).write.text(os.path.join(src, "b"))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = spark.read.parquet(table)
+    expected = anomaly.detect(first).count() + anomaly.detect(second).count()
+    assert out.count() == expected == sum(writer.counts.values())
+    assert out.select("batch_id").distinct().count() == 2
