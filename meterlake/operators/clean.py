@@ -112,13 +112,18 @@ def dense_index(df: DataFrame, order_col: str, name: str = "row_index",
     probs = [i / n for i in range(1, n)]
     cuts = keyed.approxQuantile("_key", probs, 1.0 / (10 * n)) if n > 1 else []
     splits = [float("-inf")] + sorted({c for c in cuts if c == c}) + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket",
-                          handleInvalid="keep").transform(keyed)
+    bucketed = (Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket",
+                           handleInvalid="keep").transform(keyed)
+                .withColumn("_bucket", F.col("_bucket").cast("int")))
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     in_bucket = Window.partitionBy("_bucket").orderBy(F.col(order_col).asc_nulls_last())
+    # range-partition on the bucket id: about one bucket per task (a hash
+    # exchange would stack several buckets into some tasks); it also
+    # satisfies the window's clustering, so no further exchange is added
+    bucketed = bucketed.repartitionByRange(len(splits), "_bucket")
     return (bucketed.join(F.broadcast(offsets), "_bucket")
             .withColumn(name, F.col("_off") + F.row_number().over(in_bucket) - 1)
             .drop("_key", "_bucket", "_off"))
