@@ -12,6 +12,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # Broadcast at most this many rows of a measured lookup side.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000  # ~50 MB of (key, mean, stddev)
 
@@ -28,11 +30,19 @@ def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
     """Join ``big`` with a data-dependent ``small`` side (e.g. per-device
     statistics).  The small side is materialised once and counted; it is
     broadcast only under ``max_rows``, else a shuffle join is planned (where
-    adaptive execution splits skewed keys).  The persisted side is appended
-    to ``cached`` so a long-running caller (a stream) can release it."""
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    adaptive execution splits skewed keys).
+
+    Materialisation: a caller that manages the lifetime (a stream releasing
+    per-batch data) passes ``cached`` and gets a persisted side appended to
+    it; otherwise the side is written as a reliable checkpoint under the
+    shared checkpoint directory (lineage cut, no executor memory held, no
+    recomputation when an executor is lost)."""
     if cached is not None:
+        small = small.persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(small)
+    else:
+        ensure_checkpoint_dir(small.sparkSession)
+        small = small.checkpoint(eager=True)
     n = small.count()
     if n <= max_rows:
         small = F.broadcast(small)

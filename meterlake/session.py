@@ -64,7 +64,10 @@ def get_session(master: str | None = None, app_name: str = "meterlake",
             builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    builder = (builder.config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
+               # delete checkpoint files of lookup tables once they are unreferenced
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
