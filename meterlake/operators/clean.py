@@ -94,39 +94,65 @@ def clean(raw: DataFrame, keep: tuple[str, ...] = (), order_by: str | None = Non
 def dense_index(df: DataFrame, order_col: str, name: str = "row_index",
                 num_buckets: int | None = None) -> DataFrame:
     """0-based dense position of every row in ``order_col`` order (NULL keys
-    last), without a single-partition window.
+    last; ties broken by a hash of the row), without a single-partition
+    window.
 
     The key range is cut at approximate quantiles into ``num_buckets``
     buckets of similar size (a pure function of the key, so every branch of
-    the plan assigns a row to the same bucket).  Bucket row counts (one row
+    the plan assigns a row to the same bucket).  A key value that fills more
+    than one bucket (it repeats among the cut points) is split further into
+    sub-buckets by the top bits of the row hash, so even a value holding a
+    third of all rows is spread over many tasks (exact duplicate rows share
+    a hash and stay together; they are interchangeable anyway).  Bucket row counts (one row
     per bucket, broadcast) give each bucket's starting offset; the position
-    inside a bucket is a ``row_number`` over that bucket only.  Ties in
-    ``order_col`` get distinct positions in arbitrary order.
+    inside a bucket is a ``row_number`` over that bucket only.
     """
     from pyspark.ml.feature import Bucketizer
 
     spark = df.sparkSession
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.col(order_col).cast("double")
-    keyed = df.withColumn("_key", key)
+    cols = df.columns
+    keyed = df.withColumns({"_key": F.col(order_col).cast("double"),
+                            "_tb": F.xxhash64(*cols)})
     probs = [i / n for i in range(1, n)]
-    cuts = keyed.approxQuantile("_key", probs, 1.0 / (10 * n)) if n > 1 else []
-    splits = [float("-inf")] + sorted({c for c in cuts if c == c}) + [float("inf")]
-    bucketed = (Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket",
+    cuts = [c for c in (keyed.approxQuantile("_key", probs, 1.0 / (10 * n)) if n > 1 else [])
+            if c == c]
+    distinct_cuts = sorted(set(cuts))
+    splits = [float("-inf")] + distinct_cuts + [float("inf")]
+    # hot values: repeated cut points; value -> (its bucket, number of sub-buckets)
+    hot = {v: (1 + distinct_cuts.index(v), cuts.count(v) + 1)
+           for v in distinct_cuts if cuts.count(v) > 1}
+    width = max([m for _, m in hot.values()], default=0) + 1
+    bucket = F.col("_bucket0")
+    final = bucket * width + (width - 1)
+    if hot:
+        # monotone in the hash: sub-bucket k of m holds the k-th slice of the hash range
+        frac = (F.col("_tb").cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
+        expr = None
+        for v, (j, m) in hot.items():
+            sub = F.least(F.floor(frac * m).cast("int"), F.lit(m - 1))
+            branch = F.lit(j * width) + sub
+            expr = (F.when(F.col("_key") == v, branch) if expr is None
+                    else expr.when(F.col("_key") == v, branch))
+        final = expr.otherwise(final)
+    bucketed = (Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket0",
                            handleInvalid="keep").transform(keyed)
-                .withColumn("_bucket", F.col("_bucket").cast("int")))
+                .withColumn("_bucket0", F.col("_bucket0").cast("int"))
+                .withColumn("_bucket", final.cast("int")))
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    in_bucket = Window.partitionBy("_bucket").orderBy(F.col(order_col).asc_nulls_last())
+    in_bucket = Window.partitionBy("_bucket").orderBy(F.col(order_col).asc_nulls_last(),
+                                                      F.col("_tb"))
     # range-partition on the bucket id: about one bucket per task (a hash
     # exchange would stack several buckets into some tasks); it also
     # satisfies the window's clustering, so no further exchange is added
-    bucketed = bucketed.repartitionByRange(len(splits), "_bucket")
+    n_final = len(splits) + sum(m for _, m in hot.values())
+    bucketed = bucketed.repartitionByRange(n_final, "_bucket")
     return (bucketed.join(F.broadcast(offsets), "_bucket")
             .withColumn(name, F.col("_off") + F.row_number().over(in_bucket) - 1)
-            .drop("_key", "_bucket", "_off"))
+            .drop("_key", "_tb", "_bucket0", "_bucket", "_off"))
 
 
 def impute_timestamps(typed: DataFrame, order_col: str, step_minutes: int = 1,

@@ -66,11 +66,16 @@ def test_hot_device_statistics_use_partial_aggregation(spark):
 def test_dense_index_with_hot_tied_key(spark):
     n = 3000
     keys = [0] * (n // 3) + list(range(1, n - n // 3 + 1))
-    df = spark.createDataFrame(pd.DataFrame({"k": keys}))
+    # rows tied on the key still differ in their other columns
+    df = spark.createDataFrame(pd.DataFrame({"k": keys, "payload": range(n)}))
     got = sorted(r.row_index for r in clean.dense_index(df, "k", num_buckets=8).collect())
     assert got == list(range(n))
     tied = clean.dense_index(df, "k", num_buckets=8).filter("k = 0").agg(F.max("row_index")).first()[0]
     assert tied == n // 3 - 1  # the tied block comes first, positions 0..n/3-1
+    # the hot value is spread over several window tasks (no task holds the whole third)
+    per_task = (clean.dense_index(df, "k", num_buckets=8).filter("k = 0")
+                .groupBy(F.spark_partition_id()).count().collect())
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) < n // 3
 
 
 def test_expected_power_matches_pandas(spark):
