@@ -94,8 +94,8 @@ def clean(raw: DataFrame, keep: tuple[str, ...] = (), order_by: str | None = Non
 def dense_index(df: DataFrame, order_col: str, name: str = "row_index",
                 num_buckets: int | None = None) -> DataFrame:
     """0-based dense position of every row in ``order_col`` order (NULL keys
-    last; ties broken by a hash of the row), without a single-partition
-    window.
+    last; ties of a hot value broken by a hash of the row, other ties in
+    arbitrary order), without a single-partition window.
 
     The key range is cut at approximate quantiles into ``num_buckets``
     buckets of similar size (a pure function of the key, so every branch of
@@ -112,8 +112,7 @@ def dense_index(df: DataFrame, order_col: str, name: str = "row_index",
     spark = df.sparkSession
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
-    keyed = df.withColumns({"_key": F.col(order_col).cast("double"),
-                            "_tb": F.xxhash64(*cols)})
+    keyed = df.withColumn("_key", F.col(order_col).cast("double"))
     probs = [i / n for i in range(1, n)]
     cuts = [c for c in (keyed.approxQuantile("_key", probs, 1.0 / (10 * n)) if n > 1 else [])
             if c == c]
@@ -125,7 +124,11 @@ def dense_index(df: DataFrame, order_col: str, name: str = "row_index",
     width = max([m for _, m in hot.values()], default=0) + 1
     bucket = F.col("_bucket0")
     final = bucket * width + (width - 1)
+    order = [F.col(order_col).asc_nulls_last()]
     if hot:
+        # the row hash is needed only to split (and order) the rows of hot values
+        keyed = keyed.withColumn("_tb", F.xxhash64(*cols))
+        order.append(F.col("_tb"))
         # monotone in the hash: sub-bucket k of m holds the k-th slice of the hash range
         frac = (F.col("_tb").cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
         expr = None
@@ -143,8 +146,7 @@ def dense_index(df: DataFrame, order_col: str, name: str = "row_index",
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    in_bucket = Window.partitionBy("_bucket").orderBy(F.col(order_col).asc_nulls_last(),
-                                                      F.col("_tb"))
+    in_bucket = Window.partitionBy("_bucket").orderBy(*order)
     # range-partition on the bucket id: about one bucket per task (a hash
     # exchange would stack several buckets into some tasks); it also
     # satisfies the window's clustering, so no further exchange is added
@@ -152,7 +154,7 @@ def dense_index(df: DataFrame, order_col: str, name: str = "row_index",
     bucketed = bucketed.repartitionByRange(n_final, "_bucket")
     return (bucketed.join(F.broadcast(offsets), "_bucket")
             .withColumn(name, F.col("_off") + F.row_number().over(in_bucket) - 1)
-            .drop("_key", "_tb", "_bucket0", "_bucket", "_off"))
+            .drop("_key", "_tb", "_bucket0", "_bucket", "_off"))  # drop ignores absent
 
 
 def impute_timestamps(typed: DataFrame, order_col: str, step_minutes: int = 1,
