@@ -1,7 +1,7 @@
 """Benchmark the headline queries.
 
-Runs each query once to warm up, then ``BENCH_REPEAT`` (default 5) timed
-runs; every run executes the full plan into Spark's ``noop`` sink (no
+Runs every query once to warm up the JVM (JIT, class loading, plan caches),
+then ``BENCH_REPEAT`` (default 5) timed runs of each query; every run executes the full plan into Spark's ``noop`` sink (no
 driver collect).  Prints ONE JSON line:
 {"metric": ..., "value": <sum of medians>, "unit": "sec", "queries": {...}, "sf": ...}
 """
@@ -40,17 +40,17 @@ def main() -> None:
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
     runs = {name: QUERIES[name] for name in HEADLINE}
     runs["profile_pass"] = profile_pass
-    timings = {}
-    for name, build in runs.items():
-        samples = []
-        for i in range(repeat + 1):
-            spark.catalog.clearCache()
-            t0 = time.perf_counter()
-            build(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            if i:  # first run is the warm-up
-                samples.append(dt)
-        timings[name] = round(statistics.median(samples), 4)
+
+    def run(build) -> float:
+        spark.catalog.clearCache()
+        t0 = time.perf_counter()
+        build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    for build in runs.values():  # warm-up pass over every query
+        run(build)
+    timings = {name: round(statistics.median(run(build) for _ in range(repeat)), 4)
+               for name, build in runs.items()}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else sf_dir
     print(json.dumps({"metric": "sum_of_median_query_seconds",
