@@ -112,3 +112,16 @@ def test_cli_load(spark, tmp_dir, capsys, monkeypatch):
     lines = [ln for ln in capsys.readouterr().out.splitlines() if ln.startswith("{")]
     # 24 hours plus the NULL hour of rows whose blank date was not imputed
     assert len(lines) == 25
+
+
+def test_adapter_json_path_matches_json_decoder(spark):
+    """The readings adapter reads props.k with a JSON path lookup; it must
+    give the same value as a full from_json decode on every row, and NULL
+    for malformed or non-integer payloads."""
+    from meterlake.sources import fixtures as fx
+    ev = fx.table(spark, SF_SMALL, "events")
+    diff = ev.filter(~fx._k().eqNullSafe(F.from_json("props", "k INT").getField("k")))
+    assert ev.count() > 0 and diff.count() == 0
+    odd = spark.createDataFrame([('{"k": 7}',), ('{"k": "x"}',), ("not json",), ('{"j": 1}',)],
+                                "props string")
+    assert [r[0] for r in odd.select(fx._k()).collect()] == [7, None, None, None]
