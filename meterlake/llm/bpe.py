@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import base64
 import struct
+from bisect import insort
+from operator import neg
 
 import numpy as np
 import public_tokenizers
@@ -26,121 +28,108 @@ from pyspark.sql import functions as F
 from .common import map_column
 
 # Pre-tokens up to MEMO_CHARS code points are remembered, MEMO_SIZE at most per
-# task; longer ones are merged anew each time.
+# Python worker; longer ones are merged anew each time.
 MEMO_CHARS = 64
-MEMO_SIZE = 400_000
+MEMO_SIZE = 600_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
-    """token bytes -> rank of a rank file."""
+    """token bytes -> rank, of a rank file."""
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-class RankQueue:
-    """Buckets of positions by rank; ``first()`` is the lowest non-empty rank."""
+class Merger:
+    """Merges pre-tokens with a queue of ranks that is empty between calls.
 
-    def __init__(self, n_ranks: int):
-        self.levels = []  # 64 ranks a word, then 64 words a word, up to one word
-        n = n_ranks
+    ``buckets[rank]`` is None, one position, or a list of positions in
+    descending order; ``words`` has a bit for every rank with positions, 256 to
+    a word, and ``top`` (in ``merge``) a bit for every word that is not zero.
+    The queue's steps are written out in the loop, which runs for every new
+    pre-token.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        size = max(ranks.values(), default=0) + 1
+        self.words = [0] * ((size >> 8) + 1)
+        self.buckets: list[None | int | list[int]] = [None] * size
+
+    def merge(self, piece: bytes) -> list[int]:
+        """Ids of one pre-token: the pair of lowest rank is merged first, the
+        leftmost of equal ones."""
+        get = self.ranks.get
+        whole = get(piece)
+        if whole is not None:
+            return [whole]
+        words, buckets, top = self.words, self.buckets, 0
+        n = len(piece)
+        after = list(range(1, n + 1))       # start of the next part
+        before = list(range(-1, n - 1))     # start of the previous part
+        # rank that the pair at a start is filed under
+        filed = [get(piece[i:i + 2]) for i in range(n - 1)]
+        filed.append(None)
+        new = [(i, r) for i, r in enumerate(filed) if r is not None]
         while True:
-            n = (n + 63) >> 6
-            self.levels.append([0] * n)
-            if n == 1:
+            for i, r in new:                # file the new pairs
+                b = buckets[r]
+                if b is None:
+                    buckets[r] = i
+                    w = r >> 8
+                    if not words[w]:
+                        top |= 1 << w
+                    words[w] |= 1 << (r & 255)
+                elif b.__class__ is int:
+                    buckets[r] = [b, i] if i < b else [i, b]
+                elif i < b[-1]:
+                    b.append(i)
+                else:
+                    insort(b, i, key=neg)
+            if not top:
                 break
-        self.buckets: dict[int, list[int]] = {}
-        self.sorted: set[int] = set()
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(position)
-            self.sorted.discard(rank)
-            return
-        self.buckets[rank] = [position]
-        i = rank
-        for level in self.levels:
-            word, bit = i >> 6, 1 << (i & 63)
-            if level[word]:
-                level[word] |= bit
-                break
-            level[word] = bit
-            i = word
-
-    def first(self) -> int:
-        """The lowest rank that has positions, or -1."""
-        if not self.levels[-1][0]:
-            return -1
-        i = 0
-        for level in reversed(self.levels):
-            word = level[i]
-            i = (i << 6) + (word & -word).bit_length() - 1
-        return i
-
-    def pop(self, rank: int) -> int:
-        """The leftmost position filed under ``rank``."""
-        bucket = self.buckets[rank]
-        if rank not in self.sorted:
-            bucket.sort(reverse=True)
-            self.sorted.add(rank)
-        position = bucket.pop()
-        if not bucket:
-            del self.buckets[rank]
-            self.sorted.discard(rank)
-            i = rank
-            for level in self.levels:
-                level[i >> 6] &= ~(1 << (i & 63))
-                if level[i >> 6]:
-                    break
-                i >>= 6
-        return position
-
-
-def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
-    """Ids of one pre-token: the pair of lowest rank is merged first, the
-    leftmost of equal ones.  ``queue`` is empty before and after."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    n = len(piece)
-    after = list(range(1, n + 1))       # start of the next part
-    before = list(range(-1, n - 1))     # start of the previous part
-    filed = [-1] * n                    # rank under which the pair at a start is filed
-    get, push, pop, first = ranks.get, queue.push, queue.pop, queue.first
-    for i in range(n - 1):
-        r = get(piece[i:i + 2])
-        if r is not None:
-            filed[i] = r
-            push(r, i)
-    while (r := first()) >= 0:
-        i = pop(r)
-        if filed[i] != r:
-            continue  # stale: the pair at i has changed or i is no longer a start
-        j = after[i]
-        k = after[j]
-        after[i] = k
-        filed[j] = -1
-        filed[i] = -1
-        if k < n:
-            before[k] = i
-            r = get(piece[i:after[k]])
-            if r is not None:
-                filed[i] = r
-                push(r, i)
-        h = before[i]
-        if h >= 0:
-            r = get(piece[h:k])
-            if r is None:
-                filed[h] = -1
-            elif r != filed[h]:
-                filed[h] = r
-                push(r, h)
-    ids, i = [], 0
-    while i < n:
-        ids.append(ranks[piece[i:after[i]]])
-        i = after[i]
-    return ids
+            w = (top & -top).bit_length() - 1   # find first set: word, then rank
+            x = words[w]
+            low = x & -x
+            r = (w << 8) + low.bit_length() - 1
+            b = buckets[r]
+            if b.__class__ is int:
+                i, b = b, None
+            else:
+                i = b.pop()                 # the leftmost
+            if not b:
+                buckets[r] = None
+                x ^= low
+                words[w] = x
+                if not x:
+                    top &= top - 1
+            new = ()
+            if filed[i] != r:
+                continue    # stale: the pair at i has changed or i is no longer a start
+            j = after[i]
+            k = after[j]
+            after[i] = k
+            filed[j] = None
+            new = []
+            if k < n:
+                before[k] = i
+                filed[i] = r = get(piece[i:after[k]])
+                if r is not None:
+                    new.append((i, r))
+            else:
+                filed[i] = None
+            h = before[i]
+            if h >= 0:
+                r = get(piece[h:k])
+                if r != filed[h]:
+                    filed[h] = r
+                    if r is not None:
+                        new.append((h, r))
+        ids, i = [], 0
+        while i < n:
+            ids.append(get(piece[i:after[i]]))
+            i = after[i]
+        return ids
 
 
 class Encoder(dict):
@@ -148,12 +137,11 @@ class Encoder(dict):
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
         super().__init__()
-        self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        self.merger = Merger(ranks)
 
     def __missing__(self, piece: str) -> bytes:
-        ids = merge(piece.encode(), self.ranks, self.queue)
+        ids = self.merger.merge(piece.encode())
         packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= MEMO_CHARS:
             if len(self) >= MEMO_SIZE:
@@ -165,6 +153,24 @@ class Encoder(dict):
         return b"".join([self[p] for p in self.split(text)]) if text else b""
 
 
+class Vocabulary:
+    """Broadcast to the tasks; a Python worker keeps its encoder, and what that
+    remembers, from task to task."""
+
+    def __init__(self, path: str | None = None):
+        self.ranks = load_ranks(path or public_tokenizers.path(VOCABULARY))
+        self.first_free = max(self.ranks.values(), default=-1) + 1
+        self.kept = None
+
+    def encoder(self) -> Encoder:
+        if self.kept is None:
+            self.kept = Encoder(self.ranks)
+        return self.kept
+
+    def decoder(self) -> Decoder:
+        return Decoder(self.ranks)
+
+
 class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.tokens = {i: t for t, i in ranks.items()}
@@ -174,14 +180,18 @@ class Decoder:
         return b"".join([tokens[i] for i in np.frombuffer(packed or b"", "<u4").tolist()])
 
 
+def vocabulary(df: DataFrame, path: str | None = None):
+    """The vocabulary file, read on the driver and broadcast: its size does not
+    depend on the data."""
+    return df.sparkSession.sparkContext.broadcast(Vocabulary(path))
+
+
 def encode(df: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """``df`` plus ``n_tokens`` and ``token_ids`` (packed).  The vocabulary file
-    is read on the driver and broadcast: its size does not depend on the data."""
-    ranks = df.sparkSession.sparkContext.broadcast(
-        load_ranks(path or public_tokenizers.path(VOCABULARY)))
+    """``df`` plus ``n_tokens`` and ``token_ids`` (packed)."""
+    shared = vocabulary(df, path)
 
     def make():
-        encoder = Encoder(ranks.value)
+        encoder = shared.value.encoder()
 
         def work(texts):
             packed = [encoder.encode(t) for t in texts]
@@ -194,11 +204,10 @@ def encode(df: DataFrame, text: str = "text", path: str | None = None) -> DataFr
 def decode(df: DataFrame, token_ids: str = "token_ids", path: str | None = None) -> DataFrame:
     """``df`` plus ``decoded``: the bytes of packed ids (null: empty).  An id
     outside the vocabulary raises an error."""
-    ranks = df.sparkSession.sparkContext.broadcast(
-        load_ranks(path or public_tokenizers.path(VOCABULARY)))
+    shared = vocabulary(df, path)
 
     def make():
-        decoder = Decoder(ranks.value)
+        decoder = shared.value.decoder()
         return lambda values: [[decoder.decode(v) for v in values]]
 
     return map_column(df, token_ids, make, [("decoded", "binary")])

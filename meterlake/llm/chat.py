@@ -28,12 +28,11 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import VOCABULARY, Decoder, Encoder, load_ranks
+from .bpe import vocabulary
 from .common import SLICE_BYTES, map_column, slices
 
 CONTROLS = ("<turn>", "<say>", "</turn>")
@@ -50,21 +49,16 @@ def unescape(text: str) -> str:
                        else m[1][: len(m[1]) // 2] + m[2], text)
 
 
-def _ranks(df: DataFrame, path: str | None):
-    return df.sparkSession.sparkContext.broadcast(
-        load_ranks(path or public_tokenizers.path(VOCABULARY)))
-
-
 def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
                          role: str = "role", text: str = "text",
                          learn: tuple[str, ...] = ("assistant",),
                          path: str | None = None) -> DataFrame:
     """One row per conversation: ``conv_id``, ``token_ids`` (packed
     little-endian uint32) and ``loss_mask`` (one byte 0/1 per token)."""
-    ranks = _ranks(turns, path)
+    shared = vocabulary(turns, path)
 
     def segments():
-        encoder = Encoder(ranks.value)
+        encoder = shared.value.encoder()
         return lambda texts: [[encoder.encode(escape(t)) for t in texts]]
 
     rows = turns.select(F.col(conv_id).alias("c"), F.col(turn).alias("t"),
@@ -78,7 +72,7 @@ def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str =
     kind = dict(ordered.dtypes)["c"]
 
     def assemble(batches):
-        base = max(ranks.value.values(), default=-1) + 1
+        base = shared.value.first_free
         open_, say, close = (np.array([base + i], "<u4").tobytes() for i in range(3))
         key_type, current, parts, events, n = None, None, None, None, 0
         ready, size = ([], [], []), 0
@@ -126,11 +120,11 @@ def read_conversations(formatted: DataFrame, path: str | None = None) -> DataFra
     """What a formatted conversation says, read back from its ids and mask:
     ``conv_id``, ``turns`` (role and text), ``loss_texts`` (the masked spans,
     unescaped) and ``formatted`` (the rendered text)."""
-    ranks = _ranks(formatted, path)
+    shared = vocabulary(formatted, path)
 
     def read(batches):
-        decoder = Decoder(ranks.value)
-        base = max(ranks.value.values(), default=-1) + 1
+        decoder = shared.value.decoder()
+        base = shared.value.first_free
         text_of = lambda ids: decoder.decode(ids.tobytes()).decode()
 
         def one(packed, mask):

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, quality, url_filter
+from . import (bpe, chat, decontaminate, license_scan, minhash_dedup, pii, quality, suffix_dedup,
+               url_filter, warc_audit)
 from .common import table
 
 LLM_QUERIES = {}
@@ -134,3 +135,86 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(docs, table(spark, sf_dir, "labels"))
     return judged.select("__row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", "kept", "score")
+
+
+# -- 1: MinHash near-dedup ---------------------------------------------------
+
+@register("op1_minhash_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id",
+                        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+# -- 3: license scan ---------------------------------------------------------
+
+@register("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs).select(
+        "doc_id", F.size("licenses").cast("long").alias("n_licenses"),
+        F.concat_ws(",", "licenses.license").alias("licenses"),
+        F.concat_ws(",", F.transform("licenses", lambda x: F.concat_ws(
+            ":", x["start"].cast("string"), x["end"].cast("string")))).alias("spans"))
+
+
+# -- 6: WARC fixity audit ----------------------------------------------------
+
+# The second replica of the query has faults: records of every 41st id have one
+# byte changed, those of every 43rd are lost.
+_WARC_SQL = """
+SELECT page_id, 103 + strlen(CAST(page_id AS VARCHAR)) + strlen(coalesce(url, ''))
+         + strlen(coalesce(html, '')) + strlen(CAST(strlen(coalesce(html, '')) AS VARCHAR)) AS n_bytes,
+       CASE WHEN page_id % 43 = 0 THEN 'missing' WHEN page_id % 41 = 0 THEN 'corrupt'
+            ELSE 'ok' END AS status
+FROM pages
+"""
+
+
+@register("op6_warc_audit", _WARC_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = warc_audit.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    hit = F.col("record_id") % 41 == 0
+    copy = (good.filter(F.coalesce(F.col("record_id") % 43 != 0, F.lit(True)))
+            .withColumn("record", F.when(hit, F.overlay("record", F.lit(b"\x00"), F.lit(10)))
+                        .otherwise(F.col("record"))))
+    return warc_audit.audit(good, copy).select(
+        F.col("record_id").alias("page_id"), (F.col("end") - F.col("start")).alias("n_bytes"), "status")
+
+
+# -- 7: benchmark decontamination --------------------------------------------
+
+def with_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Documents with their hits; contaminated means a hit word."""
+    return decontaminate.find(docs, benchmark).withColumn("contaminated", F.size("hit_spans") > 0)
+
+
+@register("op7_decontaminate")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = with_hits(docs, table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return hits.select("doc_id", "n_words", n_hit.alias("n_hit"),
+                       F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+# -- 9: personal data --------------------------------------------------------
+
+@register("op9_pii")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(pii.base_text(), 256).alias("base_sha256"), pii.all_text().alias("spans"))
+
+
+# -- 10: suffix-array dedup --------------------------------------------------
+
+@register("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = suffix_dedup.remove_repeats(docs)
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return cut.select("__row.doc_id", "n_bytes", n_removed.alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
