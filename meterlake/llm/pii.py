@@ -28,6 +28,7 @@ MIN_TRUST = 5.0
 MIN_SCORE = 0.8
 CONTEXT = 80            # code points before a token that are searched for its two words
 MIN_LENGTH, MIN_DIGITS = 6, 4   # of a token that may be reported
+BLOCK = 256
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
 
@@ -70,12 +71,35 @@ def _valid(kind: str, span: Column) -> Column:
     return F.length(digits).between(8, 15)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _total(x: Column) -> Column:
+    return F.aggregate(x, F.lit(0), lambda a, v: a + v)
+
+
 def _located(pieces: Column, matches: Column) -> Column:
-    """Matches with their offsets, from the pieces of text between them."""
-    add = lambda x: F.aggregate(x, F.lit(0), lambda a, v: a + F.length(v))
-    begin = lambda i: add(F.slice(pieces, F.lit(1), i + 1)) + add(F.slice(matches, F.lit(1), i))
-    return F.transform(matches, lambda m, i: F.struct(
-        begin(i).alias("start"), (begin(i) + F.length(m)).alias("end"), m.alias("value")))
+    """Matches with their offsets, from the pieces of text between them.  Sums
+    of BLOCK lengths keep the work linear where a text has many matches."""
+    steps = F.zip_with(pieces, matches, lambda p, m: F.length(p) + F.coalesce(F.length(m), F.lit(0)))
+    block = lambda i: F.floor(i / BLOCK).cast("int")
+
+    def sums(s):
+        own = F.transform(F.sequence(F.lit(0), block(F.size(s))), lambda k: _total(
+            F.slice(s, k * BLOCK + 1, F.lit(BLOCK))))
+        return _let(own, lambda o: F.transform(o, lambda _, k: _total(F.slice(o, F.lit(1), k))))
+
+    def spans(s):
+        def one(m, i, before):
+            begin = (F.get(before, block(i)) + _total(F.slice(s, block(i) * BLOCK + 1, i % BLOCK))
+                     + F.length(F.get(pieces, i)))
+            return _let(begin, lambda b: F.struct(b.alias("start"), (b + F.length(m)).alias("end"),
+                                                  m.alias("value")))
+        return _let(sums(s), lambda before: F.transform(matches, lambda m, i: one(m, i, before)))
+
+    return _let(steps, spans)
 
 
 def _matches(text: str, pattern: str, guard: Column, name: str) -> list[Column]:

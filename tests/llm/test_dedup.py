@@ -30,7 +30,7 @@ def _groups(rows):
     for i, (d, _) in enumerate(rows):
         if d is not None:
             least[root(i)] = min(d, least.get(root(i), d))
-    return [(len(s), least.get(root(i))) for i, s in enumerate(sets)]
+    return [(len(s), least.get(root(i)), root(i)) for i, s in enumerate(sets)]
 
 
 def _near_copies(seed):
@@ -70,7 +70,7 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, seed, pairs, lead
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     out = minhash_dedup.near_duplicates(docs).collect()
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in out)
-    want = Counter((d, n, c if n else d) for (d, _), (n, c) in zip(rows, _groups(rows)))
+    want = Counter((d, n, c if n else d) for (d, _), (n, c, _) in zip(rows, _groups(rows)))
     assert got == want
 
 
@@ -82,8 +82,8 @@ def test_one_row_of_each_group_stays(spark):
     kept = [(r.doc_id, r.text) for r in kept.collect()]
     groups = _groups(rows)
     wordless = [r for r in rows if not _set(r[1])]
-    heads = {c for n, c in groups if n and c is not None}
-    assert sorted(d for d, t in kept if _set(t) and d is not None) == sorted(heads)
+    heads = {(root, c) for n, c, root in groups if n and c is not None}
+    assert sorted(d for d, t in kept if _set(t) and d is not None) == sorted(c for _, c in heads)
     assert sorted(map(str, (r for r in kept if not _set(r[1])))) == sorted(map(str, wordless))
     assert len(kept) == len(heads) + len(wordless) + 1      # the text that has no id at all
     assert minhash_dedup.drop_duplicates(docs.limit(0)).count() == 0

@@ -113,7 +113,7 @@ def test_decontamination(spark, monkeypatch, block):
     for i in range(60):
         body = [rng.choice(vocabulary) for _ in range(rng.randint(0, 60))]
         if i % 3 == 0:
-            body += rng.choice(items)[1].split() if items[0] else []
+            body += rng.choice(items[:12])[1].split()
         rows.append((i, "; ".join(body).upper() if i % 5 == 0 else " ".join(body), 7))
     rows += [(100, None, 7), (101, "", 7), (102, "aa " * 20_000, 7), (1, rows[1][1], 7)]
     items = [x for x in items if x[1] is None or len(x[1].split()) != 1] + [(60, "x1")]

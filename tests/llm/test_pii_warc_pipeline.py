@@ -109,7 +109,7 @@ def test_unseen_identifiers_are_discovered_and_redacted(spark):
     clean = pii.redact(docs)
     assert clean.columns == docs.columns
     clean = {r.doc_id: (r.text, r.found) for r in clean.collect()}
-    assert clean[100] == ("other words. Reach me at [FOUND] now", "v") and clean[104] == (None, "v")
+    assert clean[100] == ("other words. Reach me at [ID] now", "v") and clean[104] == (None, "v")
     assert clean[3][0] == "some words here. Reach me at [EMAIL] today" and clean[101][0] == rows[31][1]
 
 
@@ -168,7 +168,7 @@ def test_pipeline_stages(spark, tmp_path):
     good = [r for r in rows if (m := _measures(r[1]))[0] >= 10 and 100 * m[4] <= 20 * m[0]]
     groups = _groups(good)
     one = {}
-    for r, (_, c) in zip(good, groups):
+    for r, (_, c, _) in zip(good, groups):
         if r[0] == c:
             one[c] = r[1]
     clean = {i: t for i, t in one.items() if not _plain_hits(t, items)[1]}
