@@ -1,10 +1,12 @@
 """Byte-level BPE encoding and decoding with a rank queue.
 
-The merge loop keeps the linked list of a pre-token's parts and one bucket of
-list positions per merge rank.  A hierarchical bitmap over the ranks gives the
-lowest non-empty bucket by find-first-set, so a merge costs a few word
-operations however long the pre-token is.  Entries whose pair has changed
-since they were filed are stale and are skipped when popped.
+The parts of all pre-tokens that are new to a batch stand in one linked list
+(links stop at the ends of a pre-token).  A bucket for every merge rank holds
+the list positions whose pair has that rank, and a hierarchical bitmap over the
+ranks gives the lowest non-empty bucket by find-first-set.  Of a bucket, the
+leftmost position of each pre-token is merged; entries whose pair has changed
+since they were filed are stale and are skipped.  A merge costs the same however
+long a pre-token is, and buckets with many positions are merged as arrays.
 
 Ids come packed as little-endian unsigned 32-bit integers, the layout of
 training token files.  A null text is treated as empty; an empty text has no
@@ -15,9 +17,8 @@ table gives an empty table.
 from __future__ import annotations
 
 import base64
-import struct
-from bisect import insort
-from operator import neg
+from itertools import filterfalse
+from struct import pack
 
 import numpy as np
 import public_tokenizers
@@ -27,10 +28,12 @@ from pyspark.sql import functions as F
 
 from .common import map_column
 
-# Pre-tokens up to MEMO_CHARS code points are remembered, MEMO_SIZE at most per
-# Python worker; longer ones are merged anew each time.
+# What texts are split into at spaces, and pre-tokens, are remembered up to
+# MEMO_CHARS code points, MEMO_SIZE of each at most per Python worker.
 MEMO_CHARS = 64
-MEMO_SIZE = 600_000
+MEMO_SIZE = 500_000
+SLICE = 32 << 20    # bytes of text whose new pre-tokens are merged together
+SMALL = 12          # positions of a bucket that are merged one by one
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
@@ -40,117 +43,225 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-class Merger:
-    """Merges pre-tokens with a queue of ranks that is empty between calls.
+class RankQueue:
+    """Buckets of positions by rank.  ``words`` has a bit for every rank with
+    positions, 256 to a word, and ``top`` a bit for every word that is not zero."""
+
+    def __init__(self, n_ranks: int):
+        self.words = [0] * ((n_ranks >> 8) + 1)
+        self.top = 0
+        self.buckets: dict[int, list] = {}      # single positions
+        self.arrays: dict[int, list] = {}       # arrays of positions
+
+    def _mark(self, rank: int) -> None:
+        w = rank >> 8
+        self.words[w] |= 1 << (rank & 255)
+        self.top |= 1 << w
+
+    def push(self, rank: int, position: int) -> None:
+        bucket = self.buckets.get(rank)
+        if bucket is None:
+            self.buckets[rank] = [position]
+            self._mark(rank)
+        else:
+            bucket.append(position)
+
+    def push_all(self, ranks: np.ndarray, positions: np.ndarray) -> None:
+        order = np.argsort(ranks, kind="stable")
+        ranks, positions = ranks[order], positions[order]
+        edges = np.flatnonzero(np.diff(ranks)) + 1
+        for r, own in zip(ranks[np.concatenate(([0], edges))].tolist() if len(ranks) else (),
+                          np.split(positions, edges)):
+            self.arrays.setdefault(r, []).append(own)
+            self._mark(r)
+
+    def pop(self):
+        """(lowest rank, its positions): a list, or an array if there are many;
+        None if the queue is empty."""
+        if not self.top:
+            return None
+        w = (self.top & -self.top).bit_length() - 1
+        x = self.words[w]
+        low = x & -x
+        self.words[w] = x ^ low
+        if x == low:
+            self.top &= self.top - 1
+        rank = (w << 8) + low.bit_length() - 1
+        single, many = self.buckets.pop(rank, None), self.arrays.pop(rank, None)
+        if many is None:
+            return rank, single
+        if single is not None:
+            many.append(np.array(single, "i4"))
+        many = np.concatenate(many) if len(many) > 1 else many[0]
+        return rank, (many if len(many) > SMALL else many.tolist())
 
-    ``buckets[rank]`` is None, one position, or a list of positions in
-    descending order; ``words`` has a bit for every rank with positions, 256 to
-    a word, and ``top`` (in ``merge``) a bit for every word that is not zero.
-    The queue's steps are written out in the loop, which runs for every new
-    pre-token.
-    """
+
+class Merger:
+    """Merges pre-tokens by the ranks of a vocabulary (token bytes -> rank,
+    which is also the id)."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        size = max(ranks.values(), default=0) + 1
-        self.words = [0] * ((size >> 8) + 1)
-        self.buckets: list[None | int | list[int]] = [None] * size
-
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token: the pair of lowest rank is merged first, the
-        leftmost of equal ones."""
-        get = self.ranks.get
-        whole = get(piece)
-        if whole is not None:
-            return [whole]
-        words, buckets, top = self.words, self.buckets, 0
-        n = len(piece)
-        after = list(range(1, n + 1))       # start of the next part
-        before = list(range(-1, n - 1))     # start of the previous part
-        # rank that the pair at a start is filed under
-        filed = [get(piece[i:i + 2]) for i in range(n - 1)]
-        filed.append(None)
-        new = [(i, r) for i, r in enumerate(filed) if r is not None]
-        while True:
-            for i, r in new:                # file the new pairs
-                b = buckets[r]
-                if b is None:
-                    buckets[r] = i
-                    w = r >> 8
-                    if not words[w]:
-                        top |= 1 << w
-                    words[w] |= 1 << (r & 255)
-                elif b.__class__ is int:
-                    buckets[r] = [b, i] if i < b else [i, b]
-                elif i < b[-1]:
-                    b.append(i)
-                else:
-                    insort(b, i, key=neg)
-            if not top:
-                break
-            w = (top & -top).bit_length() - 1   # find first set: word, then rank
-            x = words[w]
-            low = x & -x
-            r = (w << 8) + low.bit_length() - 1
-            b = buckets[r]
-            if b.__class__ is int:
-                i, b = b, None
+        self.size = max(ranks.values(), default=0) + 1
+        self.first_ids = np.array([ranks.get(bytes([b]), -1) for b in range(256)], "i4")
+        # rank of the pair of ids (a, b): that of their bytes put together
+        self.pairs = {}
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    self.pairs[left * self.size + right] = rank
+        self.keys = np.array(sorted(self.pairs), "i8")
+        self.values = np.array([self.pairs[k] for k in self.keys.tolist()], "i4")
+
+    def _rank_of(self, left: np.ndarray, right) -> np.ndarray:
+        key = left.astype("i8") * self.size + right
+        if not len(self.keys):
+            return np.full(len(key), -1, "i4")
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.values[at], np.int32(-1))
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each pre-token."""
+        data = np.frombuffer(b"".join(pieces), "u1")
+        n = len(data)
+        lengths = np.array([len(p) for p in pieces], "i8")
+        owner = np.repeat(np.arange(len(pieces), dtype="i4"), lengths)
+        ids = self.first_ids[data]
+        after = np.arange(1, n + 1, dtype="i4")     # start of the next part, -1 at the end
+        before = np.arange(-1, n - 1, dtype="i4")   # start of the previous part, -1 at the beginning
+        ends = np.cumsum(lengths)
+        after[ends[lengths > 0] - 1] = -1
+        before[(ends - lengths)[lengths > 0]] = -1
+        alive = np.ones(n, bool)                    # whether a part starts here
+        filed = np.full(n, -1, "i4")                # rank under which the pair at a start is filed
+        inner = np.flatnonzero(after >= 0)
+        filed[inner] = self._rank_of(ids[inner], ids[inner + 1])
+        whole = np.array([self.ranks.get(p, -1) for p in pieces], "i8")
+        filed[(whole >= 0)[owner]] = -1             # pre-tokens that are tokens are not merged
+        queue = RankQueue(self.size)
+        inner = np.flatnonzero(filed >= 0).astype("i4")
+        queue.push_all(filed[inner], inner)
+        views = [memoryview(x) for x in (ids, after, before, owner, filed, alive)]
+        while (found := queue.pop()) is not None:
+            rank, positions = found
+            if positions.__class__ is list:
+                self._merge_few(rank, positions, queue, *views)
             else:
-                i = b.pop()                 # the leftmost
-            if not b:
-                buckets[r] = None
-                x ^= low
-                words[w] = x
-                if not x:
-                    top &= top - 1
-            new = ()
-            if filed[i] != r:
+                self._merge_many(rank, positions, queue, ids, after, before, owner, filed, alive)
+        counts = np.bincount(owner[alive], minlength=len(pieces))
+        packed = ids[alive].astype("<u4").tobytes()
+        stops = (4 * np.cumsum(counts)).tolist()
+        return [packed[a:b] if w < 0 else pack("<I", w)
+                for a, b, w in zip([0, *stops], stops, whole.tolist())]
+
+    def _merge_few(self, rank, positions, queue, ids, after, before, owner, filed, alive) -> None:
+        get, size, push = self.pairs.get, self.size, queue.push
+        positions.sort()
+        last = -1
+        for i in positions:
+            if filed[i] != rank:
                 continue    # stale: the pair at i has changed or i is no longer a start
+            own = owner[i]
+            if own == last:
+                push(rank, i)   # a merge to the left comes first, and what follows from it
+                continue
+            last = own
             j = after[i]
             k = after[j]
             after[i] = k
-            filed[j] = None
-            new = []
-            if k < n:
+            ids[i] = rank
+            alive[j] = False
+            filed[j] = -1
+            if k >= 0:
                 before[k] = i
-                filed[i] = r = get(piece[i:after[k]])
-                if r is not None:
-                    new.append((i, r))
+                r = get(rank * size + ids[k], -1)
+                filed[i] = r
+                if r >= 0:
+                    push(r, i)
             else:
-                filed[i] = None
+                filed[i] = -1
             h = before[i]
             if h >= 0:
-                r = get(piece[h:k])
-                if r != filed[h]:
-                    filed[h] = r
-                    if r is not None:
-                        new.append((h, r))
-        ids, i = [], 0
-        while i < n:
-            ids.append(get(piece[i:after[i]]))
-            i = after[i]
-        return ids
-
-
-class Encoder(dict):
-    """Packed ids by pre-token, filled on demand."""
+                r = get(ids[h] * size + rank, -1)
+                filed[h] = r
+                if r >= 0:
+                    push(r, h)
+
+    def _merge_many(self, rank, positions, queue, ids, after, before, owner, filed, alive) -> None:
+        i = np.sort(positions[filed[positions] == rank])
+        i = i[np.concatenate(([True], i[1:] != i[:-1]))] if len(i) else i
+        own = owner[i]
+        leftmost = np.ones(len(i), bool)
+        leftmost[1:] = own[1:] != own[:-1]
+        rest, i = i[~leftmost], i[leftmost]
+        if len(rest):
+            queue.push_all(np.full(len(rest), rank, "i4"), rest)
+        if not len(i):
+            return
+        j = after[i]
+        k = after[j]
+        after[i], ids[i], alive[j], filed[j] = k, rank, False, -1
+        right = np.full(len(i), -1, "i4")
+        on = k >= 0
+        before[k[on]] = i[on]
+        right[on] = self._rank_of(np.full(int(on.sum()), rank), ids[k[on]])
+        filed[i] = right
+        h = before[i]
+        h = h[h >= 0]
+        left = self._rank_of(ids[h], rank)
+        filed[h] = left
+        new, at = np.concatenate((right, left)), np.concatenate((i, h))
+        on = new >= 0
+        if on.any():
+            queue.push_all(new[on], at[on].astype("i4"))
+
+
+class Encoder:
+    """Encodes batches of texts, remembering chunks and pre-tokens.
+
+    A chunk is what stands between two spaces, with the space before it.
+    Where all of them begin and end with another character than white space,
+    no pre-token crosses a chunk's ends, so chunks are split and encoded on
+    their own; other texts are split by the pattern as a whole.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
-        super().__init__()
         self.split = regex.compile(pattern).findall
         self.merger = Merger(ranks)
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.merger.merge(piece.encode())
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= MEMO_CHARS:
-            if len(self) >= MEMO_SIZE:
-                self.clear()
-            self[piece] = packed
-        return packed
-
-    def encode(self, text: str | None) -> bytes:
-        return b"".join([self[p] for p in self.split(text)]) if text else b""
+        self.chunks: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        if len(self.chunks) > MEMO_SIZE:
+            self.chunks.clear()
+        if len(self.pieces) > MEMO_SIZE:
+            self.pieces.clear()
+        chunks, pieces = self.chunks, self.pieces
+        words = [t.split(" ") if t else () for t in texts]
+        new: set[str] = set()
+        for w in words:
+            new.update(filterfalse(chunks.__contains__, w))
+        odd = {c for c in new if not c or c[0].isspace() or c[-1].isspace()}
+        parts = {c: self.split(" " + c) for c in new.difference(odd)}
+        whole = [self.split(t) if w and not (odd.isdisjoint(w)) else None for t, w in zip(texts, words)]
+        heads = [self.split(w[0]) if w and own is None else () for w, own in zip(words, whole)]
+        wanted = set().union(*parts.values(), *heads, *filter(None, whole)).difference(pieces)
+        found = list(wanted)
+        pieces.update(zip(found, self.merger.merge([p.encode() for p in found])))
+        get = pieces.__getitem__
+        chunks.update((c, b"".join(map(get, own))) for c, own in parts.items())
+        out = []
+        for w, h, own in zip(words, heads, whole):
+            if own is not None:
+                out.append(b"".join(map(get, own)))
+            else:
+                out.append(b"".join(map(get, h)) + b"".join(map(chunks.__getitem__, w[1:])))
+        for memo, made in ((chunks, parts), (pieces, found)):
+            for c in made:
+                if len(c) > MEMO_CHARS:
+                    del memo[c]
+        return out
 
 
 class Vocabulary:
@@ -194,11 +305,11 @@ def encode(df: DataFrame, text: str = "text", path: str | None = None) -> DataFr
         encoder = shared.value.encoder()
 
         def work(texts):
-            packed = [encoder.encode(t) for t in texts]
+            packed = encoder.encode(texts)
             return [[len(p) >> 2 for p in packed], packed]
         return work
 
-    return map_column(df, text, make, [("n_tokens", "long"), ("token_ids", "binary")])
+    return map_column(df, text, make, [("n_tokens", "long"), ("token_ids", "binary")], SLICE)
 
 
 def decode(df: DataFrame, token_ids: str = "token_ids", path: str | None = None) -> DataFrame:

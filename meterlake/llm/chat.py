@@ -59,7 +59,7 @@ def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str =
 
     def segments():
         encoder = shared.value.encoder()
-        return lambda texts: [[encoder.encode(escape(t)) for t in texts]]
+        return lambda texts: [encoder.encode([escape(t) for t in texts])]
 
     rows = turns.select(F.col(conv_id).alias("c"), F.col(turn).alias("t"),
                         F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),

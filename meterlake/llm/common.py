@@ -48,18 +48,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Parts of ``batch`` holding about SLICE_BYTES of ``column`` each."""
+def slices(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of ``batch`` holding about ``size`` bytes of ``column`` each."""
     n = batch.num_rows
     if not n:
         return
-    step = max(1, min(n, n * SLICE_BYTES // max(1, batch.column(column).nbytes)))
+    step = max(1, min(n, n * size // max(1, batch.column(column).nbytes)))
     for i in range(0, n, step):
         yield batch.slice(i, step)
 
 
 def map_column(df: DataFrame, column: str, make: Callable[[], Callable[[list], list[list]]],
-               fields: list[tuple[str, str]]) -> DataFrame:
+               fields: list[tuple[str, str]], size: int = SLICE_BYTES) -> DataFrame:
     """``df`` plus ``fields``, computed from ``column`` in Arrow batches.
 
     ``make()`` runs once per task and returns a function from a list of values
@@ -78,7 +78,7 @@ def map_column(df: DataFrame, column: str, make: Callable[[], Callable[[list], l
     def run(batches):
         work = make()
         for batch in batches:
-            for part in slices(batch, at):
+            for part in slices(batch, at, size):
                 out = work(part.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     part.columns[:width] + [pa.array(v, type=k) for v, k in zip(out, kinds)], names)

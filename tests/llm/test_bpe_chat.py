@@ -27,15 +27,41 @@ def _texts():
     return out
 
 
-def test_merge_equals_tiktoken(reference):
+@pytest.mark.parametrize("small", [0, 12, 10**9])
+def test_batches_equal_tiktoken(reference, monkeypatch, small):
+    monkeypatch.setattr(bpe, "SMALL", small)
+    monkeypatch.setattr(bpe, "MEMO_SIZE", 40)
     ranks = bpe.load_ranks(P.path(bpe.VOCABULARY))
     encoder, decoder = bpe.Encoder(ranks), bpe.Decoder(ranks)
-    for t in _texts():
-        packed = encoder.encode(t)
-        ids = list(struct.unpack(f"<{len(packed) // 4}I", packed))
+    texts = _texts()
+    for batch in (texts, texts[::-1], [None], [], texts[:3], ["a  b", "a   b", "x \n y", "x\n y", " x", "x ", "\tx y"]):
+        for t, packed in zip(batch, encoder.encode(batch), strict=True):
+            ids = list(struct.unpack(f"<{len(packed) // 4}I", packed))
+            assert ids == reference.encode_ordinary(t or "")
+            assert decoder.decode(packed) == (t or "").encode()
+
+
+def test_rank_queue_order():
+    import numpy as np
+    q = bpe.RankQueue(70_000)
+    for r, p in [(69_999, 1), (64, 5), (64, 2), (0, 9)]:
+        q.push(r, p)
+    q.push_all(np.array([4096, 64, 4096]), np.array([3, 8, 4]))
+    seen = []
+    while (x := q.pop()) is not None:
+        seen.append((x[0], sorted(x[1])))
+    assert seen == [(0, [9]), (64, [2, 5, 8]), (4096, [3, 4]), (69_999, [1])]
+
+
+def test_a_lower_rank_that_appears_goes_first():
+    # "bc" at rank 256 makes "abc" (rank 255) possible before the second "bc"
+    ranks = {bytes([b]): b for b in range(255)} | {b"abc": 255, b"bc": 256, b"cabc": 254}
+    ranks[b"\xfe"] = 300
+    merger = bpe.Merger(ranks)
+    reference = tiktoken.Encoding("x", pat_str=r"(?s:.+)", special_tokens={}, mergeable_ranks={**ranks, b"\xff": 301})
+    for t in ("abcabc", "bcbcabcbc", "cabcabcabcbc", "abc"):
+        ids = list(struct.unpack(f"<{len(merger.merge([t.encode()])[0]) // 4}I", merger.merge([t.encode()])[0]))
         assert ids == reference.encode_ordinary(t)
-        assert decoder.decode(packed) == t.encode()
-    assert not any(encoder.merger.words) and not any(b is not None for b in encoder.merger.buckets)
 
 
 def test_encode_frames(spark, reference):
