@@ -139,7 +139,27 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- 1: MinHash near-dedup ---------------------------------------------------
 
-@register("op1_minhash_dedup")
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_NEAR_SQL = rf"""
+WITH RECURSIVE dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}),
+                                                        '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, hash(s) AS s FROM (
+  SELECT doc_id, list_slice(w, p, p + 4) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM dw WHERE len(w) > 0) x) y),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+          JOIN sizes na ON na.doc_id = a.doc_id JOIN sizes nb ON nb.doc_id = b.doc_id
+          GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+          HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least_of AS (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
+FROM dw LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of USING (doc_id)
+"""
+
+
+@register("op1_minhash_dedup", _NEAR_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id",
@@ -189,7 +209,28 @@ def with_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return decontaminate.find(docs, benchmark).withColumn("contaminated", F.size("hit_spans") > 0)
 
 
-@register("op7_decontaminate")
+_HITS_SQL = rf"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}),
+                                              '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}),
+                                          '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark),
+wins AS (SELECT DISTINCT item_id, list_slice(w, p, p + l - 1) AS win, l
+         FROM (SELECT item_id, w, least(10, len(w)) AS l, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p
+               FROM iw WHERE len(w) > 0) x),
+places AS (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS p
+           FROM dw, (SELECT DISTINCT l FROM wins) lens WHERE len(w) >= l),
+found AS (SELECT doc_id, item_id, p, f.l FROM places f JOIN wins ON list_slice(w, p, p + f.l - 1) = win),
+hit AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (
+          SELECT doc_id, unnest(range(p, p + l)) AS i FROM found) x GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS t
+          FROM (SELECT DISTINCT doc_id, item_id FROM found) x GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(t, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@register("op7_decontaminate", _HITS_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hits = with_hits(docs, table(spark, sf_dir, "benchmark"))
