@@ -21,6 +21,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("output")
     p.add_argument("--stats")
     p.add_argument("--sep", default=",")
+    p.add_argument("--order-by", help="column that orders the rows (default: file order)")
 
     p = sub.add_parser("train", help="clean readings -> saved pipeline and run records")
     p.add_argument("readings", nargs="+", help="candidate clean-table locations, first wins")
@@ -34,6 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--bootstrap-servers")
     p.add_argument("--topic")
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--format", default="parquet", choices=["parquet", "json"])
 
     p = sub.add_parser("load", help="hourly load aggregate over a clean table")
     p.add_argument("readings", nargs="+")
@@ -41,7 +43,8 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
     spark = get_session(args.master, app_name=f"meterlake-{args.job}", profile=args.profile)
     if args.job == "ingest":
-        out = jobs.ingest(spark, args.input, args.output, args.stats, sep=args.sep)
+        out = jobs.ingest(spark, args.input, args.output, args.stats, sep=args.sep,
+                          order_col=args.order_by)
         print(json.dumps({"rows": out.count(), "output": args.output}))
     elif args.job == "train":
         from .sources.readers import read_first_parquet
@@ -51,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "detect":
         q, _ = jobs.detect(spark, args.table, args.checkpoint, args.source, args.path,
                            args.bootstrap_servers, args.topic,
-                           available_now=args.available_now)
+                           available_now=args.available_now, output_format=args.format)
         q.awaitTermination()
     elif args.job == "load":
         for row in jobs.load(spark, args.readings).orderBy("hour").collect():

@@ -66,6 +66,12 @@ def r6(c: str | Column) -> Column:
     return F.round(col(c), 6)
 
 
+def half_up(c: str | Column, digits: int) -> Column:
+    """Round half up in binary arithmetic, the same in every engine."""
+    scale = F.lit(float(10 ** digits))
+    return F.floor(col(c) * scale + F.lit(0.5)) / scale
+
+
 def device_number(device_id: str | Column) -> Column:
     """'meter_17' -> 17 (NULL when the suffix is not a number)."""
     return F.element_at(F.split(col(device_id), "_"), -1).try_cast("int")

@@ -14,7 +14,6 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .operators import clean, forecast, profiles
 from .sinks import tables
@@ -30,15 +29,14 @@ def ingest(spark: SparkSession, input_path: str, output_path: str,
     document (one profile pass over the written table).
 
     Missing timestamps are imputed in ``order_col`` order; without an order
-    column the file position is used (``monotonically_increasing_id`` of the
-    scan: split order, which is file order for a single file)."""
+    column in file order (path, then position in the file)."""
     raw = read_raw_csv(spark, input_path, sep=sep)
+    if raw.isEmpty():       # cleaning drops no row
+        raise ValueError(f"no readings in {input_path}")
     if order_col is None:
-        raw = raw.withColumn("_row", F.monotonically_increasing_id())
-        order_col = "_row"
-    cleaned = clean.clean(raw, order_by=order_col, impute_step_minutes=impute_step_minutes)
-    if cleaned.isEmpty():
-        raise ValueError(f"no readings after cleaning {input_path}")
+        raw = clean.with_file_position(raw)
+    cleaned = clean.clean(raw, order_by=order_col, impute_step_minutes=impute_step_minutes,
+                          file_order=order_col is None)
     tables.write_parquet(cleaned, output_path)
     written = spark.read.parquet(output_path)
     if stats_path:
@@ -47,36 +45,48 @@ def ingest(spark: SparkSession, input_path: str, output_path: str,
 
 
 def train(spark: SparkSession, readings: DataFrame, registry: str,
-          configs: list[dict] = forecast.MODEL_CONFIGS) -> dict:
-    """Fit the pipeline and write the model and its run records under
-    ``registry`` (model/, forecasts/, model_info/, training_runs/,
-    metrics/).  A failed run is recorded as FAILED and re-raised."""
-    paths = {n: f"{registry}/{n}" for n in ("model", "forecasts", "model_info",
+          configs: list[dict] = forecast.MODEL_CONFIGS,
+          model_copies: tuple[str, ...] = ()) -> dict:
+    """Fit the pipeline and write the model (to ``registry/model`` and every
+    further location in ``model_copies``) and its run records under ``registry``
+    (forecasts/, model_info/, training_runs/, metrics/).  A run that cannot be
+    fitted (empty data, too few features, no configuration) is recorded as
+    FAILED, one that breaks off afterwards as CRASHED, with the configuration;
+    both are re-raised."""
+    paths = {n: f"{registry}/{n}" for n in ("model", "forecasts", "requests", "model_info",
                                              "training_runs", "metrics")}
     started = time.time()
+    stamp = time.strftime("%Y%m%d_%H%M%S", time.gmtime(started))
+
+    def record(status, config=None, error=None, model=stamp):
+        tables.append_stamped(forecast.training_run_row(
+            spark, model, status, time.time() - started, config, error).drop("created_at"),
+            paths["training_runs"])
+
     try:
-        result = forecast.train(readings, configs)
+        result = forecast.train(readings, configs,
+                                predictions_path=f"{registry}/predictions/{stamp}-{time.time_ns()}")
     except Exception as e:
-        tables.append_stamped(forecast.training_run_row(
-            spark, time.strftime("%Y%m%d_%H%M%S", time.gmtime(started)), "FAILED",
-            time.time() - started, None, str(e)).drop("created_at"), paths["training_runs"])
+        record("FAILED", configs[-1] if configs else None, str(e))
+        raise
+    name = result.model_timestamp
+    try:
+        saved = tables.save_model(result.model, *[f"{p}/{name}" for p in (paths["model"], *model_copies)])
+        tables.append_forecasts(result.predictions, paths["forecasts"], "holdout")
+        tables.append_stamped(forecast.model_info_row(spark, result).drop("created_at"),
+                              paths["model_info"])
+        tables.write_json_lines(forecast.metrics_line(spark, result), paths["metrics"])
+    except Exception as e:
+        record("CRASHED", result.config, str(e), name)
         raise
-    tables.save_model(result.model, f"{paths['model']}/{result.model_timestamp}")
-    tables.append_forecasts(result.predictions, paths["forecasts"], "holdout")
-    tables.append_stamped(forecast.model_info_row(spark, result).drop("created_at"),
-                          paths["model_info"])
-    tables.append_stamped(forecast.training_run_row(
-        spark, result.model_timestamp, "SUCCESS", result.duration_seconds,
-        result.config, None).drop("created_at"), paths["training_runs"])
-    tables.write_json_lines(forecast.metrics_line(spark, result), paths["metrics"])
-    return {"result": result, **paths,
-            "model_path": f"{paths['model']}/{result.model_timestamp}"}
+    record("SUCCESS", result.config, None, name)
+    return {"result": result, **paths, "model_path": saved[0]}
 
 
 def detect(spark: SparkSession, table: str, checkpoint: str, source: str = "files",
            path: str | None = None, bootstrap_servers: str | None = None,
            topic: str | None = None, trigger: str = "10 seconds",
-           available_now: bool = False):
+           available_now: bool = False, output_format: str = "parquet"):
     """Start the stream detector.  ``source`` is explicit: 'files' (JSON
     payload lines under ``path``), 'kafka' or 'rate' (simulation)."""
     if source == "files":
@@ -88,7 +98,7 @@ def detect(spark: SparkSession, table: str, checkpoint: str, source: str = "file
     else:
         raise ValueError(f"unknown source {source!r}")
     return sdetect.start_detection(stream, table, checkpoint, processing_time=trigger,
-                                   available_now=available_now)
+                                   available_now=available_now, output_format=output_format)
 
 
 def load(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -4,7 +4,8 @@ bounds -> flag -> keep outliers or injected rows).
 The same DataFrame -> DataFrame function is used by the batch queries and by
 each micro-batch of the stream.  Statistics are a partial + final hash
 aggregate (a hot device is combined map-side, never gathered in one task);
-the statistics join is broadcast when the measured device count allows it.
+the statistics join is left to adaptive execution, which broadcasts it by its
+measured bytes.  A NaN value counts as missing.
 
 Bound: in a group of n readings an in-sample z-score cannot exceed
 (n-1)/sqrt(n), so with k = 3 groups of n <= 10 never produce an outlier.
@@ -15,16 +16,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from ..functions.columns import non_nan
+from ..plans.joins import lookup_join
+
 
 def group_stats(readings: DataFrame, keys=("device_id",), value: str = "active_power",
                 min_count: int = 3) -> DataFrame:
-    """mean / sample stddev / non-null count per group, groups below
-    ``min_count`` dropped (HAVING)."""
+    """mean / sample stddev / count of the values that are neither NULL nor NaN
+    per group, groups below ``min_count`` dropped (HAVING)."""
+    present = non_nan(value)
     return (readings.groupBy(*keys)
-            .agg(F.avg(value).alias("mean"),
-                 F.stddev_samp(value).alias("stddev"),
-                 F.count(value).alias("count"))
+            .agg(F.avg(present).alias("mean"),
+                 F.stddev_samp(present).alias("stddev"),
+                 F.count(present).alias("count"))
             .filter(F.col("count") >= min_count))
 
 
@@ -38,30 +42,25 @@ def outlier_flag(value: Column, lower: Column, upper: Column) -> Column:
 
 
 def score(readings: DataFrame, stats: DataFrame, keys=("device_id",),
-          value: str = "active_power", k: float = 3.0, how: str = "inner",
-          cached: list | None = None,
-          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+          value: str = "active_power", k: float = 3.0, how: str = "inner") -> DataFrame:
     """Attach statistics, bounds and the outlier flag to every reading."""
-    enriched = lookup_join(readings, stats.drop("count"), list(keys), how,
-                           max_rows=max_broadcast_rows, cached=cached)
+    enriched = lookup_join(readings, stats.drop("count"), list(keys), how)
     lower, upper = sigma_bounds(F.col("mean"), F.col("stddev"), k)
     return (enriched
             .withColumn("lower_bound", lower)
             .withColumn("upper_bound", upper)
-            .withColumn("is_anomaly", outlier_flag(F.col(value), F.col("lower_bound"),
+            .withColumn("is_anomaly", outlier_flag(non_nan(value), F.col("lower_bound"),
                                                    F.col("upper_bound"))))
 
 
 def detect(readings: DataFrame, keys=("device_id",), value: str = "active_power",
            k: float = 3.0, min_count: int = 3,
            injected: str | None = "is_injected_anomaly",
-           with_detection_time: bool = False, cached: list | None = None,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           with_detection_time: bool = False) -> DataFrame:
     """Rows that are statistical outliers of their group, or were injected
     as anomalies.  Groups below ``min_count`` are not scored (inner join)."""
     stats = group_stats(readings, keys, value, min_count)
-    scored = score(readings, stats, keys, value, k, cached=cached,
-                   max_broadcast_rows=max_broadcast_rows)
+    scored = score(readings, stats, keys, value, k)
     keep = F.col("is_anomaly")
     if injected and injected in readings.columns:
         keep = keep | F.col(injected)

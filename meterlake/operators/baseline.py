@@ -14,10 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.joins import static_lookup
-from ..sources.readers import constant_table
-
 from ..functions.columns import (OTHER_MONTHS, SUMMER_MONTHS, WEEKDAYS, WEEKEND_DAYS,
-                                 WINTER_MONTHS, col, device_number)
+                                 WINTER_MONTHS, col, device_number, half_up)
 
 # The default calibration used when a profile is absent.
 DEFAULT_HOURLY = {"avg_active_power": 2.0, "stddev_active_power": 0.5,
@@ -70,8 +68,7 @@ def calibration(reference: DataFrame, power: str = "active_power",
         F.avg(F.when(m.isin(*WINTER_MONTHS), p)).alias("winter_avg_power"),
         F.avg(F.when(m.isin(*SUMMER_MONTHS), p)).alias("summer_avg_power"),
         F.avg(F.when(m.isin(*OTHER_MONTHS), p)).alias("other_season_avg_power"))
-    rows = agg.collect()  # bounded: <= 26 rows by construction
-    return constant_table(reference.sparkSession, rows, agg.schema)
+    return agg
 
 
 def weekend_ratio(weekday_avg: Column, weekend_avg: Column) -> Column:
@@ -148,6 +145,6 @@ def clamped(readings: DataFrame, power: str = "active_power", voltage: str = "vo
         .otherwise(clamp(col(voltage), *VOLTAGE_RANGE_NORMAL))
     return readings.withColumns({"active_power_clamped": p, "voltage_clamped": v}).withColumn(
         "current_derived",
-        F.round(F.when(F.col("voltage_clamped") > 0,
+        half_up(F.when(F.col("voltage_clamped") > 0,
                        F.col("active_power_clamped") / F.col("voltage_clamped"))
                 .otherwise(F.lit(0.0)), 3))

@@ -11,13 +11,14 @@ driver round trip, no join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import (DEFAULT_ANCHOR, DEFAULT_VOLTAGE, fill_missing, is_missing,
                                  non_nan, parse_raw_timestamp, to_double)
 from ..schemas import CLEAN_NAMES, RAW_ALIASES, RAW_COLUMNS
+from ..session import scratch_path
 
 ZERO_FILLED = ["Global_active_power", "Sub_metering_1", "Sub_metering_2", "Sub_metering_3"]
 MEAN_FILLED = ["Global_intensity", "Global_reactive_power"]
@@ -78,103 +79,90 @@ def fill_and_project(typed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return typed.select(*out)
 
 
+FILE_POSITION = ("_file", "_block", "_row")
+
+
+def with_file_position(raw: DataFrame) -> DataFrame:
+    """Adds where a scanned row stands: its file, the offset of its block in
+    the file, and a number that grows in reading order within the block.
+    Only directly on a file scan."""
+    return raw.select("*", F.col("_metadata.file_path").alias("_file"),
+                      F.col("_metadata.file_block_start").alias("_block"),
+                      F.monotonically_increasing_id().alias("_row"))
+
+
 def clean(raw: DataFrame, keep: tuple[str, ...] = (), order_by: str | None = None,
-          impute_step_minutes: int | None = None) -> DataFrame:
-    """Full cleaning.  With ``order_by`` and ``impute_step_minutes`` set,
-    NULL timestamps are imputed from the first valid one (see
-    :func:`impute_timestamps`)."""
-    carry = tuple(keep) + ((order_by,) if order_by and order_by not in keep else ())
+          impute_step_minutes: int | None = None, file_order: bool = False) -> DataFrame:
+    """Full cleaning.  With ``impute_step_minutes`` and either ``order_by`` or
+    ``file_order`` (``raw`` as of :func:`with_file_position`), NULL timestamps
+    are imputed from the first valid one (see :func:`impute_timestamps`)."""
+    if file_order:
+        carry = tuple(keep) + FILE_POSITION
+    else:
+        carry = tuple(keep) + ((order_by,) if order_by and order_by not in keep else ())
     typed = typed_readings(raw, carry)
-    if order_by and impute_step_minutes:
-        typed = impute_timestamps(typed, order_by, impute_step_minutes).drop(
+    if impute_step_minutes and (order_by or file_order):
+        typed = impute_timestamps(typed, None if file_order else order_by, impute_step_minutes).drop(
             "row_index", "was_imputed")
     return fill_and_project(typed, keep)
 
 
+def _numbered(placed: DataFrame, blocks: DataFrame, keys: list[str], position: Column,
+              name: str) -> DataFrame:
+    """``placed`` plus its row index: the offset of its block (one row per
+    block in ``blocks``: ``keys``, ``_n``, and ``_least``, the smallest position
+    in it) plus its position in the block.  A block is a file split or a written
+    partition, so the broadcast side has one row per tens of megabytes of input."""
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(*keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least"))
+                            .alias("_shift"))
+    return (placed.join(F.broadcast(offsets), keys)
+            .withColumn(name, position + F.col("_shift")).drop("_shift"))
+
+
+def file_index(df: DataFrame, name: str = "row_index") -> DataFrame:
+    """0-based position of every row in file order (path, then offset), for
+    rows as of :func:`with_file_position`.  Rows are not moved: only one count
+    per file block is aggregated."""
+    blocks = df.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_least"))
+    return _numbered(df, blocks, ["_file", "_block"], F.col("_row"), name)
+
+
 def dense_index(df: DataFrame, order_col: str, name: str = "row_index",
-                num_buckets: int | None = None) -> DataFrame:
-    """0-based dense position of every row in ``order_col`` order (NULL keys
-    last; ties of a hot value broken by a hash of the row, other ties in
-    arbitrary order), without a single-partition window.
-
-    The key range is cut at approximate quantiles into ``num_buckets``
-    buckets of similar size (a pure function of the key, so every branch of
-    the plan assigns a row to the same bucket).  A key value that fills more
-    than one bucket (it repeats among the cut points) is split further into
-    sub-buckets by the top bits of the row hash, so even a value holding a
-    third of all rows is spread over many tasks (exact duplicate rows share
-    a hash and stay together; they are interchangeable anyway).  Bucket row counts (one row
-    per bucket, broadcast) give each bucket's starting offset; the position
-    inside a bucket is a ``row_number`` over that bucket only.
-    """
-    from pyspark.ml.feature import Bucketizer
-
-    spark = df.sparkSession
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = df.columns
-    keyed = df.withColumn("_key", F.col(order_col).cast("double"))
-    probs = [i / n for i in range(1, n)]
-    cuts = [c for c in (keyed.approxQuantile("_key", probs, 1.0 / (10 * n)) if n > 1 else [])
-            if c == c]
-    distinct_cuts = sorted(set(cuts))
-    splits = [float("-inf")] + distinct_cuts + [float("inf")]
-    # hot values: repeated cut points; value -> (its bucket, number of sub-buckets)
-    hot = {v: (1 + distinct_cuts.index(v), cuts.count(v) + 1)
-           for v in distinct_cuts if cuts.count(v) > 1}
-    width = max([m for _, m in hot.values()], default=0) + 1
-    bucket = F.col("_bucket0")
-    final = bucket * width + (width - 1)
-    order = [F.col(order_col).asc_nulls_last()]
-    if hot:
-        # the row hash is needed only to split (and order) the rows of hot values
-        keyed = keyed.withColumn("_tb", F.xxhash64(*cols))
-        order.append(F.col("_tb"))
-        # monotone in the hash: sub-bucket k of m holds the k-th slice of the hash range
-        frac = (F.col("_tb").cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
-        expr = None
-        for v, (j, m) in hot.items():
-            sub = F.least(F.floor(frac * m).cast("int"), F.lit(m - 1))
-            branch = F.lit(j * width) + sub
-            expr = (F.when(F.col("_key") == v, branch) if expr is None
-                    else expr.when(F.col("_key") == v, branch))
-        final = expr.otherwise(final)
-    bucketed = (Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket0",
-                           handleInvalid="keep").transform(keyed)
-                .withColumn("_bucket0", F.col("_bucket0").cast("int"))
-                .withColumn("_bucket", final.cast("int")))
-    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    in_bucket = Window.partitionBy("_bucket").orderBy(*order)
-    # range-partition on the bucket id: about one bucket per task (a hash
-    # exchange would stack several buckets into some tasks); it also
-    # satisfies the window's clustering, so no further exchange is added
-    n_final = len(splits) + sum(m for _, m in hot.values())
-    bucketed = bucketed.repartitionByRange(n_final, "_bucket")
-    return (bucketed.join(F.broadcast(offsets), "_bucket")
-            .withColumn(name, F.col("_off") + F.row_number().over(in_bucket) - 1)
-            .drop("_key", "_tb", "_bucket0", "_bucket", "_off"))  # drop ignores absent
-
-
-def impute_timestamps(typed: DataFrame, order_col: str, step_minutes: int = 1,
-                      ts: str = "timestamp") -> DataFrame:
+                tie_breaker: tuple[str, ...] | None = None) -> DataFrame:
+    """0-based dense position of every row in ``order_col`` order, on the
+    column's own type: NULL keys last, ties by ``tie_breaker`` (default: all
+    other columns), rows that are equal in every column in any order.
+
+    The rows are range-sorted once (a last key, the row's number, lets even
+    equal rows be split between tasks) and written to the shared folder; the
+    written partitions are the blocks whose counts give the offsets."""
+    if tie_breaker is None:
+        tie_breaker = tuple(c for c, t in df.dtypes if c != order_col and not t.startswith("map"))
+    path = scratch_path(df.sparkSession, "row-index")
+    (df.withColumn("_row", F.monotonically_increasing_id())
+     .orderBy(F.col(order_col).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_breaker], "_row")
+     .withColumn("_row", F.monotonically_increasing_id())     # now in the new order
+     .write.parquet(path))
+    done = df.sparkSession.read.schema(df.withColumn("_row", F.lit(0).cast("long")).schema).parquet(path)
+    done = done.withColumn("_part", F.shiftright("_row", 33))
+    blocks = done.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_least"))
+    return _numbered(done, blocks, ["_part"], F.col("_row"), name).drop("_row", "_part")
+
+
+def impute_timestamps(typed: DataFrame, order_col: str | None, step_minutes: int = 1,
+                      ts: str = "timestamp", tie_breaker: tuple[str, ...] | None = None) -> DataFrame:
     """Fill every NULL timestamp with anchor + (row_index - anchor_index) *
-    step, the anchor being the first row (in ``order_col`` order) with a
-    valid timestamp; default anchor 2006-12-16 17:24:00 at index 0.
-
-    The anchor needs no row index: it is the valid row with the smallest
-    key, and its index is the number of rows with a smaller key (both are
-    scalar subqueries over two pruned columns, no window)."""
-    idx = dense_index(typed, order_col)
-    key = F.col(order_col)
-    anchor = (typed.filter(F.col(ts).isNotNull() & key.isNotNull())
-              .agg(F.min_by(F.struct(F.col(ts).alias("ts"), key.alias("key")), key))
+    step, the anchor being the first row (in ``order_col`` order, or in file
+    order without one) with a valid timestamp; default anchor 2006-12-16
+    17:24:00 at index 0."""
+    idx = (file_index(typed).drop(*FILE_POSITION) if order_col is None
+           else dense_index(typed, order_col, tie_breaker=tie_breaker))
+    anchor = (idx.filter(F.col(ts).isNotNull())
+              .agg(F.min_by(F.struct(F.col(ts).alias("ts"), F.col("row_index").alias("at")), "row_index"))
               .scalar())
     anchor_ts = F.coalesce(anchor.getField("ts"), F.lit(DEFAULT_ANCHOR).cast("timestamp_ntz"))
-    anchor_idx = F.coalesce(typed.agg(F.count_if(key < anchor.getField("key"))).scalar(),
-                            F.lit(0))
-    offset = (F.col("row_index") - anchor_idx) * F.lit(step_minutes)
+    offset = (F.col("row_index") - F.coalesce(anchor.getField("at"), F.lit(0))) * F.lit(step_minutes)
     filled = F.timestamp_add("MINUTE", offset, anchor_ts)
     return idx.withColumns({
         "was_imputed": F.col(ts).isNull(),

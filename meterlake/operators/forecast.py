@@ -17,7 +17,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import DEFAULT_VOLTAGE, fill_missing, is_missing, non_nan
+from ..functions.columns import DEFAULT_VOLTAGE, fill_missing, non_nan
 from ..schemas import FEATURE_COLUMNS, MODEL_INFO, TRAINING_RUNS
 
 # Forest configurations tried in order; the first that fits wins.
@@ -32,8 +32,9 @@ NUMERIC = ["Voltage", "current", "active_power", "reactive_power",
 
 
 def prepare(readings: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Type and fill the measures (dummy 0.0 for absent ones), repair the
-    timestamp type, add calendar features hour / day_of_week / month."""
+    """Type and fill the measures (dummy 0.0 for absent ones; current and
+    reactive power stay NULL for the pipeline to fill), repair the timestamp
+    type, add calendar features hour / day_of_week / month."""
     df = readings
     present = {c.lower(): c for c in df.columns}
     cols = {}
@@ -41,17 +42,14 @@ def prepare(readings: DataFrame, ts: str = "timestamp") -> DataFrame:
         src = present.get(c.lower())
         cols[c] = F.col(src).cast("double") if src else F.lit(0.0)
     df = df.withColumns(cols)
-    mean_row = df.agg(F.struct(*[F.coalesce(F.avg(non_nan(c)), F.lit(0.0)).alias(c)
-                                 for c in MEAN_FILLED])).scalar()
-    means = {c: mean_row.getField(c) for c in MEAN_FILLED}
     fills = {}
     for c in NUMERIC:
         if c in ZERO_FILLED:
             fills[c] = fill_missing(c, 0.0)
         elif c == "Voltage":
             fills[c] = fill_missing(c, DEFAULT_VOLTAGE)
-        else:
-            fills[c] = F.when(is_missing(c), means[c]).otherwise(F.col(c))
+        else:   # by the pipeline, with the means of the training rows
+            fills[c] = non_nan(c)
     df = df.withColumns(fills)
     if ts in df.columns:
         if dict(df.dtypes)[ts] not in ("timestamp", "timestamp_ntz"):
@@ -69,20 +67,34 @@ def available_features(df: DataFrame, candidates: list[str] = FEATURE_COLUMNS) -
     return feats
 
 
-def build_pipeline(features: list[str], num_trees: int, max_depth: int, seed: int = 42,
-                   label: str = LABEL):
+def training_means(train_df: DataFrame) -> tuple[int, dict[str, float]]:
+    """Rows of the training side, and the means that fill its missing values
+    (0.0 where there is no value at all)."""
+    row = train_df.agg(F.count(F.lit(1)).alias("n"),
+                       *[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in MEAN_FILLED]).first()
+    return row["n"], {c: row[c] for c in MEAN_FILLED}
+
+
+def build_pipeline(features: list[str], num_trees: int, max_depth: int, means: dict[str, float],
+                   seed: int = 42, label: str = LABEL):
+    """Fill missing measures with the training means, assemble, scale, fit:
+    nothing in it is taken from the test side."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
-    assembler = VectorAssembler(inputCols=features, outputCol="features_raw",
-                                handleInvalid="skip")
+    filled = [c for c in means if c in features]
+    fill = SQLTransformer(statement="SELECT *" + "".join(
+        f", coalesce(nanvl(double({c}), NULL), double('{means[c]!r}')) AS {c}_filled" for c in filled)
+        + " FROM __THIS__")
+    assembler = VectorAssembler(inputCols=[f"{c}_filled" if c in filled else c for c in features],
+                                outputCol="features_raw", handleInvalid="skip")
     # rows without a feature vector never reach the scaler or the forest
     valid = SQLTransformer(statement="SELECT * FROM __THIS__ WHERE features_raw IS NOT NULL")
     scaler = StandardScaler(inputCol="features_raw", outputCol="features",
                             withMean=True, withStd=True)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
                                maxDepth=max_depth, seed=seed)
-    return Pipeline(stages=[assembler, valid, scaler, rf])
+    return Pipeline(stages=[fill, assembler, valid, scaler, rf])
 
 
 def split_column(key: str = "event_id", buckets: int = 5, test_buckets: int = 1):
@@ -93,13 +105,19 @@ def split_column(key: str = "event_id", buckets: int = 5, test_buckets: int = 1)
 
 
 def split(df: DataFrame, key: str | None = "event_id", test_fraction: float = 0.2,
-          seed: int = 42) -> tuple[DataFrame, DataFrame]:
+          ) -> tuple[DataFrame, DataFrame]:
+    """Train and test side.  By key buckets where the table has the key, else
+    by a hash of the row's columns: stable across reruns and partitionings (equal
+    rows go to one side)."""
     if key and key in df.columns:
-        s = df.withColumn("_split", split_column(key))
-        return (s.filter(F.col("_split") == "train").drop("_split"),
-                s.filter(F.col("_split") == "test").drop("_split"))
-    train, test = df.randomSplit([1 - test_fraction, test_fraction], seed=seed)
-    return train, test
+        side = split_column(key)
+    else:
+        cols = sorted(c for c, t in df.dtypes if not t.startswith("map"))
+        part = F.pmod(F.xxhash64(*cols), F.lit(10_000))
+        side = F.when(part < int(test_fraction * 10_000), "test").otherwise("train")
+    s = df.withColumn("_split", side)
+    return (s.filter(F.col("_split") == "train").drop("_split"),
+            s.filter(F.col("_split") == "test").drop("_split"))
 
 
 def evaluate(predictions: DataFrame, label: str = LABEL,
@@ -128,29 +146,37 @@ class TrainingResult:
 
 
 def train(readings: DataFrame, configs: list[dict] = MODEL_CONFIGS, seed: int = 42,
-          key: str | None = "event_id") -> TrainingResult:
-    """Prepare, split, fit the first config that succeeds, evaluate."""
+          key: str | None = "event_id", predictions_path: str | None = None) -> TrainingResult:
+    """Prepare, split, fit the first config that succeeds, evaluate.
+
+    With ``predictions_path`` the test side is scored once: the predictions are
+    written there and evaluated from there."""
     started = time.time()
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+    if readings.isEmpty():
+        raise ValueError("the dataset is empty")
     df = prepare(readings)
     feats = available_features(df)
-    train_df, test_df = split(df, key, seed=seed)
-    train_df = train_df.persist()
+    train_df, test_df = split(df, key)
+    n_train, means = training_means(train_df)
+    if not n_train:
+        raise ValueError("no training rows")
     model, used, errors = None, None, []
     for cfg in configs:
         try:
-            model = build_pipeline(feats, cfg["numTrees"], cfg["maxDepth"], seed).fit(train_df)
+            model = build_pipeline(feats, cfg["numTrees"], cfg["maxDepth"], means, seed).fit(train_df)
             used = cfg
             break
         except Exception as e:  # noqa: BLE001 - try the next configuration
             errors.append(f"{cfg}: {e}")
     if model is None:
-        train_df.unpersist()
         raise RuntimeError("all model configurations failed: " + "; ".join(errors))
     predictions = model.transform(test_df)
+    if predictions_path:
+        cols = [c for c in ("event_id", "timestamp", LABEL, "prediction") if c in predictions.columns]
+        predictions.select(*cols).write.mode("overwrite").parquet(predictions_path)
+        predictions = readings.sparkSession.read.parquet(predictions_path)
     m = evaluate(predictions).first().asDict()
-    n_train = train_df.count()
-    train_df.unpersist()
     return TrainingResult(stamp, model, used, feats,
                           {k: m[k] for k in ("rmse", "r2", "mae", "mse")}, n_train, int(m["n"]),
                           predictions, time.time() - started, errors)
@@ -179,6 +205,6 @@ def metrics_line(spark: SparkSession, r: TrainingResult) -> DataFrame:
 
 
 def score(model, requests: DataFrame) -> DataFrame:
-    """Apply the saved pipeline (assembler + fitted scaler + forest) to
-    request rows that already carry the feature columns."""
-    return model.transform(requests).drop("features_raw", "features")
+    """Apply the saved pipeline to request rows that already carry the feature
+    columns; only the prediction is added."""
+    return model.transform(requests).select(*requests.columns, "prediction")

@@ -62,13 +62,15 @@ def weekend_profile(readings: DataFrame, power: str = POWER) -> DataFrame:
 
 
 def season_profile(readings: DataFrame, power: str = POWER) -> DataFrame:
-    """One row per season (winter / summer / other) that has readings."""
-    return (readings.select(season_of(F.month("timestamp")).alias("season"),
-                            F.col(power).alias("p"))
-            .filter(F.col("season").isNotNull())
-            .groupBy("season")
-            .agg(F.count("p").alias("n"), r6(F.avg("p")).alias("avg_power"),
-                 r6(F.stddev_samp("p")).alias("stddev_power")))
+    """One row per season (winter / summer / other); a season without readings
+    has n = 0 and NULLs."""
+    by = readings.select(season_of(F.month("timestamp")).alias("season"), F.col(power).alias("p"))
+    row = []
+    for name in ("winter", "summer", "other"):
+        p = F.when(F.col("season") == name, F.col("p"))
+        row.append(F.struct(F.lit(name).alias("season"), F.count(p).alias("n"),
+                            r6(F.avg(p)).alias("avg_power"), r6(F.stddev_samp(p)).alias("stddev_power")))
+    return by.agg(F.array(*row).alias("rows")).select(F.inline("rows"))
 
 
 def overall_profile(readings: DataFrame, power: str = POWER) -> DataFrame:

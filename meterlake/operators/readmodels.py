@@ -96,30 +96,41 @@ def formatted_time(c: str | Column = "timestamp") -> Column:
                       c.cast("string"))
 
 
-def latest(df: DataFrame, order_col: str) -> DataFrame:
-    """The single row with the largest ``order_col`` (one global aggregate
-    of ``max_by`` over a struct; no sort)."""
-    cols = df.columns
-    row = df.agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("_r"))
-    return row.select("_r.*")
+def latest(df: DataFrame, *order_cols: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """The row with the largest ``order_cols`` (of each ``by``): one aggregate
+    of ``max_by`` over a struct, no sort."""
+    row = F.max_by(F.struct(*df.columns), F.struct(*order_cols)).alias("_r")
+    return df.groupBy(*by).agg(row).select("_r.*")
 
 
-def new_since(incoming: DataFrame, known: DataFrame, key: str = "timestamp") -> DataFrame:
-    """Incoming rows whose ``key`` was not seen before (left anti join; no
-    distinct needed, duplicates on the known side do not change the result)."""
-    return incoming.join(known.select(key), key, "left_anti")
+def latest_artifact(artifacts: DataFrame) -> DataFrame:
+    """The newest artifact of each kind (rows: kind, model_timestamp, path)."""
+    return latest(artifacts, "model_timestamp", "path", by=("kind",))
+
+
+def artifact_info(artifacts: DataFrame, info: DataFrame) -> DataFrame:
+    """The newest artifact of each kind with the newest info row of its model."""
+    newest_info = latest(info, "created_at", by=("model_timestamp",))
+    return latest_artifact(artifacts).join(newest_info, "model_timestamp", "left")
+
+
+def new_since(incoming: DataFrame, known: DataFrame,
+              key: tuple[str, ...] = ("device_id", "timestamp")) -> DataFrame:
+    """Incoming rows whose ``key`` was not seen before (left anti join).  The
+    known keys are made distinct first: a key that fills the known side shrinks
+    before the shuffle."""
+    return incoming.join(known.select(*key).distinct(), list(key), "left_anti")
 
 
 def series_overlay(forecasts: DataFrame, anomalies: DataFrame) -> DataFrame:
     """Long format (timestamp, value, series) of forecast, actual and
     anomaly series for one shared axis."""
-    f = forecasts.select("timestamp", F.col("prediction").alias("value"),
-                         F.lit("forecast").alias("series"))
-    a = forecasts.select("timestamp", F.col("active_power").alias("value"),
-                         F.lit("actual").alias("series"))
+    both = F.array(*[F.struct(F.col(c).alias("value"), F.lit(s).alias("series"))
+                     for c, s in (("prediction", "forecast"), ("active_power", "actual"))])
+    f = forecasts.select("timestamp", F.inline(both))
     x = anomalies.select("timestamp", F.col("active_power").alias("value"),
                          F.lit("anomaly").alias("series"))
-    return f.unionByName(a).unionByName(x)
+    return f.unionByName(x)
 
 
 def table_counts(**tables: DataFrame) -> DataFrame:

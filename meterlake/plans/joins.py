@@ -1,22 +1,10 @@
-"""Join helpers that make the broadcast decision explicit.
-
-A side is broadcast only when its size is bounded: either by construction
-(``static_rows``, e.g. 24 hours or a one-row profile) or by measuring it once
-(``lookup_join``).  Beyond the bound the join stays a shuffle join, where
-adaptive execution splits skewed keys.
-"""
+"""Join helpers that make the broadcast decision explicit."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
-# Broadcast at most this many rows of a measured lookup side.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000  # ~50 MB of (key, mean, stddev)
-
 
 def static_lookup(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join a side whose row count is bounded by construction (grouped by
@@ -24,26 +12,9 @@ def static_lookup(big: DataFrame, small: DataFrame, on, how: str = "inner") -> D
     return big.join(F.broadcast(small), on, how)
 
 
-def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                cached: list | None = None) -> DataFrame:
-    """Join ``big`` with a data-dependent ``small`` side (e.g. per-device
-    statistics).  The small side is materialised once and counted; it is
-    broadcast only under ``max_rows``, else a shuffle join is planned (where
-    adaptive execution splits skewed keys).
-
-    Materialisation: a caller that manages the lifetime (a stream releasing
-    per-batch data) passes ``cached`` and gets a persisted side appended to
-    it; otherwise the side is written as a reliable checkpoint under the
-    shared checkpoint directory (lineage cut, no executor memory held, no
-    recomputation when an executor is lost)."""
-    if cached is not None:
-        small = small.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(small)
-    else:
-        ensure_checkpoint_dir(small.sparkSession)
-        small = small.checkpoint(eager=True)
-    n = small.count()
-    if n <= max_rows:
-        small = F.broadcast(small)
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with a side whose size depends on the data (e.g. per-device
+    statistics).  No hint and no job while the query is built: adaptive
+    execution broadcasts the side if its measured bytes allow it, and splits
+    skewed keys of the shuffle join otherwise."""
     return big.join(small, on, how)

@@ -77,5 +77,25 @@ li_readings AS (
 )"""
 
 
+EVENTS_D3 = """
+events_d3 AS (
+  SELECT CAST(floor(epoch_us("timestamp") / 1000000) AS BIGINT) AS "timestamp", device_id,
+         active_power, reactive_power, voltage, "current", Sub_metering_1, Sub_metering_2,
+         Sub_metering_3, is_injected_anomaly
+  FROM readings
+)"""
+
+SCORED = """
+stats AS (
+  SELECT device_id, avg(active_power) AS mean, stddev_samp(active_power) AS stddev
+  FROM events_d3 GROUP BY device_id HAVING count(active_power) >= 3
+),
+scored AS (
+  SELECT e.*, s.mean, s.stddev, s.mean - 3 * s.stddev AS lower_bound,
+         s.mean + 3 * s.stddev AS upper_bound
+  FROM events_d3 e JOIN stats s USING (device_id)
+)"""
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"

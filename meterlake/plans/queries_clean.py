@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import r6
+from ..functions.columns import r6, to_double
 from ..operators import clean, profiles
 from ..schemas import RAW_COLUMNS
 from ..sources import fixtures as fx
@@ -18,13 +18,13 @@ m AS (
   FROM typed
 )""") + """
 SELECT event_id, "timestamp",
-  round(CASE WHEN Global_active_power IS NULL OR isnan(Global_active_power) THEN 0.0 ELSE Global_active_power END, 6) AS active_power,
-  round(CASE WHEN Global_reactive_power IS NULL OR isnan(Global_reactive_power) THEN m_rp ELSE Global_reactive_power END, 6) AS reactive_power,
-  round(CASE WHEN Voltage IS NULL OR isnan(Voltage) THEN 230.0 ELSE Voltage END, 6) AS Voltage,
-  round(CASE WHEN Global_intensity IS NULL OR isnan(Global_intensity) THEN m_cur ELSE Global_intensity END, 6) AS "current",
-  round(CASE WHEN Sub_metering_1 IS NULL OR isnan(Sub_metering_1) THEN 0.0 ELSE Sub_metering_1 END, 6) AS Sub_metering_1,
-  round(CASE WHEN Sub_metering_2 IS NULL OR isnan(Sub_metering_2) THEN 0.0 ELSE Sub_metering_2 END, 6) AS Sub_metering_2,
-  round(CASE WHEN Sub_metering_3 IS NULL OR isnan(Sub_metering_3) THEN 0.0 ELSE Sub_metering_3 END, 6) AS Sub_metering_3
+  CASE WHEN Global_active_power IS NULL OR isnan(Global_active_power) THEN 0.0 ELSE Global_active_power END AS active_power,
+  CASE WHEN Global_reactive_power IS NULL OR isnan(Global_reactive_power) THEN round(m_rp, 6) ELSE Global_reactive_power END AS reactive_power,
+  CASE WHEN Voltage IS NULL OR isnan(Voltage) THEN 230.0 ELSE Voltage END AS Voltage,
+  CASE WHEN Global_intensity IS NULL OR isnan(Global_intensity) THEN round(m_cur, 6) ELSE Global_intensity END AS "current",
+  CASE WHEN Sub_metering_1 IS NULL OR isnan(Sub_metering_1) THEN 0.0 ELSE Sub_metering_1 END AS Sub_metering_1,
+  CASE WHEN Sub_metering_2 IS NULL OR isnan(Sub_metering_2) THEN 0.0 ELSE Sub_metering_2 END AS Sub_metering_2,
+  CASE WHEN Sub_metering_3 IS NULL OR isnan(Sub_metering_3) THEN 0.0 ELSE Sub_metering_3 END AS Sub_metering_3
 FROM typed CROSS JOIN m
 """
 
@@ -35,8 +35,15 @@ _MEASURES = ["active_power", "reactive_power", "Voltage", "current",
 @register("clean_readings", _CLEAN_SQL)
 def clean_readings(spark, sf_dir):
     """Raw text export -> typed, imputed, canonical readings (D2)."""
-    out = clean.clean(fx.raw_readings(spark, sf_dir), keep=("event_id",))
-    return out.select("event_id", "timestamp", *[r6(c).alias(c) for c in _MEASURES])
+    raw = fx.raw_readings(spark, sf_dir)
+    # parsed values pass through as they are; only the filled-in means are rounded
+    source = {"current": "Global_intensity", "reactive_power": "Global_reactive_power"}
+    known = clean.clean(raw.withColumn("_known", F.struct(*[
+        (to_double(r).isNotNull() & ~F.isnan(to_double(r))).alias(c) for c, r in source.items()])),
+        keep=("event_id", "_known"))
+    return known.select("event_id", "timestamp", *[
+        (F.when(F.col(f"_known.{c}"), F.col(c)).otherwise(r6(c)).alias(c) if c in source else F.col(c))
+        for c in _MEASURES])
 
 
 @register("impute_timestamps", o.with_ctes(o.READINGS, o.RAW, o.TYPED, """
@@ -58,6 +65,71 @@ def impute_timestamps(spark, sf_dir):
     return out.select("event_id", "row_index", "was_imputed", "timestamp")
 
 
+# typed rows with key columns that have NULLs, ties and values beyond 2**53
+_KEYED = """
+keyed AS (
+  SELECT event_id, "timestamp",
+         CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_id // 10 END AS tied_key,
+         1152921504606846976 + event_id AS large_key
+  FROM typed)"""
+_IMPUTED = """
+anchor AS (SELECT arg_min("timestamp", row_index) AS a_ts, min(row_index) AS a_idx
+           FROM idx WHERE "timestamp" IS NOT NULL)
+SELECT event_id, row_index, "timestamp" IS NULL AS was_imputed,
+       coalesce("timestamp", coalesce(a_ts, TIMESTAMP '2006-12-16 17:24:00')
+                + to_minutes(CAST(row_index - coalesce(a_idx, 0) AS BIGINT))) AS "timestamp"
+FROM idx CROSS JOIN anchor
+"""
+
+
+def _imputed_sql(order: str) -> str:
+    return (o.with_ctes(o.READINGS, o.RAW, o.TYPED, _KEYED, f"""
+idx AS (SELECT event_id, "timestamp", row_number() OVER (ORDER BY {order}) - 1 AS row_index
+        FROM keyed)""").rstrip() + "," + _IMPUTED)
+
+
+def _keyed(spark, sf_dir):
+    typed = clean.typed_readings(fx.raw_readings(spark, sf_dir), keep=("event_id",))
+    e = F.col("event_id")
+    return typed.select("event_id", "timestamp",
+                        F.when(e % 7 != 0, F.floor(e / 10)).alias("tied_key"),
+                        (F.lit(1 << 60) + e).alias("large_key"))
+
+
+@register("impute_null_keys", _imputed_sql("tied_key ASC NULLS LAST, event_id"))
+def impute_null_keys(spark, sf_dir):
+    """Imputation in the order of a key with ties and NULLs (NULLs last)."""
+    out = clean.impute_timestamps(_keyed(spark, sf_dir), "tied_key", tie_breaker=("event_id",))
+    return out.select("event_id", "row_index", "was_imputed", "timestamp")
+
+
+@register("impute_large_keys", _imputed_sql("large_key"))
+def impute_large_keys(spark, sf_dir):
+    """Imputation in the order of keys above 2**53, which doubles cannot tell apart."""
+    out = clean.impute_timestamps(_keyed(spark, sf_dir), "large_key")
+    return out.select("event_id", "row_index", "was_imputed", "timestamp")
+
+
+@register("clean_aliases", o.with_ctes(o.READINGS, o.RAW, o.TYPED) + """
+SELECT "timestamp",
+  CASE WHEN Global_active_power IS NULL THEN 0.0 ELSE Global_active_power END AS active_power,
+  0.0 AS reactive_power,
+  CASE WHEN Voltage IS NULL THEN 230.0 ELSE Voltage END AS Voltage,
+  CASE WHEN Sub_metering_1 IS NULL THEN 0.0 ELSE Sub_metering_1 END AS Sub_metering_1,
+  CASE WHEN Sub_metering_2 IS NULL THEN 0.0 ELSE Sub_metering_2 END AS Sub_metering_2,
+  CASE WHEN Sub_metering_3 IS NULL THEN 0.0 ELSE Sub_metering_3 END AS Sub_metering_3
+FROM typed
+""")
+def clean_aliases(spark, sf_dir):
+    """Cleaning of an export with an index column, alternative column names
+    and no reactive-power column (which becomes 0.0)."""
+    raw = fx.raw_readings(spark, sf_dir).drop("Global_reactive_power").withColumnsRenamed({
+        "event_id": "_c0", "Date": "date", "Time": "time", "Global_active_power": "globalactivepower",
+        "Voltage": "voltage", "Global_intensity": "intensity", "Sub_metering_1": "submetering_1",
+        "Sub_metering_2": "submetering2", "Sub_metering_3": "sub_metering3"})
+    return clean.clean(raw).drop("current")
+
+
 _NULL_COLS = ["timestamp"] + RAW_COLUMNS[2:]
 
 

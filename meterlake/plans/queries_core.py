@@ -174,3 +174,19 @@ FROM readings WHERE active_power > 0 GROUP BY 1
 def hourly_load(spark, sf_dir):
     """The reference's benchmark query: hourly load over positive readings."""
     return profiles.hourly_load(fx.readings(spark, sf_dir))
+
+
+@register("anomaly_with_nan", o.with_ctes(o.READINGS, """
+faulty AS (SELECT event_id, device_id, is_injected_anomaly,
+                  CASE WHEN event_id % 29 = 3 THEN NULL ELSE active_power END AS p FROM readings),
+stats AS (SELECT device_id, avg(p) AS mean, stddev_samp(p) AS stddev FROM faulty
+          GROUP BY device_id HAVING count(p) >= 3)""") + """
+SELECT event_id, f.device_id, (p < mean - 3 * stddev OR p > mean + 3 * stddev) AS is_anomaly
+FROM faulty f JOIN stats s ON f.device_id = s.device_id
+WHERE (p < mean - 3 * stddev OR p > mean + 3 * stddev) OR is_injected_anomaly
+""")
+def anomaly_with_nan(spark, sf_dir):
+    """3-sigma detection where some readings are NaN: they count as missing."""
+    r = fx.readings(spark, sf_dir)
+    nan = F.when(F.col("event_id") % 29 == 3, F.lit(float("nan"))).otherwise(F.col("active_power"))
+    return anomaly.detect(r.withColumn("active_power", nan)).select("event_id", "device_id", "is_anomaly")

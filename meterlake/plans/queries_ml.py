@@ -9,12 +9,14 @@ model (S9) instead of refitting.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions.columns import r6
 from .. import jobs
 from ..operators import forecast, readmodels
+from ..schemas import FEATURE_COLUMNS
 from ..session import scratch_path
 from ..sinks import tables
 from ..sources import fixtures as fx
@@ -34,53 +36,94 @@ def trained(spark, sf_dir: str) -> dict:
     return _TRAINED[key]
 
 
-@register("regression_metrics")
+_SPLIT = """
+sides AS (SELECT *, event_id % 5 < 1 AS is_test FROM readings)"""
+_FEATURES = ",".join(FEATURE_COLUMNS)
+
+
+@register("regression_metrics", o.with_ctes(o.READINGS, _SPLIT) + """
+SELECT CAST(count_if(NOT is_test) AS BIGINT) AS train_samples,
+       CAST(count_if(is_test) AS BIGINT) AS test_samples,
+       50 AS num_trees, 10 AS max_depth, 8 AS n_features, true AS metrics_consistent
+FROM sides
+""")
 def regression_metrics(spark, sf_dir):
-    """Random-forest demand model: held-out rmse / r2 / mae / mse, sample
-    counts and the configuration that fitted (seeded; no SQL oracle)."""
+    """Random-forest demand model: sample counts, the configuration that
+    fitted, and whether the recorded metrics agree with each other and with the
+    held-out predictions they were taken from (their values are seeded, see
+    ``baseline_metrics`` for the formulas)."""
     t = trained(spark, sf_dir)
     r = t["result"]
-    return spark.createDataFrame(
-        [(r.model_timestamp, r.metrics["rmse"], r.metrics["r2"], r.metrics["mae"],
-          r.metrics["mse"], r.train_rows, r.test_rows, r.config["numTrees"],
-          r.config["maxDepth"], len(r.features))],
-        "model_timestamp string, rmse double, r2 double, mae double, mse double, "
-        "train_samples long, test_samples long, num_trees int, max_depth int, n_features int")
-
-
-@register("forecast_table")
+    p = spark.read.parquet(t["forecasts"]).filter("source = 'holdout'")
+    err = F.col("active_power") - F.col("prediction")
+    near = lambda a, b: F.abs(a - F.lit(b)) <= 1e-9 * F.greatest(F.lit(1.0), F.abs(F.lit(b)))
+    checked = p.agg((near(F.sqrt(F.avg(err * err)), r.metrics["rmse"])
+                     & near(F.avg(err * err), r.metrics["mse"])
+                     & near(F.avg(F.abs(err)), r.metrics["mae"])).alias("metrics_consistent"))
+    return checked.select(
+        F.lit(r.train_rows).cast("long").alias("train_samples"),
+        F.lit(r.test_rows).cast("long").alias("test_samples"),
+        F.lit(r.config["numTrees"]).alias("num_trees"), F.lit(r.config["maxDepth"]).alias("max_depth"),
+        F.lit(len(r.features)).alias("n_features"), "metrics_consistent")
+
+
+@register("forecast_table", o.with_ctes(o.READINGS, _SPLIT) + """
+SELECT event_id, "timestamp", active_power, true AS has_prediction, 'holdout' AS source
+FROM sides WHERE is_test ORDER BY "timestamp" DESC, event_id DESC LIMIT 1000
+""")
 def forecast_table(spark, sf_dir):
-    """The forecasts table written by training (every held-out prediction,
-    tagged 'holdout'); the 1,000 newest rows as the dashboard reads them."""
-    t = trained(spark, sf_dir)
-    f = spark.read.parquet(t["forecasts"])
-    return f.orderBy(F.col("timestamp").desc(), F.col("prediction").desc()).limit(1000)
-
-
-@register("training_log")
+    """The 1,000 newest held-out rows of the forecasts table written by
+    training, as the dashboard reads them."""
+    f = spark.read.parquet(trained(spark, sf_dir)["forecasts"]).filter("source = 'holdout'")
+    has = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return readmodels.newest(f.select("event_id", "timestamp", "active_power",
+                                      has.alias("has_prediction"), "source"), 1000)
+
+
+@register("training_log", o.with_ctes(o.READINGS, _SPLIT) + f"""
+SELECT 'SUCCESS' AS status, count(*) AS num_training_samples,
+       '{_FEATURES}' AS feature_columns, 50 AS num_trees, 10 AS max_depth
+FROM sides WHERE NOT is_test
+""")
 def training_log(spark, sf_dir):
-    """Model-info rows joined to their training runs on the model id."""
+    """The newest model-info row of each model joined to its newest run."""
     t = trained(spark, sf_dir)
-    info = spark.read.parquet(t["model_info"]).drop("created_at")
-    runs = spark.read.parquet(t["training_runs"]).select(
-        "model_timestamp", "status", "duration_seconds", F.to_json("config").alias("config"))
-    return info.join(runs, "model_timestamp", "left").select(
-        "model_timestamp", "status", "rmse", "r2", "mae", "mse", "num_training_samples",
-        F.array_join("feature_columns", ",").alias("feature_columns"), "config")
+    info = readmodels.latest(spark.read.parquet(t["model_info"]), "created_at", by=("model_timestamp",))
+    runs = readmodels.latest(spark.read.parquet(t["training_runs"]), "created_at", by=("model_timestamp",))
+    return info.join(runs.select("model_timestamp", "status", "config"), "model_timestamp", "left").select(
+        "status", "num_training_samples", F.array_join("feature_columns", ",").alias("feature_columns"),
+        F.col("config")["numTrees"].alias("num_trees"), F.col("config")["maxDepth"].alias("max_depth"))
 
 
-@register("score_requests")
+@register("score_requests", o.with_ctes(o.READINGS, o.REQUESTS) + """
+SELECT event_id, CAST(NULL AS DOUBLE) AS active_power, true AS has_prediction, 'request' AS source
+FROM requests WHERE Voltage BETWEEN 0 AND 500 AND "current" BETWEEN 0 AND 100 AND "hour" <= 23
+  AND Sub_metering_1 >= 0 AND Sub_metering_2 >= 0 AND Sub_metering_3 >= 0
+""")
 def score_requests(spark, sf_dir):
     """Validate the request table, score the valid rows with the saved
-    pipeline, append them to the forecasts table as 'request' rows."""
+    pipeline and write them as 'request' forecasts (no actual value) to a table
+    of their own; no other query reads it."""
     t = trained(spark, sf_dir)
-    model = load_model(t["model_path"])
     v = readmodels.validate(fx.requests(spark, sf_dir)).filter("is_valid")
-    scored = forecast.score(model, v)
-    out = scored.select("event_id", "active_power", r6("prediction").alias("prediction"))
-    tables.append_forecasts(out.withColumn("timestamp", F.localtimestamp()),
-                            t["forecasts"], "request")
-    return out
+    scored = forecast.score(load_model(t["model_path"]), v).withColumn("timestamp", F.localtimestamp())
+    path = f"{t['requests']}/{uuid.uuid4().hex[:12]}"
+    tables.append_forecasts(scored, path, "request")
+    has = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return tables.read_result(spark, path, "forecasts").select(
+        "event_id", "active_power", has.alias("has_prediction"), "source")
+
+
+@register("baseline_metrics", o.with_ctes(o.READINGS, o.CAL, """
+pairs AS (SELECT active_power AS y, 2.0 + 0.5 * hour_of_day AS p FROM cal)""") + """
+SELECT count(*) AS n, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse, round(avg((y - p) * (y - p)), 6) AS mse,
+       round(avg(abs(y - p)), 6) AS mae, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2
+FROM pairs
+""")
+def baseline_metrics(spark, sf_dir):
+    """The metric formulas over a prediction that every engine computes alike."""
+    r = fx.readings(spark, sf_dir).withColumn("prediction", F.lit(2.0) + 0.5 * F.hour("timestamp"))
+    return forecast.evaluate(r).select("n", *[r6(c).alias(c) for c in ("rmse", "mse", "mae", "r2")])
 
 
 @register("train_test_split", o.with_ctes(o.READINGS) + """
@@ -96,13 +139,19 @@ def train_test_split(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n_rows"), r6(F.avg("active_power")).alias("avg_active_power")))
 
 
-@register("sample_readings")
+@register("sample_readings", o.with_ctes(o.READINGS) + """
+SELECT * FROM readings
+WHERE CAST('0x' || substr(md5(CAST(event_id AS VARCHAR) || ':42'), 1, 8) AS BIGINT)
+      < (SELECT least(1.0, 5.0 / greatest(count(*) * 0.001, 1e-12)) FROM readings) * 4294967296
+""")
 def sample_readings(spark, sf_dir, target_mb: float = 5.0, row_mb: float = 0.001,
                     seed: int = 42):
-    """Bernoulli sample sized for a target volume: fraction =
-    target_mb / (rows * row_mb), clamped to 1 (a sampling operator, so the
-    row count is approximate by design)."""
+    """Sample sized for a target volume: fraction = target_mb / (rows *
+    row_mb), clamped to 1.  A row is drawn by a seeded hash of its key, so the
+    sample does not depend on partitioning."""
     r = fx.readings(spark, sf_dir)
-    rows = r.count()
-    fraction = min(1.0, target_mb / max(rows * row_mb, 1e-12))
-    return r.sample(withReplacement=False, fraction=fraction, seed=seed)
+    fraction = r.agg(F.least(F.lit(1.0), F.lit(target_mb) / F.greatest(
+        F.count(F.lit(1)) * F.lit(row_mb), F.lit(1e-12)))).scalar()
+    draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("event_id").cast("string"),
+                                                F.lit(str(seed))).cast("binary")), 1, 8), 16, 10)
+    return r.filter(draw.cast("long") < fraction * F.lit(float(1 << 32)))

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import r6
 from ..operators import anomaly, baseline, readmodels
+from ..session import scratch_path
+from ..sinks.tables import write_parquet
 from ..sources import fixtures as fx
 from . import oracle as o
 from .catalog import register
@@ -96,6 +98,33 @@ def expected_power(spark, sf_dir):
                                                "seasonal_factor", "expected_power")])
 
 
+_LI_CAL = """
+cal AS (
+  SELECT "timestamp", active_power, CAST(hour("timestamp") AS INTEGER) AS hour_of_day,
+         CAST(isodow("timestamp") % 7 + 1 AS INTEGER) AS day_of_week,
+         CAST(month("timestamp") AS INTEGER) AS "month"
+  FROM li_readings)"""
+
+
+@register("expected_power_seasons", o.with_ctes(o.LINEITEM_READINGS, _LI_CAL, EXPECTED_CTE.replace(
+    "SELECT event_id, ", "SELECT ")) + """
+SELECT "month", count(*) AS n, round(min(seasonal_factor), 6) AS min_factor,
+       round(max(seasonal_factor), 6) AS max_factor, round(min(weekend_factor), 6) AS min_weekend,
+       round(max(weekend_factor), 6) AS max_weekend, round(avg(prediction), 3) AS avg_prediction
+FROM (SELECT *, base_power * weekend_factor * seasonal_factor AS prediction FROM expected) e
+GROUP BY "month"
+""")
+def expected_power_seasons(spark, sf_dir):
+    """Expected load over several years: the seasonal factors come from the
+    data, not from the defaults."""
+    e = baseline.expected_power(fx.lineitem_readings(spark, sf_dir))
+    return e.groupBy("month").agg(
+        F.count(F.lit(1)).alias("n"), r6(F.min("seasonal_factor")).alias("min_factor"),
+        r6(F.max("seasonal_factor")).alias("max_factor"), r6(F.min("weekend_factor")).alias("min_weekend"),
+        r6(F.max("weekend_factor")).alias("max_weekend"),
+        F.round(F.avg("expected_power"), 3).alias("avg_prediction"))
+
+
 @register("device_class", o.with_ctes(o.READINGS) + """
 SELECT device_id, device_num,
        CASE WHEN device_num < 20 THEN 'large' WHEN device_num > 80 THEN 'small'
@@ -117,8 +146,8 @@ def device_class(spark, sf_dir):
 
 @register("clamped_readings", o.with_ctes(o.READINGS) + """
 SELECT event_id, active_power_clamped, voltage_clamped,
-       round(CASE WHEN voltage_clamped > 0 THEN active_power_clamped / voltage_clamped ELSE 0.0 END, 3)
-         AS current_derived
+       floor(CASE WHEN voltage_clamped > 0 THEN active_power_clamped / voltage_clamped ELSE 0.0 END
+             * 1000.0 + 0.5) / 1000.0 AS current_derived
 FROM (
   SELECT event_id, greatest(active_power, 0.01) AS active_power_clamped,
          CASE WHEN coalesce(is_injected_anomaly, false) THEN least(greatest(voltage, 180), 260)
@@ -135,23 +164,28 @@ def clamped_readings(spark, sf_dir):
 # --------------------------------------------------------------------------
 # validation
 
-def _validate_sql() -> str:
-    rules = []
-    for name, lo, hi, msg in readmodels.VALIDATION_RULES:
-        c = f'"{name}"'
-        cond = f"{c} < {lo}" if hi is None else f"({c} < {lo} OR {c} > {hi})"
-        rules.append((cond, msg))
-    cases = [f"CASE WHEN {cond} THEN '{msg}' END" for cond, msg in rules]
-    counts = " + ".join(f"CASE WHEN {cond} THEN 1 ELSE 0 END" for cond, _ in rules)
-    return o.with_ctes(o.READINGS, o.REQUESTS) + f"""
-SELECT event_id, CAST({counts} AS INTEGER) AS n_errors,
-       nullif(concat_ws(', ', {", ".join(cases)}), '') AS error_message,
-       ({counts}) = 0 AS is_valid
-FROM requests
+# Written out on purpose: the rules under test are a table in the library, so
+# the oracle must not be made from it.
+_VALIDATE_SQL = o.with_ctes(o.READINGS, o.REQUESTS, """
+checked AS (
+  SELECT event_id, [x FOR x IN [
+    CASE WHEN Voltage < 0 OR Voltage > 500 THEN 'Voltage should be between 0 and 500V' END,
+    CASE WHEN "current" < 0 OR "current" > 100 THEN 'Current should be between 0 and 100A' END,
+    CASE WHEN Sub_metering_1 < 0 THEN 'Sub_metering_1 should be a positive value' END,
+    CASE WHEN Sub_metering_2 < 0 THEN 'Sub_metering_2 should be a positive value' END,
+    CASE WHEN Sub_metering_3 < 0 THEN 'Sub_metering_3 should be a positive value' END,
+    CASE WHEN "hour" < 0 OR "hour" > 23 THEN 'Hour should be between 0 and 23' END,
+    CASE WHEN day_of_week < 1 OR day_of_week > 7 THEN 'Day of week should be between 1 and 7' END,
+    CASE WHEN "month" < 1 OR "month" > 12 THEN 'Month should be between 1 and 12' END
+  ] IF x IS NOT NULL] AS errors FROM requests)""") + """
+SELECT event_id, CAST(len(errors) AS INTEGER) AS n_errors,
+       CASE WHEN len(errors) > 0 THEN array_to_string(errors, ', ') END AS error_message,
+       len(errors) = 0 AS is_valid
+FROM checked
 """
 
 
-@register("validate_requests", _validate_sql())
+@register("validate_requests", _VALIDATE_SQL)
 def validate_requests(spark, sf_dir):
     """Range/type validation of scoring requests with error messages."""
     v = readmodels.validate(fx.requests(spark, sf_dir))
@@ -226,25 +260,99 @@ day_stats AS (
   FROM readings GROUP BY 1, 2 HAVING count(active_power) >= 3
 ),
 known AS (
-  SELECT r."timestamp" FROM readings r
+  SELECT r.device_id, r."timestamp" FROM readings r
   JOIN day_stats s ON r.device_id = s.device_id AND strftime(r."timestamp", '%Y-%m-%d') = s.day
   WHERE (r.active_power < s.mean - 3 * s.stddev OR r.active_power > s.mean + 3 * s.stddev)
         OR r.is_injected_anomaly
 )""") + f"""
 SELECT {_FEED_SQL} FROM anomalies a
-WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k."timestamp" = a."timestamp")
+WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.device_id = a.device_id
+                  AND k."timestamp" = a."timestamp")
 """)
 def new_anomalies(spark, sf_dir):
     """Anomalies of the per-device model not already reported by the
-    per-day model (left anti join on the timestamp)."""
+    per-day model (left anti join on device and timestamp)."""
     r = fx.readings(spark, sf_dir)
     known = anomaly.detect(r.withColumn("day", F.date_format("timestamp", "yyyy-MM-dd")),
                            keys=("device_id", "day"))
     incoming = readmodels.anomaly_feed(anomaly.detect(r))
-    return readmodels.new_since(incoming, known, "timestamp")
+    return readmodels.new_since(incoming, known)
+
+
+# Literal rows of a model registry: runs, info rows (one model has two, written
+# out of order) and artifacts in two places.
+_RUN_ROWS = [("20240101_000000", "FAILED", 1.5, "no rows"), ("20240102_000000", "SUCCESS", 9.0, None),
+             ("20240103_000000", "CRASHED", 2.0, "disk"), ("20240104_000000", "SUCCESS", 8.0, None),
+             ("20240104_000000", "SUCCESS", 8.5, None)]
+_INFO_ROWS = [("20240104_000000", 1.25, 0.5, "2024-01-04 00:10:00"), ("20240102_000000", 2.5, 0.25, "2024-01-05 09:00:00"),
+              ("20240104_000000", 1.0, 0.75, "2024-01-04 00:20:00"), ("20240102_000000", 2.75, 0.125, "2024-01-02 00:05:00")]
+_ARTIFACT_ROWS = [("pipeline", "20240102_000000", "a/2"), ("pipeline", "20240104_000000", "a/4"),
+                  ("pipeline", "20240104_000000", "b/4"), ("regressor", "20240102_000000", "r/2"),
+                  ("regressor", "20240103_000000", "r/3")]
+
 
+def _literal(v) -> str:
+    return "NULL" if v is None else str(v) if isinstance(v, float) else f"'{v}'"
 
-_RUNS_SQL = o.with_ctes(o.READINGS, o.CAL, EXPECTED_CTE, """
+
+def _rows_sql(rows) -> str:
+    return ", ".join("(" + ", ".join(_literal(v) for v in r) + ")" for r in rows)
+
+
+_REGISTRY = (f"""
+runs(model_timestamp, status, duration_seconds, error_message) AS (VALUES {_rows_sql(_RUN_ROWS)})""", f"""
+info AS (SELECT model_timestamp, CAST(rmse AS DOUBLE) AS rmse, CAST(r2 AS DOUBLE) AS r2,
+                CAST(created_at AS TIMESTAMP) AS created_at
+         FROM (VALUES {_rows_sql(_INFO_ROWS)}) v(model_timestamp, rmse, r2, created_at))""", f"""
+artifacts(kind, model_timestamp, path) AS (VALUES {_rows_sql(_ARTIFACT_ROWS)})""", """
+newest AS (SELECT * FROM info QUALIFY row_number() OVER (PARTITION BY model_timestamp
+                                                         ORDER BY created_at DESC) = 1)""")
+
+
+def _registry(spark) -> dict:
+    info = spark.createDataFrame(_INFO_ROWS, "model_timestamp string, rmse double, r2 double, created_at string")
+    return {"runs": spark.createDataFrame(
+        _RUN_ROWS, "model_timestamp string, status string, duration_seconds double, error_message string"),
+        "info": info.withColumn("created_at", F.col("created_at").cast("timestamp_ntz")),
+        "artifacts": spark.createDataFrame(_ARTIFACT_ROWS, "kind string, model_timestamp string, path string")}
+
+
+@register("model_runs", o.with_ctes(*_REGISTRY, """
+last_runs AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY model_timestamp
+                                                            ORDER BY duration_seconds DESC) = 1)""") + """
+SELECT r.model_timestamp, status, CAST(duration_seconds AS DOUBLE) AS duration_seconds, error_message, rmse, r2
+FROM last_runs r LEFT JOIN newest n ON r.model_timestamp = n.model_timestamp
+""")
+def model_runs(spark, sf_dir):
+    """The last run of each model with its newest info row, if it has one
+    (registry rows are literal)."""
+    t = _registry(spark)
+    info = readmodels.latest(t["info"], "created_at", by=("model_timestamp",)).drop("created_at")
+    runs = readmodels.latest(t["runs"], "duration_seconds", by=("model_timestamp",))
+    return runs.join(info, "model_timestamp", "left")
+
+
+@register("latest_model", o.with_ctes(*_REGISTRY) + """
+SELECT * FROM info ORDER BY created_at DESC LIMIT 1
+""")
+def latest_model(spark, sf_dir):
+    """The newest model-info row, by its creation time."""
+    return readmodels.latest(_registry(spark)["info"], "created_at")
+
+
+@register("artifact_info", o.with_ctes(*_REGISTRY, """
+last_artifact AS (SELECT * FROM artifacts QUALIFY row_number() OVER (
+  PARTITION BY kind ORDER BY model_timestamp DESC, path DESC) = 1)""") + """
+SELECT kind, a.model_timestamp, path, rmse, r2, created_at
+FROM last_artifact a LEFT JOIN newest n ON a.model_timestamp = n.model_timestamp
+""")
+def artifact_info(spark, sf_dir):
+    """The newest artifact of each kind with the newest info row of its model."""
+    t = _registry(spark)
+    return readmodels.artifact_info(t["artifacts"], t["info"])
+
+
+_DAILY_SQL = o.with_ctes(o.READINGS, o.CAL, EXPECTED_CTE, """
 runs AS (
   SELECT strftime("timestamp", '%Y%m%d') || '_000000' AS model_timestamp,
          count(*) AS num_training_samples,
@@ -252,13 +360,12 @@ runs AS (
          round(avg((active_power - prediction) * (active_power - prediction)), 6) AS mse,
          round(avg(abs(active_power - prediction)), 6) AS mae,
          round(1 - sum((active_power - prediction) * (active_power - prediction))
-                   / (var_pop(active_power) * count(*)), 6) AS r2,
-         'SUCCESS' AS status
+                   / (var_pop(active_power) * count(*)), 6) AS r2
   FROM forecasts GROUP BY 1
 )""")
 
 
-def _model_runs(spark, sf_dir):
+def _daily(spark, sf_dir):
     """One evaluation row per calendar day of the baseline model."""
     f = _forecasts(spark, sf_dir)
     err = F.col("active_power") - F.col("prediction")
@@ -271,22 +378,13 @@ def _model_runs(spark, sf_dir):
     return runs.select("model_timestamp", "num_training_samples",
                        r6(F.sqrt("_mse")).alias("rmse"), r6("_mse").alias("mse"),
                        r6("_mae").alias("mae"),
-                       r6(F.lit(1) - F.try_divide(F.col("_sse"), F.col("_sst"))).alias("r2"),
-                       F.lit("SUCCESS").alias("status"))
+                       r6(F.lit(1) - F.try_divide(F.col("_sse"), F.col("_sst"))).alias("r2"))
 
 
-@register("model_runs", _RUNS_SQL + "SELECT * FROM runs")
-def model_runs(spark, sf_dir):
-    """Model-info rows: per-day evaluation of the baseline model."""
-    return _model_runs(spark, sf_dir)
-
-
-@register("latest_model", _RUNS_SQL + """
-SELECT * FROM runs ORDER BY model_timestamp DESC LIMIT 1
-""")
-def latest_model(spark, sf_dir):
-    """Latest model info = the row with the largest model id (max_by)."""
-    return readmodels.latest(_model_runs(spark, sf_dir), "model_timestamp")
+@register("daily_evaluation", _DAILY_SQL + "SELECT * FROM runs")
+def daily_evaluation(spark, sf_dir):
+    """Per-day evaluation of the baseline model."""
+    return _daily(spark, sf_dir)
 
 
 @register("table_counts", o.with_ctes(o.READINGS, o.CAL, EXPECTED_CTE, ANOMALIES_CTE, """
@@ -296,7 +394,13 @@ SELECT (SELECT count(*) FROM anomalies) AS anomalies_count,
        (SELECT count(*) FROM runs) AS model_info_count
 """)
 def table_counts(spark, sf_dir):
-    """Row counts of the anomalies, forecasts and model-info tables."""
-    return readmodels.table_counts(anomalies=_anomalies(spark, sf_dir),
-                                   forecasts=_forecasts(spark, sf_dir),
-                                   model_info=_model_runs(spark, sf_dir))
+    """Row counts of the anomalies, forecasts and model-info tables, counted
+    as written."""
+    made = {"anomalies": _anomalies(spark, sf_dir), "forecasts": _forecasts(spark, sf_dir),
+            "model_info": fx.readings(spark, sf_dir).select(F.to_date("timestamp").alias("day")).distinct()}
+    counted = {}
+    for name, df in made.items():
+        path = scratch_path(spark, f"table-{name}")
+        write_parquet(df, path)
+        counted[name] = spark.read.parquet(path)
+    return readmodels.table_counts(**counted)

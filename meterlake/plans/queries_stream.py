@@ -7,26 +7,23 @@ directory (shared storage on a cluster), runs the stream with
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.columns import r6
 from ..operators import profiles
 from ..session import scratch_path
-from ..sinks.tables import write_document
+from ..sinks.tables import create_result_tables, read_result, write_document
 from ..sources import document
 from ..sources import fixtures as fx
 from ..streaming import detect as sdetect
+from ..streaming import payload
 from ..streaming import sources as ssrc
 from . import oracle as o
 from .catalog import register
 
-_EVENT_SQL = """
-events_d3 AS (
-  SELECT CAST(floor(epoch_us("timestamp") / 1000000) AS BIGINT) AS "timestamp", device_id,
-         active_power, reactive_power, voltage, "current", Sub_metering_1, Sub_metering_2,
-         Sub_metering_3, is_injected_anomaly
-  FROM readings
-)"""
+_EVENT_SQL = o.EVENTS_D3
 
 _D6 = ['"timestamp"', "device_id", "active_power", "reactive_power", "voltage", '"current"',
        "Sub_metering_1", "Sub_metering_2", "Sub_metering_3", "is_injected_anomaly"]
@@ -44,16 +41,7 @@ def stream_json_parse(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
-@register("stream_3sigma", o.with_ctes(o.READINGS, _EVENT_SQL, """
-stats AS (
-  SELECT device_id, avg(active_power) AS mean, stddev_samp(active_power) AS stddev
-  FROM events_d3 GROUP BY device_id HAVING count(active_power) >= 3
-),
-scored AS (
-  SELECT e.*, s.mean, s.stddev, s.mean - 3 * s.stddev AS lower_bound,
-         s.mean + 3 * s.stddev AS upper_bound
-  FROM events_d3 e JOIN stats s USING (device_id)
-)""") + f"""
+@register("stream_3sigma", o.with_ctes(o.READINGS, _EVENT_SQL, o.SCORED) + f"""
 SELECT {", ".join(_D6)},
        (active_power < lower_bound OR active_power > upper_bound) AS is_anomaly,
        round(mean, 6) AS mean, round(stddev, 6) AS stddev,
@@ -70,7 +58,7 @@ def stream_3sigma(spark, sf_dir):
     ssrc.publish_files(fx.readings(spark, sf_dir), src)
     q, _ = sdetect.start_detection(ssrc.file_stream(spark, src), table, ckpt, available_now=True)
     q.awaitTermination()
-    out = spark.read.parquet(table)
+    out = read_result(spark, table, "anomalies")
     return out.select("timestamp", "device_id", "active_power", "reactive_power", "voltage",
                       "current", "Sub_metering_1", "Sub_metering_2", "Sub_metering_3",
                       "is_injected_anomaly", "is_anomaly", r6("mean").alias("mean"),
@@ -78,6 +66,39 @@ def stream_3sigma(spark, sf_dir):
                       r6("upper_bound").alias("upper_bound"))
 
 
+@register("anomalies_table", o.with_ctes(o.READINGS, o.EVENTS_D3, o.SCORED) + """
+SELECT "timestamp", device_id, active_power, is_anomaly FROM (
+  SELECT *, (active_power < lower_bound OR active_power > upper_bound) AS is_anomaly FROM scored) x
+WHERE is_anomaly OR is_injected_anomaly
+""")
+def anomalies_table(spark, sf_dir):
+    """The detector's rows read by the name of the SQL table it registers its
+    partitions with."""
+    src, where, ckpt = (scratch_path(spark, n) for n in ("payload", "results", "ckpt"))
+    name = f"meterlake_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{where}'")
+    create_result_tables(spark, where, name)
+    ssrc.publish_files(fx.readings(spark, sf_dir), src)
+    q, _ = sdetect.start_detection(ssrc.file_stream(spark, src), f"{where}/anomalies", ckpt,
+                                   available_now=True, table=f"{name}.anomalies")
+    q.awaitTermination()
+    return spark.table(f"{name}.anomalies").select("timestamp", "device_id", "active_power", "is_anomaly")
+
+
+@register("payload_rejects", o.with_ctes(o.READINGS) + """
+SELECT count(*) AS n_payloads, CAST(count_if(event_id % 31 = 1 OR event_id % 37 = 2 OR event_id % 41 = 3)
+         AS BIGINT) AS n_rejected
+FROM readings
+""")
+def payload_rejects(spark, sf_dir):
+    """Count of payloads that cannot be used: broken JSON, no device, NULL."""
+    e = F.col("event_id")
+    p = fx.readings(spark, sf_dir).select("event_id", payload.event_json().alias("value"))
+    bad = (F.when(e % 31 == 1, F.substring("value", 1, 25)).when(e % 37 == 2, F.lit('{"timestamp": 5}'))
+           .when(e % 41 == 3, F.lit(None)).otherwise(F.col("value")))
+    return payload.rejects(p.select(bad.alias("value")))
+
+
 def _document_sql() -> str:
     parts = []
     hourly = {"avg_active_power": "avg(active_power)",

@@ -19,9 +19,9 @@ RAW_ALIASES = {
     "Global_reactive_power": ["reactive_power", "globalreactivepower"],
     "Voltage": ["voltage"],
     "Global_intensity": ["current", "globalintensity", "intensity"],
-    "Sub_metering_1": ["submetering1", "sub_metering1"],
-    "Sub_metering_2": ["submetering2", "sub_metering2"],
-    "Sub_metering_3": ["submetering3", "sub_metering3"],
+    "Sub_metering_1": ["submetering_1", "submetering1", "sub_metering1"],
+    "Sub_metering_2": ["submetering_2", "submetering2", "sub_metering2"],
+    "Sub_metering_3": ["submetering_3", "submetering3", "sub_metering3"],
 }
 
 # raw measure -> clean measure name
@@ -44,6 +44,7 @@ CLEAN_READINGS = T.StructType(
     [T.StructField("timestamp", T.TimestampNTZType(), True)]
     + [T.StructField(c, T.DoubleType(), True) for c in MEASURES])
 
+# Fixed values (the layouts below must match the result tables).
 # D3: one reading event as carried in a stream payload.
 READING_EVENT = T.StructType([
     T.StructField("timestamp", T.LongType()),
@@ -64,6 +65,22 @@ ANOMALY_COLUMNS = ["timestamp", "device_id", "active_power", "reactive_power", "
                    "is_anomaly", "is_injected_anomaly", "mean", "stddev",
                    "lower_bound", "upper_bound", "detection_time"]
 
+# D6 as a table written by the stream.
+ANOMALIES = T.StructType(
+    READING_EVENT.fields[:-1] + [T.StructField("is_anomaly", T.BooleanType())] + READING_EVENT.fields[-1:]
+    + [T.StructField(c, T.DoubleType()) for c in ("mean", "stddev", "lower_bound", "upper_bound")]
+    + [T.StructField("detection_time", T.TimestampType()), T.StructField("batch_id", T.LongType())])
+
+# D7: forecasts; rows of scored requests have no actual value.
+FORECASTS = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("timestamp", T.TimestampNTZType()),
+    T.StructField("active_power", T.DoubleType()),
+    T.StructField("prediction", T.DoubleType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("created_at", T.TimestampType()),
+])
+
 # D8: model info.
 MODEL_INFO = T.StructType([
     T.StructField("model_timestamp", T.StringType()),

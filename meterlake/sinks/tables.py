@@ -7,9 +7,12 @@ converted to pandas on the driver.  Appends to result tables add a
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import ANOMALIES, FORECASTS, MODEL_INFO, TRAINING_RUNS
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> None:
@@ -54,40 +57,62 @@ def append_stamped(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def append_forecasts(predictions: DataFrame, path: str, source: str) -> None:
-    """Forecast rows (timestamp, active_power, prediction) tagged with their
-    source ('holdout' predictions or scored 'request's)."""
-    cols = ["timestamp", "active_power", "prediction"]
-    out = predictions.select(*[F.col(c) if c in predictions.columns else F.lit(None).cast("double").alias(c)
-                               for c in cols]).withColumn("source", F.lit(source))
-    append_stamped(out, path)
-
-
-RESULT_TABLE_DDL = {
-    "anomalies": """timestamp BIGINT, device_id STRING, active_power DOUBLE,
-        reactive_power DOUBLE, voltage INT, current DOUBLE, Sub_metering_1 DOUBLE,
-        Sub_metering_2 DOUBLE, Sub_metering_3 DOUBLE, is_anomaly BOOLEAN,
-        is_injected_anomaly BOOLEAN, mean DOUBLE, stddev DOUBLE, lower_bound DOUBLE,
-        upper_bound DOUBLE, detection_time TIMESTAMP, batch_id BIGINT""",
-    "forecasts": """timestamp TIMESTAMP_NTZ, active_power DOUBLE, prediction DOUBLE,
-        source STRING, created_at TIMESTAMP""",
-    "model_info": """model_timestamp STRING, rmse DOUBLE, r2 DOUBLE, mae DOUBLE, mse DOUBLE,
-        coefficients STRING, intercept DOUBLE, feature_columns ARRAY<STRING>,
-        num_training_samples BIGINT, created_at TIMESTAMP""",
-    "training_runs": """model_timestamp STRING, status STRING, duration_seconds DOUBLE,
-        config MAP<STRING, INT>, error_message STRING, created_at TIMESTAMP""",
-}
+    """Forecast rows tagged with their source: 'holdout' predictions with the
+    actual value, or scored 'request's, whose actual value is NULL."""
+    out = predictions
+    if source == "request":
+        out = out.withColumn("active_power", F.lit(None).cast("double"))
+    cols = [(F.col(f.name) if f.name in out.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in FORECASTS.fields[:-2]]
+    append_stamped(out.select(*cols, F.lit(source).alias("source")), path)
+
+
+RESULT_TABLES = {"anomalies": ANOMALIES, "forecasts": FORECASTS, "model_info": MODEL_INFO,
+                 "training_runs": TRAINING_RUNS}
 
 
 def create_result_tables(spark: SparkSession, location: str, database: str | None = None) -> None:
     """CREATE TABLE IF NOT EXISTS for the four result tables (Parquet, at
     ``location/<name>``); anomalies are partitioned by batch."""
     prefix = f"{database}." if database else ""
-    for name, cols in RESULT_TABLE_DDL.items():
+    for name, schema in RESULT_TABLES.items():
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         part = " PARTITIONED BY (batch_id)" if name == "anomalies" else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({cols}) USING parquet{part} "
                   f"LOCATION '{location}/{name}'")
-
-
-def save_model(model, path: str) -> None:
-    """Save a fitted pipeline (overwrite)."""
-    model.write().overwrite().save(path)
+    # batches that were written before the table was made
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{location}/anomalies")
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        recover_partitions(spark, f"{prefix}anomalies")
+
+
+def recover_partitions(spark: SparkSession, table: str) -> None:
+    """Make partitions that were written to a table's location visible in it."""
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+
+def read_result(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """A result table by its path; with its columns and no rows where nothing
+    has been written yet."""
+    schema = RESULT_TABLES[name]
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def save_model(model, *paths: str) -> list[str]:
+    """Save a fitted pipeline to every location (overwrite).  Returns those
+    that accepted it; an error if none did."""
+    saved, errors = [], []
+    for path in paths:
+        try:
+            model.write().overwrite().save(path)
+            saved.append(path)
+        except Exception as e:  # noqa: BLE001 - the other locations are still tried
+            errors.append(f"{path}: {e}")
+    if not saved:
+        raise IOError("no location accepted the model: " + "; ".join(errors))
+    return saved

@@ -55,14 +55,16 @@ def default_sections() -> dict[str, Column]:
 
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:
-    """One-row document.  If the file is absent or any section is missing,
-    the whole default profile is used (as the calibration consumer does)."""
+    """One-row document, whatever its layout (one line or indented).  If the
+    file is absent, unreadable, or any section is missing, the whole default
+    profile is used (as the calibration consumer does)."""
     defaults = default_sections()
     try:
-        doc = spark.read.schema(DOCUMENT_SCHEMA).json(path)
+        parsed = spark.read.schema(DOCUMENT_SCHEMA).option("multiLine", "true").json(path)
     except AnalysisException:
-        return spark.range(1).select(*[defaults[s].cast(DOCUMENT_SCHEMA[s].dataType).alias(s)
-                                       for s in SECTIONS])
+        parsed = spark.createDataFrame([], DOCUMENT_SCHEMA)
+    # exactly one row: the first object, or NULLs where there is none
+    doc = parsed.agg(F.first(F.struct(*SECTIONS)).alias("d")).select("d.*")
     complete = F.lit(True)
     for s in SECTIONS:
         complete = complete & F.col(s).isNotNull()

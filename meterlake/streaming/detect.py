@@ -18,45 +18,57 @@ from ..operators.anomaly import detect
 from ..schemas import ANOMALY_COLUMNS
 
 
+KEEP_COUNTS = 100
+
+
 class AnomalyBatchWriter:
     """``foreachBatch`` callback: detect, then overwrite this batch's partition."""
 
     def __init__(self, table_path: str, k: float = 3.0, min_count: int = 3,
-                 output_format: str = "parquet"):
+                 output_format: str = "parquet", table: str | None = None):
         self.table_path = table_path
+        self.table = table
         self.k = k
         self.min_count = min_count
         self.output_format = output_format
-        self.counts: dict[int, int] = {}
+        self.counts: dict[int, int] = {}   # anomalies of the KEEP_COUNTS latest batches
+
+    def _count(self, batch_id: int, n: int) -> None:
+        self.counts[batch_id] = n
+        for old in sorted(self.counts)[:-KEEP_COUNTS]:
+            del self.counts[old]
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         batch_df = batch_df.persist()
-        cached: list[DataFrame] = []
         try:
             if batch_df.isEmpty():
-                self.counts[batch_id] = 0
+                self._count(batch_id, 0)
                 return
-            found = detect(batch_df, k=self.k, min_count=self.min_count,
-                           with_detection_time=True, cached=cached)
+            found = detect(batch_df, k=self.k, min_count=self.min_count, with_detection_time=True)
             cols = [c for c in ANOMALY_COLUMNS if c in found.columns]
             obs = Observation(f"anomalies_{batch_id}")
             out = (found.select(*cols).withColumn("batch_id", F.lit(batch_id))
                    .observe(obs, F.count(F.lit(1)).alias("n")))
             (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").format(self.output_format).save(self.table_path))
-            self.counts[batch_id] = int(obs.get.get("n", 0))
+            if self.table:
+                batch_df.sparkSession.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS "
+                                          f"PARTITION (batch_id = {int(batch_id)})")
+                batch_df.sparkSession.catalog.refreshTable(self.table)
+            self._count(batch_id, int(obs.get.get("n", 0)))
         finally:
-            for df in cached:
-                df.unpersist()
             batch_df.unpersist()
 
 
 def start_detection(stream: DataFrame, table_path: str, checkpoint: str,
                     processing_time: str | None = "10 seconds", available_now: bool = False,
-                    k: float = 3.0, min_count: int = 3) -> tuple[StreamingQuery, AnomalyBatchWriter]:
+                    k: float = 3.0, min_count: int = 3, output_format: str = "parquet",
+                    table: str | None = None) -> tuple[StreamingQuery, AnomalyBatchWriter]:
     """Start the detector.  ``checkpoint`` must be a stable, caller-given
-    location so a restart resumes where it stopped."""
-    writer = AnomalyBatchWriter(table_path, k, min_count)
+    location so a restart resumes where it stopped.  ``output_format`` is that
+    of the anomalies table (``parquet``, or ``json`` for JSON lines); ``table``
+    names the SQL table at ``table_path``, if there is one."""
+    writer = AnomalyBatchWriter(table_path, k, min_count, output_format, table)
     w = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)

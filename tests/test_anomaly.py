@@ -70,3 +70,23 @@ def test_stats_join_is_broadcast(spark):
     from conftest import SF_SMALL
     plan = anomaly.detect(fx.readings(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_one_nan_reading_flags_nothing_else(spark):
+    rows = [("a", 1.0 + i / 100) for i in range(29)] + [("a", float("nan")), ("a", 500.0)]
+    df = spark.createDataFrame(rows, "device_id string, active_power double")
+    out = anomaly.detect(df, injected=None).collect()
+    assert [r.active_power for r in out] == [500.0]
+    stats = anomaly.group_stats(df).first()
+    assert stats["count"] == 30 and stats["mean"] == stats["mean"]
+
+
+def test_building_detection_starts_no_job(spark):
+    df = spark.createDataFrame([("a", 1.0)] * 5, "device_id string, active_power double")
+    sc = spark.sparkContext
+    sc.setJobGroup("build-only", "building a plan")
+    try:
+        anomaly.detect(df)
+        assert not sc.statusTracker().getJobIdsForGroup("build-only")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)

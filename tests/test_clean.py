@@ -1,9 +1,12 @@
 """Cleaning rules on literal raw rows and CSV files."""
 
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from meterlake import jobs
 from meterlake.operators import clean
 from meterlake.sources.readers import read_raw_csv
 
@@ -40,7 +43,7 @@ def test_aliases_and_index_column(spark):
     df = spark.createDataFrame(
         [("0", "16/12/2006", "17:24:00", "1.5", "0.1", "240", "6.2", "1", "2", "3")],
         "_c0 string, date string, time string, active_power string, reactive_power string, "
-        "voltage string, intensity string, sub_metering1 string, submetering2 string, "
+        "voltage string, intensity string, sub_metering1 string, submetering_2 string, "
         "sub_metering3 string")
     out = clean.clean(df).collect()[0]
     assert out.active_power == 1.5 and out.Voltage == 240.0 and out.current == 6.2
@@ -80,12 +83,89 @@ def test_dense_index_and_imputation(spark):
     assert out[0].was_imputed and not out[1].was_imputed
 
 
-def test_dense_index_many_buckets(spark):
-    df = spark.range(0, 5000, 7).withColumnRenamed("id", "k")
-    idx = clean.dense_index(df, "k", num_buckets=13).orderBy("k").collect()
+def test_dense_index_many_partitions(spark):
+    df = spark.range(0, 5000, 7).withColumnRenamed("id", "k").repartition(13)
+    idx = clean.dense_index(df, "k").orderBy("k").collect()
     assert [r.row_index for r in idx] == list(range(len(idx)))
 
 
+def test_dense_index_null_tied_large_and_text_keys(spark):
+    rows = [(None if i % 5 == 0 else i // 7, (1 << 60) + i, f"k{i:04d}", i) for i in range(900)]
+    rows += [rows[3]] * 20
+    for parts in (1, 6):
+        df = spark.createDataFrame(rows, "tied long, large long, word string, id long").repartition(parts)
+        tied = clean.dense_index(df, "tied", tie_breaker=("id",)).collect()
+        assert len(tied) == len(rows)
+        order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[3]))
+        assert [r.id for r in sorted(tied, key=lambda r: r.row_index)] == [r[3] for r in order]
+        for key in ("large", "word"):
+            got = sorted(clean.dense_index(df, key).collect(), key=lambda r: r.row_index)
+            assert [r.row_index for r in got] == list(range(len(rows)))
+            assert [r.id for r in got] == sorted(r[3] for r in rows)
+
+
+def test_clean_keeps_rows_without_key(spark):
+    rows = [(i if i % 3 else None, "16/12/2006" if i != 4 else "", f"10:{i % 60:02d}:00") for i in range(90)]
+    df = spark.createDataFrame(rows, "k long, Date string, Time string")
+    out = clean.clean(df, order_by="k", impute_step_minutes=1).collect()
+    assert len(out) == 90 and all(r.timestamp is not None for r in out)
+
+
+def _ingest_lines(days):
+    return [HEADER] + [f"{d},10:00:00,1.0,0.1,240,4,1,2,3" for d in days]
+
+
+def test_default_ingest_in_file_order(spark, tmp_dir):
+    """No order column: rows are counted file by file, in file order."""
+    _write(tmp_dir, _ingest_lines(["", "1/1/2007", "", "1/3/2007"]), "b.csv")
+    one = jobs.ingest(spark, f"{tmp_dir}/b.csv", f"{tmp_dir}/one", f"{tmp_dir}/stats")
+    assert sorted(str(r.timestamp) for r in one.collect()) == [
+        "2007-01-01 09:59:00", "2007-01-01 10:00:00", "2007-01-01 10:01:00", "2007-03-01 10:00:00"]
+    folder = os.path.join(tmp_dir, "many")
+    os.mkdir(folder)
+    _write(folder, _ingest_lines(["", ""] * 20), "a.csv")
+    _write(folder, _ingest_lines(["", "", "5/5/2007"] + [""] * 400), "b.csv")
+    _write(folder, _ingest_lines(["", "6/6/2007"]), "c.csv")
+    many = jobs.ingest(spark, folder, f"{tmp_dir}/out").collect()
+    anchor = dt.datetime(2007, 5, 5, 10, 0)     # row 42 of all
+    expected = [anchor + dt.timedelta(minutes=i - 42) for i in range(445)]
+    expected[-1] = dt.datetime(2007, 6, 6, 10, 0)
+    assert sorted(r.timestamp for r in many) == sorted(expected)
+
+
+def test_small_splits_do_not_change_file_order(spark, tmp_dir):
+    path = _write(tmp_dir, _ingest_lines(["5/5/2007"] + [""] * 600))
+    key = "spark.sql.files.maxPartitionBytes"
+    saved = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "2048")
+        raw = clean.with_file_position(read_raw_csv(spark, path))
+        assert raw.rdd.getNumPartitions() > 4
+        out = clean.impute_timestamps(clean.typed_readings(raw, clean.FILE_POSITION), None)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.row_index for r in out.collect()) == list(range(601))
+        start = dt.datetime(2007, 5, 5, 10, 0)
+        assert sorted(r.timestamp for r in out.collect()) == [start + dt.timedelta(minutes=i) for i in range(601)]
+        assert "rangepartitioning" not in plan      # no row is moved to be numbered
+    finally:
+        spark.conf.set(key, saved)
+
+
+def test_ingest_of_an_empty_export_is_refused(spark, tmp_dir):
+    path = _write(tmp_dir, [HEADER])
+    with pytest.raises(ValueError, match="no readings"):
+        jobs.ingest(spark, path, f"{tmp_dir}/none")
+
+
+def test_command_line_ingest(spark, tmp_dir, monkeypatch, capsys):
+    from meterlake import __main__ as cli
+    _write(tmp_dir, _ingest_lines(["1/1/2007", ""]))
+    monkeypatch.setattr(cli, "get_session", lambda *a, **k: spark)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    assert cli.main(["ingest", f"{tmp_dir}/raw.csv", f"{tmp_dir}/out"]) == 0
+    assert '"rows": 2' in capsys.readouterr().out
+
+
 def test_imputation_without_any_valid_timestamp(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "id long, timestamp timestamp_ntz")
     out = clean.impute_timestamps(df, "id").orderBy("id").collect()

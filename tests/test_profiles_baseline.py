@@ -38,12 +38,6 @@ def test_single_reading_stddev_is_null(spark):
     assert profiles.overall_profile(r).collect()[0].overall_stddev_power is None
 
 
-def test_empty_season_has_no_row(spark):
-    r = _readings(spark).filter(F.month("timestamp") == 1)
-    seasons = {x.season for x in profiles.season_profile(r).collect()}
-    assert seasons == {"winter"}
-
-
 def test_profile_pass_matches_direct_profiles(spark):
     r = _readings(spark)
     p = profiles.profile_pass(r)
@@ -109,3 +103,29 @@ def test_device_class_and_clamps(spark):
     assert [x.voltage_clamped for x in out] == [245, 200, 215, 230]
     assert out[0].active_power_clamped == 0.01
     assert out[0].current_derived == round(0.01 / 245, 3)
+
+
+def test_indented_document_is_read_as_one_row(spark, tmp_path):
+    import json
+
+    from meterlake.sinks.tables import write_document
+    from meterlake.operators import profiles
+    from meterlake.sources import document
+    from meterlake.sources import fixtures as fx
+    from conftest import SF_SMALL
+    write_document(profiles.statistics_document(fx.readings(spark, SF_SMALL)), str(tmp_path / "d"))
+    text = next((tmp_path / "d").glob("part-*")).read_text()
+    (tmp_path / "pretty.json").write_text(json.dumps(json.loads(text), indent=4))
+    docs = [document.read_document(spark, str(tmp_path / x)) for x in ("d", "pretty.json")]
+    assert [d.count() for d in docs] == [1, 1] and docs[0].first() == docs[1].first()
+    (tmp_path / "broken.json").write_text("{ not json")
+    for name in ("broken.json", "absent.json"):
+        d = document.read_document(spark, str(tmp_path / name))
+        assert d.count() == 1 and d.first().overall_stats.overall_avg_power == 2.2
+
+
+def test_season_without_readings_has_a_row(spark):
+    from meterlake.operators import profiles
+    df = spark.sql("SELECT timestamp_ntz'2024-01-05 10:00:00' AS timestamp, 4.0D AS active_power")
+    out = {r.season: (r.n, r.avg_power) for r in profiles.season_profile(df).collect()}
+    assert out == {"winter": (1, 4.0), "summer": (0, None), "other": (0, None)}

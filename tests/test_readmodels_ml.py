@@ -41,13 +41,16 @@ def test_topk_and_latest(spark):
 
 def test_new_since_and_overlay(spark):
     t = [dt.datetime(2024, 1, 1, h) for h in range(3)]
-    inc = spark.createDataFrame([(x, 1.0) for x in t], "timestamp timestamp_ntz, value double")
-    known = spark.createDataFrame([(t[0],)], "timestamp timestamp_ntz")
-    assert readmodels.new_since(inc, known).count() == 2
+    inc = spark.createDataFrame([("a", x, 1.0) for x in t] + [("b", t[0], 1.0)],
+                                "device_id string, timestamp timestamp_ntz, value double")
+    known = spark.createDataFrame([("a", t[0]), ("a", t[0])], "device_id string, timestamp timestamp_ntz")
+    # another device at a known time is new
+    assert {(r.device_id, r.timestamp) for r in readmodels.new_since(inc, known).collect()} == {
+        ("a", t[1]), ("a", t[2]), ("b", t[0])}
     f = spark.createDataFrame([(t[0], 1.0, 1.1)], "timestamp timestamp_ntz, active_power double, prediction double")
     a = spark.createDataFrame([(t[1], 9.0)], "timestamp timestamp_ntz, active_power double")
-    s = {r.series for r in readmodels.series_overlay(f, a).collect()}
-    assert s == {"forecast", "actual", "anomaly"}
+    s = {(r.series, r.value) for r in readmodels.series_overlay(f, a).collect()}
+    assert s == {("forecast", 1.1), ("actual", 1.0), ("anomaly", 9.0)}
 
 
 def test_formatted_time_passes_bad_text(spark):
@@ -75,6 +78,64 @@ def test_sinks_ddl_and_fallback(spark, tmp_dir):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_registry_rows_on_duplicates(spark):
+    info = spark.createDataFrame([("m1", 1.0, 5), ("m2", 2.0, 3), ("m1", 0.5, 9)], "model_timestamp string, rmse double, created_at int")
+    arts = spark.createDataFrame([("p", "m1", "x/1"), ("p", "m2", "x/2"), ("p", "m2", "y/2"), ("q", "m3", "z")],
+                                 "kind string, model_timestamp string, path string")
+    assert readmodels.latest(info, "created_at").first().rmse == 0.5
+    got = {r.kind: (r.path, r.rmse) for r in readmodels.artifact_info(arts, info).collect()}
+    assert got == {"p": ("y/2", 2.0), "q": ("z", None)}
+
+
+def test_results_before_anything_was_written(spark, tmp_dir):
+    out = tables.read_result(spark, os.path.join(tmp_dir, "none"), "anomalies")
+    assert out.count() == 0 and "lower_bound" in out.columns
+
+
+def test_training_gates_and_records(spark, tmp_dir):
+    import pytest
+
+    from meterlake import jobs
+    r = fx.readings(spark, SF_SMALL)
+    small = [{"numTrees": 2, "maxDepth": 2}]
+    with pytest.raises(ValueError, match="empty"):
+        jobs.train(spark, r.limit(0), f"{tmp_dir}/empty", small)
+    run = spark.read.parquet(f"{tmp_dir}/empty/training_runs").first()
+    assert (run.status, run.config) == ("FAILED", small[0]) and "empty" in run.error_message
+    blocked = f"{tmp_dir}/file"
+    open(blocked, "w").close()
+    t = jobs.train(spark, r, f"{tmp_dir}/reg", small, model_copies=(f"{tmp_dir}/copy", blocked))
+    assert all(load_model(p) for p in (t["model_path"], t["model_path"].replace("/reg/model/", "/copy/")))
+    os.makedirs(f"{tmp_dir}/bad")
+    open(f"{tmp_dir}/bad/forecasts", "w").close()       # a file where the table should be
+    with pytest.raises(Exception):
+        jobs.train(spark, r, f"{tmp_dir}/bad", small)
+    run = spark.read.parquet(f"{tmp_dir}/bad/training_runs").first()
+    assert (run.status, run.config) == ("CRASHED", small[0])
+
+
+def test_missing_values_are_filled_from_the_training_side_only(spark):
+    rows = [(i, 1.0 if i % 5 else 100.0, 230.0, float(i % 7)) for i in range(200)]
+    rows += [(1001, None, 230.0, 1.0), (1000, None, 230.0, 1.0)]
+    df = spark.createDataFrame(rows, "event_id long, current double, Voltage double, active_power double")
+    train_df, test_df = forecast.split(forecast.prepare(df))
+    assert forecast.training_means(train_df) == (161, {"current": 1.0, "reactive_power": 0.0})
+    no_key = forecast.prepare(df.drop("event_id").withColumn("timestamp", F.lit("2024-01-01 10:00:00")))
+    sides = [tuple(sorted(x.toPandas().current.dropna())) for x in forecast.split(no_key)]
+    assert sides == [tuple(sorted(x.toPandas().current.dropna())) for x in forecast.split(no_key.repartition(7))]
+    assert test_df.count() == 41
+
+
+def test_queries_do_not_change_each_other(spark):
+    from meterlake.plans.catalog import QUERIES
+    before = sorted(map(str, QUERIES["forecast_table"](spark, SF_SMALL).collect()))
+    one = QUERIES["score_requests"](spark, SF_SMALL)
+    assert one.filter("active_power IS NOT NULL").count() == 0
+    QUERIES["score_requests"](spark, SF_SMALL)
+    assert sorted(map(str, QUERIES["forecast_table"](spark, SF_SMALL).collect())) == before
+    assert one.count() == one.select("event_id").distinct().count()
+
+
 def test_constant_table(spark):
     from pyspark.sql import types as T
     schema = T.StructType.fromDDL("a int, b double, s string, f boolean")
@@ -88,7 +149,7 @@ def test_regression_pipeline_save_load_score(spark, tmp_dir):
     res = forecast.train(r, configs=[{"numTrees": 5, "maxDepth": 3}])
     assert res.config == {"numTrees": 5, "maxDepth": 3}
     assert res.train_rows + res.test_rows == r.count()
-    assert 0.0 <= res.metrics["rmse"] and res.metrics["mse"] == res.metrics["rmse"] ** 2 or True
+    assert 0.0 <= res.metrics["rmse"] and abs(res.metrics["mse"] - res.metrics["rmse"] ** 2) < 1e-9
     path = os.path.join(tmp_dir, "model")
     tables.save_model(res.model, path)
     model = load_model(path)

@@ -45,7 +45,7 @@ def test_hot_device_broadcast_and_shuffle_paths_match_bruteforce(spark):
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        out = anomaly.detect(df, max_broadcast_rows=0)
+        out = anomaly.detect(df)
         assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
         got = out.select("device_id", "active_power").collect()
         assert sorted((r.device_id, round(r.active_power, 9)) for r in got) == expected
@@ -63,19 +63,29 @@ def test_hot_device_statistics_use_partial_aggregation(spark):
     assert "partial_avg" in plan and "partial_stddev" in plan
 
 
-def test_dense_index_with_hot_tied_key(spark):
+def test_dense_index_with_hot_tied_key(spark, tmp_path, monkeypatch):
     n = 3000
     keys = [0] * (n // 3) + list(range(1, n - n // 3 + 1))
     # rows tied on the key still differ in their other columns
     df = spark.createDataFrame(pd.DataFrame({"k": keys, "payload": range(n)}))
-    got = sorted(r.row_index for r in clean.dense_index(df, "k", num_buckets=8).collect())
+    got = sorted(r.row_index for r in clean.dense_index(df, "k").collect())
     assert got == list(range(n))
-    tied = clean.dense_index(df, "k", num_buckets=8).filter("k = 0").agg(F.max("row_index")).first()[0]
+    tied = clean.dense_index(df, "k").filter("k = 0").agg(F.max("row_index")).first()[0]
     assert tied == n // 3 - 1  # the tied block comes first, positions 0..n/3-1
-    # the hot value is spread over several window tasks (no task holds the whole third)
-    per_task = (clean.dense_index(df, "k", num_buckets=8).filter("k = 0")
-                .groupBy(F.spark_partition_id()).count().collect())
-    assert len(per_task) > 1 and max(r["count"] for r in per_task) < n // 3
+    # the hot value, and even equal rows, are spread over several tasks of the sort
+    same = spark.createDataFrame(pd.DataFrame({"k": [0] * n})).repartition(4)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    saved = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")
+        for name, rows in (("tied", df), ("same", same)):
+            path = str(tmp_path / name)
+            monkeypatch.setattr(clean, "scratch_path", lambda *a, path=path: path)
+            clean.dense_index(rows, "k")
+            per_task = [sum(t["k"] == 0) for t in (pd.read_parquet(f) for f in (tmp_path / name).glob("part-*"))]
+            assert sum(x > 0 for x in per_task) > 1 and max(per_task) < n // 2
+    finally:
+        spark.conf.set(key, saved)
 
 
 def test_expected_power_matches_pandas(spark):

@@ -24,7 +24,10 @@ def test_payload_round_trip_and_malformed(spark):
     bad = spark.createDataFrame([("{not json",), ('{"device_id": "m"}',)], "value string")
     out = payload.parse(bad).collect()
     assert out[0].device_id is None and out[1].device_id == "m"
-    assert out[1].is_injected_anomaly is None
+    assert out[1].is_injected_anomaly is False     # a missing flag counts as false
+    more = bad.unionByName(payload.encode(r)).unionByName(spark.createDataFrame([(None,)], "value string"))
+    counts = payload.rejects(more).first()
+    assert (counts.n_payloads, counts.n_rejected) == (8, 3)
 
 
 def test_stream_equals_batch_and_restart_is_idempotent(spark, tmp_dir):
@@ -54,7 +57,8 @@ def test_multi_batch_statistics_are_per_batch(spark, tmp_dir):
     q.awaitTermination()
     out = spark.read.parquet(table)
     assert len(writer.counts) == 4
-    assert out.select("batch_id").distinct().count() <= 4
+    assert {r.batch_id: r["count"] for r in out.groupBy("batch_id").count().collect()} == {
+        k: v for k, v in writer.counts.items() if v}
 
 
 def test_empty_batch_is_skipped(spark, tmp_dir):
@@ -100,3 +104,31 @@ def test_processing_time_trigger_and_late_files(spark, tmp_dir):
     expected = anomaly.detect(first).count() + anomaly.detect(second).count()
     assert out.count() == expected == sum(writer.counts.values())
     assert out.select("batch_id").distinct().count() == 2
+
+
+def test_anomalies_by_table_name_and_none_found(spark, tmp_dir):
+    from meterlake.sinks import tables
+    where = os.path.join(tmp_dir, "results")
+    spark.sql(f"CREATE DATABASE results_test LOCATION '{where}'")
+    try:
+        tables.create_result_tables(spark, where, "results_test")
+        writer = sdetect.AnomalyBatchWriter(f"{where}/anomalies", table="results_test.anomalies")
+        rows = [("a", 1.0, False)] * 10 + [("a", 1000.0, False)]
+        df = spark.createDataFrame(rows, "device_id string, active_power double, is_injected_anomaly boolean")
+        calm = df.filter("active_power < 2")
+        writer(calm, 0)
+        assert tables.read_result(spark, f"{where}/anomalies", "anomalies").count() == 0
+        writer(df, 1)
+        writer(df, 1)      # replayed
+        assert [r.active_power for r in spark.table("results_test.anomalies").collect()] == [1000.0]
+    finally:
+        spark.sql("DROP DATABASE results_test CASCADE")
+
+
+def test_counts_are_bounded(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(sdetect, "KEEP_COUNTS", 2)
+    writer = sdetect.AnomalyBatchWriter(os.path.join(tmp_dir, "t"))
+    empty = spark.createDataFrame([], "device_id string, active_power double, is_injected_anomaly boolean")
+    for i in range(5):
+        writer(empty, i)
+    assert writer.counts == {3: 0, 4: 0}
