@@ -16,22 +16,24 @@ form a component.
    MATCHES of COORDINATES collisions is under 4e-5.
 4. Posting lists are not expanded into all pairs.  In each list the class whose
    postings are the most common (the likely original of a group of copies) is
-   paired with the others, pairs are confirmed on full sets, and the components
-   that result are contracted.  Lists that still hold several components go
-   through further rounds with another leader, and as soon as the pairs between
-   different components are few enough, all of them are confirmed.
-
-The order of rounds changes how many pairs are looked at, not which links are
-found: pairs left out are either inside one component already, or below the
-match threshold.  Null texts have no words.  Rows that repeat id and text are
-one class like all equal texts; null ids take part but are never the smallest
-id of a component that has another.
+   paired with the others, pairs are confirmed on full sets, and components are
+   formed.
+5. What is left are lists that hold several components.  A class of which more
+   than a quarter of the shingles are in no other of their classes cannot be
+   linked; of the rest, pairs of different components are formed in the list of
+   their least common value if their sizes, without such shingles of their own,
+   allow a link (both bounds are exact) and their sketches of SKETCH values
+   collide on SKETCH_MATCHES or more (missed with a chance under 1e-5 at a
+   similarity of 0.75).  These are confirmed on full sets as well.
+
+Pairs that are left out are inside one component already, cannot be linked, or
+are below the match threshold.  Null texts have no words.  Rows that repeat id
+and text are one class like all equal texts; null ids take part but are never
+the smallest id of a component that has another.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -44,8 +46,7 @@ from .components import components
 WORDS = 5
 COORDINATES = 32
 MATCHES = 14
-PAIRS_PER_POSTING = 3    # pairs between components that are confirmed at once
-MAX_LEADERS = 6          # rounds with one leader a list, at most
+SKETCH, SKETCH_MATCHES = 512, 349   # four bits a value, so 1 in 16 collides by chance
 MEMBERS = 500            # members that are compared with one copy of a leader's text
 MEMO_SIZE = 400_000
 PREFIX = COORDINATES - MATCHES + 1
@@ -53,6 +54,8 @@ PREFIX = COORDINATES - MATCHES + 1
 _RNG = np.random.default_rng(20240229)
 _FACTORS = (_RNG.integers(1 << 62, size=(COORDINATES, 1)).astype("u8") << np.uint64(1)) | np.uint64(1)
 _TERMS = _RNG.integers(1 << 63, size=(COORDINATES, 1)).astype("u8")
+_SKETCH_FACTORS = (_RNG.integers(1 << 62, size=(SKETCH, 1)).astype("u8") << np.uint64(1)) | np.uint64(1)
+_SKETCH_TERMS = _RNG.integers(1 << 63, size=(SKETCH, 1)).astype("u8")
 _STEPS = (_RNG.integers(1 << 62, size=WORDS).astype("u8") << np.uint64(1)) | np.uint64(1)
 
 
@@ -80,14 +83,25 @@ def shingle_set(text: str | None, memo: _Hashes) -> np.ndarray:
     return np.unique(out)
 
 
-def _signature(s: np.ndarray) -> np.ndarray:
-    out = np.full((COORDINATES, 1), np.iinfo("u8").max, "u8")
-    for i in range(0, len(s), 1 << 14):
-        block = s[i:i + (1 << 14)] * _FACTORS + _TERMS
+def _minima(s: np.ndarray, factors: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    out = np.full((len(factors), 1), np.iinfo("u8").max, "u8")
+    for i in range(0, len(s), 1 << 12):
+        block = s[i:i + (1 << 12)] * factors + terms
         out = np.minimum(out, block.min(axis=1, keepdims=True))
     return out[:, 0]
 
 
+def _signature(s: np.ndarray) -> np.ndarray:
+    return _minima(s, _FACTORS, _TERMS)
+
+
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """SKETCH values of four bits, sixteen to a word."""
+    bits = (_minima(s, _SKETCH_FACTORS, _SKETCH_TERMS) * _STEPS[0]) >> np.uint64(60)
+    shifts = np.arange(16, dtype="u8") * np.uint64(4)
+    return np.bitwise_or.reduce(bits.reshape(-1, 16) << shifts, axis=1).view("i8")
+
+
 def signatures(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` plus n_shingles, the set's 128-bit digest (k1, k2; null for the
     empty set) and its signature."""
@@ -160,62 +174,82 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return (pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct())
+def _profiles(texts: DataFrame) -> DataFrame:
+    """(node, n, own, sketch): set size, shingles in no other of these texts,
+    and sketch.  Classes that cannot be linked with another are left out."""
+    def make():
+        memo = _Hashes()
+
+        def work(values):
+            sets = [shingle_set(t, memo) for t in values]
+            return [[len(s) for s in sets], [_sketch(s) for s in sets], [s.view("i8") for s in sets]]
+        return work
+
+    made = map_column(texts, "text", make, [("n", "long"), ("sketch", "array<long>"),
+                                            ("shingles", "array<long>")])
+    own = (made.select("node", F.explode("shingles").alias("s")).groupBy("s")
+           .agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("node")).filter("k = 1")
+           .groupBy("node").agg(F.count(F.lit(1)).alias("own")))
+    return (made.select("node", "n", "sketch").join(own, "node", "left")
+            .withColumn("own", F.coalesce("own", F.lit(0))).filter("4 * own <= n"))
+
+
+def _collisions(x, y):
+    """Values in which two sketches agree."""
+    def differing(a, b):
+        d = a.bitwiseXOR(b)
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
+        return F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
+    return SKETCH - F.aggregate(F.zip_with(x, y, differing), F.lit(0), lambda s, v: s + v)
+
+
+def _rest(lists: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that are worth confirming, each once."""
+    every = lists.groupBy("node").agg(F.sort_array(F.collect_list("value")).alias("values"))
+    rows = lists.select("value", "node", "c").join(profiles, "node").join(every, "node")
+    sides = [rows.select("value", *[F.col(x).alias(x + s) for x in ("node", "c", "n", "own", "sketch", "values")])
+             for s in "ab"]
+    cheap = ((F.col("nodea") < F.col("nodeb")) & (F.col("ca") != F.col("cb"))
+             & (7 * F.least(F.col("na") - F.col("owna"), F.col("nb") - F.col("ownb"))
+                >= 3 * (F.col("na") + F.col("nb"))))
+    match = F.when(cheap, _collisions(F.col("sketcha"), F.col("sketchb")) >= SKETCH_MATCHES)
+    first = F.when(match, F.array_min(F.array_intersect("valuesa", "valuesb")) == sides[0]["value"])
+    joined = sides[0].join(sides[1], (sides[0]["value"] == sides[1]["value"]) & first)
+    return joined.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
+
+
+def _aimed(pairs: DataFrame) -> DataFrame:
+    """Pairs with the class of more pairs first: its text is sent once for many."""
+    degree = (pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count())
+    both = (pairs.join(degree.select(F.col("node").alias("a"), F.col("count").alias("da")), "a")
+            .join(degree.select(F.col("node").alias("b"), F.col("count").alias("db")), "b"))
+    swap = F.col("db") > F.col("da")
+    return both.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"),
+                       F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))
 
 
 def links(classes: DataFrame, posted: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, component) of the classes linked with another one."""
-    found: list[DataFrame] = []
-    tried: list[DataFrame] = []
-    labels = None
-    lists, used = posted, None
-    for turn in range(MAX_LEADERS + 1):
-        if labels is not None:
-            lists = (posted.join(labels.withColumnRenamed("component", "c"), "node", "left")
-                     .withColumn("c", F.coalesce("c", "node")))
-            mixed = (lists.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-                     .filter("lo <> hi").select("value"))
-            lists = written(lists.join(mixed, "value"), "lists")
-            sizes = lists.groupBy("value", "c").count()
-            left = (sizes.groupBy("value").agg(F.sum("count").alias("n"),
-                                               F.sum(F.col("count") * F.col("count")).alias("s"))
-                    .agg(F.sum((F.col("n") * F.col("n") - F.col("s")) / 2), F.sum("n")).first())
-            if not left[0]:
-                break
-            if left[0] <= PAIRS_PER_POSTING * left[1] or turn == MAX_LEADERS:
-                l, r = lists.select("value", F.col("node").alias("a"), F.col("c").alias("ca")), lists.select(
-                    "value", F.col("node").alias("b"), F.col("c").alias("cb"))
-                pairs = l.join(r, "value").filter("a < b and ca <> cb").select("a", "b").distinct()
-                turn = MAX_LEADERS
-            else:
-                fresh = lists.join(used, ["value", "node"], "left_anti")
-        else:
-            fresh = lists
-        if turn < MAX_LEADERS:
-            heads = written(fresh.groupBy("value").agg(F.max(F.struct("common", "node")).alias("h"))
-                            .select("value", F.col("h.node").alias("a")), "leaders")
-            own = heads.select("value", F.col("a").alias("node"))
-            used = own if used is None else used.unionByName(own)
-            pairs = _ordered(lists.join(heads, "value").select("a", F.col("node").alias("b")))
-        for t in tried:
-            pairs = pairs.join(t, ["a", "b"], "left_anti")
-        # the class with the most pairs leads: its text is sent once for many
-        pairs = written(_matching(pairs, classes), "pairs")
-        tried.append(pairs)
-        degree = (pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-                  .groupBy("node").count())
-        aimed = (pairs.join(degree.select(F.col("node").alias("a"), F.col("count").alias("da")), "a")
-                 .join(degree.select(F.col("node").alias("b"), F.col("count").alias("db")), "b"))
-        swap = F.col("db") > F.col("da")
-        aimed = aimed.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"),
-                             F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))
-        found.append(written(_confirmed(aimed, texts), "links"))
-        labels = components(reduce(DataFrame.unionByName, found))
-        if turn == MAX_LEADERS:
-            break
-    return labels
+    heads = (posted.groupBy("value").agg(F.max(F.struct("common", "node")).alias("h"))
+             .select("value", F.col("h.node").alias("a")))
+    pairs = (posted.join(heads, "value").select("a", F.col("node").alias("b"))
+             .filter("a <> b").distinct())
+    tried = written(_matching(pairs, classes), "pairs")
+    found = written(_confirmed(tried, texts), "links")
+    labels = components(found)
+
+    lists = (posted.join(labels.withColumnRenamed("component", "c"), "node", "left")
+             .withColumn("c", F.coalesce("c", "node")))
+    mixed = (lists.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+             .filter("lo <> hi").select("value"))
+    lists = written(lists.join(mixed, "value"), "lists")
+    if lists.isEmpty():
+        return labels
+    left = texts.join(lists.select("node").distinct(), "node", "left_semi")
+    pairs = written(_rest(lists, written(_profiles(left), "profiles")), "pairs")
+    more = written(_confirmed(_aimed(pairs), texts), "links")
+    return labels if more.isEmpty() else components(found.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterlake.llm import minhash_dedup, suffix_dedup
 from meterlake.llm.components import components
@@ -61,10 +62,8 @@ def _near_copies(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed, pairs, leaders", [(1, 3, 6), (2, 0, 3), (3, 0, 0)])
-def test_near_duplicates_against_all_pairs(spark, monkeypatch, seed, pairs, leaders):
-    monkeypatch.setattr(minhash_dedup, "PAIRS_PER_POSTING", pairs)
-    monkeypatch.setattr(minhash_dedup, "MAX_LEADERS", max(1, leaders))
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, seed):
     monkeypatch.setattr(minhash_dedup, "MEMBERS", 3)
     rows = _near_copies(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
@@ -74,6 +73,41 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, seed, pairs, lead
     assert got == want
 
 
+def test_sketches_and_bounds(spark):
+    """Sketches agree as often as they should, and no linked pair fails a bound."""
+    rng = random.Random(4)
+    memo = minhash_dedup._Hashes()
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for _ in range(rng.randint(0, 12)):
+            words[rng.randrange(200)] = f"x{rng.random()}"
+        rows.append((i, " ".join(words)))
+    texts = spark.createDataFrame(rows, "node long, text string")
+    kept = {r.node: r for r in minhash_dedup._profiles(texts).collect()}
+    sets = {i: set(minhash_dedup.shingle_set(t, memo).tolist()) for i, t in rows}
+    linked = 0
+    for i in sets:
+        own = sets[i].difference(*[s for j, s in sets.items() if j != i])
+        assert (i in kept) == (4 * len(own) <= len(sets[i]))
+        if i in kept:
+            assert (kept[i].n, kept[i].own) == (len(sets[i]), len(own))
+        for j in sets:
+            both = len(sets[i] & sets[j])
+            if i < j and 100 * both >= 75 * len(sets[i] | sets[j]):
+                linked += 1
+                a, b = kept[i], kept[j]
+                assert 7 * min(a.n - a.own, b.n - b.own) >= 3 * (a.n + b.n)
+                same = sum((x ^ y) >> 4 * k & 15 == 0 for x, y in zip(a.sketch, b.sketch) for k in range(16))
+                share = both / len(sets[i] | sets[j])
+                assert abs(same / 512 - (share + (1 - share) / 16)) < 0.12 and same >= minhash_dedup.SKETCH_MATCHES
+                got = spark.createDataFrame([(a.sketch, b.sketch)], "x array<long>, y array<long>").select(
+                    minhash_dedup._collisions(F.col("x"), F.col("y"))).first()[0] if linked < 3 else same
+                assert got == same
+    assert linked > 20
+
+
 def test_one_row_of_each_group_stays(spark):
     rows = _near_copies(5)
     docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, node string")
