@@ -46,7 +46,7 @@ from .components import components
 WORDS = 5
 COORDINATES = 32
 MATCHES = 14
-SKETCH, SKETCH_MATCHES = 512, 349   # four bits a value, so 1 in 16 collides by chance
+SKETCH, SKETCH_MATCHES = 1024, 726   # four bits a value, so 1 in 16 collides by chance
 MEMBERS = 500            # members that are compared with one copy of a leader's text
 MEMO_SIZE = 400_000
 PREFIX = COORDINATES - MATCHES + 1
@@ -213,22 +213,14 @@ def _rest(lists: DataFrame, profiles: DataFrame) -> DataFrame:
     cheap = ((F.col("nodea") < F.col("nodeb")) & (F.col("ca") != F.col("cb"))
              & (7 * F.least(F.col("na") - F.col("owna"), F.col("nb") - F.col("ownb"))
                 >= 3 * (F.col("na") + F.col("nb"))))
-    match = F.when(cheap, _collisions(F.col("sketcha"), F.col("sketchb")) >= SKETCH_MATCHES)
-    first = F.when(match, F.array_min(F.array_intersect("valuesa", "valuesb")) == sides[0]["value"])
-    joined = sides[0].join(sides[1], (sides[0]["value"] == sides[1]["value"]) & first)
+    value, one, two = sides[0]["value"], F.col("valuesa"), F.col("valuesb")
+    here = F.when(F.get(one, F.lit(0)) == F.get(two, F.lit(0)), value == F.get(one, F.lit(0))).otherwise(
+        value == F.array_min(F.array_intersect(one, two)))      # the least common value
+    match = F.when(cheap, F.when(here, _collisions(F.col("sketcha"), F.col("sketchb")) >= SKETCH_MATCHES))
+    joined = sides[0].join(sides[1], (value == sides[1]["value"]) & match)
     return joined.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
 
 
-def _aimed(pairs: DataFrame) -> DataFrame:
-    """Pairs with the class of more pairs first: its text is sent once for many."""
-    degree = (pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count())
-    both = (pairs.join(degree.select(F.col("node").alias("a"), F.col("count").alias("da")), "a")
-            .join(degree.select(F.col("node").alias("b"), F.col("count").alias("db")), "b"))
-    swap = F.col("db") > F.col("da")
-    return both.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"),
-                       F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"))
-
-
 def links(classes: DataFrame, posted: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, component) of the classes linked with another one."""
     heads = (posted.groupBy("value").agg(F.max(F.struct("common", "node")).alias("h"))
@@ -248,7 +240,7 @@ def links(classes: DataFrame, posted: DataFrame, texts: DataFrame) -> DataFrame:
         return labels
     left = texts.join(lists.select("node").distinct(), "node", "left_semi")
     pairs = written(_rest(lists, written(_profiles(left), "profiles")), "pairs")
-    more = written(_confirmed(_aimed(pairs), texts), "links")
+    more = written(_confirmed(pairs, texts), "links")
     return labels if more.isEmpty() else components(found.unionByName(more))
 
 

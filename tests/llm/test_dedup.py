@@ -101,7 +101,7 @@ def test_sketches_and_bounds(spark):
                 assert 7 * min(a.n - a.own, b.n - b.own) >= 3 * (a.n + b.n)
                 same = sum((x ^ y) >> 4 * k & 15 == 0 for x, y in zip(a.sketch, b.sketch) for k in range(16))
                 share = both / len(sets[i] | sets[j])
-                assert abs(same / 512 - (share + (1 - share) / 16)) < 0.12 and same >= minhash_dedup.SKETCH_MATCHES
+                assert abs(same / 1024 - (share + (1 - share) / 16)) < 0.09 and same >= minhash_dedup.SKETCH_MATCHES
                 got = spark.createDataFrame([(a.sketch, b.sketch)], "x array<long>, y array<long>").select(
                     minhash_dedup._collisions(F.col("x"), F.col("y"))).first()[0] if linked < 3 else same
                 assert got == same
