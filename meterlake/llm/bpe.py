@@ -31,8 +31,8 @@ from .common import map_column
 # What texts are split into at spaces, and pre-tokens, are remembered up to
 # MEMO_CHARS code points, MEMO_SIZE of each at most per Python worker.
 MEMO_CHARS = 64
-MEMO_SIZE = 500_000
-SLICE = 32 << 20    # bytes of text whose new pre-tokens are merged together
+MEMO_SIZE = 250_000
+SLICE = 10 << 20    # bytes of text whose new pre-tokens are merged together
 SMALL = 12          # positions of a bucket that are merged one by one
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
