@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 
 from .common import map_column
 
-# What texts are split into at spaces, and pre-tokens, are remembered up to
-# MEMO_CHARS code points, MEMO_SIZE of each at most per Python worker.
+# What two texts of a batch share between spaces, and its pre-tokens, are
+# remembered up to MEMO_CHARS code points, MEMO_SIZE of each at most per worker.
 MEMO_CHARS = 64
-MEMO_SIZE = 250_000
+MEMO_SIZE = 400_000
 SLICE = 10 << 20    # bytes of text whose new pre-tokens are merged together
 SMALL = 12          # positions of a bucket that are merged one by one
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -240,8 +240,11 @@ class Encoder:
         chunks, pieces = self.chunks, self.pieces
         words = [t.split(" ") if t else () for t in texts]
         new: set[str] = set()
+        twice: set[str] = set()     # in two texts of the batch
         for w in words:
-            new.update(filterfalse(chunks.__contains__, w))
+            own = set(filterfalse(chunks.__contains__, w))
+            twice |= own & new
+            new |= own
         odd = {c for c in new if not c or c[0].isspace() or c[-1].isspace()}
         parts = {c: self.split(" " + c) for c in new.difference(odd)}
         whole = [self.split(t) if w and not (odd.isdisjoint(w)) else None for t, w in zip(texts, words)]
@@ -257,10 +260,12 @@ class Encoder:
                 out.append(b"".join(map(get, own)))
             else:
                 out.append(b"".join(map(get, h)) + b"".join(map(chunks.__getitem__, w[1:])))
-        for memo, made in ((chunks, parts), (pieces, found)):
-            for c in made:
-                if len(c) > MEMO_CHARS:
-                    del memo[c]
+        # what two texts share is remembered
+        twice = {c for c in twice if c in parts and len(c) <= MEMO_CHARS}
+        for c in parts.keys() - twice:
+            del chunks[c]
+        for p in set(found).difference(*[parts[c] for c in twice]):
+            del pieces[p]
         return out
 
 
