@@ -148,12 +148,19 @@ def _pieces(keys, texts):
 
 
 def anchors(rows: DataFrame) -> DataFrame:
-    """(anchor, stretch, rid, at) of rows (rid, bytes); ``at`` packs the first
-    window's offset, the number of windows and the anchor's place among them."""
+    """(deal, anchor, stretch, rid, at, twice) of rows (rid, bytes); ``at`` packs
+    the first window's offset, the number of windows and the anchor's place
+    among them.
+
+    Stretches that a task sees again in the same slice of texts are repeated
+    for certain: only the first goes on by its anchor, marked ``twice``; the
+    others have a null anchor and are dealt by row.  So a stretch that fills the
+    corpus is sent to its anchor's task once a slice."""
     def run(batches):
         powers = Powers()
         for batch in batches:
             for part in slices(batch, 1):
+                found = []
                 for group in _pieces(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     text = b"".join(x for _, _, x in group)
                     starts = np.cumsum([0] + [len(x) for _, _, x in group])
@@ -162,20 +169,31 @@ def anchors(rows: DataFrame) -> DataFrame:
                     offset = first - starts[piece] + np.array([at for _, at, _ in group], "i8")[piece]
                     own = np.array([xxhash.xxh3_64_intdigest(text[a:b]) for a, b in
                                     zip(first.tolist(), (first + count + LENGTH - 1).tolist())], "u8")
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(gram.view("i8")), pa.array(own.view("i8")),
-                         pa.array(np.array([k for k, _, _ in group], "i8")[piece]),
-                         pa.array(offset << 20 | count << 10 | (place - first))],
-                        ["anchor", "stretch", "rid", "at"])
+                    found.append((gram.view("i8"), own.view("i8"),
+                                  np.array([k for k, _, _ in group], "i8")[piece],
+                                  offset << 20 | count << 10 | (place - first)))
+                if not found:
+                    continue
+                anchor, own, rid, at = (np.concatenate(x) for x in zip(*found))
+                order = np.lexsort((own, anchor))
+                anchor, own, rid, at = (x[order] for x in (anchor, own, rid, at))
+                again = np.zeros(len(anchor) + 1, bool)
+                again[1:-1] = (anchor[1:] == anchor[:-1]) & (own[1:] == own[:-1])
+                again, twice = again[:-1], again[1:] | again[:-1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.where(again, rid, anchor)), pa.array(anchor, mask=again), pa.array(own),
+                     pa.array(rid), pa.array(at), pa.array(twice)],
+                    ["deal", "anchor", "stretch", "rid", "at", "twice"])
 
-    return rows.select("rid", "bytes").mapInArrow(run, "anchor long, stretch long, rid long, at long")
+    return rows.select("rid", "bytes").mapInArrow(
+        run, "deal long, anchor long, stretch long, rid long, at long, twice boolean")
 
 
 def repeated(found: DataFrame) -> DataFrame:
     """(rid, at, anchor): stretches that occur twice or more (anchor null), and
     of anchors with several stretches one occurrence of each."""
     def run(batches):
-        columns = ("anchor", "stretch", "rid", "at")
+        columns = ("anchor", "stretch", "rid", "at", "twice")
         held = None        # the last row: whether it is repeated depends on the next
         first = None       # first row of the current anchor, until it has gone on
 
@@ -189,11 +207,11 @@ def repeated(found: DataFrame) -> DataFrame:
             new_stretch[1:-1] = new_anchor[1:] | (x[1][1:] != x[1][:-1])
             new_anchor[0], new_stretch[0] = fresh
             m = n if is_last else n - 1     # rows decided now
-            twice = (~new_stretch[:-1] | ~new_stretch[1:])[:m]
+            twice = (~new_stretch[:-1] | ~new_stretch[1:] | x[4])[:m]
             begin = np.maximum.accumulate(np.where(new_anchor[:m], np.arange(m), -1))
             later = np.flatnonzero((new_stretch[:-1] & ~new_anchor)[:m])
-            rows = [np.flatnonzero(twice)]
-            out = [(x[2][rows[0]], x[3][rows[0]], None)]
+            rows = np.flatnonzero(twice)
+            out = [(x[2][rows], x[3][rows], None)]
             heads = np.unique(begin[later])
             if len(heads) and heads[0] == -1:
                 if first is not None:
@@ -216,6 +234,10 @@ def repeated(found: DataFrame) -> DataFrame:
 
         fresh = (True, True)
         for batch in batches:
+            sure = batch.column(0).null_count   # these come first
+            if sure:
+                yield from made([(batch.column(2).slice(0, sure), batch.column(3).slice(0, sure), None)])
+                batch = batch.slice(sure)
             if not batch.num_rows:
                 continue
             x = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns))]
@@ -227,7 +249,9 @@ def repeated(found: DataFrame) -> DataFrame:
         if held is not None:
             yield from made(part(held, True, fresh)[0])
 
-    return (found.repartition("anchor").sortWithinPartitions("anchor", "stretch", "rid", "at")
+    return (found.repartition("deal")
+            .sortWithinPartitions(F.col("anchor").asc_nulls_first(), "stretch", "rid", "at")
+            .select("anchor", "stretch", "rid", "at", "twice")
             .mapInArrow(run, "rid long, at long, anchor long"))
 
 
