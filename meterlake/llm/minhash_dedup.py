@@ -29,7 +29,8 @@ form a component.
 Pairs that are left out are inside one component already, cannot be linked, or
 are below the match threshold.  Null texts have no words.  Rows that repeat id
 and text are one class like all equal texts; null ids take part but are never
-the smallest id of a component that has another.
+the smallest id of a component that has another.  An empty table gives an empty
+table.
 """
 
 from __future__ import annotations
