@@ -15,9 +15,9 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import clean, forecast, profiles
+from .operators import clean, forecast, profiles, readmodels
 from .sinks import tables
-from .sources.readers import read_first_parquet, read_raw_csv
+from .sources.readers import load_model, read_first_parquet, read_raw_csv
 from .streaming import detect as sdetect
 from .streaming import sources as ssrc
 
@@ -83,6 +83,13 @@ def train(spark: SparkSession, readings: DataFrame, registry: str,
     return {"result": result, **paths, "model_path": saved[0]}
 
 
+def latest_model(spark: SparkSession, registry: str):
+    """(fitted pipeline, its info row) of the newest model of a registry, by the
+    creation time of its info row."""
+    info = readmodels.latest(spark.read.parquet(f"{registry}/model_info"), "created_at").first()
+    return load_model(f"{registry}/model/{info.model_timestamp}"), info
+
+
 def detect(spark: SparkSession, table: str, checkpoint: str, source: str = "files",
            path: str | None = None, bootstrap_servers: str | None = None,
            topic: str | None = None, trigger: str = "10 seconds",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import r6
 from ..operators import profiles
-from ..session import scratch_path
+from ..session import release, scratch_path
 from ..sinks.tables import create_result_tables, read_result, write_document
 from ..sources import document
 from ..sources import fixtures as fx
@@ -38,6 +38,7 @@ def stream_json_parse(spark, sf_dir):
     src, sink, ckpt = (scratch_path(spark, n) for n in ("payload", "parsed", "ckpt"))
     ssrc.publish_files(fx.readings(spark, sf_dir), src)
     sdetect.run_available(ssrc.file_stream(spark, src), sink, ckpt)
+    release(spark, src, ckpt)
     return spark.read.parquet(sink)
 
 
@@ -58,6 +59,7 @@ def stream_3sigma(spark, sf_dir):
     ssrc.publish_files(fx.readings(spark, sf_dir), src)
     q, _ = sdetect.start_detection(ssrc.file_stream(spark, src), table, ckpt, available_now=True)
     q.awaitTermination()
+    release(spark, src, ckpt)
     out = read_result(spark, table, "anomalies")
     return out.select("timestamp", "device_id", "active_power", "reactive_power", "voltage",
                       "current", "Sub_metering_1", "Sub_metering_2", "Sub_metering_3",
@@ -82,6 +84,7 @@ def anomalies_table(spark, sf_dir):
     q, _ = sdetect.start_detection(ssrc.file_stream(spark, src), f"{where}/anomalies", ckpt,
                                    available_now=True, table=f"{name}.anomalies")
     q.awaitTermination()
+    release(spark, src, ckpt)
     return spark.table(f"{name}.anomalies").select("timestamp", "device_id", "active_power", "is_anomaly")
 
 

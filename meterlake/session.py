@@ -106,3 +106,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     intermediate tables (stream inputs, written documents, models)."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "meterlake", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch folders made by :func:`scratch_path` that nothing reads
+    any more."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "meterlake", "")
+    for path in paths:
+        if not path.startswith(root):
+            raise ValueError(f"{path} is not a scratch folder")
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -106,6 +106,8 @@ def test_training_gates_and_records(spark, tmp_dir):
     open(blocked, "w").close()
     t = jobs.train(spark, r, f"{tmp_dir}/reg", small, model_copies=(f"{tmp_dir}/copy", blocked))
     assert all(load_model(p) for p in (t["model_path"], t["model_path"].replace("/reg/model/", "/copy/")))
+    model, info = jobs.latest_model(spark, f"{tmp_dir}/reg")
+    assert info.model_timestamp == t["result"].model_timestamp and len(model.stages) == 5
     os.makedirs(f"{tmp_dir}/bad")
     open(f"{tmp_dir}/bad/forecasts", "w").close()       # a file where the table should be
     with pytest.raises(Exception):
