@@ -41,7 +41,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with n_tokens, token_ids and ``decoded_ok``: whether the ids
     decode to the text again."""
-    decoded = bpe.decode(bpe.encode(docs))
+    decoded = bpe.encode(docs, decoded=True)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return decoded.withColumn("decoded_ok", same).drop("decoded")
 

@@ -31,8 +31,8 @@ from .common import map_column
 # What two texts of a batch share between spaces, and its pre-tokens, are
 # remembered up to MEMO_CHARS code points, MEMO_SIZE of each at most per worker.
 MEMO_CHARS = 64
-MEMO_SIZE = 400_000
-SLICE = 10 << 20    # bytes of text whose new pre-tokens are merged together
+MEMO_SIZE = 200_000
+SLICE = 4 << 20     # bytes of text whose new pre-tokens are merged together
 SMALL = 12          # positions of a bucket that are merged one by one
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -302,19 +302,24 @@ def vocabulary(df: DataFrame, path: str | None = None):
     return df.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
 
-def encode(df: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """``df`` plus ``n_tokens`` and ``token_ids`` (packed)."""
+def encode(df: DataFrame, text: str = "text", path: str | None = None,
+           decoded: bool = False) -> DataFrame:
+    """``df`` plus ``n_tokens`` and ``token_ids`` (packed); with ``decoded`` also
+    the bytes that the ids decode to, by the same worker."""
     shared = vocabulary(df, path)
 
     def make():
         encoder = shared.value.encoder()
+        decoder = shared.value.decoder() if decoded else None
 
         def work(texts):
             packed = encoder.encode(texts)
-            return [[len(p) >> 2 for p in packed], packed]
+            out = [[len(p) >> 2 for p in packed], packed]
+            return out + [list(map(decoder.decode, packed))] if decoded else out
         return work
 
-    return map_column(df, text, make, [("n_tokens", "long"), ("token_ids", "binary")], SLICE)
+    fields = [("n_tokens", "long"), ("token_ids", "binary")] + [("decoded", "binary")] * decoded
+    return map_column(df, text, make, fields, SLICE)
 
 
 def decode(df: DataFrame, token_ids: str = "token_ids", path: str | None = None) -> DataFrame:

@@ -121,10 +121,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs).select("doc_id", "n_tokens", "token_ids")
-    return bpe.decode(ids).select("doc_id", "n_tokens",
-                                  F.sha2("token_ids", 256).alias("ids_sha256"),
-                                  F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.encode(docs, decoded=True).select(
+        "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 # -- 8: quality rules --------------------------------------------------------

@@ -68,6 +68,8 @@ def test_encode_frames(spark, reference):
     rows = [(i, t, "x") for i, t in enumerate(_texts())] + [(900, None, "x"), (900, None, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string").repartition(3)
     out = bpe.decode(bpe.encode(df)).withColumn("ids", bpe.unpacked()).collect()
+    both = bpe.encode(df, decoded=True).select("doc_id", "text", "n_tokens", "token_ids", "decoded")
+    assert sorted(map(str, both.collect())) == sorted(map(str, bpe.decode(bpe.encode(df)).select(both.columns).collect()))
     assert len(out) == len(rows)
     for r in out:
         assert bytes(r.decoded) == (r.text or "").encode()
