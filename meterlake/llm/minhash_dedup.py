@@ -147,7 +147,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets are similar enough.  The text of ``a`` goes
     to every MEMBERS of its pairs once, each ``b`` goes to its pair."""
     parts = pairs.groupBy("a").count().select("a", F.ceil(F.col("count") / MEMBERS).alias("parts"))
-    dealt = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
+    dealt = written(pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts"))
+                                                  .alias("part")), "dealt")
     lead = dealt.select("a", "part").distinct()
     rows = (lead.join(texts.withColumnRenamed("node", "a"), "a")
             .select("a", "part", F.lit(None).cast("long").alias("b"), "text")
