@@ -75,10 +75,10 @@ def _hashed(words: list[bytes], memo: _Hashes) -> np.ndarray:
 class Lookup:
     """Finds given hashes: a bitmap of their top bits first, then binary search."""
 
-    def __init__(self, hashes):
+    def __init__(self, hashes, bits: int = _FILTER_BITS):
         self.sorted = np.unique(np.array(list(hashes), "u8"))
-        self.shift = np.uint64(64 - _FILTER_BITS)
-        self.bitmap = np.zeros(1 << _FILTER_BITS, bool)
+        self.shift = np.uint64(64 - bits)
+        self.bitmap = np.zeros(1 << bits, bool)
         self.bitmap[self.sorted >> self.shift] = True
 
     def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -14,12 +14,19 @@ Templates are a parameter, held by the driver and every task; their text is
 checked against TEMPLATE_BYTES.  Null or wordless texts match nothing; a
 template of fewer than five words is one shingle, found only as a whole text.
 Repeated rows get equal results; an empty table gives an empty table.
+
+With ``bare`` words, as the registered query uses them, punctuation around a
+word is stripped on both sides and words of nothing else are skipped (comment
+signs, bullets), and a template of fewer than five words is found wherever its
+words follow each other.  Places still count all words of the text.
 """
 
 from __future__ import annotations
 
 import math
+import string
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -46,13 +53,58 @@ TEMPLATES = {
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
 }
+# More notices, written by hand: other wordings, the Creative Commons licenses,
+# reserved rights and the SPDX line of each identifier.  Up to seven words have
+# at most three shingles, which must all be there, so a version is told apart.
+_IDENTIFIERS = ("MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "CC0-1.0", "Unlicense",
+                *(f"{g}-{v}" for g in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+                  for v in ("only", "or-later")),
+                *(f"CC-{c}-4.0" for c in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")))
+NOTICES = TEMPLATES | {
+    "All-rights-reserved": "All rights reserved.",
+    "MIT/licensed": "Licensed under the MIT License.",
+    "Public-domain": "released into the public domain",
+    "Public-domain/dedicated": "dedicated to the public domain",
+    "BSD/style": "governed by a BSD-style license",
+} | {f"{g}/notice": f"GNU {n}General Public License, version {v}" for g, n, v in (
+    ("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"),
+    ("AGPL-3.0", "Affero ", "3"))
+} | {f"CC-{c}-4.0": f"Licensed under CC {c} 4.0." for c in ("BY", "BY-SA", "BY-ND", "BY-NC-SA", "BY-NC-ND")
+} | {f"CC-{c}-4.0/international": f"licensed under a Creative Commons {n} 4.0 International License" for c, n in (
+    ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+    ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+} | {f"{i}/spdx": f"SPDX-License-Identifier: {i}" for i in _IDENTIFIERS}
+_OUTER = string.punctuation + "\u2018\u2019\u201c\u201d\u00ab\u00bb\u2013\u2014\u2022\u00a9\u2026"
+
+
+def public_licenses() -> dict[str, str]:
+    """NOTICES and the whole texts (``<id>/text``) and standard headers
+    (``<id>/header``; those of GPL and LGPL fit any version) in the folder
+    ``licenses``; read by the driver."""
+    out = dict(NOTICES)
+    for path in sorted(Path(__file__).with_name("licenses").glob("*.txt")):
+        name = path.name.removesuffix(".txt")
+        header = name.endswith(".header")
+        out[f"{name.removesuffix('.header')}/{'header' if header else 'text'}"] = path.read_text("utf-8")
+    return out
+
+
+def _stripped(word: bytes) -> bytes:
+    return word.decode().strip(_OUTER).encode()
 
 
 class _Hashes(dict):
+    """Hashes of words; of bare words after stripping, 0 if nothing is left."""
+
+    def __init__(self, bare: bool = False):
+        self.bare = bare
+
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMO_SIZE:
             self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
+        own = _stripped(word) if self.bare else word
+        h = xxhash.xxh3_64_intdigest(own) or 1 if own else 0
         if len(word) <= 64:
             self[word] = h
         return h
@@ -75,93 +127,135 @@ def _hash_grams(h: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def _lookup(hashes: list) -> Lookup:
+    """With a bitmap of a few hundred bytes a template: there is one for each
+    band and size, and all are broadcast."""
+    return Lookup(hashes, min(20, len(hashes).bit_length() + 8))
+
+
 class Index:
-    """Templates by size, with a lookup of each band's values."""
+    """Templates by size, with a lookup of each band's values; with ``bare``
+    words, those of fewer than WORDS words by their number of words."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], bare: bool = False):
         if sum(len(t) for t in templates.values()) > TEMPLATE_BYTES:
             raise ValueError("the templates are too large to be held by every task; scan in parts")
+        self.bare = bare
         memo = _Hashes()
         self.grams, self.names = [], []
-        sizes = defaultdict(list)
+        sizes, short = defaultdict(list), defaultdict(list)
         mins = []
         for name, text in sorted(templates.items()):
             words = _split(text)
+            if bare:
+                words = [w for w in map(_stripped, words) if w]
             if not words:
                 continue
             own = set(_grams(words))
             h = np.fromiter(map(memo.__getitem__, words), "u8", len(words))
             values = np.unique(_hash_grams(h, min(WORDS, len(words))))
-            sizes[len(own).bit_length() - 1].append(len(self.names))
+            if bare and len(words) < WORDS:
+                short[len(words)].append((int(values[0]), len(self.names)))
+            else:
+                sizes[len(own).bit_length() - 1].append(len(self.names))
             self.names.append(name)
             self.grams.append(own)
             mins.append([(values * f).min() for f in _FACTORS])
         self.sizes = {}
-        for j, members in sizes.items():
+        for j, members in sorted(sizes.items()):
             bands = []
             for b in range(BANDS):
-                lookup = Lookup([mins[t][b] for t in members])
+                lookup = _lookup([mins[t][b] for t in members])
                 owners = [[t for t in members if mins[t][b] == v] for v in lookup.sorted]
                 bands.append((lookup, owners))
             self.sizes[j] = bands
+        self.short = {}
+        for k, members in short.items():
+            lookup = _lookup([v for v, _ in members])
+            self.short[k] = lookup, [[t for v, t in members if v == x] for x in lookup.sorted.tolist()]
 
 
 def _scan(index: Index, words: list[list[bytes]], memo: _Hashes) -> list[list[dict]]:
     """For each text, the matches {name, start, end, containment}."""
-    grams, starts = [], [0]
-    for own in words:
-        if own:
-            h = np.fromiter(map(memo.__getitem__, own), "u8", len(own))
-            grams.append(_hash_grams(h, min(WORDS, len(own))))
-        starts.append(starts[-1] + (len(grams[-1]) if own else 0))
+    grams, starts, places = [], [0], []
     found: list[dict] = [{} for _ in words]
+
+    def match(d, t, share, a, b):
+        """Template ``t`` from word ``a`` to ``b`` of the words that count."""
+        if index.bare:
+            a, b = int(places[d][a]), int(places[d][b - 1]) + 1
+        best = found[d].get(t)
+        if best is None or (-share, a, b) < best[0]:
+            found[d][t] = (-share, a, b), share
+
+    for d, own in enumerate(words):
+        h = np.fromiter(map(memo.__getitem__, own), "u8", len(own))
+        if index.bare:
+            places.append(np.flatnonzero(h))
+            h = h[places[d]]
+        if len(h):
+            grams.append(_hash_grams(h, min(WORDS, len(h))))
+        starts.append(starts[-1] + (len(grams[-1]) if len(h) else 0))
+        for k, (lookup, owners) in index.short.items():
+            if len(h) < k:
+                continue
+            where, which = lookup.find(_hash_grams(h, k))
+            for w, o in zip(where.tolist(), which.tolist()):
+                run = tuple(_stripped(own[p]) for p in places[d][w:w + k])
+                for t in owners[o]:
+                    if run in index.grams[t]:
+                        match(d, t, 1.0, w, w + k)
     if not grams:
         return [[] for _ in words]
     values, starts = np.concatenate(grams), np.array(starts)
     lengths = np.diff(starts)
     hits = set()
-    blocks = {}
+    blocks, finer = {}, None
     for j in index.sizes:
         step = 2 << j
         n = -(-lengths // step)
         doc = np.repeat(np.arange(len(n)), n)
         at = starts[doc] + step * (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n))
         pair = np.flatnonzero(doc[1:] == doc[:-1])   # a block and the next one make a window
-        blocks[j] = doc, at, pair
+        # blocks are made of whole blocks of the size before
+        blocks[j] = doc, at, pair, at if finer is None else np.searchsorted(finer, at)
+        finer = at
     for b in range(BANDS):
-        x = values * _FACTORS[b]
+        least = values * _FACTORS[b]
         for j, bands in index.sizes.items():
-            doc, at, pair = blocks[j]
-            least = np.minimum.reduceat(x, at)
-            least[pair] = np.minimum(least[pair], least[pair + 1])
+            doc, at, pair, first = blocks[j]
+            least = np.minimum.reduceat(least, first)
+            window = least.copy()
+            window[pair] = np.minimum(least[pair], least[pair + 1])
             lookup, owners = bands[b]
-            where, which = lookup.find(least)
+            where, which = lookup.find(window)
             for w, o in zip(where.tolist(), which.tolist()):
                 for t in owners[o]:
                     hits.add((j, w, t))
+    counted = {}
     for j, w, t in hits:
-        doc, at, _ = blocks[j]
+        doc, at, _, _ = blocks[j]
         d = int(doc[w])
         a = int(at[w] - starts[d])
-        window = _grams(words[d][a:a + (4 << j) + WORDS - 1])
+        if d not in counted:
+            counted[d] = [_stripped(words[d][p]) for p in places[d]] if index.bare else words[d]
+        window = _grams(counted[d][a:a + (4 << j) + WORDS - 1])
         share = len(index.grams[t].intersection(window)) / len(index.grams[t])
         if share >= CONTAINMENT:
             inside = [i for i, g in enumerate(window) if g in index.grams[t]]
-            span = a + inside[0], min(a + inside[-1] + WORDS, len(words[d]))
-            best = found[d].get(t)
-            if best is None or (-share, *span) < best[0]:
-                found[d][t] = (-share, *span), share
+            match(d, t, share, a + inside[0], min(a + inside[-1] + WORDS, len(counted[d])))
     return [[{"license": index.names[t], "start": v[0][1], "end": v[0][2], "containment": v[1]}
              for t, v in sorted(own.items())] for own in found]
 
 
-def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES,
+         bare: bool = False) -> DataFrame:
     """``docs`` plus ``licenses``: for each template found, its name, its best
     place (words, end exclusive; the first of equals) and its containment."""
-    shared = docs.sparkSession.sparkContext.broadcast(Index(templates))
+    shared = docs.sparkSession.sparkContext.broadcast(Index(templates, bare))
 
     def make():
-        memo, index = _Hashes(), shared.value
+        memo, index = _Hashes(bare), shared.value
         return lambda texts: [_scan(index, [_split(t) for t in texts], memo)]
 
     return map_column(docs, text, make, [

@@ -170,7 +170,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_license_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return license_scan.scan(docs).select(
+    return license_scan.scan(docs, templates=license_scan.public_licenses(), bare=True).select(
         "doc_id", F.size("licenses").cast("long").alias("n_licenses"),
         F.concat_ws(",", "licenses.license").alias("licenses"),
         F.concat_ws(",", F.transform("licenses", lambda x: F.concat_ws(

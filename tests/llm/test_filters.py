@@ -1,3 +1,4 @@
+import pickle
 import random
 import re
 from collections import Counter
@@ -164,3 +165,40 @@ def test_license_scan(spark):
             found = set(license_scan._grams(words[x.start:x.end]))
             assert len(own & found) / len(own) == x.containment >= 0.75
     assert license_scan.scan(docs.limit(0)).count() == 0
+
+
+def test_public_licenses(spark):
+    """Whole texts, headers, and notices in other punctuation or inside prose."""
+    templates = license_scan.public_licenses()
+    body = "w1 w2 w3 w4 w5 w6 w7. "
+    apache = templates["Apache-2.0/header"]
+    commented = "".join(f" * {line}\n" for line in apache.split("\n"))
+    rows = [(1, body + "All rights reserved.\n" + body, {"All-rights-reserved"}),
+            (2, body + "(all Rights, reserved)", {"All-rights-reserved"}),
+            (3, "all rights are reserved", set()),
+            (4, body + "Released under the MIT License", {"MIT"}),
+            (5, body + 'Licensed under the Apache License, Version 2.0 (the "License")', {"Apache-2.0"}),
+            (6, commented + body, {"Apache-2.0", "Apache-2.0/header"}),
+            (7, body + "// SPDX-License-Identifier: GPL-3.0-only\n", {"GPL-3.0-only/spdx"}),
+            (8, body * 50 + templates["MIT/text"] + body, {"MIT/text"}),
+            (13, body + "under the GNU General Public License, version 2.", {"GPL-2.0/notice"}),
+            (9, templates["GPL-3.0/text"], None), (10, "All rights", set()), (11, " .,! -- ", set()), (12, None, set())]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(2)
+    got = {r.doc_id: {x.license: x for x in r.licenses}
+           for r in license_scan.scan(docs, templates=templates, bare=True).collect()}
+    for i, _, want in rows:
+        assert want is None or set(got[i]) == want, i
+    assert {"GPL-3.0/text", "GPL/header"} <= set(got[9])
+    assert (got[1]["All-rights-reserved"].start, got[1]["All-rights-reserved"].end) == (7, 10)
+    words = commented.split()
+    place = got[6]["Apache-2.0/header"]
+    assert place.containment == 1 and words[place.start] == "Licensed" and words[place.end - 1] == "License."
+
+
+def test_public_licenses_find_themselves():
+    templates = license_scan.public_licenses()
+    index, memo = license_scan.Index(templates, True), license_scan._Hashes(True)
+    assert len(pickle.dumps(index)) < 16 << 20      # broadcast: half a GB with bitmaps of 1 MB
+    padded = [f"aa bb cc dd ee ff\n{t}\ngg hh ii jj kk" for t in templates.values()]
+    for name, own in zip(templates, license_scan._scan(index, [license_scan._split(t) for t in padded], memo)):
+        assert {m["license"]: m["containment"] for m in own}.get(name) == 1, name
