@@ -3,11 +3,13 @@
 Base entities (email, ip, card, phone) are found by fixed patterns.  They are
 the seeds: the two words before a token with digits or ``@`` are its lexical
 pattern, and patterns and the tokens they stand before (instances) form a
-graph.  Over ROUNDS rounds a pattern's score is the trusted share of its
-distinct instances (one pseudo-count against it), and an instance is trusted
-as far as the best pattern with at least MIN_TRUST trusted instances and a
-score of MIN_SCORE or more.  Tokens after such patterns that no base entity
-covers are reported as kind ``id``.
+graph.  Over ROUNDS rounds a pattern's score weighs its trusted distinct
+instances against its known negatives (plain numbers, dates, times; one
+pseudo-count more), and an instance is trusted as far as the best pattern with
+at least MIN_TRUST trusted instances and a score of MIN_SCORE or more.  Tokens
+not yet seen count neither way.  Tokens after such patterns that no base entity
+covers are reported as kind ``id``.  The word before a token is a pattern too,
+used for tokens with only one word before them.
 
 Offsets are code points, end exclusive.  Null texts are empty and have no
 spans.  Rows are found again by id and a hash of the text, so repeated rows
@@ -26,7 +28,6 @@ from .common import written
 ROUNDS = 3
 MIN_TRUST = 5.0
 MIN_SCORE = 0.8
-CONTEXT = 80            # code points before a token that are searched for its two words
 MIN_LENGTH, MIN_DIGITS = 6, 4   # of a token that may be reported
 BLOCK = 256
 KINDS = ("email", "ip", "card", "phone")
@@ -45,6 +46,11 @@ PATTERNS = {
 _GUARD = {"email": "@", "phone": "+"}
 _PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# Tokens known not to be personal: short, grouped or decimal numbers, ordinals,
+# dates and times.
+_NUMBER = (r"\A(?:[+-]?[$\u20ac\u00a3]?(?:[0-9]{1,5}|[0-9]{1,3}(?:[,.][0-9]{3})*(?:[.,][0-9]{1,2})?|[0-9]+\.[0-9]+)"
+           r"(?:%|st|nd|rd|th)?|[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{1,2}([./-])[0-9]{1,2}\1(?:[0-9]{4}|[0-9]{2})"
+           r"|[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?)\z")
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -125,26 +131,29 @@ def base_entities(df: DataFrame, text: str) -> DataFrame:
 
 def _candidates(df: DataFrame, text: str) -> DataFrame:
     """``df`` plus ``tokens``: tokens with digits or ``@`` and their pattern.
-    ``seed`` is the base entity that begins in a token, if any; ``free`` tells
-    that no base entity touches it."""
+    ``word`` is the last word of its pattern; ``seed`` tells that a base entity
+    begins in the token, ``free`` that none touches it, ``negative`` that it is
+    free and known not to be personal."""
     df = df.select("*", *_matches(text, _TOKEN, F.col(text).rlike("[0-9@]"), "token"))
     df = df.withColumn("__base", F.concat(*KINDS))
 
     def token(m, i):
         head = F.when(i > 0, F.lit("# ")).otherwise(F.lit(""))
         before = F.concat(head, F.get(F.col("token_pieces"), i))
-        words = F.regexp_extract(F.right(before, F.lit(CONTEXT)), r"(\S+)\s+(\S+)\s*\z", 0)
+        words = F.regexp_extract(before, r"(?<!\S)(?:\S++\s++)?\S++\s*+\z", 0)
         lead = F.length(F.regexp_extract(m["value"], r"\A[\"'(\[<{]*+", 0))
         core = F.regexp_extract(m["value"], r"\A[\"'(\[<{]*+(.*?)[\"')\]>}.,;:!?]*+\z", 1)
         inside = F.filter(F.col("__base"), lambda b: (b["start"] >= m["start"]) & (b["start"] < m["end"]))
         free = ~F.exists(F.col("__base"), lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
+        pattern = F.lower(F.regexp_replace(F.regexp_replace(words, r"\A\s+|\s+\z", ""), r"\s+", " "))
         return F.struct((m["start"] + lead).alias("start"),
                         (m["start"] + lead + F.length(core)).alias("end"),
-                        F.lower(F.regexp_replace(F.trim(words), r"\s+", " ")).alias("pattern"),
+                        pattern.alias("pattern"), F.substring_index(pattern, " ", -1).alias("word"),
                         F.coalesce(F.get(inside, F.lit(0))["value"], core).alias("instance"),
-                        (F.size(inside) > 0).alias("seed"), free.alias("free"))
+                        (F.size(inside) > 0).alias("seed"), free.alias("free"),
+                        (free & core.rlike(_NUMBER)).alias("negative"))
 
-    may = lambda x: (x["pattern"] != "") & (x["seed"] | (x["free"] & (
+    may = lambda x: (x["pattern"] != "") & (x["seed"] | x["negative"] | (x["free"] & (
         F.length(x["instance"]) >= MIN_LENGTH) & (
         F.length(F.regexp_replace(x["instance"], "[^0-9]", "")) >= MIN_DIGITS)))
     tokens = F.filter(F.transform(_located(F.col("token_pieces"), F.col("token_found")), token), may)
@@ -154,18 +163,26 @@ def _candidates(df: DataFrame, text: str) -> DataFrame:
 
 def trusted_patterns(uses: DataFrame) -> DataFrame:
     """Patterns of high confidence, from (pattern, instance, seed): ROUNDS of
-    scoring patterns by their instances and instances by their patterns."""
-    edges = written(uses.groupBy("pattern", "instance").agg(F.max(F.col("seed").cast("int")).alias("seed")),
-                    "pattern-graph")
+    scoring patterns by their instances and instances by their patterns.
+
+    With a column ``negative`` only those instances count against a pattern,
+    are never trusted, and only uses with ``learns`` pass trust on to their
+    instances; without it, all instances that are not trusted count against it."""
+    known = "negative" in uses.columns
+    flags = {"seed": F.col("seed"), "negative": F.col("negative") if known else F.lit(False),
+             "learns": F.col("learns") if known else F.lit(True)}
+    edges = written(uses.groupBy("pattern", "instance").agg(
+        *[F.max(c.cast("int")).alias(n) for n, c in flags.items()]), "pattern-graph")
+    counts = (F.col("trust").isNotNull() | (F.col("negative") == 1)) if known else F.lit(True)
     seeds = edges.filter("seed = 1").select("instance", F.lit(1.0).alias("trust")).distinct()
     trust, best = seeds, None
     for _ in range(ROUNDS):
         scored = (edges.join(trust, "instance", "left").groupBy("pattern")
-                  .agg(F.sum(F.coalesce("trust", F.lit(0.0))).alias("trusted"), F.count(F.lit(1)).alias("n")))
+                  .agg(F.sum(F.coalesce("trust", F.lit(0.0))).alias("trusted"), F.count(F.when(counts, 1)).alias("n")))
         best = written(scored.withColumn("score", F.col("trusted") / (F.col("n") + 1))
                        .filter((F.col("trusted") >= MIN_TRUST) & (F.col("score") >= MIN_SCORE))
                        .select("pattern", "score"), "patterns")
-        learned = (edges.filter("seed = 0").join(best, "pattern").groupBy("instance")
+        learned = (edges.filter("seed = 0 and negative = 0 and learns = 1").join(best, "pattern").groupBy("instance")
                    .agg(F.max("score").alias("trust")))
         trust = seeds.unionByName(learned).groupBy("instance").agg(F.max("trust").alias("trust"))
     return best
@@ -178,8 +195,16 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                          F.coalesce(F.col(text), F.lit("")).alias("text"))
     based = written(_candidates(base_entities(source, "text"), "text").drop("text"), "entities")
     tokens = based.select("id", "text_hash", F.explode("tokens").alias("x")).select("id", "text_hash", "x.*")
-    best = trusted_patterns(tokens.select("pattern", "instance", "seed"))
-    found = (tokens.filter("free and not seed").join(best, "pattern")
+    # A token with two words before it also counts for the last one alone.  A
+    # negative is told apart by pattern, so that no plain number is a hot key.
+    uses = tokens.select(
+        F.explode(F.array_distinct(F.array("pattern", "word"))).alias("use"), "*").select(
+        F.col("use").alias("pattern"),
+        F.when(F.col("negative"), F.concat_ws(" ", "use", F.lit("#"), "instance"))
+        .otherwise(F.col("instance")).alias("instance"),
+        "seed", "negative", (F.col("use") == F.col("pattern")).alias("learns"))
+    best = trusted_patterns(uses)
+    found = (tokens.filter("free and not seed and not negative").join(best, "pattern")
              .groupBy(F.col("id").alias("i"), F.col("text_hash").alias("h"))
              .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("found")))
     joined = based.join(found, F.col("id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("h")), "left")

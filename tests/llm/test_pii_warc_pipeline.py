@@ -113,6 +113,25 @@ def test_unseen_identifiers_are_discovered_and_redacted(spark):
     assert clean[3][0] == "some words here. Reach me at [EMAIL] today" and clean[101][0] == rows[31][1]
 
 
+def test_patterns_are_scored_against_known_negatives(spark):
+    """Unseen identifiers do not count against the pattern that finds them."""
+    wide, long_word = " " * 100, "x" * 90
+    rows = [(i, f"Some text. Call us at +1 (017) 555-{7000 + i} now") for i in range(60)]
+    rows += [(100 + i, f"Some text. Call us at 017-555-{7000 + i} now") for i in range(40)]
+    rows += [(200, f"Call us{wide}at 017-555-9999"), (201, f"the {long_word} at 017-555-9998 x"),
+             (202, "at 017-555-9997 now")]
+    rows += [(300 + i, f"the sum of +1 (018) 555-{7000 + i} is") for i in range(20)]
+    rows += [(400 + i, f"the sum of {1000 + i} is") for i in range(20)] + [(450, "the sum of 018-555-1234 is")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [r.text[s.start:s.end] for s in r.found]
+             for r in pii.find(docs).join(docs, "doc_id").select("*").collect()}
+    for d, text in rows:
+        want = []
+        if 100 <= d <= 140 or d in (200, 202):
+            want = [w for w in text.split() if w.startswith("017")]
+        assert found[d] == want, (d, found[d])
+
+
 def test_pii_plans_have_no_python(spark):
     docs = spark.createDataFrame([(1, "a@b.c")], "doc_id long, text string")
     plan = pii.redact(docs)._jdf.queryExecution().toString()
