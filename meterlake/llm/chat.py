@@ -19,12 +19,16 @@ mask.
 Null texts and roles count as empty; rows without conversation id form one
 conversation with a null id; rows are ordered by turn (nulls first), ties by
 role, then text; repeated rows are kept.  An empty table gives an empty table.
-A conversation is one output row, built by one task that streams over its
-turns in order; encoding is spread over all rows before.
+``format_conversations`` makes one row of a conversation, in one task that
+holds all its tokens.  ``digest_conversations`` goes over the same tokens in
+segments of whole turns and about SEGMENT_BYTES, so that a conversation can be of
+any length; its turns still pass through one task, in order.  Encoding is spread
+over all rows before.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -35,6 +39,7 @@ from pyspark.sql import functions as F
 from .bpe import vocabulary
 from .common import SLICE_BYTES, map_column, slices
 
+SEGMENT_BYTES = 4 << 20
 CONTROLS = ("<turn>", "<say>", "</turn>")
 _CONTROL = "|".join(map(re.escape, CONTROLS))
 _ESCAPE = re.compile(rf"(\\*)({_CONTROL})|(\\+)\Z")
@@ -49,14 +54,10 @@ def unescape(text: str) -> str:
                        else m[1][: len(m[1]) // 2] + m[2], text)
 
 
-def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
-                         role: str = "role", text: str = "text",
-                         learn: tuple[str, ...] = ("assistant",),
-                         path: str | None = None) -> DataFrame:
-    """One row per conversation: ``conv_id``, ``token_ids`` (packed
-    little-endian uint32) and ``loss_mask`` (one byte 0/1 per token)."""
-    shared = vocabulary(turns, path)
-
+def _ordered(turns: DataFrame, shared, conv_id: str, turn: str, role: str, text: str,
+             learn: tuple[str, ...]) -> DataFrame:
+    """Encoded turns (``c``, ``ids``, ``role_ids``, ``learn``), each
+    conversation's together and in order."""
     def segments():
         encoder = shared.value.encoder()
         return lambda texts: [encoder.encode([escape(t) for t in texts])]
@@ -67,8 +68,18 @@ def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str =
     rows = map_column(rows, "text", segments, [("ids", "binary")])
     rows = map_column(rows, "role", segments, [("role_ids", "binary")])
     rows = rows.withColumn("learn", F.col("role").isin(*learn))
-    ordered = (rows.repartition("c").sortWithinPartitions("c", "t", "role", "text")
-               .select("c", "ids", "role_ids", "learn"))
+    return (rows.repartition("c").sortWithinPartitions("c", "t", "role", "text")
+            .select("c", "ids", "role_ids", "learn"))
+
+
+def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
+                         role: str = "role", text: str = "text",
+                         learn: tuple[str, ...] = ("assistant",),
+                         path: str | None = None) -> DataFrame:
+    """One row per conversation: ``conv_id``, ``token_ids`` (packed
+    little-endian uint32) and ``loss_mask`` (one byte 0/1 per token)."""
+    shared = vocabulary(turns, path)
+    ordered = _ordered(turns, shared, conv_id, turn, role, text, learn)
     kind = dict(ordered.dtypes)["c"]
 
     def assemble(batches):
@@ -116,6 +127,96 @@ def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str =
     return ordered.mapInArrow(assemble, f"conv_id {kind}, token_ids binary, loss_mask binary")
 
 
+def _segments(batches, base: int):
+    """(conversation, token_ids, loss_mask) of runs of whole turns, in order."""
+    open_, say, close = (np.array([base + i], "<u4").tobytes() for i in range(3))
+    current, parts, mask, size = None, [], [], 0
+    for batch in batches:
+        for c, ids, role_ids, on in zip(*batch.columns):
+            c, ids, role_ids = c.as_py(), ids.as_py(), role_ids.as_py()
+            if parts and (c != current or size > SEGMENT_BYTES):
+                yield current, b"".join(parts), b"".join(mask)
+                parts, mask, size = [], [], 0
+            current = c
+            parts += [open_, role_ids, say, ids, close]
+            mask += [bytes(2 + len(role_ids) // 4),
+                     (b"\x01" if on.as_py() else b"\x00") * (len(ids) // 4), b"\x00"]
+            size += len(ids) + len(role_ids) + 12
+    if parts:
+        yield current, b"".join(parts), b"".join(mask)
+
+
+def digest_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
+                         role: str = "role", text: str = "text",
+                         learn: tuple[str, ...] = ("assistant",),
+                         path: str | None = None) -> DataFrame:
+    """One row per conversation of what its formatted tokens say, read back
+    segment by segment: ``conv_id``, ``n_turns``, ``turns_sha256`` (each role and
+    text, a line feed after both), ``loss_chars`` and ``loss_sha256`` (the
+    masked texts) and ``formatted_chars``."""
+    shared = vocabulary(turns, path)
+    ordered = _ordered(turns, shared, conv_id, turn, role, text, learn)
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    kind = dict(ordered.dtypes)["c"]
+
+    def digest(batches):
+        decoder, base = shared.value.decoder(), shared.value.first_free
+        key_type, ready, state = None, [], None
+
+        def typed():
+            nonlocal key_type
+            for batch in batches:
+                key_type = batch.schema.field(0).type
+                yield batch
+
+        def flush():
+            types = [key_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*ready), types)], names)
+
+        def done():
+            c, n, said, n_loss, loss, shown = state
+            ready.append((c, n, said.hexdigest(), n_loss, loss.hexdigest(), shown))
+
+        for c, packed, mask in _segments(typed(), base):
+            if state is None or c != state[0]:
+                if state is not None:
+                    done()
+                state = [c, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                if len(ready) >= 10_000:
+                    yield flush()
+                    ready = []
+            own, learned, shown = _read(packed, mask, base, decoder)
+            state[1] += len(own)
+            for x in own:
+                state[2].update(f"{x['role']}\n{x['text']}\n".encode())
+            for x in learned:
+                state[3] += len(x)
+                state[4].update(x.encode())
+            state[5] += len(shown)
+        if state is not None:
+            done()
+            yield flush()
+
+    return ordered.mapInArrow(digest, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, "
+                                      "loss_sha256 string, formatted_chars long")
+
+
+def _read(packed: bytes, mask: bytes, base: int, decoder) -> tuple[list[dict], list[str], str]:
+    """(turns, masked texts, rendered text) of formatted tokens."""
+    text_of = lambda ids: decoder.decode(ids.tobytes()).decode()
+    ids, mask = np.frombuffer(packed, "<u4"), np.frombuffer(mask, "i1")
+    marks = np.flatnonzero(ids >= base)
+    turns, shown = [], []
+    for a, b, c in marks.reshape(-1, 3).tolist():
+        if [int(ids[x]) - base for x in (a, b, c)] != [0, 1, 2]:
+            raise ValueError("not a formatted conversation")
+        role, text = text_of(ids[a + 1:b]), text_of(ids[b + 1:c])
+        turns.append({"role": unescape(role), "text": unescape(text)})
+        shown += [CONTROLS[0], role, CONTROLS[1], text, CONTROLS[2]]
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], mask, [0])))).reshape(-1, 2)
+    return turns, [unescape(text_of(ids[a:b])) for a, b in edges], "".join(shown)
+
+
 def read_conversations(formatted: DataFrame, path: str | None = None) -> DataFrame:
     """What a formatted conversation says, read back from its ids and mask:
     ``conv_id``, ``turns`` (role and text), ``loss_texts`` (the masked spans,
@@ -125,24 +226,10 @@ def read_conversations(formatted: DataFrame, path: str | None = None) -> DataFra
     def read(batches):
         decoder = shared.value.decoder()
         base = shared.value.first_free
-        text_of = lambda ids: decoder.decode(ids.tobytes()).decode()
-
-        def one(packed, mask):
-            ids, mask = np.frombuffer(packed, "<u4"), np.frombuffer(mask, "i1")
-            marks = np.flatnonzero(ids >= base)
-            turns, shown = [], []
-            for a, b, c in marks.reshape(-1, 3).tolist():
-                if [int(ids[x]) - base for x in (a, b, c)] != [0, 1, 2]:
-                    raise ValueError("not a formatted conversation")
-                role, text = text_of(ids[a + 1:b]), text_of(ids[b + 1:c])
-                turns.append({"role": unescape(role), "text": unescape(text)})
-                shown += [CONTROLS[0], role, CONTROLS[1], text, CONTROLS[2]]
-            edges = np.flatnonzero(np.diff(np.concatenate(([0], mask, [0])))).reshape(-1, 2)
-            return turns, [unescape(text_of(ids[a:b])) for a, b in edges], "".join(shown)
 
         for batch in batches:
             for part in slices(batch, 1):
-                found = [one(p.as_py(), m.as_py()) for p, m in zip(part.column(1), part.column(2))]
+                found = [_read(p.as_py(), m.as_py(), base, decoder) for p, m in zip(part.column(1), part.column(2))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0)] + [pa.array(v, t) for v, t in zip(zip(*found), (
                         pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())])),

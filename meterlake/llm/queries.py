@@ -54,15 +54,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.createDataFrame([(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)],
                                     "conv_id long, turn long, role string, text string")
-    read = chat.read_conversations(chat.format_conversations(turns.unionByName(planted)))
-    said = F.concat_ws("", F.transform("turns", lambda t: F.concat(
-        t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
-    loss = F.concat_ws("", "loss_texts")
-    return read.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(said, 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"))
+    return chat.digest_conversations(turns.unionByName(planted))
 
 
 # -- 4: URL filter -----------------------------------------------------------

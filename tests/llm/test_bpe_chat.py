@@ -121,3 +121,27 @@ def test_digest_query_of_planted_conversation(spark):
     said = f"user\n{PLANTED}\nassistant\n{PLANTED}\n"
     assert row.turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
     assert row.loss_sha256 == hashlib.sha256(PLANTED.encode()).hexdigest() and row.n_turns == 2
+
+
+def test_digest_of_a_conversation_in_segments(spark, monkeypatch):
+    """A conversation of many segments reads as one; no task holds it whole."""
+    monkeypatch.setattr(chat, "SEGMENT_BYTES", 300)
+    rows = [(c, i, "assistant" if i % 2 else "user", f"é turn {i} <say> of {c}\\") for c in (1, 2, None) for i in range(120)]
+    rows += [(4, 0, None, None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = {r.conv_id: r for r in chat.digest_conversations(turns).collect()}
+    whole = {r.conv_id: r for r in chat.read_conversations(chat.format_conversations(turns)).collect()}
+    assert got.keys() == whole.keys() == {1, 2, None, 4}
+    for c, r in got.items():
+        own = [(x[2] or "", x[3] or "") for x in rows if x[0] == c]
+        loss = "".join(t for role, t in own if role == "assistant")
+        assert r.n_turns == len(own) and r.formatted_chars == len(whole[c].formatted)
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in own).encode()).hexdigest()
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert chat.digest_conversations(turns.limit(0)).count() == 0
+    import pyarrow as pa
+    ids = b"\x01\x00\x00\x00" * 40
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * 50), pa.array([ids] * 50), pa.array([ids] * 50),
+                                        pa.array([True] * 50)], ["c", "ids", "role_ids", "learn"])
+    parts = list(chat._segments(iter([batch]), 100))
+    assert len(parts) == 50 and max(len(x[1]) for x in parts) < 1000
