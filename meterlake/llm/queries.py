@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat, decontaminate, license_scan, minhash_dedup, pii, quality, suffix_dedup,
-               url_filter, warc_audit)
+from . import (bpe, chat, decontaminate, html_extraction, lexical_search, license_scan, minhash_dedup, periodic_runs,
+               pii, quality, suffix_dedup, url_filter, warc_audit)
 from .common import table
 
 LLM_QUERIES = {}
@@ -250,3 +250,74 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("__row.doc_id", "n_bytes", n_removed.alias("n_removed"),
                       F.size("removed").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# -- 11: HTML extraction -----------------------------------------------------
+
+# The test pages hold their main text in one article of headings and paragraphs,
+# with bold text as the only inline markup.
+_HTML_SQL = r"""
+WITH articles AS (SELECT page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '') AS a
+                  FROM pages),
+plain AS (SELECT page_id, url, regexp_replace(regexp_replace(a, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS t
+          FROM articles),
+decoded AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(replace(replace(replace(t,
+              '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text
+            FROM plain)
+SELECT page_id, url, text, length(text) AS n_chars FROM decoded
+"""
+
+
+@register("op11_html_extraction", _HTML_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_extraction.extract(pages, html_extraction.infer(pages))
+    return found.select("page_id", "url", F.col("main_text").alias("text"),
+                        F.char_length("main_text").cast("long").alias("n_chars"))
+
+
+# -- 12: ranked lexical search -----------------------------------------------
+
+_SEARCH_SQL = rf"""
+WITH found AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, {_AZ}),
+                                                        '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS t FROM documents),
+tfs AS (SELECT doc_id, t, count(*) AS tf FROM found GROUP BY doc_id, t),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+weights AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM (SELECT t, count(*) AS df FROM tfs GROUP BY t) d, corpus),
+asked AS (SELECT item_id, t, count(*) AS times FROM (
+            SELECT item_id, unnest(regexp_extract_all(translate(text, {_AZ}),
+                                                      '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS t FROM benchmark) x
+          GROUP BY item_id, t),
+scored AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf)
+                    // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+           FROM asked JOIN weights USING (t) JOIN tfs USING (t) JOIN lengths USING (doc_id), corpus
+           GROUP BY item_id, doc_id)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r
+      FROM scored WHERE score > 0) y WHERE r <= 20
+"""
+
+
+@register("op12_lexical_search", _SEARCH_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+# -- 13: periodic run detection ----------------------------------------------
+
+@register("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    repeated = docs.withColumn("text", periodic_runs.tail_repeated(F.col("text"), F.col("doc_id")))
+    best = F.col("best")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return (periodic_runs.find_runs(repeated).withColumn("best", periodic_runs.strongest())
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+                    best["length"].alias("length"), best["period"].alias("period"),
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                    F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256)
+                    .alias("runs_sha256"),
+                    F.sha2("collapsed", 256).alias("collapsed_sha256")))
