@@ -31,8 +31,8 @@ from .common import map_column
 # What two texts of a batch share between spaces, and its pre-tokens, are
 # remembered up to MEMO_CHARS code points, MEMO_SIZE of each at most per worker.
 MEMO_CHARS = 64
-MEMO_SIZE = 200_000
-SLICE = 4 << 20     # bytes of text whose new pre-tokens are merged together
+MEMO_SIZE = 100_000
+SLICE = 2 << 20     # bytes of text whose new pre-tokens are merged together
 SMALL = 12          # positions of a bucket that are merged one by one
 VOCABULARY = "byte_bpe_50k.tiktoken"
 

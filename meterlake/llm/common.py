@@ -13,8 +13,12 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir
 
 # Bytes of text handed to an operator's inner loop at a time, so that a task's
-# memory depends on its longest row and not on the number of rows in a batch.
-SLICE_BYTES = 8 << 20
+# memory depends on its longest row and not on the number of rows in a batch.  The
+# words of a slice take some ten times its bytes.
+SLICE_BYTES = 2 << 20
+# Bytes of an Arrow batch between the JVM and a Python worker (Spark's own limit of
+# 64 MB is held several times over by both sides).
+BATCH_BYTES = 4 << 20
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(),
           "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
@@ -48,6 +52,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of at most BATCH_BYTES (or one row) from now on in this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def slices(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of ``batch`` holding about ``size`` bytes of ``column`` each."""
     n = batch.num_rows
@@ -83,6 +92,7 @@ def map_column(df: DataFrame, column: str, make: Callable[[], Callable[[list], l
                 yield pa.RecordBatch.from_arrays(
                     part.columns[:width] + [pa.array(v, type=k) for v, k in zip(out, kinds)], names)
 
+    small_batches(df.sparkSession)
     schema = T.StructType(kept + T.StructType.fromDDL(
         ", ".join(f"`{n}` {t}" for n, t in fields)).fields)
     return source.mapInArrow(run, schema)

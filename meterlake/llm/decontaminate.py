@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_type, slices
+from .common import arrow_type, slices, small_batches
 
 WINDOW = 10
 SHINGLE = 5
 BLOCK_BYTES = 16 << 20
-MEMO_SIZE = 500_000
+MEMO_SIZE = 100_000
 _TABLE = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else
                c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -126,6 +126,7 @@ def _inside(starts: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.
 def rarity(docs: DataFrame, lookups: dict[int, Lookup], text: str = "text") -> dict:
     """(shingle length, hash) -> occurrences over all documents.  Tasks count
     first; the driver gets one row a shingle of the block."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lookups)
 
     def run(batches):
@@ -170,6 +171,7 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _scan(docs: DataFrame, index: dict, text: str) -> DataFrame:
     """Adds one block's hits to the columns n_words, hit_spans and items."""
     lookups = {k: Lookup(v) for k, v in index.items()}
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((index, lookups))
     at_text = docs.columns.index(text)
     before = len(docs.columns) - 3

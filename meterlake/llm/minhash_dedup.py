@@ -49,7 +49,7 @@ COORDINATES = 32
 MATCHES = 14
 SKETCH, SKETCH_MATCHES = 1024, 726   # four bits a value, so 1 in 16 collides by chance
 MEMBERS = 500            # members that are compared with one copy of a leader's text
-MEMO_SIZE = 400_000
+MEMO_SIZE = 100_000
 PREFIX = COORDINATES - MATCHES + 1
 
 _RNG = np.random.default_rng(20240229)

@@ -4,8 +4,10 @@ Words ``[^\\x20\\x09-\\x0D]+`` and pairs of neighbouring words are hashed into
 buckets.  One multinomial is counted over the trusted documents, one over all
 documents; a document's score is the mean over its n-grams of
 log(p_trusted / p_raw).  Every document is judged against the same threshold:
-the score that all but TRUSTED_MISS of the trusted documents reach that were
-held out of the target, less MARGIN nats.  Counts, scores and the threshold use all rows.
+the score that all but TRUSTED_MISS of the trusted documents reach that are
+not in the target, less MARGIN nats.  The target is fitted on at most TRUSTED_SAMPLE
+trusted documents; raw counts and scores use all rows, the threshold every trusted one
+outside the target.
 
 Null texts have no words; a document without words fails the base rules.
 Equal texts get equal verdicts.  Without trusted documents, fitted and held
@@ -24,16 +26,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import beside, map_column, slices
+from .common import beside, map_column, slices, small_batches, written
 
 BUCKETS = 1 << 16
 TRUSTED_MISS = 0.01
 MARGIN = 0.05
 SMOOTHING = 1.0
 SCORE_STEP = 1e-3
-MEMO_SIZE = 500_000
+MEMO_SIZE = 100_000
 TRUSTED_SAMPLE = 50_000  # labelled documents that the target is fitted on, at most
 HELD_OUT = 5
+BROADCAST_IDS = 1_000_000
 _NONE = np.empty(0, "i8")
 _SPACES = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -57,15 +60,16 @@ def _ngrams(words: list[bytes], hashes: _Hashes) -> np.ndarray:
     return (np.concatenate((h, pairs)) >> np.uint64(48)).astype("i8") & (BUCKETS - 1)
 
 
-def trusted_sample(labels: DataFrame, doc_id: str = "doc_id", quality: str = "quality") -> DataFrame:
-    """Ids that are labelled quality 1 and never 0; of more than TRUSTED_SAMPLE
-    ids, those of the smallest hashes.  ``trusted`` is false for one in HELD_OUT
-    of them: these are kept out of the target and set the threshold, for a
-    document's own n-grams would raise its score."""
-    return (labels.filter(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__id"))
-            .agg(F.min(quality).alias("q")).filter("q = 1")
-            .orderBy(F.xxhash64("__id"), "__id").limit(TRUSTED_SAMPLE)
-            .select("__id", (F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(HELD_OUT)) != 0).alias("trusted")))
+def trusted_ids(labels: DataFrame, doc_id: str = "doc_id", quality: str = "quality") -> tuple[DataFrame, DataFrame]:
+    """(target, others): the ids that are labelled quality 1 and never 0.  One in
+    HELD_OUT of them stays out of the target, for a document's own n-grams would raise
+    its score; of the rest the target has the TRUSTED_SAMPLE ids of the smallest
+    hashes.  All others set the threshold."""
+    trusted = (labels.filter(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__id"))
+               .agg(F.min(quality).alias("q")).filter("q = 1").select("__id"))
+    target = written(trusted.filter(F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(HELD_OUT)) != 0)
+                     .orderBy(F.xxhash64("__id"), "__id").limit(TRUSTED_SAMPLE), "quality-target")
+    return target, written(trusted.join(F.broadcast(target), "__id", "left_anti"), "quality-others")
 
 
 def count_ngrams(df: DataFrame, text: str = "text", trusted: str = "trusted") -> DataFrame:
@@ -73,6 +77,8 @@ def count_ngrams(df: DataFrame, text: str = "text", trusted: str = "trusted") ->
     ``trusted`` holds.  Each task sends one count a bucket."""
     source = df.select(F.col(text).alias("t"), F.coalesce(F.col(trusted), F.lit(False)).alias("k"))
 
+    small_batches(df.sparkSession)
+
     def run(batches):
         hashes = _Hashes()
         raw, target = np.zeros(BUCKETS, "i8"), np.zeros(BUCKETS, "i8")
@@ -163,11 +169,16 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
           quality: str = "quality") -> DataFrame:
     """``docs`` (text beside a struct ``__row`` of its other columns) plus the
     measures, score, base_failed and kept."""
-    ids = F.broadcast(trusted_sample(labels, doc_id, quality))  # TRUSTED_SAMPLE rows at most
+    target, others = trusted_ids(labels, doc_id, quality)
     texts = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("t"))
-    ratios = log_ratios(count_ngrams(texts.join(ids, "__id", "left"), "t"))
-    cut = None if ratios is None else threshold(
-        measures(texts.join(ids.filter(~F.col("trusted")), "__id", "left_semi"), ratios, "t"))
+    fitted = F.broadcast(target.withColumn("trusted", F.lit(True)))     # TRUSTED_SAMPLE rows at most
+    ratios = log_ratios(count_ngrams(texts.join(fitted, "__id", "left"), "t"))
+    if ratios is None:
+        cut = None
+    else:
+        few = others.count() <= BROADCAST_IDS       # else a shuffle join
+        held_out = texts.join(F.broadcast(others) if few else others, "__id", "left_semi")
+        cut = threshold(measures(held_out, ratios, "t"))
     rows = measures(beside(docs, text), ratios, text)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     good = F.lit(True) if cut is None else F.coalesce(F.col("score") >= cut, F.lit(True))

@@ -1,3 +1,4 @@
+import math
 import pickle
 import random
 import re
@@ -89,6 +90,49 @@ def test_quality(spark):
     assert quality.judge(docs.limit(0), marks).count() == 0
 
 
+@pytest.mark.parametrize("sample", [20, 1000])
+def test_quality_verdict_equals_brute_force(spark, monkeypatch, sample):
+    """Scores, threshold and verdicts by dictionaries; all trusted documents that are
+    not in the target set the threshold, also those beyond a small sample."""
+    monkeypatch.setattr(quality, "TRUSTED_SAMPLE", sample)
+    rng = random.Random(9)
+    common, good, bad = [[f"{k}{i}" for i in range(60)] for k in "cgb"]
+    rows = []
+    for i in range(240):
+        share = rng.random()
+        own = good if i % 3 else bad
+        rows.append((i, " ".join(rng.choice(own if rng.random() < share else common) for _ in range(rng.randint(12, 80)))))
+    labels = [(i, int(i % 3 > 0)) for i in range(200) if i % 7] + [(4, 1), (5, 0), (5, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r["__row"].doc_id: (r.score, r.kept) for r in quality.judge(docs, marks).collect()}
+
+    trusted = {i for i, q in labels if q == 1} - {i for i, q in labels if q == 0}
+    hashes = {r[0]: (r[1], r[2]) for r in spark.range(300).select("id", F.xxhash64("id"), F.pmod(
+        F.xxhash64("id", F.lit(1)), F.lit(quality.HELD_OUT))).collect()}
+    target = sorted((i for i in trusted if hashes[i][1]), key=lambda i: hashes[i])[:sample]
+    grams = {i: quality._ngrams(t.encode().split(), quality._Hashes()).tolist() for i, t in rows}
+    raw, fit = Counter(), Counter()
+    for i, g in grams.items():
+        raw.update(g)
+        if i in target:
+            fit.update(g)
+    n, m = sum(raw.values()), sum(fit.values())
+    p_raw = {b: (raw[b] + 1) / (n + quality.BUCKETS) for b in raw}
+    ratio = {b: math.log((fit[b] + quality.BUCKETS * p_raw[b]) / (m + quality.BUCKETS) / p_raw[b]) for b in raw}
+    score = {i: sum(ratio[b] for b in g) / len(g) for i, g in grams.items()}
+    steps = sorted(math.floor(score[i] / quality.SCORE_STEP) for i in trusted.difference(target))
+    assert len(steps) > (100 if sample == 20 else 10)
+    below = [s for k, s in enumerate(steps) if sum(x <= s for x in steps) > quality.TRUSTED_MISS * len(steps)]
+    cut = below[0] * quality.SCORE_STEP - quality.MARGIN
+    for i, t in rows:
+        m5 = _measures(t)
+        failed = m5[0] < 10 or 100 * m5[4] > 20 * m5[0]
+        assert abs(got[i][0] - score[i]) < 1e-9
+        assert got[i][1] == (not failed and score[i] >= cut)
+    assert {k for _, k in got.values()} == {True, False}
+
+
 def _plain_hits(text, items):
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     words, hit, ids = split(text), set(), set()
