@@ -3,9 +3,10 @@ bounds -> flag -> keep outliers or injected rows).
 
 The same DataFrame -> DataFrame function is used by the batch queries and by
 each micro-batch of the stream.  Statistics are a partial + final hash
-aggregate (a hot device is combined map-side, never gathered in one task);
-the statistics join is left to adaptive execution, which broadcasts it by its
-measured bytes.  A NaN value counts as missing.
+aggregate (a hot device is combined map-side, never gathered in one task).  The
+join is left to adaptive execution, unless the statistics are to be kept (``keep``):
+then they are written once and measured, and broadcast if they are small enough, so
+the readings are not shuffled by device.  A NaN value counts as missing.
 
 Bound: in a group of n readings an in-sample z-score cannot exceed
 (n-1)/sqrt(n), so with k = 3 groups of n <= 10 never produce an outlier.
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import non_nan
-from ..plans.joins import lookup_join
+from ..plans.joins import kept_lookup, lookup_join, measured_join
 
 
 def group_stats(readings: DataFrame, keys=("device_id",), value: str = "active_power",
@@ -42,9 +43,11 @@ def outlier_flag(value: Column, lower: Column, upper: Column) -> Column:
 
 
 def score(readings: DataFrame, stats: DataFrame, keys=("device_id",),
-          value: str = "active_power", k: float = 3.0, how: str = "inner") -> DataFrame:
-    """Attach statistics, bounds and the outlier flag to every reading."""
-    enriched = lookup_join(readings, stats.drop("count"), list(keys), how)
+          value: str = "active_power", k: float = 3.0, how: str = "inner", kept: bool = False) -> DataFrame:
+    """Attach statistics, bounds and the outlier flag to every reading.  ``kept``:
+    the statistics are a written table, whose size is measured."""
+    join = measured_join if kept else lookup_join
+    enriched = join(readings, stats.drop("count"), list(keys), how)
     lower, upper = sigma_bounds(F.col("mean"), F.col("stddev"), k)
     return (enriched
             .withColumn("lower_bound", lower)
@@ -56,11 +59,17 @@ def score(readings: DataFrame, stats: DataFrame, keys=("device_id",),
 def detect(readings: DataFrame, keys=("device_id",), value: str = "active_power",
            k: float = 3.0, min_count: int = 3,
            injected: str | None = "is_injected_anomaly",
-           with_detection_time: bool = False) -> DataFrame:
+           with_detection_time: bool = False, stats: DataFrame | None = None,
+           keep: bool = False) -> DataFrame:
     """Rows that are statistical outliers of their group, or were injected
-    as anomalies.  Groups below ``min_count`` are not scored (inner join)."""
-    stats = group_stats(readings, keys, value, min_count)
-    scored = score(readings, stats, keys, value, k)
+    as anomalies.  Groups below ``min_count`` are not scored (inner join).
+    ``stats``: given statistics (say, merged over many days) instead of those of
+    the readings; with ``keep`` they are a written table.  ``keep`` runs a job, the
+    aggregation, while the query is built."""
+    if stats is None:
+        stats = group_stats(readings, keys, value, min_count)
+        stats = kept_lookup(stats, "device-stats") if keep else stats
+    scored = score(readings, stats, keys, value, k, kept=keep)
     keep = F.col("is_anomaly")
     if injected and injected in readings.columns:
         keep = keep | F.col(injected)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import r6
-from ..operators import anomaly, profiles
+from ..operators import anomaly, device_stats, profiles
+from ..session import scratch_path
 from ..sources import fixtures as fx
 from . import oracle as o
 from .catalog import register
+from .joins import kept_lookup
 
 READING_COLS = ["event_id", "timestamp", "device_id", "active_power", "reactive_power",
                 "voltage", "current", "Sub_metering_1", "Sub_metering_2", "Sub_metering_3",
@@ -59,6 +61,45 @@ def anomaly_3sigma_by_day(spark, sf_dir):
     return _anomaly_output(anomaly.detect(r, keys=("device_id", "day")), extra=("day",))
 
 
+def _merged_detect(spark, sf_dir):
+    """Outliers by statistics that were merged from daily batches of moments."""
+    r = fx.readings(spark, sf_dir)
+    path = scratch_path(spark, "moments")
+    device_stats.add_batch(device_stats.daily_moments(r), path, F.date_format("day", "yyyyMMdd").cast("long"))
+    stats = kept_lookup(device_stats.statistics(device_stats.read_moments(spark, path)), "device-stats")
+    return anomaly.detect(r, stats=stats, keep=True)
+
+
+@register("merged_3sigma", _anomaly_sql("device_id", "1 AS _one"))
+def merged_3sigma(spark, sf_dir):
+    """The 3-sigma outliers by statistics merged over days: equal to those of the whole table."""
+    return _anomaly_output(_merged_detect(spark, sf_dir))
+
+
+@register("anomaly_batch_counts", o.with_ctes(o.READINGS, """
+stats AS (
+  SELECT device_id, avg(active_power) AS mean, stddev_samp(active_power) AS stddev
+  FROM readings GROUP BY device_id HAVING count(active_power) >= 3
+),
+found AS (
+  SELECT r."timestamp", r.device_id,
+         (active_power < mean - 3 * stddev OR active_power > mean + 3 * stddev) AS is_anomaly
+  FROM readings r JOIN stats USING (device_id)
+  WHERE (active_power < mean - 3 * stddev OR active_power > mean + 3 * stddev) OR is_injected_anomaly
+)""") + """
+SELECT strftime("timestamp", '%Y-%m-%d') AS day, count(*) AS n_rows,
+       CAST(count_if(is_anomaly) AS BIGINT) AS n_anomalies,
+       count(DISTINCT device_id) AS n_devices
+FROM found GROUP BY 1
+""")
+def anomaly_batch_counts(spark, sf_dir):
+    """Rows reported for each daily batch."""
+    found = _merged_detect(spark, sf_dir)
+    return found.groupBy(F.date_format("timestamp", "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("is_anomaly").alias("n_anomalies"),
+        F.countDistinct("device_id").alias("n_devices"))
+
+
 @register("anomaly_quality", o.with_ctes(o.READINGS, """
 stats AS (
   SELECT device_id, avg(active_power) AS mean, stddev_samp(active_power) AS stddev
