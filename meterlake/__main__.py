@@ -20,7 +20,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("input")
     p.add_argument("output")
     p.add_argument("--stats")
-    p.add_argument("--sep", default=",")
+    p.add_argument("--sep", default=",", help="separator, or 'auto': that of each file")
+    p.add_argument("--rejects", help="with --sep auto: where unreadable lines go")
     p.add_argument("--order-by", help="column that orders the rows (default: file order)")
 
     p = sub.add_parser("train", help="clean readings -> saved pipeline and run records")
@@ -44,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session(args.master, app_name=f"meterlake-{args.job}", profile=args.profile)
     if args.job == "ingest":
         out = jobs.ingest(spark, args.input, args.output, args.stats, sep=args.sep,
-                          order_col=args.order_by)
+                          order_col=args.order_by, rejects_path=args.rejects)
         print(json.dumps({"rows": out.count(), "output": args.output}))
     elif args.job == "train":
         from .sources.readers import read_first_parquet

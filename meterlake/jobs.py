@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .operators import clean, forecast, profiles, readmodels
 from .sinks import tables
+from .sources.exports import read_exports
 from .sources.readers import load_model, read_first_parquet, read_raw_csv
 from .streaming import detect as sdetect
 from .streaming import sources as ssrc
@@ -24,17 +25,28 @@ from .streaming import sources as ssrc
 
 def ingest(spark: SparkSession, input_path: str, output_path: str,
            stats_path: str | None = None, sep: str = ",",
-           order_col: str | None = None, impute_step_minutes: int = 1) -> DataFrame:
+           order_col: str | None = None, impute_step_minutes: int = 1,
+           rejects_path: str | None = None) -> DataFrame:
     """Raw export -> clean readings (Parquet, overwrite) -> statistics
     document (one profile pass over the written table).
 
     Missing timestamps are imputed in ``order_col`` order; without an order
-    column in file order (path, then position in the file)."""
-    raw = read_raw_csv(spark, input_path, sep=sep)
+    column in file order (path, then position in the file).
+
+    With ``sep="auto"`` every file is read by its own separator and column order, and
+    the lines that cannot be read are written to ``rejects_path`` (JSON lines)."""
+    if sep == "auto":
+        raw, rejects = read_exports(spark, input_path)
+        if rejects_path:
+            tables.write_json_lines(rejects, rejects_path, mode="overwrite")
+        if order_col is not None:
+            raw = raw.drop(*clean.FILE_POSITION)
+    else:
+        raw = read_raw_csv(spark, input_path, sep=sep)
+        if order_col is None:
+            raw = clean.with_file_position(raw)
     if raw.isEmpty():       # cleaning drops no row
         raise ValueError(f"no readings in {input_path}")
-    if order_col is None:
-        raw = clean.with_file_position(raw)
     cleaned = clean.clean(raw, order_by=order_col, impute_step_minutes=impute_step_minutes,
                           file_order=order_col is None)
     tables.write_parquet(cleaned, output_path)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import r6, to_double
 from ..operators import clean, profiles
 from ..schemas import RAW_COLUMNS
+from ..session import scratch_path
+from ..sources import exports
 from ..sources import fixtures as fx
 from . import oracle as o
 from .catalog import register
@@ -140,3 +142,53 @@ def null_profile(spark, sf_dir):
     """NULL-or-NaN count of every typed column, one aggregate."""
     typed = clean.typed_readings(fx.raw_readings(spark, sf_dir))
     return profiles.null_counts(typed, _NULL_COLS)
+
+
+# Raw exports written with three separators and column orders into one folder; some
+# lines have a field too many or too few.
+_EXPORT_SEPARATORS = (",", ";", "\t")
+
+
+def _write_exports(spark, sf_dir) -> str:
+    raw = fx.raw_readings(spark, sf_dir).withColumn("event_id", F.col("event_id").cast("string"))
+    columns = raw.columns
+    e = F.col("event_id").cast("long")
+    path = scratch_path(spark, "exports")
+    for i, sep in enumerate(_EXPORT_SEPARATORS):
+        names = columns[i:] + columns[:i]
+        # a date that holds the separator is quoted
+        fields = [F.concat(F.lit('"'), F.col(c), F.lit('"')) if c == "Date" else F.col(c) for c in names]
+        line = F.concat_ws(sep, *fields)
+        line = (F.when(e % 29 == 3, F.concat(line, F.lit(f"{sep}x"))).when(e % 31 == 4, F.concat_ws(sep, *fields[:-2]))
+                .otherwise(line))
+        (raw.filter(e % 3 == i).select(line.alias(sep.join(names)))
+         .write.option("header", "true").option("sep", "\x01").option("quote", "\x02")
+         .option("escape", "\x02").csv(f"{path}/part={i}"))
+    return path
+
+
+@register("csv_dialects", o.with_ctes(o.READINGS, o.RAW, o.TYPED) + """
+SELECT event_id, "timestamp", Global_active_power, Voltage, Sub_metering_3
+FROM typed WHERE event_id % 29 <> 3 AND event_id % 31 <> 4
+""")
+def csv_dialects(spark, sf_dir):
+    """Exports written with ',', ';' and tab into one folder, read by each file's own
+    separator and column order."""
+    rows, _ = exports.read_exports(spark, f"{_write_exports(spark, sf_dir)}/*")
+    typed = clean.typed_readings(rows, keep=("event_id",))
+    return typed.select(F.col("event_id").cast("long").alias("event_id"), "timestamp", "Global_active_power",
+                        "Voltage", "Sub_metering_3")
+
+
+@register("csv_rejects", o.with_ctes(o.READINGS) + """
+SELECT CASE WHEN event_id % 29 = 3 THEN 'long' WHEN event_id % 31 = 4 THEN 'short' ELSE 'row' END AS outcome,
+       count(*) AS n, count(DISTINCT event_id % 3) AS n_dialects
+FROM readings GROUP BY 1
+""")
+def csv_rejects(spark, sf_dir):
+    """Rows and rejects of these exports by reason: together they are all lines written."""
+    rows, rejects = exports.read_exports(spark, f"{_write_exports(spark, sf_dir)}/*")
+    part = F.regexp_extract("file", "part=(\\d+)", 1)
+    every = (rows.select(F.lit("row").alias("outcome"), F.col("_file").alias("file"))
+             .unionByName(rejects.select(F.col("reason").alias("outcome"), "file")))
+    return every.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.countDistinct(part).alias("n_dialects"))
