@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import r6
 from ..operators import anomaly, baseline, readmodels
-from ..session import scratch_path
+from ..session import release, scratch_path
 from ..sinks.tables import write_parquet
 from ..sources import fixtures as fx
+from ..streaming import new_rows
 from . import oracle as o
 from .catalog import register
+from .joins import kept_lookup
 
 # --------------------------------------------------------------------------
 # shared SQL pieces
@@ -253,7 +255,7 @@ def series_overlay(spark, sf_dir):
     return s.withColumn("value", r6("value"))
 
 
-@register("new_anomalies", o.with_ctes(o.READINGS, ANOMALIES_CTE, """
+_NEW_SQL = o.with_ctes(o.READINGS, ANOMALIES_CTE, """
 day_stats AS (
   SELECT device_id, strftime("timestamp", '%Y-%m-%d') AS day, avg(active_power) AS mean,
          stddev_samp(active_power) AS stddev
@@ -268,7 +270,10 @@ known AS (
 SELECT {_FEED_SQL} FROM anomalies a
 WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.device_id = a.device_id
                   AND k."timestamp" = a."timestamp")
-""")
+"""
+
+
+@register("new_anomalies", _NEW_SQL)
 def new_anomalies(spark, sf_dir):
     """Anomalies of the per-device model not already reported by the
     per-day model (left anti join on device and timestamp)."""
@@ -279,6 +284,26 @@ def new_anomalies(spark, sf_dir):
     return readmodels.new_since(incoming, known)
 
 
+@register("stream_new_anomalies", _NEW_SQL)
+def stream_new_anomalies(spark, sf_dir):
+    """The same by a stream: anomalies arrive in blocks of days, each block a second time
+    with the next one, and the query is stopped and restarted half way."""
+    r = fx.readings(spark, sf_dir)
+    known = kept_lookup(anomaly.detect(r.withColumn("day", F.date_format("timestamp", "yyyy-MM-dd")),
+                                       keys=("device_id", "day")).select("device_id", "timestamp"), "known")
+    feed = kept_lookup(readmodels.anomaly_feed(anomaly.detect(r)), "feed")
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("feed-blocks", "new-anomalies", "ckpt"))
+    block = F.floor(F.dayofmonth("timestamp") / 8)
+    for i in range(5):          # days 1 to 31; a block comes with the one before it
+        feed.filter((block == i) | (block == i - 1)).write.parquet(f"{src}/block={i}")
+        if i in (2, 4):
+            stream = (spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 2)
+                      .option("recursiveFileLookup", "true").parquet(src))
+            new_rows.report_new(stream, sink, ckpt, known, delay="40 days", available_now=True).awaitTermination()
+    release(spark, src, ckpt)
+    return spark.read.schema(feed.schema).parquet(sink)
+
+
 # Literal rows of a model registry: runs, info rows (one model has two, written
 # out of order) and artifacts in two places.
 _RUN_ROWS = [("20240101_000000", "FAILED", 1.5, "no rows"), ("20240102_000000", "SUCCESS", 9.0, None),
