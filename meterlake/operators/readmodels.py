@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.columns import col
 
@@ -114,6 +115,26 @@ def artifact_info(artifacts: DataFrame, info: DataFrame) -> DataFrame:
     return latest_artifact(artifacts).join(newest_info, "model_timestamp", "left")
 
 
+def as_of(events: DataFrame, states: DataFrame, by: tuple[str, ...], at: str, since: str) -> DataFrame:
+    """``events`` plus ``known``: the row of ``states`` with the largest ``since`` that is
+    not later than the event's ``at``, of the same ``by`` (null if there is none; of equal
+    ones the row that is largest in all columns).  One shuffle of both by ``by`` and time
+    order within it; a window keeps no more than the last state.  Events without a time
+    know nothing."""
+    row = F.struct(F.col(since), *[c for c in states.columns if c != since])
+    both = (events.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col(at).alias("_at"),
+                          F.lit(1).alias("_kind"), F.struct(*events.columns).alias("_event"), F.lit(None).alias("_state"))
+            .unionByName(states.filter(F.col(since).isNotNull())
+                         .select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col(since).alias("_at"),
+                                 F.lit(0).alias("_kind"), F.lit(None).alias("_event"), row.alias("_state"))))
+    # states before events of the same time
+    so_far = (Window.partitionBy(*[f"_by{i}" for i in range(len(by))])
+              .orderBy(F.col("_at").asc_nulls_first(), "_kind", "_state")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    known = F.last("_state", ignorenulls=True).over(so_far)
+    return both.withColumn("known", known).filter("_kind = 1").select("_event.*", "known")
+
+
 def new_since(incoming: DataFrame, known: DataFrame,
               key: tuple[str, ...] = ("device_id", "timestamp")) -> DataFrame:
     """Incoming rows whose ``key`` was not seen before (left anti join).  The

@@ -304,65 +304,70 @@ def stream_new_anomalies(spark, sf_dir):
     return spark.read.schema(feed.schema).parquet(sink)
 
 
-# Literal rows of a model registry: runs, info rows (one model has two, written
-# out of order) and artifacts in two places.
-_RUN_ROWS = [("20240101_000000", "FAILED", 1.5, "no rows"), ("20240102_000000", "SUCCESS", 9.0, None),
-             ("20240103_000000", "CRASHED", 2.0, "disk"), ("20240104_000000", "SUCCESS", 8.0, None),
-             ("20240104_000000", "SUCCESS", 8.5, None)]
-_INFO_ROWS = [("20240104_000000", 1.25, 0.5, "2024-01-04 00:10:00"), ("20240102_000000", 2.5, 0.25, "2024-01-05 09:00:00"),
-              ("20240104_000000", 1.0, 0.75, "2024-01-04 00:20:00"), ("20240102_000000", 2.75, 0.125, "2024-01-02 00:05:00")]
-_ARTIFACT_ROWS = [("pipeline", "20240102_000000", "a/2"), ("pipeline", "20240104_000000", "a/4"),
-                  ("pipeline", "20240104_000000", "b/4"), ("regressor", "20240102_000000", "r/2"),
-                  ("regressor", "20240103_000000", "r/3")]
-
-
-def _literal(v) -> str:
-    return "NULL" if v is None else str(v) if isinstance(v, float) else f"'{v}'"
-
-
-def _rows_sql(rows) -> str:
-    return ", ".join("(" + ", ".join(_literal(v) for v in r) + ")" for r in rows)
-
-
-_REGISTRY = (f"""
-runs(model_timestamp, status, duration_seconds, error_message) AS (VALUES {_rows_sql(_RUN_ROWS)})""", f"""
-info AS (SELECT model_timestamp, CAST(rmse AS DOUBLE) AS rmse, CAST(r2 AS DOUBLE) AS r2,
-                CAST(created_at AS TIMESTAMP) AS created_at
-         FROM (VALUES {_rows_sql(_INFO_ROWS)}) v(model_timestamp, rmse, r2, created_at))""", f"""
-artifacts(kind, model_timestamp, path) AS (VALUES {_rows_sql(_ARTIFACT_ROWS)})""", """
+# A model registry derived from the readings: one model a device and day, trained in each
+# half of the day that has readings (so ids repeat), with an info row for each training of
+# two readings or more, saved to one or two locations.
+_REGISTRY = (o.READINGS, """
+parts AS (
+  SELECT device_id, device_id || '_' || strftime("timestamp", '%Y%m%d') AS model_timestamp,
+         hour("timestamp") >= 12 AS late, count(*) AS n, min("timestamp") AS first_at,
+         max("timestamp") AS last_at, round(stddev_samp(active_power), 6) AS rmse,
+         round(avg(active_power), 6) AS r2
+  FROM readings GROUP BY 1, 2, 3)""", """
+runs AS (
+  SELECT device_id, model_timestamp, CASE WHEN n < 2 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+         CAST(n AS DOUBLE) AS duration_seconds, CASE WHEN n < 2 THEN 'too few readings' END AS error_message,
+         first_at AS started_at
+  FROM parts)""", """
+info AS (SELECT device_id, model_timestamp, rmse, r2, last_at AS created_at FROM parts WHERE n >= 2)""", """
+artifacts AS (
+  SELECT device_id AS kind, model_timestamp, 'a/' || model_timestamp AS path FROM info
+  UNION ALL SELECT device_id, model_timestamp, 'b/' || model_timestamp FROM parts WHERE n >= 2 AND late)""", """
 newest AS (SELECT * FROM info QUALIFY row_number() OVER (PARTITION BY model_timestamp
                                                          ORDER BY created_at DESC) = 1)""")
 
 
-def _registry(spark) -> dict:
-    info = spark.createDataFrame(_INFO_ROWS, "model_timestamp string, rmse double, r2 double, created_at string")
-    return {"runs": spark.createDataFrame(
-        _RUN_ROWS, "model_timestamp string, status string, duration_seconds double, error_message string"),
-        "info": info.withColumn("created_at", F.col("created_at").cast("timestamp_ntz")),
-        "artifacts": spark.createDataFrame(_ARTIFACT_ROWS, "kind string, model_timestamp string, path string")}
+def _registry(spark, sf_dir) -> dict:
+    ts = F.col("timestamp")
+    parts = (fx.readings(spark, sf_dir)
+             .groupBy("device_id", F.concat_ws("_", "device_id", F.date_format(ts, "yyyyMMdd")).alias("model_timestamp"),
+                      (F.hour(ts) >= 12).alias("late"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("first_at"), F.max(ts).alias("last_at"),
+                  r6(F.stddev_samp("active_power")).alias("rmse"), r6(F.avg("active_power")).alias("r2")))
+    few = F.col("n") < 2
+    trained = parts.filter(~few)
+    places = F.when(F.col("late"), F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))
+    return {"runs": parts.select("device_id", "model_timestamp",
+                                 F.when(few, "FAILED").otherwise("SUCCESS").alias("status"),
+                                 F.col("n").cast("double").alias("duration_seconds"),
+                                 F.when(few, "too few readings").alias("error_message"),
+                                 F.col("first_at").alias("started_at")),
+            "info": trained.select("device_id", "model_timestamp", "rmse", "r2", F.col("last_at").alias("created_at")),
+            "artifacts": trained.select(F.col("device_id").alias("kind"), "model_timestamp",
+                                        F.explode(places).alias("_place"))
+            .select("kind", "model_timestamp", F.concat_ws("/", "_place", "model_timestamp").alias("path"))}
 
 
 @register("model_runs", o.with_ctes(*_REGISTRY, """
 last_runs AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY model_timestamp
-                                                            ORDER BY duration_seconds DESC) = 1)""") + """
-SELECT r.model_timestamp, status, CAST(duration_seconds AS DOUBLE) AS duration_seconds, error_message, rmse, r2
+                                                            ORDER BY started_at DESC) = 1)""") + """
+SELECT r.device_id, r.model_timestamp, status, duration_seconds, error_message, started_at, rmse, r2
 FROM last_runs r LEFT JOIN newest n ON r.model_timestamp = n.model_timestamp
 """)
 def model_runs(spark, sf_dir):
-    """The last run of each model with its newest info row, if it has one
-    (registry rows are literal)."""
-    t = _registry(spark)
-    info = readmodels.latest(t["info"], "created_at", by=("model_timestamp",)).drop("created_at")
-    runs = readmodels.latest(t["runs"], "duration_seconds", by=("model_timestamp",))
+    """The last run of each model with its newest info row, if it has one."""
+    t = _registry(spark, sf_dir)
+    info = readmodels.latest(t["info"], "created_at", by=("model_timestamp",)).drop("created_at", "device_id")
+    runs = readmodels.latest(t["runs"], "started_at", by=("model_timestamp",))
     return runs.join(info, "model_timestamp", "left")
 
 
 @register("latest_model", o.with_ctes(*_REGISTRY) + """
-SELECT * FROM info ORDER BY created_at DESC LIMIT 1
+SELECT * FROM info QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY created_at DESC) = 1
 """)
 def latest_model(spark, sf_dir):
-    """The newest model-info row, by its creation time."""
-    return readmodels.latest(_registry(spark)["info"], "created_at")
+    """The newest model-info row of each device, by its creation time."""
+    return readmodels.latest(_registry(spark, sf_dir)["info"], "created_at", by=("device_id",))
 
 
 @register("artifact_info", o.with_ctes(*_REGISTRY, """
@@ -372,9 +377,25 @@ SELECT kind, a.model_timestamp, path, rmse, r2, created_at
 FROM last_artifact a LEFT JOIN newest n ON a.model_timestamp = n.model_timestamp
 """)
 def artifact_info(spark, sf_dir):
-    """The newest artifact of each kind with the newest info row of its model."""
-    t = _registry(spark)
-    return readmodels.artifact_info(t["artifacts"], t["info"])
+    """The newest artifact of each device, out of two locations, with the newest info
+    row of its model."""
+    t = _registry(spark, sf_dir)
+    return readmodels.artifact_info(t["artifacts"], t["info"].drop("device_id"))
+
+
+@register("registry_as_of", o.with_ctes(*_REGISTRY) + """
+SELECT r.device_id, r.model_timestamp, r.started_at, i.model_timestamp AS info_model, i.rmse, i.created_at
+FROM runs r ASOF LEFT JOIN info i ON r.device_id = i.device_id AND i.created_at <= r.started_at
+""")
+def registry_as_of(spark, sf_dir):
+    """Every run with the state of the registry when it began: the device's newest info
+    row that is not later than the run."""
+    t = _registry(spark, sf_dir)
+    known = readmodels.as_of(t["runs"].select("device_id", "model_timestamp", "started_at"), t["info"],
+                             by=("device_id",), at="started_at", since="created_at")
+    return known.select("device_id", "model_timestamp", "started_at",
+                        F.col("known.model_timestamp").alias("info_model"), F.col("known.rmse").alias("rmse"),
+                        F.col("known.created_at").alias("created_at"))
 
 
 _DAILY_SQL = o.with_ctes(o.READINGS, o.CAL, EXPECTED_CTE, """
