@@ -150,19 +150,99 @@ def dense_index(df: DataFrame, order_col: str, name: str = "row_index",
     return _numbered(done, blocks, ["_part"], F.col("_row"), name).drop("_row", "_part")
 
 
+OVERSAMPLE = 20      # sampled rows a bucket
+
+
+def _order_key(columns) -> Column:
+    """A struct that compares as the columns do, NULLs last."""
+    return F.struct(*[x for i, c in enumerate(columns)
+                      for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
+
+
+def _bounds(df: DataFrame, key: Column, buckets: int) -> tuple[Column, bool]:
+    """(bounds of about equal buckets, whether they all differ), from a sample of
+    OVERSAMPLE rows a bucket.  The bounds are a constant array (at most one a bucket), so
+    every pass sees the same ones."""
+    sample = df.select(key.alias("k")).orderBy(F.rand(7)).limit(OVERSAMPLE * buckets)
+    every = F.sort_array(F.collect_list("k"))
+    picked = F.filter(F.col("s"), lambda x, i: (i % OVERSAMPLE == OVERSAMPLE - 1))
+    b = sample.agg(every.alias("s")).select(picked.alias("b"))
+    row = b.select(F.to_json("b").alias("json"), (F.size("b") == F.size(F.array_distinct("b"))).alias("differ")).first()
+    return F.from_json(F.lit(row["json"]), b.schema["b"].dataType.simpleString()), row["differ"]
+
+
+def _bucket(key: Column, b: Column, buckets: int) -> Column:
+    """How many bounds are not above the key, by binary search in the array of bounds."""
+    steps = F.array(*[F.lit(1 << k) for k in range(buckets.bit_length(), -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(b)) & (F.get(b, at + step - 1) <= key), at + step).otherwise(at))
+
+
+def bucket_index(df: DataFrame, order_col: str, name: str = "row_index",
+                 tie_breaker: tuple[str, ...] | None = None, buckets: int | None = None) -> DataFrame:
+    """The same index as :func:`dense_index`, without a written copy of the table.
+
+    Sampled bounds cut the order into buckets of about equal size (by default as many as
+    shuffle partitions); one partial aggregate counts each bucket; each row moves once, to
+    its bucket, and is numbered there.  Where a value of ``order_col`` fills a bucket or
+    more, the bounds take in the tie breakers, which part its rows; where rows that are
+    equal in all of these still fill one, the sort of ``dense_index`` splits them.  The
+    sample (and its bounds) grows with the buckets, not with the table."""
+    if tie_breaker is None:
+        tie_breaker = tuple(c for c, t in df.dtypes if c != order_col and not t.startswith("map"))
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for columns in ((order_col,), (order_col, *tie_breaker)):
+        bounds, differ = _bounds(df, _order_key(columns), buckets)
+        if differ:
+            break
+    else:
+        return dense_index(df, order_col, name, tie_breaker)
+    placed = df.withColumn("_bucket", _bucket(_order_key(columns), bounds, buckets))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy("_bucket").count()
+               .select("_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before")))
+    inside = Window.partitionBy("_bucket").orderBy(*[F.col(c).asc_nulls_last() for c in (order_col, *tie_breaker)])
+    return (placed.withColumn(name, F.row_number().over(inside) - 1)
+            .join(F.broadcast(offsets), "_bucket")          # a row a bucket
+            .withColumn(name, F.col(name) + F.col("_before")).drop("_bucket", "_before"))
+
+
+def _anchor(typed: DataFrame, columns, ts: str) -> tuple[Column, Column]:
+    """Time and index of the first row in the columns' order that has a time: the index
+    is a count of the rows before it, so nothing is sorted for it."""
+    key = _order_key(columns)
+    first = (typed.filter(F.col(ts).isNotNull())
+             .agg(F.min(F.struct(key.alias("k"), F.col(ts).alias("ts"))).alias("f")).scalar())
+    at = typed.agg(F.count_if(key < first.getField("k"))).scalar()
+    return first.getField("ts"), at
+
+
 def impute_timestamps(typed: DataFrame, order_col: str | None, step_minutes: int = 1,
                       ts: str = "timestamp", tie_breaker: tuple[str, ...] | None = None) -> DataFrame:
     """Fill every NULL timestamp with anchor + (row_index - anchor_index) *
     step, the anchor being the first row (in ``order_col`` order, or in file
     order without one) with a valid timestamp; default anchor 2006-12-16
     17:24:00 at index 0."""
-    idx = (file_index(typed).drop(*FILE_POSITION) if order_col is None
-           else dense_index(typed, order_col, tie_breaker=tie_breaker))
-    anchor = (idx.filter(F.col(ts).isNotNull())
-              .agg(F.min_by(F.struct(F.col(ts).alias("ts"), F.col("row_index").alias("at")), "row_index"))
-              .scalar())
-    anchor_ts = F.coalesce(anchor.getField("ts"), F.lit(DEFAULT_ANCHOR).cast("timestamp_ntz"))
-    offset = (F.col("row_index") - F.coalesce(anchor.getField("at"), F.lit(0))) * F.lit(step_minutes)
+    if order_col is None:
+        idx = file_index(typed).drop(*FILE_POSITION)
+        anchor = (idx.filter(F.col(ts).isNotNull())
+                  .agg(F.min_by(F.struct(F.col(ts).alias("ts"), F.col("row_index").alias("at")), "row_index"))
+                  .scalar())
+        time, at = anchor.getField("ts"), anchor.getField("at")
+    else:
+        if tie_breaker is None:
+            tie_breaker = tuple(c for c, t in typed.dtypes if c != order_col and not t.startswith("map"))
+        idx = bucket_index(typed, order_col, tie_breaker=tie_breaker)
+        # rows equal in the order's columns may differ in their times: then the index decides
+        if set(typed.columns) == {order_col, *tie_breaker}:
+            time, at = _anchor(typed, (order_col, *tie_breaker), ts)
+        else:
+            anchor = (idx.filter(F.col(ts).isNotNull())
+                      .agg(F.min_by(F.struct(F.col(ts).alias("ts"), F.col("row_index").alias("at")), "row_index"))
+                      .scalar())
+            time, at = anchor.getField("ts"), anchor.getField("at")
+    anchor_ts = F.coalesce(time, F.lit(DEFAULT_ANCHOR).cast("timestamp_ntz"))
+    offset = (F.col("row_index") - F.when(time.isNotNull(), at).otherwise(F.lit(0))) * F.lit(step_minutes)
     filled = F.timestamp_add("MINUTE", offset, anchor_ts)
     return idx.withColumns({
         "was_imputed": F.col(ts).isNull(),

@@ -171,3 +171,24 @@ def test_imputation_without_any_valid_timestamp(spark):
     out = clean.impute_timestamps(df, "id").orderBy("id").collect()
     assert out[0].timestamp == dt.datetime(2006, 12, 16, 17, 24)
     assert out[1].timestamp == dt.datetime(2006, 12, 16, 17, 25)
+
+
+def test_bucket_index_equals_dense_index(spark, monkeypatch):
+    """Unique keys, NULL and tied keys, a hot key, and rows that are equal throughout;
+    no copy of the table is written unless equal rows fill a bucket."""
+    sorted_copies = []
+    by_sort = clean.dense_index
+    monkeypatch.setattr(clean, "dense_index", lambda *a, **k: sorted_copies.append(1) or by_sort(*a, **k))
+    n = 3000
+    tables = {"unique": [(i * 7919 % n, float(i)) for i in range(n)],
+              "tied": [(None if i % 5 == 0 else i // 9, float(i)) for i in range(n)],
+              "hot": [(1 if i % 2 else i, -float(i)) for i in range(n)],
+              "one": [(1, 2.0)], "none": [],
+              "equal": [(1, 2.0)] * n + [(2, None), (None, 1.0)]}
+    for name, rows in tables.items():
+        df = spark.createDataFrame(rows, "k long, v double").repartition(3)
+        got = sorted(clean.bucket_index(df, "k", buckets=8).collect(), key=lambda r: r.row_index)
+        order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or 0))
+        assert [r.row_index for r in got] == list(range(len(rows)))
+        assert [(r.k, r.v) for r in got] == order
+        assert len(sorted_copies) == (1 if name == "equal" else 0)
