@@ -49,7 +49,7 @@ def ingest(spark: SparkSession, input_path: str, output_path: str,
         raise ValueError(f"no readings in {input_path}")
     cleaned = clean.clean(raw, order_by=order_col, impute_step_minutes=impute_step_minutes,
                           file_order=order_col is None)
-    tables.write_parquet(cleaned, output_path)
+    tables.staged_write(cleaned, output_path)
     written = spark.read.parquet(output_path)
     if stats_path:
         tables.write_document(profiles.statistics_document(written), stats_path)

@@ -3,9 +3,9 @@ operators over a readings table.
 
 Expected power = hourly average x weekend factor(hour) x seasonal factor,
 all calibrated from one aggregate pass over a reference readings table.
-The calibration is at most 26 rows (24 hours, a NULL hour, one total row),
-so the hour lookup is broadcast by construction and the seasonal factors
-are scalar subqueries over the same tiny local table.
+The calibration is at most 26 rows (24 hours, a NULL hour, one total row).  It
+becomes one row, an array by hour with the seasonal factors beside it, and is one
+scalar subquery: the readings are projected, not joined.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import static_lookup
 from ..functions.columns import (OTHER_MONTHS, SUMMER_MONTHS, WEEKDAYS, WEEKEND_DAYS,
                                  WINTER_MONTHS, col, device_number, half_up)
 
@@ -52,9 +51,7 @@ def calibration(reference: DataFrame, power: str = "active_power",
     weekend, seasonal and overall average load.
 
     A ROLLUP over hour_of_day bounds the result to at most 26 rows (24 hours,
-    a NULL hour, the total), so it is collected once and re-entered as a
-    local table: the hour lookup broadcasts it and the seasonal factors
-    fold to constants, without rescanning ``reference``.
+    a NULL hour, the total).
     """
     d = reference.select(F.col(power).alias("p"), F.hour(ts).alias("hour_of_day"),
                          F.dayofweek(ts).alias("dow"), F.month(ts).alias("m"))
@@ -76,20 +73,29 @@ def weekend_ratio(weekday_avg: Column, weekend_avg: Column) -> Column:
     return F.when(ok, weekend_avg / weekday_avg).otherwise(F.lit(DEFAULT_WEEKEND_FACTOR))
 
 
-def seasonal_factors(cal: DataFrame) -> dict[str, Column]:
-    """Scalar factor per season from the total row: season avg / overall avg
-    when all three season averages are truthy and overall avg > 0, else the
-    defaults."""
-    total = cal.filter(F.col("is_total"))
+def _factor_struct() -> Column:
+    """The factor of each season from the total row: season avg / overall avg when all
+    three season averages are truthy and overall avg > 0, else the defaults."""
     w, s, o, a = (F.col(c) for c in ("winter_avg_power", "summer_avg_power",
                                      "other_season_avg_power", "avg_active_power"))
     ok = _truthy(w) & _truthy(s) & _truthy(o) & a.isNotNull() & (a > 0)
-    factors = total.select(F.struct(
+    return F.struct(
         F.when(ok, w / a).otherwise(DEFAULT_SEASON_FACTORS["winter"]).alias("winter"),
         F.when(ok, s / a).otherwise(DEFAULT_SEASON_FACTORS["summer"]).alias("summer"),
-        F.when(ok, o / a).otherwise(DEFAULT_SEASON_FACTORS["other"]).alias("other"))).scalar()
-    return {name: F.coalesce(factors.getField(name), F.lit(DEFAULT_SEASON_FACTORS[name]))
-            for name in ("winter", "summer", "other")}
+        F.when(ok, o / a).otherwise(DEFAULT_SEASON_FACTORS["other"]).alias("other"))
+
+
+def _profile(cal: DataFrame) -> Column:
+    """The calibration as one scalar subquery: ``hours``, an array of (base, ratio) by
+    hour of day with NULL for an hour without readings, and the seasonal ``factors``."""
+    ratio = weekend_ratio(F.when(F.col("weekday_n") > 0, F.col("weekday_avg_power")),
+                          F.when(F.col("weekend_n") > 0, F.col("weekend_avg_power")))
+    entry = F.struct(F.col("hour_of_day"), F.struct(F.col("avg_active_power").alias("base"), ratio.alias("ratio")))
+    an_hour = ~F.col("is_total") & F.col("hour_of_day").isNotNull()
+    one = cal.agg(F.map_from_entries(F.collect_list(F.when(an_hour, entry))).alias("m"),
+                  F.max(F.when(F.col("is_total"), _factor_struct())).alias("factors"))
+    hours = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.try_element_at("m", h))
+    return one.select(F.struct(hours.alias("hours"), "factors")).scalar()
 
 
 def expected_power(readings: DataFrame, reference: DataFrame | None = None,
@@ -98,31 +104,27 @@ def expected_power(readings: DataFrame, reference: DataFrame | None = None,
     seasonal_factor and expected_power to every reading.  ``reference``
     (default: the readings themselves) calibrates the profile."""
     cal = calibration(reference if reference is not None else readings)
-    hours = (cal.filter(~F.col("is_total") & F.col("hour_of_day").isNotNull())
-             .select(F.col("hour_of_day").alias("_hour"),
-                     F.col("avg_active_power").alias("_base"),
-                     weekend_ratio(F.when(F.col("weekday_n") > 0, F.col("weekday_avg_power")),
-                                   F.when(F.col("weekend_n") > 0, F.col("weekend_avg_power")))
-                     .alias("_ratio")))
-    season = seasonal_factors(cal)
-    d = readings.withColumns({"hour_of_day": F.hour(ts), "day_of_week": F.dayofweek(ts),
-                              "month": F.month(ts)})
-    joined = static_lookup(d, hours, d["hour_of_day"] == hours["_hour"], "left")
+    profile = _profile(cal)
+    factors = profile.getField("factors")
+    season = {name: F.coalesce(factors.getField(name), F.lit(DEFAULT_SEASON_FACTORS[name]))
+              for name in ("winter", "summer", "other")}
+    joined = readings.withColumns({"hour_of_day": F.hour(ts), "day_of_week": F.dayofweek(ts), "month": F.month(ts)})
+    joined = joined.withColumn("_hour", F.get(profile.getField("hours"), F.col("hour_of_day")))
     m = F.col("month")
     seasonal = (F.when(m.isin(*WINTER_MONTHS), season["winter"])
                 .when(m.isin(*SUMMER_MONTHS), season["summer"])
                 .otherwise(season["other"]))
     weekend = F.col("day_of_week").isin(*WEEKEND_DAYS)
     out = joined.withColumns({
-        "base_power": F.coalesce(F.col("_base"), F.lit(DEFAULT_HOURLY["avg_active_power"])),
-        "weekend_factor": F.when(weekend, F.coalesce(F.col("_ratio"),
+        "base_power": F.coalesce(F.col("_hour.base"), F.lit(DEFAULT_HOURLY["avg_active_power"])),
+        "weekend_factor": F.when(weekend, F.coalesce(F.col("_hour.ratio"),
                                                      F.lit(DEFAULT_WEEKEND_FACTOR)))
         .otherwise(F.lit(1.0)),
         "seasonal_factor": seasonal,
     })
     out = out.withColumn("expected_power", F.col("base_power") * F.col("weekend_factor")
                          * F.col("seasonal_factor"))
-    return out.drop("_hour", "_base", "_ratio")
+    return out.drop("_hour")
 
 
 def device_class(device_id: str | Column) -> Column:

@@ -204,6 +204,15 @@ def metrics_line(spark: SparkSession, r: TrainingResult) -> DataFrame:
         "timestamp": datetime.now(timezone.utc).isoformat()}])
 
 
+def feature_vectors(model, prepared: DataFrame, features: list[str]) -> DataFrame:
+    """``prepared`` rows that have a feature vector, plus ``scaled_<feature>``: what the
+    pipeline's stages before the forest make of them."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+    v = PipelineModel(model.stages[:-1]).transform(prepared).withColumn("_v", vector_to_array("features"))
+    return v.select(*prepared.columns, *[F.col("_v")[i].alias(f"scaled_{c}") for i, c in enumerate(features)])
+
+
 def score(model, requests: DataFrame) -> DataFrame:
     """Apply the saved pipeline to request rows that already carry the feature
     columns; only the prediction is added."""

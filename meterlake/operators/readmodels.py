@@ -9,6 +9,9 @@ driver.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -90,6 +93,27 @@ def newest(df: DataFrame, k: int | None, ts: str = "timestamp",
     return out.limit(k) if k else out
 
 
+def write_by_day(df: DataFrame, path: str, ts: str = "timestamp") -> None:
+    """A result table laid out by day, for :func:`newest_by_day`."""
+    df.withColumn("day", F.to_date(ts)).write.mode("overwrite").partitionBy("day").parquet(path)
+
+
+def newest_by_day(table: DataFrame, k: int, ts: str = "timestamp", tie: str | None = "event_id",
+                  day: str = "day") -> DataFrame:
+    """The k newest rows of a table that is laid out by day: the newest days are counted,
+    twice as many each time, until they hold k rows; the others are never opened.  The days
+    come from the table's list of files.  Rows without a time (the NULL day) come last."""
+    found = {unquote(m.group(1)) for f in table.inputFiles() if (m := re.search(rf"/{re.escape(day)}=([^/]+)/", f))}
+    days = sorted(d for d in found if d != "__HIVE_DEFAULT_PARTITION__")
+    take = 1
+    while take < len(days):
+        wanted = table.filter(F.col(day) >= F.lit(days[-take]).cast("date"))
+        if wanted.limit(k).count() == k:
+            return newest(wanted, k, ts, tie)
+        take *= 2
+    return newest(table, k, ts, tie)
+
+
 def formatted_time(c: str | Column = "timestamp") -> Column:
     """Display text 'yyyy-MM-dd HH:mm:ss'; unparsable text passes through."""
     c = col(c)

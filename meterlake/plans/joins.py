@@ -35,12 +35,6 @@ def measured_join(big: DataFrame, kept: DataFrame, on, how: str = "inner",
     return big.join(F.broadcast(kept) if fits else kept, on, how)
 
 
-def static_lookup(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join a side whose row count is bounded by construction (grouped by
-    hour, a global aggregate, ...).  Always broadcast."""
-    return big.join(F.broadcast(small), on, how)
-
-
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join with a side whose size depends on the data (e.g. per-device
     statistics).  No hint and no job while the query is built: adaptive

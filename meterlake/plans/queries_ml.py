@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import r6
 from .. import jobs
-from ..operators import forecast, readmodels
+from ..operators import forecast, readmodels, sampling
 from ..schemas import FEATURE_COLUMNS
 from ..session import scratch_path
 from ..sinks import tables
@@ -59,7 +59,9 @@ def regression_metrics(spark, sf_dir):
     near = lambda a, b: F.abs(a - F.lit(b)) <= 1e-9 * F.greatest(F.lit(1.0), F.abs(F.lit(b)))
     checked = p.agg((near(F.sqrt(F.avg(err * err)), r.metrics["rmse"])
                      & near(F.avg(err * err), r.metrics["mse"])
-                     & near(F.avg(F.abs(err)), r.metrics["mae"])).alias("metrics_consistent"))
+                     & near(F.avg(F.abs(err)), r.metrics["mae"])
+                     & near(F.lit(1.0) - F.sum(err * err) / (F.var_pop("active_power") * F.count(F.lit(1))),
+                            r.metrics["r2"])).alias("metrics_consistent"))
     return checked.select(
         F.lit(r.train_rows).cast("long").alias("train_samples"),
         F.lit(r.test_rows).cast("long").alias("test_samples"),
@@ -155,3 +157,34 @@ def sample_readings(spark, sf_dir, target_mb: float = 5.0, row_mb: float = 0.001
     draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("event_id").cast("string"),
                                                 F.lit(str(seed))).cast("binary")), 1, 8), 16, 10)
     return r.filter(draw.cast("long") < fraction * F.lit(float(1 << 32)))
+
+
+@register("sample_exact", o.with_ctes(o.READINGS) + """
+SELECT event_id, device_id FROM readings
+ORDER BY md5('7:' || CAST(event_id AS VARCHAR)) LIMIT (SELECT 3 * count(*) // 10 FROM readings)
+""")
+def sample_exact(spark, sf_dir):
+    """A sample of exactly three tenths of the readings."""
+    r = fx.readings(spark, sf_dir).select("event_id", "device_id")
+    return sampling.exact_sample(r, 3 * r.count() // 10, "event_id", seed=7)
+
+
+_SCALED = [f"round(CASE WHEN coalesce(s_{c}, 0) = 0 THEN 0 ELSE (t_{c} - m_{c}) / s_{c} END, 6) AS scaled_{c.lower()}"
+           for c in FEATURE_COLUMNS]
+
+
+@register("feature_vectors", o.with_ctes(o.READINGS, _SPLIT, """
+calendar AS (SELECT *, hour("timestamp") AS "hour", isodow("timestamp") % 7 + 1 AS day_of_week,
+                    month("timestamp") AS "month" FROM sides WHERE NOT is_test)""", f"""
+typed AS (SELECT event_id, {", ".join(f'CAST("{c}" AS DOUBLE) AS t_{c}' for c in FEATURE_COLUMNS)} FROM calendar)""", f"""
+fitted AS (SELECT {", ".join(f"avg(t_{c}) AS m_{c}, stddev_samp(t_{c}) AS s_{c}" for c in FEATURE_COLUMNS)} FROM typed)
+""") + f"""
+SELECT event_id, {", ".join(_SCALED)} FROM typed, fitted
+""")
+def feature_vectors(spark, sf_dir):
+    """The assembled and standardised features of every training row, as the saved
+    pipeline gives them to the forest."""
+    t = trained(spark, sf_dir)
+    train_side, _ = forecast.split(forecast.prepare(fx.readings(spark, sf_dir)))
+    v = forecast.feature_vectors(load_model(t["model_path"]), train_side, t["result"].features)
+    return v.select("event_id", *[r6(f"scaled_{c}").alias(f"scaled_{c.lower()}") for c in FEATURE_COLUMNS])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import r6
 from ..operators import anomaly, baseline, readmodels
 from ..session import release, scratch_path
-from ..sinks.tables import write_parquet
+from ..sinks.tables import staged_write, write_parquet
 from ..sources import fixtures as fx
 from ..streaming import new_rows
 from . import oracle as o
@@ -284,6 +284,38 @@ def new_anomalies(spark, sf_dir):
     return readmodels.new_since(incoming, known)
 
 
+@register("recent_from_table", o.with_ctes(o.READINGS, ANOMALIES_CTE) + f"""
+SELECT {_FEED_SQL} FROM anomalies ORDER BY "timestamp" DESC, event_id DESC LIMIT 100
+""")
+def recent_from_table(spark, sf_dir):
+    """The 100 newest anomalies of the written anomalies table, of which only the newest
+    days are read."""
+    path = scratch_path(spark, "anomalies-by-day")
+    readmodels.write_by_day(readmodels.anomaly_feed(_anomalies(spark, sf_dir)), path)
+    return readmodels.newest_by_day(spark.read.parquet(path), 100).drop("day")
+
+
+@register("staged_table", o.with_ctes(o.READINGS) + """
+SELECT event_id, active_power FROM readings
+""")
+def staged_table(spark, sf_dir):
+    """A table that was written, then overwritten by a job that failed half way: it still
+    holds the rows of the first write."""
+    path = scratch_path(spark, "staged")
+    rows = fx.readings(spark, sf_dir).select("event_id", "active_power")
+    staged_write(rows, path)
+    broken = rows.withColumn("active_power", F.when(F.col("event_id") % 100 != 99, F.lit(0.0)).otherwise(
+        F.raise_error(F.lit("storage failed")).cast("double")))
+    try:
+        staged_write(broken, path)
+    except Exception as e:  # noqa: BLE001 - the failure is the point
+        if "storage failed" not in str(e):
+            raise
+    else:
+        raise AssertionError("the second write should have failed")
+    return spark.read.parquet(path)
+
+
 @register("stream_new_anomalies", _NEW_SQL)
 def stream_new_anomalies(spark, sf_dir):
     """The same by a stream: anomalies arrive in blocks of days, each block a second time

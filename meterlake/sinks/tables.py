@@ -7,6 +7,8 @@ converted to pandas on the driver.  Appends to result tables add a
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,32 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def staged_write(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Write beside ``path`` and publish by renaming: readers see the old table or the
+    whole new one, and a write that fails leaves the old table and no other file.  For
+    stores where renaming a folder is one step."""
+    spark = df.sparkSession
+    side, old = (f"{path.rstrip('/')}.{what}-{uuid.uuid4().hex[:12]}" for what in ("staged", "old"))
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    fs = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.write.format(fmt).option("header", "true").save(side)
+    except Exception:
+        fs.delete(place(side), True)
+        raise
+    replaced = fs.exists(place(path))
+    if replaced and not fs.rename(place(path), place(old)):
+        fs.delete(place(side), True)
+        raise IOError(f"cannot replace {path}")
+    if not fs.rename(place(side), place(path)):
+        if replaced:
+            fs.rename(place(old), place(path))
+        fs.delete(place(side), True)
+        raise IOError(f"cannot publish {path}")
+    if replaced:
+        fs.delete(place(old), True)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True,
               single_file: bool = False) -> None:
     """CSV with header.  ``single_file`` is for small, bounded outputs only
@@ -35,11 +63,12 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_with_fallback(df: DataFrame, targets: list[tuple[str, str]]) -> str:
-    """Write to the first target (format, path) that accepts the data."""
+    """Write to the first target (format, path) that accepts the data; a target that
+    fails is left as it was."""
     errors = []
     for fmt, path in targets:
         try:
-            df.write.mode("overwrite").format(fmt).option("header", "true").save(path)
+            staged_write(df, path, fmt)
             return path
         except Exception as e:  # noqa: BLE001 - any storage failure moves on
             errors.append(f"{fmt}:{path}: {e}")
