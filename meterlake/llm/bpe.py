@@ -3,10 +3,13 @@
 The parts of all pre-tokens that are new to a batch stand in one linked list
 (links stop at the ends of a pre-token).  A bucket for every merge rank holds
 the list positions whose pair has that rank, and a hierarchical bitmap over the
-ranks gives the lowest non-empty bucket by find-first-set.  Of a bucket, the
-leftmost position of each pre-token is merged; entries whose pair has changed
-since they were filed are stale and are skipped.  A merge costs the same however
-long a pre-token is, and buckets with many positions are merged as arrays.
+ranks gives the lowest non-empty bucket by find-first-set.  A bucket is merged from
+the left, overlapping pairs in turn, up to a merge that makes a pair of lower rank:
+what stands right of it in its pre-token is filed again.  Entries whose pair has
+changed since they were filed are stale and are skipped.  Buckets with many positions
+are merged as arrays, so a long pre-token takes time in proportion to its length times
+the number of ranks that occur in it one after the other (a run of n equal letters: the
+logarithm of n).
 
 Ids come packed as little-endian unsigned 32-bit integers, the layout of
 training token files.  A null text is treated as empty; an empty text has no
@@ -191,27 +194,51 @@ class Merger:
     def _merge_many(self, rank, positions, queue, ids, after, before, owner, filed, alive) -> None:
         i = np.sort(positions[filed[positions] == rank])
         i = i[np.concatenate(([True], i[1:] != i[:-1]))] if len(i) else i
-        own = owner[i]
-        leftmost = np.ones(len(i), bool)
-        leftmost[1:] = own[1:] != own[:-1]
-        rest, i = i[~leftmost], i[leftmost]
-        if len(rest):
-            queue.push_all(np.full(len(rest), rank, "i4"), rest)
         if not len(i):
             return
-        j = after[i]
+        # of pairs that overlap in a chain (as in "aaaa") every other is merged, from the left
+        linked = np.zeros(len(i), bool)
+        linked[1:] = after[i[:-1]] == i[1:]
+        number = np.arange(len(i))
+        chosen = (number - np.maximum.accumulate(np.where(linked, 0, number))) & 1 == 0
+        s = i[chosen]
+        j = after[s]
         k = after[j]
-        after[i], ids[i], alive[j], filed[j] = k, rank, False, -1
-        right = np.full(len(i), -1, "i4")
+        # the pairs that a merge makes when all merges to its left are done and none to its
+        # right: a lower rank among them comes first, and what stands right of it waits
+        lower = np.zeros(len(s), bool)
         on = k >= 0
-        before[k[on]] = i[on]
+        right = self._rank_of(np.full(int(on.sum()), rank), ids[k[on]])
+        lower[on] = (right >= 0) & (right < rank)
+        h = before[s]
+        on = h >= 0
+        at = np.minimum(np.searchsorted(j, h[on]), len(j) - 1)
+        left = self._rank_of(np.where(j[at] == h[on], np.int32(rank), ids[h[on]]), rank)
+        lower[on] |= (left >= 0) & (left < rank)
+        if lower.any():
+            own, first = np.unique(owner[s[lower]], return_index=True)
+            last = s[lower][first]                  # the last merge of each such pre-token now
+            place = np.minimum(np.searchsorted(own, owner[s]), len(own) - 1)
+            now = (own[place] != owner[s]) | (s <= last[place])
+            s, j, k = s[now], j[now], k[now]
+            place = np.minimum(np.searchsorted(own, owner[i]), len(own) - 1)
+            rest = i[(own[place] == owner[i]) & (i > last[place])]
+            done = np.minimum(np.searchsorted(j, rest), len(j) - 1)
+            rest = rest[j[done] != rest]
+            if len(rest):
+                queue.push_all(np.full(len(rest), rank, "i4"), rest)
+        after[s], ids[s], alive[j], filed[j] = k, rank, False, -1
+        on = k >= 0
+        before[k[on]] = s[on]
+        right = np.full(len(s), -1, "i4")
         right[on] = self._rank_of(np.full(int(on.sum()), rank), ids[k[on]])
-        filed[i] = right
-        h = before[i]
+        filed[s] = right
+        h = before[s]
         h = h[h >= 0]
+        h = h[s[np.minimum(np.searchsorted(s, h), len(s) - 1)] != h]    # these have their pair already
         left = self._rank_of(ids[h], rank)
         filed[h] = left
-        new, at = np.concatenate((right, left)), np.concatenate((i, h))
+        new, at = np.concatenate((right, left)), np.concatenate((s, h))
         on = new >= 0
         if on.any():
             queue.push_all(new[on], at[on].astype("i4"))

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 import struct
+import time
 
 import public_tokenizers as P
 import pytest
@@ -64,6 +65,45 @@ def test_a_lower_rank_that_appears_goes_first():
         assert ids == reference.encode_ordinary(t)
 
 
+@pytest.mark.parametrize("small", [0, 12])
+def test_any_order_of_ranks(monkeypatch, small):
+    """Vocabularies whose ranks are dealt at random, so that lower ranks appear again and
+    again: equal to merging the leftmost lowest pair, one at a time."""
+    monkeypatch.setattr(bpe, "SMALL", small)
+    rng = random.Random(8)
+    for _ in range(60):
+        tokens = {bytes([b]) for b in range(256)}
+        tokens |= {bytes(rng.choice(b"ab") for _ in range(rng.randint(2, 6))) for _ in range(rng.randint(3, 25))}
+        order = list(tokens)
+        rng.shuffle(order)
+        ranks = {t: r for r, t in enumerate(order)}
+        pieces = [bytes(rng.choice(b"aab") for _ in range(rng.randint(1, 60))) for _ in range(12)] + [b"a" * 40, b"ab" * 25]
+        for piece, packed in zip(pieces, bpe.Merger(ranks).merge(pieces)):
+            parts = [bytes([b]) for b in piece] if piece not in ranks else [piece]
+            while len(parts) > 1:
+                best = min((ranks.get(a + b, 1 << 30), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+                if best[0] == 1 << 30:
+                    break
+                parts[best[1]:best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+            assert list(struct.unpack(f"<{len(packed) // 4}I", packed)) == [ranks[x] for x in parts]
+
+
+def test_very_long_pre_tokens_take_time_in_proportion(reference):
+    rng = random.Random(2)
+    merger = bpe.Merger(bpe.load_ranks(P.path(bpe.VOCABULARY)))
+    letters = "".join(rng.choice("abcdefgh") for _ in range(1 << 20)).encode()
+    for piece in (b"a" * (1 << 20), b"ab" * (1 << 19), letters):
+        began = time.process_time()
+        packed = merger.merge([piece])[0]
+        assert time.process_time() - began < 60
+        ids = struct.unpack(f"<{len(packed) // 4}I", packed)
+        assert reference.decode_bytes(ids) == piece
+        # equal to the library at a length that it can still do
+        short = piece[:20_000]
+        got = merger.merge([short])[0]
+        assert list(struct.unpack(f"<{len(got) // 4}I", got)) == reference.encode_ordinary(short.decode())
+
+
 def test_encode_frames(spark, reference):
     rows = [(i, t, "x") for i, t in enumerate(_texts())] + [(900, None, "x"), (900, None, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string").repartition(3)
