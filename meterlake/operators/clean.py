@@ -209,7 +209,15 @@ def bucket_index(df: DataFrame, order_col: str, name: str = "row_index",
 
 def _anchor(typed: DataFrame, columns, ts: str) -> tuple[Column, Column]:
     """Time and index of the first row in the columns' order that has a time: the index
-    is a count of the rows before it, so nothing is sorted for it."""
+    is a count of the rows before it, so nothing is sorted for it.  Where no other row has
+    its value of the first column, as with a unique key, only that column is read."""
+    key = _order_key(columns[:1])
+    least = F.min(F.struct(key.alias("k"), F.col(ts).cast("string").alias("ts")))
+    timed = typed.filter(F.col(ts).isNotNull()).agg(least.alias("f"))
+    k0 = timed.scalar().getField("k")
+    row = typed.agg(F.count_if(key < k0).alias("before"), F.count_if(key == k0).alias("n")).first()
+    if row["n"] == 1:
+        return F.lit(timed.first()["f"]["ts"]).cast("timestamp_ntz"), F.lit(row["before"])
     key = _order_key(columns)
     first = (typed.filter(F.col(ts).isNotNull())
              .agg(F.min(F.struct(key.alias("k"), F.col(ts).alias("ts"))).alias("f")).scalar())

@@ -192,3 +192,17 @@ def test_bucket_index_equals_dense_index(spark, monkeypatch):
         assert [r.row_index for r in got] == list(range(len(rows)))
         assert [(r.k, r.v) for r in got] == order
         assert len(sorted_copies) == (1 if name == "equal" else 0)
+
+
+def test_anchor_among_tied_keys(spark):
+    """The first valid time among rows that share the smallest key, by the tie breaker."""
+    t = [None, dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 1, 3, 0, 0, 123456)]
+    rows = [(None, 0, t[1]), (1, 5, t[2]), (1, 2, t[1]), (1, 1, t[0]), (0, 9, t[0])]
+    df = spark.createDataFrame(rows, "k long, id long, timestamp timestamp_ntz")
+    for df, want in ((df, {9: 3, 1: 4, 2: 5}), (df.filter("id in (5, 9, 1)"), {9: 1, 1: 2})):
+        out = {r.id: r for r in clean.impute_timestamps(df, "k", step_minutes=60).collect()}
+        assert {i: out[i].timestamp.hour for i in want} == want
+    assert out[9].timestamp.microsecond == 123456
+    unique = spark.createDataFrame([(3, t[2]), (1, None), (7, t[1])], "k long, timestamp timestamp_ntz")
+    out = {r.k: r.timestamp for r in clean.impute_timestamps(unique, "k", step_minutes=60).collect()}
+    assert out[1] == dt.datetime(2024, 1, 1, 2, 0, 0, 123456)
