@@ -30,6 +30,8 @@ MIN_TRUST = 5.0
 MIN_SCORE = 0.8
 MIN_LENGTH, MIN_DIGITS = 6, 4   # of a token that may be reported
 BLOCK = 256
+SIDE = 64         # spans or tokens compared with each other at a time
+PAGE = 4096       # code points of text cut at a time
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
 
@@ -129,36 +131,71 @@ def base_entities(df: DataFrame, text: str) -> DataFrame:
     return df.select("*", *spans).drop(*dropped)
 
 
+def _chunks(xs: Column, size: int) -> Column:
+    """``xs`` in parts of ``size`` elements, in order."""
+    last = F.greatest(F.floor((F.size(xs) - 1) / size), F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(xs, k * size + 1, F.lit(size)))
+
+
+def _beside_spans(tokens: Column, spans: Column, use) -> Column:
+    """``use(token, i, near)`` for every token, where ``near`` holds the spans that
+    touch its neighbourhood.  Tokens and spans are dealt in parts of SIDE in the order
+    of their starts, and only parts that overlap meet, so that the work stays in
+    proportion to the text."""
+    def ranged(part):
+        return F.struct(F.get(part, F.lit(0))["start"].alias("low"),
+                        F.array_max(F.transform(part, lambda x: x["end"])).alias("high"), part.alias("spans"))
+
+    def of_part(part, k, ranges):
+        low, high = F.get(part, F.lit(0))["start"], F.element_at(part, -1)["end"]
+        touched = F.flatten(F.transform(F.filter(
+            ranges, lambda r: (r["low"] < high) & (r["high"] > low)), lambda r: r["spans"]))
+        return _let(F.filter(touched, lambda x: (x["start"] < high) & (x["end"] > low)),
+                    lambda near: F.transform(part, lambda m, i: use(m, k * SIDE + i, near)))
+
+    return _let(F.transform(_chunks(spans, SIDE), ranged), lambda ranges: F.flatten(F.transform(
+        F.filter(_chunks(tokens, SIDE), lambda part: F.size(part) > 0), lambda part, k: of_part(part, k, ranges))))
+
+
 def _candidates(df: DataFrame, text: str) -> DataFrame:
     """``df`` plus ``tokens``: tokens with digits or ``@`` and their pattern.
     ``word`` is the last word of its pattern; ``seed`` tells that a base entity
     begins in the token, ``free`` that none touches it, ``negative`` that it is
     free and known not to be personal."""
     df = df.select("*", *_matches(text, _TOKEN, F.col(text).rlike("[0-9@]"), "token"))
-    df = df.withColumn("__base", F.concat(*KINDS))
+    spans = F.array_sort(F.concat(*[F.transform(k, lambda s, rank=n: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), F.lit(rank).alias("kind"), s["value"].alias("value")))
+        for n, k in enumerate(KINDS)]))
 
-    def token(m, i):
+    def token(m, i, pieces, near):
         head = F.when(i > 0, F.lit("# ")).otherwise(F.lit(""))
-        before = F.concat(head, F.get(F.col("token_pieces"), i))
+        before = F.concat(head, F.get(pieces, i))
         words = F.regexp_extract(before, r"(?<!\S)(?:\S++\s++)?\S++\s*+\z", 0)
         lead = F.length(F.regexp_extract(m["value"], r"\A[\"'(\[<{]*+", 0))
         core = F.regexp_extract(m["value"], r"\A[\"'(\[<{]*+(.*?)[\"')\]>}.,;:!?]*+\z", 1)
-        inside = F.filter(F.col("__base"), lambda b: (b["start"] >= m["start"]) & (b["start"] < m["end"]))
-        free = ~F.exists(F.col("__base"), lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
+        # the first by kind, then start, of those that begin in the token
+        inside = F.array_min(F.transform(
+            F.filter(near, lambda b: (b["start"] >= m["start"]) & (b["start"] < m["end"])),
+            lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), b["value"].alias("value"))))
+        free = ~F.exists(near, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
         pattern = F.lower(F.regexp_replace(F.regexp_replace(words, r"\A\s+|\s+\z", ""), r"\s+", " "))
-        return F.struct((m["start"] + lead).alias("start"),
-                        (m["start"] + lead + F.length(core)).alias("end"),
-                        pattern.alias("pattern"), F.substring_index(pattern, " ", -1).alias("word"),
-                        F.coalesce(F.get(inside, F.lit(0))["value"], core).alias("instance"),
-                        (F.size(inside) > 0).alias("seed"), free.alias("free"),
-                        (free & core.rlike(_NUMBER)).alias("negative"))
+        found = F.struct(lead.alias("lead"), core.alias("core"), inside.alias("inside"), free.alias("free"),
+                         pattern.alias("pattern"))
+        return _let(found, lambda x: F.struct(
+            (m["start"] + x["lead"]).alias("start"), (m["start"] + x["lead"] + F.length(x["core"])).alias("end"),
+            x["pattern"].alias("pattern"), F.substring_index(x["pattern"], " ", -1).alias("word"),
+            F.coalesce(x["inside"]["value"], x["core"]).alias("instance"),
+            x["inside"].isNotNull().alias("seed"), x["free"].alias("free"),
+            (x["free"] & x["core"].rlike(_NUMBER)).alias("negative")))
 
     may = lambda x: (x["pattern"] != "") & (x["seed"] | x["negative"] | (x["free"] & (
         F.length(x["instance"]) >= MIN_LENGTH) & (
         F.length(F.regexp_replace(x["instance"], "[^0-9]", "")) >= MIN_DIGITS)))
-    tokens = F.filter(F.transform(_located(F.col("token_pieces"), F.col("token_found")), token), may)
-    return (df.withColumn("tokens", tokens)
-            .drop("__base", "token_pieces", "token_found"))
+    held = F.struct(F.col("token_pieces").alias("pieces"), spans.alias("spans"),
+                    _located(F.col("token_pieces"), F.col("token_found")).alias("tokens"))
+    tokens = _let(held, lambda h: _beside_spans(h["tokens"], h["spans"], lambda m, i, near: token(
+        m, i, h["pieces"], near)))
+    return df.withColumn("tokens", F.filter(tokens, may)).drop("token_pieces", "token_found")
 
 
 def trusted_patterns(uses: DataFrame) -> DataFrame:
@@ -226,6 +263,41 @@ def all_text() -> Column:
     return F.concat_ws(",", *[_named(k, F.col(k)) for k in KINDS], _named(FOUND, F.col("found")))
 
 
+def _reached(ends: Column) -> Column:
+    """For every element and the end of ``ends``, the greatest of those before
+    it, 0 at the front."""
+    top = lambda xs: F.coalesce(F.array_max(xs), F.lit(0))
+
+    def within(part, before):
+        return F.transform(part, lambda _, i: F.greatest(before, top(F.slice(part, F.lit(1), i))))
+
+    def all_parts(parts):
+        return _let(F.transform(parts, top), lambda tops: F.flatten(F.transform(
+            parts, lambda part, k: within(part, top(F.slice(tops, F.lit(1), k))))))
+    return F.concat(_let(_chunks(ends, BLOCK), all_parts), F.array(top(ends)))
+
+
+def _replaced(text: Column, spans: Column) -> Column:
+    """``text`` with each stretch covered by ``spans`` (start, end, kind; sorted)
+    replaced by the kind of its first span.  The text is cut out of pages of PAGE
+    code points, so that a cut does not scan the text from its start."""
+    def build(pages, reached):
+        def cut(a, b):
+            first = F.floor(a / PAGE).cast("int")
+            held = F.array_join(F.slice(pages, first + 1, F.floor(b / PAGE).cast("int") - first + 1), "")
+            return F.substring(held, a - first * PAGE + 1, b - a)
+
+        def shown(s, i):
+            at = F.get(reached, i)
+            return F.when(s["start"] >= at, F.concat(cut(at, s["start"]), F.lit("["), s["kind"], F.lit("]"))
+                          ).otherwise("")
+        return F.concat(F.array_join(F.transform(spans, shown), ""), cut(F.element_at(reached, -1), F.length(text)))
+
+    held = F.struct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PAGE}}}+"), F.lit(0)).alias("pages"),
+                    _reached(F.transform(spans, lambda s: s["end"])).alias("reached"))
+    return _let(held, lambda h: build(h["pages"], h["reached"]))
+
+
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in brackets
     (overlapping spans by the kind of the first)."""
@@ -240,14 +312,6 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     t = F.col(f"`{text}`")
     joined = docs.join(spans.hint("shuffle_hash"), F.col(doc_id).eqNullSafe(F.col("__i"))
                        & (F.xxhash64(t) == F.col("__h")), "left")
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(a, s):
-        shown = F.concat(a["out"], F.array(
-            F.substring(t, a["at"] + 1, s["start"] - a["at"]), F.concat(F.lit("["), s["kind"], F.lit("]"))))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"),
-                        F.when(s["start"] >= a["at"], shown).otherwise(a["out"]).alias("out"))
-    clean = F.aggregate(F.col("__s"), begin, step, lambda a: F.concat(
-        F.array_join(a["out"], ""), F.substring(t, a["at"] + 1, F.length(t))))
+    clean = _replaced(t, F.col("__s"))
     return joined.select(*[(F.when(F.col("__s").isNull(), t).otherwise(clean) if c == text
                             else F.col(f"`{c}`")).alias(c) for c in docs.columns])
