@@ -3,7 +3,8 @@
 Records are laid out in archives one after another.  A tree over an archive has
 the SHA-256 of every record as leaves, in order, each with its range of
 offsets; FANOUT neighbours make a node of the next level, whose hash is that of
-its children's numbers, offsets and hashes.  Two replicas are compared by their roots; only
+its children's numbers, hashes and offsets from its own start, so a lost record
+changes no node behind it.  Two replicas are compared by their roots; only
 the children of nodes that differ are looked at on the way down, which ends at
 the records that are corrupt, missing or extra.
 
@@ -59,51 +60,54 @@ def manifest(records: DataFrame) -> DataFrame:
 
 
 def tree(leaves: DataFrame) -> list[DataFrame]:
-    """Levels of (archive, seq, start, end, hash), leaves first, roots last."""
+    """Levels of (archive, seq, start, end, hash), leaves first, roots last, each
+    written once."""
     levels = [leaves.select("archive", "seq", "start", "end", "hash")]
     for _ in range(LEVELS):
         grouped = (levels[-1].groupBy("archive", F.floor(F.col("seq") / FANOUT).cast("int").alias("p"))
                    .agg(F.min("start").alias("start"), F.max("end").alias("end"),
                         F.sort_array(F.collect_list(F.struct("seq", "start", "end", "hash"))).alias("c")))
         text = F.transform("c", lambda x: F.concat_ws(
-            ":", x["seq"].cast("string"), x["start"].cast("string"), x["end"].cast("string"), x["hash"]))
-        levels.append(grouped.select("archive", F.col("p").alias("seq"), "start", "end",
-                                     F.sha2(F.concat_ws(",", text), 256).alias("hash")))
+            ":", x["seq"].cast("string"), (x["start"] - F.col("start")).cast("string"),
+            (x["end"] - F.col("start")).cast("string"), x["hash"]))
+        levels.append(written(grouped.select("archive", F.col("p").alias("seq"), "start", "end",
+                                             F.sha2(F.concat_ws(",", text), 256).alias("hash")), "nodes"))
     return levels
 
 
 def _differing(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(archive, seq) of nodes that are not the same in both."""
+    """(archive, seq, ha, hb) of nodes that are not the same in both."""
     l, r = (x.select("archive", "seq", F.col("hash").alias(n)) for x, n in ((a, "ha"), (b, "hb")))
-    return (l.join(r, ["archive", "seq"], "full").filter(~F.col("ha").eqNullSafe(F.col("hb")))
-            .select("archive", "seq"))
+    return l.join(r, ["archive", "seq"], "full").filter(~F.col("ha").eqNullSafe(F.col("hb")))
 
 
-def compare(good: DataFrame, copy: DataFrame) -> DataFrame:
-    """(archive, seq, status) of the records of two manifests that differ:
-    corrupt, missing from the copy, or extra in it.
-
-    Leaves are compared without their offsets, which shift behind a record of
-    another size; the way down follows nodes whose hashes differ."""
+def descend(good: DataFrame, copy: DataFrame) -> list[DataFrame]:
+    """The nodes that differ between two manifests, roots first, leaves last, as
+    (archive, seq, ha, hb).  Below the roots only children of differing nodes are
+    compared, by their hashes without their offsets."""
     one, two = tree(good), tree(copy)
-    nodes = _differing(one[-1], two[-1])
+    found = [_differing(one[-1], two[-1])]
     for level in range(LEVELS - 1, -1, -1):
-        parents = nodes.select("archive", F.col("seq").alias("p"))
+        parents = found[-1].select("archive", F.col("seq").alias("p"))
         below = [x.withColumn("p", F.floor(F.col("seq") / FANOUT).cast("int"))
                  .join(parents, ["archive", "p"], "left_semi").drop("p") for x in (one[level], two[level])]
-        if level:
-            nodes = _differing(*below)
-        else:
-            l, r = (x.select("archive", "seq", F.col("hash").alias(n)) for x, n in zip(below, ("ha", "hb")))
-            nodes = l.join(r, ["archive", "seq"], "full").filter(~F.col("ha").eqNullSafe(F.col("hb")))
-    return nodes.select("archive", "seq", F.when(F.col("hb").isNull(), "missing")
-                        .when(F.col("ha").isNull(), "extra").otherwise("corrupt").alias("status"))
+        found.append(written(_differing(*below), "differing"))
+    return found
+
+
+def compare(good: DataFrame, copy: DataFrame) -> DataFrame:
+    """(archive, seq, status) of the records of two manifests that differ:
+    corrupt, missing from the copy, or extra in it."""
+    return descend(good, copy)[-1].select("archive", "seq", F.when(F.col("hb").isNull(), "missing")
+                                          .when(F.col("ha").isNull(), "extra").otherwise("corrupt").alias("status"))
 
 
 def audit(good: DataFrame, copy: DataFrame) -> DataFrame:
     """The manifest of ``good`` (records as of ``archived``) plus ``status`` of
-    each record in ``copy``: ok, corrupt or missing."""
-    leaves = manifest(good)
-    found = compare(leaves, manifest(copy)).filter("status <> 'extra'")
-    return (leaves.join(found, ["archive", "seq"], "left")
-            .withColumn("status", F.coalesce("status", F.lit("ok"))))
+    each record in ``copy``: ok, corrupt or missing; then the records that only
+    ``copy`` holds, as extra."""
+    leaves, others = manifest(good), manifest(copy)
+    found = compare(leaves, others)
+    return (leaves.join(found.filter("status <> 'extra'"), ["archive", "seq"], "left")
+            .withColumn("status", F.coalesce("status", F.lit("ok")))
+            .unionByName(others.join(found.filter("status = 'extra'"), ["archive", "seq"])))
