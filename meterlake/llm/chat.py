@@ -14,7 +14,7 @@ unescaping gives every text back exactly.
 
 The loss mask covers the text of assistant turns.  Turns post +1 and -1 at the
 ends of those spans and a prefix sum over the conversation's tokens gives the
-mask.
+mask; where a conversation is read in segments the sum is carried along.
 
 Null texts and roles count as empty; rows without conversation id form one
 conversation with a null id; rows are ordered by turn (nulls first), ties by
@@ -72,6 +72,17 @@ def _ordered(turns: DataFrame, shared, conv_id: str, turn: str, role: str, text:
             .select("c", "ids", "role_ids", "learn"))
 
 
+def _mask(events: list[tuple[int, int]], n: int, open_spans: int) -> tuple[np.ndarray, int]:
+    """The loss mask of ``n`` tokens by a prefix sum over the steps at the ends of
+    spans, on top of the spans still open before; also the spans open after."""
+    delta = np.zeros(n, "i1")
+    delta[0] = open_spans
+    for at, step in events:
+        delta[at] += step
+    mask = np.cumsum(delta, dtype="i1")
+    return mask, int(mask[-1])
+
+
 def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
                          role: str = "role", text: str = "text",
                          learn: tuple[str, ...] = ("assistant",),
@@ -89,10 +100,7 @@ def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str =
         ready, size = ([], [], []), 0
 
         def done():
-            delta = np.zeros(n + 1, "i1")
-            for at, step in events:
-                delta[at] += step
-            mask = np.cumsum(delta[:n], dtype="i1")
+            mask, _ = _mask(events, n, 0)
             for column, value in zip(ready, (current, b"".join(parts), mask.tobytes())):
                 column.append(value)
             return size + 5 * n
@@ -128,22 +136,26 @@ def format_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str =
 
 
 def _segments(batches, base: int):
-    """(conversation, token_ids, loss_mask) of runs of whole turns, in order."""
+    """(conversation, token_ids, loss_mask) of runs of whole turns, in order.  The
+    prefix sum of a conversation's mask is carried from segment to segment."""
     open_, say, close = (np.array([base + i], "<u4").tobytes() for i in range(3))
-    current, parts, mask, size = None, [], [], 0
+    current, parts, events, n, carried = None, [], [], 0, 0
     for batch in batches:
         for c, ids, role_ids, on in zip(*batch.columns):
             c, ids, role_ids = c.as_py(), ids.as_py(), role_ids.as_py()
-            if parts and (c != current or size > SEGMENT_BYTES):
-                yield current, b"".join(parts), b"".join(mask)
-                parts, mask, size = [], [], 0
-            current = c
+            if parts and (c != current or 4 * n > SEGMENT_BYTES):
+                mask, carried = _mask(events, n, carried)
+                yield current, b"".join(parts), mask.tobytes()
+                parts, events, n = [], [], 0
+            if c != current:
+                current, carried = c, 0
             parts += [open_, role_ids, say, ids, close]
-            mask += [bytes(2 + len(role_ids) // 4),
-                     (b"\x01" if on.as_py() else b"\x00") * (len(ids) // 4), b"\x00"]
-            size += len(ids) + len(role_ids) + 12
+            start = n + 2 + len(role_ids) // 4
+            n = start + len(ids) // 4 + 1
+            if on.as_py():
+                events += [(start, 1), (n - 1, -1)]
     if parts:
-        yield current, b"".join(parts), b"".join(mask)
+        yield current, b"".join(parts), _mask(events, n, carried)[0].tobytes()
 
 
 def digest_conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
