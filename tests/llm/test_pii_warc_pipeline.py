@@ -132,6 +132,50 @@ def test_patterns_are_scored_against_known_negatives(spark):
         assert found[d] == want, (d, found[d])
 
 
+def _stretches(spans):
+    """[start, end, kind of the first] of overlapping spans."""
+    out = []
+    for a, b, kind in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b, kind])
+    return out
+
+
+def test_redacted_text_against_plain_python(spark):
+    rows = [(d, t) for d, t in _rows() if d is not None][:-1]
+    pad = "é" * (pii.PAGE - 3)
+    rows += [(300, pad + " me@x.org " + pad + "🙂 1.2.3.4 " + pad), (301, "me@x.org"), (302, "a@b.c" + pad + pad)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    found = {r.doc_id: r.found for r in pii.find(docs).collect()}
+    for d, text in rows:
+        spans = [(a, b, k.upper()) for k, v in _base(text).items() for a, b in v]
+        spans += [(s.start, s.end, "ID") for s in found[d]]
+        want = text
+        for a, b, kind in reversed(_stretches(spans)):
+            want = want[:a] + f"[{kind}]" + want[b:]
+        assert got[d] == want, d
+
+
+def test_pii_of_a_text_of_many_tokens(spark):
+    """Every token of a long text meets only the spans near it."""
+    import time
+    def text(n):
+        return " ".join(f"mail us at u{i}@x.org or 10.0.0.{i % 200}, order {i}" if i % 3 else
+                        f"mail us at REF-{100000 + i} now" for i in range(n))
+    took = {}
+    for n in (2_000, 8_000, 32_000):
+        docs = spark.createDataFrame([(1, text(n))], "doc_id long, text string")
+        begin = time.monotonic()
+        (row,) = pii.redact(docs).collect()
+        took[n] = time.monotonic() - begin
+        assert row.text.count("[EMAIL]") == n - -(-n // 3) and row.text.count("[ID]") == -(-n // 3)
+        assert "@" not in row.text and "REF-" not in row.text
+    assert took[32_000] < 8 * took[8_000]
+
+
 def test_pii_plans_have_no_python(spark):
     docs = spark.createDataFrame([(1, "a@b.c")], "doc_id long, text string")
     plan = pii.redact(docs)._jdf.queryExecution().toString()
@@ -164,6 +208,22 @@ def test_merkle_audit(spark, monkeypatch):
     extra = warc_audit.compare(warc_audit.manifest(copy), leaves).filter("status = 'extra'")
     assert extra.count() == len(lost)
     assert warc_audit.audit(good.limit(0), copy.limit(0)).count() == 0
+    turned = warc_audit.audit(copy, good).collect()
+    assert sorted(r.record_id for r in turned if r.status == "extra") == sorted(lost)
+    assert len(turned) == len(rows)
+    assert {r.status for r in warc_audit.audit(good, copy.limit(0)).collect()} == {"missing"}
+
+
+def test_undamaged_branches_are_not_read(spark):
+    """A lost record changes the nodes above it and none behind it."""
+    rows = [(i, f"http://h/{i}", "x" * (i % 70)) for i in range(warc_audit.ARCHIVE_RECORDS)]
+    good = warc_audit.archived(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))
+    assert good.select("archive").distinct().count() == 1
+    leaves = warc_audit.manifest(good)
+    for hit in (5, 4000):
+        nodes = warc_audit.descend(leaves, warc_audit.manifest(good.filter(F.col("seq") != hit)))
+        assert [n.count() for n in nodes] == [1] * (warc_audit.LEVELS + 1)
+        assert nodes[-1].first().seq == hit
 
 
 def test_pipeline_stages(spark, tmp_path):
