@@ -9,9 +9,11 @@ counted over all documents; a window with a shingle that no document has is
 dropped at once.  A match of the prefix token fixes where the window would lie;
 length and positional bounds come from that, and the words are then compared.
 
-The benchmark is read in blocks of BLOCK_BYTES of text (the driver and every
-task hold the index of one block); each block goes over all documents and its
-hits are merged into those of the blocks before.
+Items are cut into pieces of PIECE windows and read in blocks of about BLOCK_BYTES
+of text; each block goes over all documents and its hits are merged into those
+of the blocks before.  The driver and every Python worker hold one block, packed
+into arrays of some ten bytes a byte of text (building it takes a few times that
+on the driver, whatever the size of the benchmark or of an item).
 
 Null or wordless texts have no words and no hits; null or wordless items match
 nothing.  Items are told apart by item_id (rows that repeat an id add windows
@@ -21,6 +23,7 @@ by one, so repeated rows get equal results.  Empty tables give empty results.
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -30,12 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_type, slices, small_batches
+from .common import arrow_type, slices, small_batches, written
 
 WINDOW = 10
 SHINGLE = 5
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+PIECE = 1 << 16
 MEMO_SIZE = 100_000
+SEEN_SIZE = 10_000
 _TABLE = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else
                c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -76,7 +81,7 @@ class Lookup:
     """Finds given hashes: a bitmap of their top bits first, then binary search."""
 
     def __init__(self, hashes, bits: int = _FILTER_BITS):
-        self.sorted = np.unique(np.array(list(hashes), "u8"))
+        self.sorted = np.unique(hashes if isinstance(hashes, np.ndarray) else np.array(list(hashes), "u8"))
         self.shift = np.uint64(64 - bits)
         self.bitmap = np.zeros(1 << bits, bool)
         self.bitmap[self.sorted >> self.shift] = True
@@ -91,19 +96,107 @@ class Lookup:
         return at[ok], place[ok]
 
 
-def windows_of(items) -> tuple[dict, dict]:
-    """(windows, shingles): window words -> item ids, and
-    shingle length -> {hash: None} of the windows' shingles."""
-    windows: dict[tuple, set] = defaultdict(set)
-    for item_id, text in items:
-        words = _split(text)
-        for i in range(max(1, len(words) - WINDOW + 1) if words else 0):
-            windows[tuple(words[i:i + WINDOW])].add("" if item_id is None else str(item_id))
-    memo, shingles = _Hashes(), defaultdict(dict)
-    for w in windows:
-        k = min(SHINGLE, len(w))
-        shingles[k].update(dict.fromkeys(_shingles(_hashed(list(w), memo), k).tolist()))
-    return windows, shingles
+def pieces(items: DataFrame) -> DataFrame:
+    """(i, t) with the words of each text, one blank between them, cut into pieces
+    that overlap so that every window lies whole in one; repeated ones once."""
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 1):
+                ids, texts = [], []
+                for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    words = _split(t)
+                    for a in range(0, max(1, len(words) - WINDOW + 1) if words else 0, PIECE):
+                        ids.append(i or "")
+                        texts.append(b" ".join(words[a:a + PIECE + WINDOW - 1]).decode())
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string())], ["i", "t"])
+
+    small_batches(items.sparkSession)
+    return items.mapInArrow(run, "i string, t string").distinct()
+
+
+class Block:
+    """The distinct windows of some pieces, packed.
+
+    ``buffer`` holds all words, word ``w`` from ``offsets[w]``; window ``x`` is
+    the ``size[x]`` words from ``start[x]`` and belongs to the items
+    ``owners[first[x]:first[x + 1]]``.
+    """
+
+    def __init__(self, rows):
+        vocabulary, numbers, ends, self.ids, texts = {}, array("i"), [0], [], []
+        for item_id, text in rows:
+            words = text.encode().split(b" ")
+            numbers.extend([vocabulary.setdefault(w, len(vocabulary)) for w in words])
+            ends.append(len(numbers))
+            self.ids.append(item_id)
+            texts.append(text.encode())
+        self.buffer = b" ".join(texts)
+        self.lookups, self._grams = {}, {}
+        if not self.ids:
+            return
+        memo = _Hashes()
+        hashes = np.fromiter((memo[w] for w in vocabulary), "u8", len(vocabulary))
+        lengths = np.fromiter(map(len, vocabulary), "i8", len(vocabulary))
+        del vocabulary, texts
+        numbers, ends = np.array(numbers, "i4"), np.array(ends)
+        self.offsets = np.concatenate([[0], np.cumsum(lengths[numbers] + 1)])
+        hashes = hashes[numbers]
+        words = np.diff(ends)
+        n = np.maximum(1, words - WINDOW + 1)
+        item = np.repeat(np.arange(len(n), dtype="i4"), n)
+        start = (ends[:-1] - np.cumsum(n) + n)[item] + np.arange(len(item))
+        size = np.minimum(words[item], WINDOW)
+        rows = np.full((len(item), WINDOW), -1, "i4")
+        for j in range(WINDOW):
+            inside = j < size
+            rows[inside, j] = numbers[start[inside] + j]
+        # equal rows of word numbers are equal windows
+        _, kept, which = np.unique(rows.view(f"V{4 * WINDOW}").ravel(), return_index=True, return_inverse=True)
+        del rows
+        self.start, self.size = start[kept], size[kept].astype("i1")
+        self.owners = item[np.argsort(which, kind="stable")]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(kept)))])
+        # the shingles that begin at each word, by length: short windows have one
+        self._grams = {k: _shingles(hashes, k) for k in range(1, SHINGLE + 1)
+                       if (self.size == k).any() or k == SHINGLE and (self.size > k).any()}
+        for k, grams in self._grams.items():
+            own = self.start[self.size >= k if k == SHINGLE else self.size == k]
+            if k == SHINGLE:
+                in_text = np.arange(len(grams))
+                in_text = in_text[in_text + k <= ends[np.searchsorted(ends, in_text, side="right")]]
+                self.lookups[k] = Lookup(grams[in_text])
+            else:
+                self.lookups[k] = Lookup(grams[own])
+
+    def choose(self, counts: dict[int, np.ndarray]) -> None:
+        """Windows that may occur, by their rarest shingle: for each length
+        ``prefix[k]`` has a lookup, where the windows of each hash begin, the
+        windows and the shingle's place in them."""
+        self.prefix = {}
+        for k, lookup in self.lookups.items():
+            grams = self._grams[k]
+            own = np.flatnonzero(self.size >= k if k == SHINGLE else self.size == k)
+            least = np.full(len(own), np.iinfo("i8").max)
+            gram, place = np.zeros(len(own), "u8"), np.zeros(len(own), "i1")
+            for j in range(WINDOW - k + 1 if k == SHINGLE else 1):
+                at = np.flatnonzero(self.size[own] >= j + k)
+                g = grams[self.start[own[at]] + j]
+                c = counts[k][np.searchsorted(lookup.sorted, g)]
+                better = (c < least[at]) | (c == least[at]) & (g < gram[at])
+                at, g, c = at[better], g[better], c[better]
+                least[at], gram[at], place[at] = c, g, j
+            order = np.flatnonzero(least > 0)
+            order = order[np.argsort(gram[order], kind="stable")]
+            found = Lookup(gram[order])
+            begin = np.concatenate([np.searchsorted(gram[order], found.sorted), [len(order)]])
+            self.prefix[k] = found, begin, own[order], place[order]
+        del self._grams, self.lookups
+
+    def window(self, x: int) -> tuple[list[bytes], list[str]]:
+        """The words of window ``x`` and its items."""
+        a = int(self.start[x])
+        words = self.buffer[self.offsets[a]:self.offsets[a + int(self.size[x])] - 1].split(b" ")
+        return words, [self.ids[o] for o in self.owners[self.first[x]:self.first[x + 1]].tolist()]
 
 
 def _words_by_slice(batches, memo, column):
@@ -123,9 +216,9 @@ def _inside(starts: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.
     return doc, at + k <= starts[doc + 1]
 
 
-def rarity(docs: DataFrame, lookups: dict[int, Lookup], text: str = "text") -> dict:
-    """(shingle length, hash) -> occurrences over all documents.  Tasks count
-    first; the driver gets one row a shingle of the block."""
+def rarity(docs: DataFrame, lookups: dict[int, Lookup], text: str = "text") -> dict[int, np.ndarray]:
+    """For each shingle length the occurrences over all documents of each hash of
+    its lookup.  Tasks count first; the driver gets arrays of one entry a shingle."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lookups)
 
@@ -141,21 +234,14 @@ def rarity(docs: DataFrame, lookups: dict[int, Lookup], text: str = "text") -> d
                 [pa.array(np.full(len(at), k, "i4")), pa.array(at), pa.array(n[at])], ["k", "i", "n"])
 
     rows = (docs.select(F.col(text).alias("t")).mapInArrow(run, "k int, i long, n long")
-            .groupBy("k", "i").agg(F.sum("n").alias("n")).collect())
-    return {(k, int(lookups[k].sorted[i])): n for k, i, n in rows}
-
-
-def prefix_index(windows: dict, counts: dict) -> dict[int, dict[int, list]]:
-    """shingle length -> {rarest shingle: [(offset in the window, words, ids)]}"""
-    memo, index = _Hashes(), defaultdict(lambda: defaultdict(list))
-    for w, ids in windows.items():
-        k = min(SHINGLE, len(w))
-        ranked = [(counts.get((k, s), 0), s, j)
-                  for j, s in enumerate(_shingles(_hashed(list(w), memo), k).tolist())]
-        n, s, j = min(ranked)
-        if n:
-            index[k][s].append((j, list(w), sorted(ids)))
-    return {k: dict(v) for k, v in index.items()}
+            .groupBy("k", "i").agg(F.sum("n").alias("n")).toArrow())
+    k, i, n = (rows.column(c).to_numpy() for c in range(3))
+    out = {}
+    for length, lookup in lookups.items():
+        out[length] = np.zeros(len(lookup.sorted), "i8")
+        out[length][i[k == length]] = n[k == length]
+    shared.unpersist()
+    return out
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -168,30 +254,37 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _scan(docs: DataFrame, index: dict, text: str) -> DataFrame:
+def _scan(docs: DataFrame, block: Block, text: str) -> DataFrame:
     """Adds one block's hits to the columns n_words, hit_spans and items."""
-    lookups = {k: Lookup(v) for k, v in index.items()}
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((index, lookups))
+    shared = docs.sparkSession.sparkContext.broadcast(block)
     at_text = docs.columns.index(text)
     before = len(docs.columns) - 3
     kinds = [arrow_type(t) for t in ("long", SPANS, "array<string>")]
     names = docs.columns
 
     def run(batches):
-        index, lookups = shared.value
-        memo = _Hashes()
+        block = shared.value
+        memo, seen = _Hashes(), {}
         for part, words, starts, h in _words_by_slice(batches, memo, at_text):
             spans, items = defaultdict(list), defaultdict(set)
-            for k, lookup in lookups.items():
+            for k, (lookup, begin, windows, places) in block.prefix.items():
                 at, which = lookup.find(_shingles(h, k))
                 doc, ok = _inside(starts, at, k)
-                for p, s, d in zip(at[ok].tolist(), lookup.sorted[which[ok]].tolist(), doc[ok].tolist()):
+                for p, s, d in zip(at[ok].tolist(), which[ok].tolist(), doc[ok].tolist()):
                     first, last = int(starts[d]), int(starts[d + 1])
-                    for offset, window, ids in index[k][s]:
-                        a = p - offset
-                        b = a + len(window)
-                        if a >= first and b <= last and words[a:b] == window:
+                    for x in range(int(begin[s]), int(begin[s + 1])):
+                        w = int(windows[x])
+                        a = p - int(places[x])
+                        b = a + int(block.size[w])
+                        if a < first or b > last:
+                            continue
+                        if w not in seen:
+                            if len(seen) >= SEEN_SIZE:
+                                seen.clear()
+                            seen[w] = block.window(w)
+                        window, ids = seen[w]
+                        if words[a:b] == window:
                             spans[d].append((a - first, b - first))
                             items[d].update(ids)
             old_spans, old_items = part.column(before + 1).to_pylist(), part.column(before + 2).to_pylist()
@@ -218,13 +311,12 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     out = docs.select(*[F.col(f"`{c}`") for c in kept], *[
         F.lit(0).cast("long").alias("n_words"), F.array().cast(SPANS).alias("hit_spans"),
         F.array().cast("array<string>").alias("items")])
-    items = benchmark.select(F.col(item_id).alias("i"), F.col(item_text).alias("t"))
+    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t"))
+    items = written(pieces(items), "benchmark")
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     for b in range(blocks):
-        block = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
-        windows, shingles = windows_of(block.toLocalIterator())
-        lookups = {k: Lookup(v) for k, v in shingles.items()}
-        counts = rarity(docs, lookups, text) if lookups else {}
-        out = _scan(out, prefix_index(windows, counts), text)
+        block = Block(items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).toLocalIterator())
+        block.choose(rarity(docs, block.lookups, text) if block.lookups else {})
+        out = _scan(out, block, text)
     return out

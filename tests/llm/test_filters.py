@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,9 +148,10 @@ def _plain_hits(text, items):
     return len(words), hit, sorted(ids)
 
 
-@pytest.mark.parametrize("block", [1 << 24, 60])
-def test_decontamination(spark, monkeypatch, block):
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+@pytest.mark.parametrize("block, piece", [(1 << 24, 1 << 16), (100, 3)])
+def test_decontamination(spark, monkeypatch, block, piece):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)   # 100: less than the longest item
+    monkeypatch.setattr(decontaminate, "PIECE", piece)
     rng = random.Random(8)
     vocabulary = ["aa", "bb", "cc", "dd", "É", "x1"]
     items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 3, 4, 9, 10, 14])))) for i in range(12)]
@@ -176,6 +178,21 @@ def test_decontamination(spark, monkeypatch, block):
     assert all(not r.hit_spans for r in decontaminate.find(docs, bench.limit(0)).collect())
 
 
+def test_decontamination_block_is_small():
+    rng = random.Random(5)
+    rows = [(str(i), " ".join(str(rng.randrange(30_000)) for _ in range(60))) for i in range(3000)]
+    rows.append(("again", rows[7][1]))
+    block = decontaminate.Block(rows)
+    block.choose({k: np.ones(len(lookup.sorted), "i8") for k, lookup in block.lookups.items()})
+    size = sum(len(t) for _, t in rows)
+    assert len(pickle.dumps(block)) < 12 * size + (2 << 20)   # and a bitmap of 1 MB
+    words = rows[7][1].encode().split()
+    found, begin, windows, places = block.prefix[5]
+    assert len(windows) == 3000 * 51
+    owners = {tuple(w): ids for w, ids in map(block.window, range(len(windows)))}
+    assert owners[tuple(words[:10])] == ["7", "again"] and owners[tuple(words[50:])] == ["7", "again"]
+
+
 def test_license_scan(spark):
     rng = random.Random(4)
     long_text = " ".join(f"term{i % 37}x{i}" for i in range(120))
