@@ -3,13 +3,21 @@ exact shingle containment verifies them.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased, shingles have five
 words.  Templates are grouped by size: those of 2**j up to 2**(j+1) - 1
-shingles are looked for in windows of 2**(j+2) shingles that begin every
+shingles (repeated ones counted) are looked for in windows of 2**(j+2) shingles that begin every
 2**(j+1), so any stretch as long as the template lies whole in some window.
 A template contained to CONTAINMENT in a stretch has a similarity of at least
 CONTAINMENT / 4.25 to its window; bands of one row are used, and their number is
-such that the chance to miss is at most MISS.  Every retrieved (window, template)
+such that the chance to miss is at most MISS (more bands for a template that
+repeats so many shingles that fewer than 2**j differ).  Every retrieved (window, template)
 is verified on the shingles themselves.
 
+All places of a template are returned.  In a window that holds enough of a
+template, its shingles in order form chains along which the place in the template
+rises; each chain with CONTAINMENT of the shingles is a place.  Of overlapping
+places the one of the highest containment stays, the first of equals.  Where no
+chain has enough (parts in another order), the window's first to last shingle of
+the template is one place, unless a chain overlaps it.
+
 Templates are a parameter, held by the driver and every task; their text is
 checked against TEMPLATE_BYTES.  Null or wordless texts match nothing; a
 template of fewer than five words is one shingle, found only as a whole text.
@@ -25,6 +33,7 @@ from __future__ import annotations
 
 import math
 import string
+from bisect import bisect_left
 from collections import defaultdict
 from pathlib import Path
 
@@ -38,13 +47,22 @@ from .decontaminate import Lookup
 WORDS = 5
 CONTAINMENT = 0.75
 MISS = 1e-4
-BANDS = math.ceil(math.log(MISS) / math.log(1 - CONTAINMENT / 4.25))
 TEMPLATE_BYTES = 16 << 20
 MEMO_SIZE = 400_000
 
-_RNG = np.random.default_rng(7001)
-_FACTORS = (_RNG.integers(1 << 62, size=BANDS).astype("u8") << np.uint64(1)) | np.uint64(1)
-_STEPS = (_RNG.integers(1 << 62, size=WORDS).astype("u8") << np.uint64(1)) | np.uint64(1)
+def _odd(seed: int, n: int) -> np.ndarray:
+    return (np.random.default_rng(seed).integers(1 << 62, size=n).astype("u8") << np.uint64(1)) | np.uint64(1)
+
+
+_STEPS = _odd(7001, WORDS)
+
+
+def bands_for(distinct: int, size: int) -> int:
+    """Bands for a template of ``distinct`` different shingles in windows of
+    ``4 * size``: at least CONTAINMENT of them are there, so the similarity is at
+    least that of a window whose other shingles all differ."""
+    share = min(1.0, distinct / size)
+    return math.ceil(math.log(MISS) / math.log(1 - CONTAINMENT * share / (4 + share / 4)))
 
 # Short public license notices, by SPDX identifier.
 TEMPLATES = {
@@ -142,32 +160,36 @@ class Index:
             raise ValueError("the templates are too large to be held by every task; scan in parts")
         self.bare = bare
         memo = _Hashes()
-        self.grams, self.names = [], []
-        sizes, short = defaultdict(list), defaultdict(list)
-        mins = []
+        self.grams, self.names = [], []     # shingle -> its places in the template
+        sizes, short, mins = defaultdict(list), defaultdict(list), {}
         for name, text in sorted(templates.items()):
             words = _split(text)
             if bare:
                 words = [w for w in map(_stripped, words) if w]
             if not words:
                 continue
-            own = set(_grams(words))
+            grams = _grams(words)
+            own = defaultdict(list)
+            for i, g in enumerate(grams):
+                own[g].append(i)
             h = np.fromiter(map(memo.__getitem__, words), "u8", len(words))
             values = np.unique(_hash_grams(h, min(WORDS, len(words))))
             if bare and len(words) < WORDS:
                 short[len(words)].append((int(values[0]), len(self.names)))
             else:
-                sizes[len(own).bit_length() - 1].append(len(self.names))
+                sizes[len(grams).bit_length() - 1].append(len(self.names))
+                mins[len(self.names)] = values
             self.names.append(name)
-            self.grams.append(own)
-            mins.append([(values * f).min() for f in _FACTORS])
+            self.grams.append(dict(own))
+        number = {j: max(bands_for(len(self.grams[t]), 1 << j) for t in members) for j, members in sizes.items()}
+        self.factors = _odd(7002, max(number.values(), default=0))
         self.sizes = {}
         for j, members in sorted(sizes.items()):
             bands = []
-            for b in range(BANDS):
-                lookup = _lookup([mins[t][b] for t in members])
-                owners = [[t for t in members if mins[t][b] == v] for v in lookup.sorted]
-                bands.append((lookup, owners))
+            for f in self.factors[:number[j]]:
+                least = {t: (mins[t] * f).min() for t in members}
+                lookup = _lookup(list(least.values()))
+                bands.append((lookup, [[t for t in members if least[t] == v] for v in lookup.sorted]))
             self.sizes[j] = bands
         self.short = {}
         for k, members in short.items():
@@ -175,18 +197,43 @@ class Index:
             self.short[k] = lookup, [[t for v, t in members if v == x] for x in lookup.sorted.tolist()]
 
 
+def _chains(window: list[tuple], grams: dict[tuple, list[int]]) -> list[tuple[float, int, int]]:
+    """(containment, first, last) shingle of each chain of the template in ``window``."""
+    out, chain, last = [], [], -1
+    for i, g in enumerate(window):
+        own = grams.get(g)
+        if own is None:
+            continue
+        k = bisect_left(own, last + 1)
+        if k == len(own):
+            out.append(chain)
+            chain, k = [], 0
+        chain.append(i)
+        last = own[k]
+    return [(len({window[i] for i in c}) / len(grams), c[0], c[-1]) for c in [*out, chain] if c]
+
+
+def _apart(places: list[tuple[int, float, int, int]]) -> list[tuple[int, int, float]]:
+    """(start, end, containment) of places (rank, -containment, start, end) that
+    overlap none before them, the lowest first."""
+    kept: list[tuple[int, int, float]] = []
+    for _, share, a, b in sorted(set(places)):
+        k = bisect_left(kept, (a,))
+        if (k == 0 or kept[k - 1][1] <= a) and (k == len(kept) or b <= kept[k][0]):
+            kept.insert(k, (a, b, -share))
+    return kept
+
+
 def _scan(index: Index, words: list[list[bytes]], memo: _Hashes) -> list[list[dict]]:
-    """For each text, the matches {name, start, end, containment}."""
+    """For each text, the matches {license, start, end, containment}."""
     grams, starts, places = [], [0], []
-    found: list[dict] = [{} for _ in words]
+    found: list[dict] = [defaultdict(list) for _ in words]
 
-    def match(d, t, share, a, b):
+    def match(d, t, share, a, b, rank=0):
         """Template ``t`` from word ``a`` to ``b`` of the words that count."""
         if index.bare:
             a, b = int(places[d][a]), int(places[d][b - 1]) + 1
-        best = found[d].get(t)
-        if best is None or (-share, a, b) < best[0]:
-            found[d][t] = (-share, a, b), share
+        found[d][t].append((rank, -share, a, b))
 
     for d, own in enumerate(words):
         h = np.fromiter(map(memo.__getitem__, own), "u8", len(own))
@@ -220,11 +267,13 @@ def _scan(index: Index, words: list[list[bytes]], memo: _Hashes) -> list[list[di
         # blocks are made of whole blocks of the size before
         blocks[j] = doc, at, pair, at if finer is None else np.searchsorted(finer, at)
         finer = at
-    for b in range(BANDS):
-        least = values * _FACTORS[b]
+    for b, factor in enumerate(index.factors):
+        least = values * factor
         for j, bands in index.sizes.items():
             doc, at, pair, first = blocks[j]
             least = np.minimum.reduceat(least, first)
+            if b >= len(bands):
+                continue
             window = least.copy()
             window[pair] = np.minimum(least[pair], least[pair + 1])
             lookup, owners = bands[b]
@@ -240,18 +289,24 @@ def _scan(index: Index, words: list[list[bytes]], memo: _Hashes) -> list[list[di
         if d not in counted:
             counted[d] = [_stripped(words[d][p]) for p in places[d]] if index.bare else words[d]
         window = _grams(counted[d][a:a + (4 << j) + WORDS - 1])
-        share = len(index.grams[t].intersection(window)) / len(index.grams[t])
-        if share >= CONTAINMENT:
+        share = len(index.grams[t].keys() & set(window)) / len(index.grams[t])
+        if share < CONTAINMENT:
+            continue
+        end = len(counted[d])
+        whole = [c for c in _chains(window, index.grams[t]) if c[0] >= CONTAINMENT]
+        for part, first, last in whole:
+            match(d, t, part, a + first, min(a + last + WORDS, end))
+        if not whole:
             inside = [i for i, g in enumerate(window) if g in index.grams[t]]
-            match(d, t, share, a + inside[0], min(a + inside[-1] + WORDS, len(counted[d])))
-    return [[{"license": index.names[t], "start": v[0][1], "end": v[0][2], "containment": v[1]}
-             for t, v in sorted(own.items())] for own in found]
+            match(d, t, share, a + inside[0], min(a + inside[-1] + WORDS, end), 1)
+    return [[{"license": index.names[t], "start": a, "end": b, "containment": share}
+             for t, v in sorted(own.items()) for a, b, share in _apart(v)] for own in found]
 
 
 def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES,
          bare: bool = False) -> DataFrame:
-    """``docs`` plus ``licenses``: for each template found, its name, its best
-    place (words, end exclusive; the first of equals) and its containment."""
+    """``docs`` plus ``licenses``: for each place of each template, its name, the
+    words (end exclusive) and the containment, by template and start."""
     shared = docs.sparkSession.sparkContext.broadcast(Index(templates, bare))
 
     def make():

@@ -162,11 +162,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_license_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    names = F.array_distinct("licenses.license")
     return license_scan.scan(docs, templates=license_scan.public_licenses(), bare=True).select(
-        "doc_id", F.size("licenses").cast("long").alias("n_licenses"),
-        F.concat_ws(",", "licenses.license").alias("licenses"),
+        "doc_id", F.size(names).cast("long").alias("n_licenses"), F.concat_ws(",", names).alias("licenses"),
+        F.size("licenses").cast("long").alias("n_places"),
         F.concat_ws(",", F.transform("licenses", lambda x: F.concat_ws(
-            ":", x["start"].cast("string"), x["end"].cast("string")))).alias("spans"))
+            ":", x["license"], x["start"].cast("string"), x["end"].cast("string")))).alias("spans"))
 
 
 # -- 6: WARC fixity audit ----------------------------------------------------

@@ -228,6 +228,67 @@ def test_license_scan(spark):
     assert license_scan.scan(docs.limit(0)).count() == 0
 
 
+def _words(text):
+    return license_scan._split(text)
+
+
+def test_license_scan_against_all_stretches():
+    """Each stretch as long as a template that holds 0.75 of its shingles meets a
+    place of it; places hold what they say and do not overlap."""
+    rng = random.Random(11)
+    templates = {"A": " ".join(f"a{i}" for i in range(8)), "B": " ".join(f"b{i % 23}" for i in range(40)),
+                 "C": " ".join(f"c{i}" for i in range(90))}
+    index, memo = license_scan.Index(templates), license_scan._Hashes()
+    seen = 0
+    for _ in range(150):
+        words = []
+        for _ in range(rng.randint(1, 6)):
+            words += [f"w{rng.randint(0, 9)}" for _ in range(rng.choice([0, 3, 60]))]
+            part = templates[rng.choice("ABC")].split()
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                i = rng.randrange(len(part))
+                part[i:i + 1] = rng.choice([[], ["x"], [part[i], "y"]])
+            words += part[rng.choice([0, 0, 5]):]
+        words = _words(" ".join(words))
+        found = license_scan._scan(index, [words], memo)[0]
+        for name, text in templates.items():
+            own = set(license_scan._grams(_words(text)))
+            places = [(m["start"], m["end"]) for m in found if m["license"] == name]
+            assert all(a[1] <= b[0] for a, b in zip(places, places[1:]))
+            for m in found:
+                if m["license"] == name:
+                    inside = set(license_scan._grams(words[m["start"]:m["end"]]))
+                    assert len(own & inside) / len(own) == m["containment"] >= 0.75
+            grams, n = license_scan._grams(words), len(license_scan._grams(_words(text)))
+            for i in range(max(1, len(grams) - n + 1)):
+                if len(own.intersection(grams[i:i + n])) >= 0.75 * len(own):
+                    seen += 1
+                    assert any(a < i + n + 4 and i < b for a, b in places), (name, i)
+    assert seen > 500
+
+
+def test_all_places_of_a_license():
+    notices = license_scan.NOTICES
+    index, memo = license_scan.Index(notices, True), license_scan._Hashes(True)
+    mit, rights, lesser = (notices[n] for n in ("MIT", "All-rights-reserved", "CC-BY-NC-SA-4.0/international"))
+    words = _words(f"{mit} {mit} w1 w2 {rights} {mit} {rights} {rights} {lesser} {lesser} " + "w3 " * 500 + mit)
+    got = [(m["license"], m["start"], m["end"]) for m in license_scan._scan(index, [words], memo)[0]]
+    n = len(words)
+    assert [x for x in got if x[0] == "MIT"] == [
+        ("MIT", 0, 5), ("MIT", 5, 10), ("MIT", 15, 20), ("MIT", n - 5, n)]
+    assert [x[1:] for x in got if x[0] == "All-rights-reserved"] == [(12, 15), (20, 23), (23, 26)]
+    k = len(lesser.split())
+    assert [x[1:] for x in got if x[0].startswith("CC-BY-NC-SA-4.0/i")] == [(26, 26 + k), (26 + k, 26 + 2 * k)]
+    long = {"L": " ".join(f"t{i}" for i in range(300))}
+    index, memo = license_scan.Index(long), license_scan._Hashes()
+    words = _words("x " + f"{long['L']} " * 7)
+    assert [(m["start"], m["end"]) for m in license_scan._scan(index, [words], memo)[0]] == [
+        (1 + 300 * i, 301 + 300 * i) for i in range(7)]
+    moved = long["L"].split()
+    words = _words(" ".join(moved[150:] + moved[:150]))    # parts in another order: one place
+    assert [(m["start"], m["end"]) for m in license_scan._scan(index, [words], memo)[0]] == [(0, 300)]
+
+
 def test_public_licenses(spark):
     """Whole texts, headers, and notices in other punctuation or inside prose."""
     templates = license_scan.public_licenses()
