@@ -316,6 +316,11 @@ def staged_table(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# Micro-batches of a run at most: each reads the known rows again and has a fixed cost
+# (every stateful task reports to the driver), so their number must not grow with the files.
+_STREAM_BATCHES = 4
+
+
 @register("stream_new_anomalies", _NEW_SQL)
 def stream_new_anomalies(spark, sf_dir):
     """The same by a stream: anomalies arrive in blocks of days, each block a second time
@@ -329,7 +334,9 @@ def stream_new_anomalies(spark, sf_dir):
     for i in range(5):          # days 1 to 31; a block comes with the one before it
         feed.filter((block == i) | (block == i - 1)).write.parquet(f"{src}/block={i}")
         if i in (2, 4):
-            stream = (spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 2)
+            files = len(spark.read.schema(feed.schema).option("recursiveFileLookup", "true").parquet(src).inputFiles())
+            stream = (spark.readStream.schema(feed.schema)
+                      .option("maxFilesPerTrigger", max(2, -(-files // _STREAM_BATCHES)))
                       .option("recursiveFileLookup", "true").parquet(src))
             new_rows.report_new(stream, sink, ckpt, known, delay="40 days", available_now=True).awaitTermination()
     release(spark, src, ckpt)

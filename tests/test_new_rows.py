@@ -54,3 +54,22 @@ def test_state_is_bounded_by_the_watermark(spark, tmp_dir):
     _add(spark, tmp_dir, 8, _rows([0]))
     _run(spark, tmp_dir)
     assert spark.read.schema(SCHEMA).parquet(f"{tmp_dir}/out").filter(F.col("value") == 0).count() == 2
+
+
+def test_number_of_batches_does_not_grow_with_the_files(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from meterlake.plans import queries_serving
+    queries = []
+    report, keep = new_rows.report_new, queries_serving.kept_lookup
+    monkeypatch.setattr(new_rows, "report_new", lambda *a, **k: queries.append(report(*a, **k)) or queries[-1])
+    monkeypatch.setattr(queries_serving, "kept_lookup", lambda df, name: keep(df.repartition(24), name))
+    spark.conf.set("spark.sql.files.minPartitionNum", "24")     # a task for each of the 24 files
+    try:
+        got = queries_serving.stream_new_anomalies(spark, SF_SMALL)
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    want = queries_serving.new_anomalies(spark, SF_SMALL)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want.select(got.columns)).isEmpty()
+    # four batches a run, and one without data; before, one for each two files
+    assert queries[-1].lastProgress["batchId"] < 10
