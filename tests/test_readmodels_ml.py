@@ -166,3 +166,30 @@ def test_evaluate_matches_formula(spark):
     assert abs(m.mse - (0.25 + 0.25 + 0.25) / 3) < 1e-12
     assert abs(m.mae - 0.5) < 1e-12
     assert abs(m.r2 - (1 - 0.75 / 2.0)) < 1e-12
+
+
+def test_training_rows_are_dealt_evenly(spark, monkeypatch):
+    seen = []
+
+    class Fake:
+        def __init__(self, real):
+            self.real = real
+
+        def fit(self, df):
+            seen.append((df.storageLevel.useDisk, df.rdd.glom().map(len).collect()))
+            return self.real.fit(df)
+
+    build = forecast.build_pipeline
+    monkeypatch.setattr(forecast, "PARTITION_ROWS", 100, raising=False)
+    monkeypatch.setattr(forecast, "build_pipeline", lambda *a, **k: Fake(build(*a, **k)))
+    r = fx.readings(spark, SF_SMALL).coalesce(1)
+    res = forecast.train(r, configs=[{"numTrees": 2, "maxDepth": 2}])
+    (kept, sizes), = seen
+    assert kept and sum(sizes) == res.train_rows and len(sizes) == -(-res.train_rows // 100)
+    assert max(sizes) <= 150        # all rows in one partition before
+    assert not spark.sparkContext._jsc.getPersistentRDDs()      # and nothing is kept afterwards
+
+
+def test_forest_keeps_the_node_of_each_row():
+    forest = forecast.build_pipeline(["Voltage", "hour"], 2, 2, {}).getStages()[-1]
+    assert forest.getCacheNodeIds() and forest.getCheckpointInterval() == -1
