@@ -193,3 +193,13 @@ def test_training_rows_are_dealt_evenly(spark, monkeypatch):
 def test_forest_keeps_the_node_of_each_row():
     forest = forecast.build_pipeline(["Voltage", "hour"], 2, 2, {}).getStages()[-1]
     assert forest.getCacheNodeIds() and forest.getCheckpointInterval() == -1
+
+
+def test_requests_are_scored_in_even_partitions(spark, monkeypatch):
+    from meterlake.plans.catalog import QUERIES
+    plans = []
+    score = forecast.score
+    monkeypatch.setattr(forecast, "score", lambda m, v: plans.append(
+        v._jdf.queryExecution().optimizedPlan().toString()) or score(m, v))
+    QUERIES["score_requests"](spark, SF_SMALL)
+    assert "RebalancePartitions" in plans[0]
