@@ -54,6 +54,33 @@ def test_cascade_is_exact(spark, monkeypatch, listed, shards):
     assert url_filter.judge(df.drop("listed").limit(0), cascade, F.col("key")).count() == 0
 
 
+def _jobs(spark):
+    """Jobs begun so far."""
+    spark.range(1).collect()
+    return max(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_jobs_of_a_cascade_do_not_grow_with_partitions(spark, monkeypatch):
+    df = spark.createDataFrame([(f"k{i}", i % 7 == 0) for i in range(400)], "key string, listed boolean")
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        began = _jobs(spark)
+        cascade = url_filter.build(df)
+        assert _jobs(spark) - began < 60    # 60 for each level, when every partition was pulled by its own job
+        monkeypatch.setattr(url_filter, "PULL_BYTES", 256)      # several parts
+        again = url_filter.build(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    for made in (cascade, again):
+        out = url_filter.judge(df, made, F.col("key"), "found").collect()
+        assert len(out) == 400 and all(r.found == r.listed for r in out)
+    assert [[b.tolist() for b, _, _ in x] for x in cascade.levels] == [[b.tolist() for b, _, _ in x] for x in again.levels]
+
+
 def _measures(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
