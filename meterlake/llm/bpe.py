@@ -36,7 +36,7 @@ from .common import map_column
 MEMO_CHARS = 64
 MEMO_SIZE = 100_000
 SLICE = 2 << 20     # bytes of text whose new pre-tokens are merged together
-SMALL = 12          # positions of a bucket that are merged one by one
+SMALL = 200         # positions of a bucket that are merged one by one
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
@@ -116,6 +116,10 @@ class Merger:
                     self.pairs[left * self.size + right] = rank
         self.keys = np.array(sorted(self.pairs), "i8")
         self.values = np.array([self.pairs[k] for k in self.keys.tolist()], "i4")
+        # ranks that stand in a pair of lower rank: only their merges can make a lower rank appear
+        self.falls = np.zeros(self.size, bool)
+        for part in (self.keys // self.size, self.keys % self.size):
+            self.falls[part[self.values < part]] = True
 
     def _rank_of(self, left: np.ndarray, right) -> np.ndarray:
         key = left.astype("i8") * self.size + right
@@ -161,15 +165,14 @@ class Merger:
     def _merge_few(self, rank, positions, queue, ids, after, before, owner, filed, alive) -> None:
         get, size, push = self.pairs.get, self.size, queue.push
         positions.sort()
-        last = -1
+        waits = -1      # the pre-token in which a lower rank has appeared
         for i in positions:
             if filed[i] != rank:
                 continue    # stale: the pair at i has changed or i is no longer a start
             own = owner[i]
-            if own == last:
-                push(rank, i)   # a merge to the left comes first, and what follows from it
+            if own == waits:
+                push(rank, i)   # the lower rank comes first, and what follows from it
                 continue
-            last = own
             j = after[i]
             k = after[j]
             after[i] = k
@@ -182,6 +185,8 @@ class Merger:
                 filed[i] = r
                 if r >= 0:
                     push(r, i)
+                    if r < rank:
+                        waits = own
             else:
                 filed[i] = -1
             h = before[i]
@@ -190,6 +195,8 @@ class Merger:
                 filed[h] = r
                 if r >= 0:
                     push(r, h)
+                    if r < rank:
+                        waits = own
 
     def _merge_many(self, rank, positions, queue, ids, after, before, owner, filed, alive) -> None:
         i = np.sort(positions[filed[positions] == rank])
@@ -204,29 +211,30 @@ class Merger:
         s = i[chosen]
         j = after[s]
         k = after[j]
-        # the pairs that a merge makes when all merges to its left are done and none to its
-        # right: a lower rank among them comes first, and what stands right of it waits
-        lower = np.zeros(len(s), bool)
-        on = k >= 0
-        right = self._rank_of(np.full(int(on.sum()), rank), ids[k[on]])
-        lower[on] = (right >= 0) & (right < rank)
-        h = before[s]
-        on = h >= 0
-        at = np.minimum(np.searchsorted(j, h[on]), len(j) - 1)
-        left = self._rank_of(np.where(j[at] == h[on], np.int32(rank), ids[h[on]]), rank)
-        lower[on] |= (left >= 0) & (left < rank)
-        if lower.any():
-            own, first = np.unique(owner[s[lower]], return_index=True)
-            last = s[lower][first]                  # the last merge of each such pre-token now
-            place = np.minimum(np.searchsorted(own, owner[s]), len(own) - 1)
-            now = (own[place] != owner[s]) | (s <= last[place])
-            s, j, k = s[now], j[now], k[now]
-            place = np.minimum(np.searchsorted(own, owner[i]), len(own) - 1)
-            rest = i[(own[place] == owner[i]) & (i > last[place])]
-            done = np.minimum(np.searchsorted(j, rest), len(j) - 1)
-            rest = rest[j[done] != rest]
-            if len(rest):
-                queue.push_all(np.full(len(rest), rank, "i4"), rest)
+        if self.falls[rank]:
+            # the pairs that a merge makes when all merges to its left are done and none to its
+            # right: a lower rank among them comes first, and what stands right of it waits
+            lower = np.zeros(len(s), bool)
+            on = k >= 0
+            right = self._rank_of(np.full(int(on.sum()), rank), ids[k[on]])
+            lower[on] = (right >= 0) & (right < rank)
+            h = before[s]
+            on = h >= 0
+            at = np.minimum(np.searchsorted(j, h[on]), len(j) - 1)
+            left = self._rank_of(np.where(j[at] == h[on], np.int32(rank), ids[h[on]]), rank)
+            lower[on] |= (left >= 0) & (left < rank)
+            if lower.any():
+                own, first = np.unique(owner[s[lower]], return_index=True)
+                last = s[lower][first]                  # the last merge of each such pre-token now
+                place = np.minimum(np.searchsorted(own, owner[s]), len(own) - 1)
+                now = (own[place] != owner[s]) | (s <= last[place])
+                s, j, k = s[now], j[now], k[now]
+                place = np.minimum(np.searchsorted(own, owner[i]), len(own) - 1)
+                rest = i[(own[place] == owner[i]) & (i > last[place])]
+                done = np.minimum(np.searchsorted(j, rest), len(j) - 1)
+                rest = rest[j[done] != rest]
+                if len(rest):
+                    queue.push_all(np.full(len(rest), rank, "i4"), rest)
         after[s], ids[s], alive[j], filed[j] = k, rank, False, -1
         on = k >= 0
         before[k[on]] = s[on]
@@ -259,6 +267,15 @@ class Encoder:
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
+    def _parts(self, chunks: list[str]) -> dict[str, list[str]]:
+        """The pre-tokens of each chunk.  All are split in one go: as no pre-token crosses
+        a chunk's ends, only a chunk's first one begins with a space."""
+        cut = self.split(" " + " ".join(chunks)) if chunks else []
+        if len(cut) == len(chunks):
+            return {c: (p,) for c, p in zip(chunks, cut)}
+        starts = [i for i, p in enumerate(cut) if p[0] == " "]
+        return {c: cut[a:b] for c, a, b in zip(chunks, starts, [*starts[1:], len(cut)], strict=True)}
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.chunks) > MEMO_SIZE:
             self.chunks.clear()
@@ -273,14 +290,14 @@ class Encoder:
             twice |= own & new
             new |= own
         odd = {c for c in new if not c or c[0].isspace() or c[-1].isspace()}
-        parts = {c: self.split(" " + c) for c in new.difference(odd)}
+        parts = self._parts(list(new.difference(odd)))
         whole = [self.split(t) if w and not (odd.isdisjoint(w)) else None for t, w in zip(texts, words)]
         heads = [self.split(w[0]) if w and own is None else () for w, own in zip(words, whole)]
         wanted = set().union(*parts.values(), *heads, *filter(None, whole)).difference(pieces)
         found = list(wanted)
         pieces.update(zip(found, self.merger.merge([p.encode() for p in found])))
         get = pieces.__getitem__
-        chunks.update((c, b"".join(map(get, own))) for c, own in parts.items())
+        chunks.update((c, get(own[0]) if len(own) == 1 else b"".join(map(get, own))) for c, own in parts.items())
         out = []
         for w, h, own in zip(words, heads, whole):
             if own is not None:
@@ -316,11 +333,12 @@ class Vocabulary:
 
 class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
-        self.tokens = {i: t for t, i in ranks.items()}
+        self.tokens = np.full(max(ranks.values(), default=-1) + 1, None, object)
+        for t, i in ranks.items():
+            self.tokens[i] = t
 
     def decode(self, packed: bytes | None) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(packed or b"", "<u4").tolist()])
+        return b"".join(self.tokens[np.frombuffer(packed or b"", "<u4")].tolist())
 
 
 def vocabulary(df: DataFrame, path: str | None = None):

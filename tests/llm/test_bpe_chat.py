@@ -88,6 +88,42 @@ def test_any_order_of_ranks(monkeypatch, small):
             assert list(struct.unpack(f"<{len(packed) // 4}I", packed)) == [ranks[x] for x in parts]
 
 
+def test_chunks_of_a_batch_are_split_in_one_go(reference):
+    """However many new chunks a batch has; their pre-tokens are the pattern's."""
+    rng = random.Random(4)
+    chunk = lambda: "".join(rng.choice("abé'st1²,.中\n\t\x1c\x85\u3000") for _ in range(rng.randint(1, 9)))
+    for texts in ([" ".join(f"w{i} x{i}'s" for i in range(500))], ["ab cd ef"],
+                  [" ".join(c for _ in range(300) if not (c := chunk())[0].isspace() and not c[-1].isspace())
+                   for _ in range(4)]):
+        encoder = bpe.Encoder(bpe.load_ranks(P.path(bpe.VOCABULARY)))
+        split, calls = encoder.split, []
+        encoder.split = lambda t, split=split, calls=calls: calls.append(t) or split(t)
+        out = encoder.encode(texts)
+        assert len(calls) <= 1 + len(texts)     # the new chunks, and each text's first one
+        for t, packed in zip(texts, out, strict=True):
+            assert list(struct.unpack(f"<{len(packed) // 4}I", packed)) == reference.encode_ordinary(t)
+
+
+def test_few_equal_pairs_of_a_pre_token_are_merged_in_one_pass(reference, monkeypatch):
+    """Not one pair at a time, unless a lower rank appears."""
+    merger, pops = bpe.Merger(bpe.load_ranks(P.path(bpe.VOCABULARY))), []
+    pop = bpe.RankQueue.pop
+    monkeypatch.setattr(bpe, "SMALL", 10**9)
+    monkeypatch.setattr(bpe.RankQueue, "pop", lambda q: pops.append(1) or pop(q))
+    packed = merger.merge([b"ab" * 80])[0]
+    assert len(pops) < 40
+    assert list(struct.unpack(f"<{len(packed) // 4}I", packed)) == reference.encode_ordinary("ab" * 80)
+
+
+@pytest.mark.parametrize("ids", [300, 2**32 - 1])
+def test_an_id_outside_the_vocabulary_raises(ids):
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 301}      # 300 is a gap
+    decoder = bpe.Decoder(ranks)
+    assert decoder.decode(struct.pack("<2I", 97, 301)) == b"aab" and decoder.decode(None) == b""
+    with pytest.raises((IndexError, TypeError)):
+        decoder.decode(struct.pack("<2I", 97, ids))
+
+
 def test_very_long_pre_tokens_take_time_in_proportion(reference):
     rng = random.Random(2)
     merger = bpe.Merger(bpe.load_ranks(P.path(bpe.VOCABULARY)))
